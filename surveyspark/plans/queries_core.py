@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.spatial import duck_grid_cell
-from ..operators import spatial
+from ..operators import merge, spatial
 from .fixtures import oracle, view
 from .registry import query
 
@@ -75,3 +75,67 @@ from grouped group by "group"
 """, grouped_sql()))
 def q_group_invasive_share(spark, sf):
     return spatial.group_invasive_share(occ_grouped(spark, sf))
+
+
+# --- F13 / W1 / W2 / S6 merge ------------------------------------------------------
+
+ROOT = "C:/data"
+
+_MERGE_CTES = """
+norm as (
+  select src_ord, row_ord, occ_id,
+         case when starts_with(replace(filepath, chr(92), '/'), 'C:/data/')
+              then substr(replace(filepath, chr(92), '/'), 9)
+              else replace(filepath, chr(92), '/') end as filepath,
+         label, region, source, latitude, longitude, gbif_id, status
+  from occ_parts
+),
+w1 as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by filepath order by src_ord, row_ord) as rn from norm)
+  where rn = 1
+),
+w2 as (
+  select * exclude (rn) from (
+    select *, case when source is null or gbif_id is null then 1
+                   else row_number() over (partition by source, gbif_id order by src_ord, row_ord) end as rn
+    from w1)
+  where rn = 1
+)
+"""
+
+
+def _norm(spark, sf):
+    return merge.normalize_paths(view(spark, sf, "occ_parts"), ROOT)
+
+
+@query("normalize_path", oracle(["occ_parts"], """
+select src_ord, occ_id, filepath from norm
+""", _MERGE_CTES))
+def q_normalize_path(spark, sf):
+    return _norm(spark, sf).select("src_ord", "occ_id", "filepath")
+
+
+@query("dedupe_filepath", oracle(["occ_parts"], """
+select src_ord, row_ord, occ_id, filepath, label, source, gbif_id from w1
+""", _MERGE_CTES))
+def q_dedupe_filepath(spark, sf):
+    return (merge.dedupe_filepath(_norm(spark, sf))
+            .select("src_ord", "row_ord", "occ_id", "filepath", "label", "source", "gbif_id"))
+
+
+@query("dedupe_source_key", oracle(["occ_parts"], """
+select src_ord, row_ord, occ_id, filepath, label, source, gbif_id from w2
+""", _MERGE_CTES))
+def q_dedupe_source_key(spark, sf):
+    return (merge.deduplicate(_norm(spark, sf))
+            .select("src_ord", "row_ord", "occ_id", "filepath", "label", "source", "gbif_id"))
+
+
+@query("merge_manifests", oracle(["occ_parts", "macro_map"], """
+select src_ord, occ_id, filepath, label, region, grid_cell, "group" from grouped
+""", _MERGE_CTES + "," + grouped_sql("w2")))
+def q_merge_manifests(spark, sf):
+    merged = merge.merge_manifests(view(spark, sf, "occ_parts"), view(spark, sf, "macro_map"), ROOT,
+                                   min_grid=MIN_GRID, min_district=MIN_DISTRICT)
+    return merged.select("src_ord", "occ_id", "filepath", "label", "region", "grid_cell", "group")
