@@ -166,6 +166,13 @@ select concat('https://img.example.org/u/', cast(user_id as string)) as url,
 from events group by user_id
 """)
 
+# File listing: the image files present on disk (customers with a
+# non-negative balance have theirs downloaded)
+_view("file_listing", """
+select concat('img/', c_mktsegment, '/', c_name, '.jpg') as path, cast(c_custkey * 97 % 4096 as bigint) as length
+from customer where c_acctbal >= 0
+""")
+
 # Web URLs with query strings, fragments, .html and none
 _view("urls", """
 select page_id, url from pages
