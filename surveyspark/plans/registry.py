@@ -26,4 +26,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_core, queries_folds, queries_quality, queries_scoring  # noqa: F401
+    from . import queries_core, queries_eval, queries_folds, queries_quality, queries_scoring  # noqa: F401
