@@ -166,6 +166,35 @@ select concat('https://img.example.org/u/', cast(user_id as string)) as url,
 from events group by user_id
 """)
 
+# Darwin Core shaped occurrence records (scientific names with author suffixes
+# and mixed case, blanks, missing media, other countries and datasets)
+_view("occ_dwc", """
+select cast(occ_id as string) as gbifID, cast(occ_id + 1000000 as string) as key,
+       concat('urn:occ:', cast(occ_id as string)) as occurrenceID,
+       case when occ_id % 29 = 0 then '  '
+            when label = 'AUTOMOBILE' then 'Phragmites australis (Cav.) Trin. ex Steud.'
+            when label = 'BUILDING' then 'Arundo donax L.'
+            when label = 'FURNITURE' then 'acacia dealbata'
+            when label = 'HOUSEHOLD' then 'Ammophila arenaria'
+            else 'Cortaderia selloana' end as scientificName,
+       case when occ_id % 31 = 0 then 'Bryophyta' else 'Tracheophyta' end as phylum,
+       'Plantae' as kingdom,
+       case when occ_id % 19 = 0 then 'ES' else 'PT' end as countryCode,
+       case when occ_id % 2 = 0 then 'ds-invasoras' else 'ds-other' end as datasetKey,
+       case when occ_id % 5 = 0 then null else 'StillImage' end as mediaType,
+       case when occ_id % 5 = 0 then null
+            else concat('https://media.example.org/o/', cast(occ_id as string),
+                        case occ_id % 4 when 0 then '.png' when 1 then '.jpeg?size=large'
+                                        when 2 then '' else '.jpg' end) end as associatedMedia,
+       case when occ_id % 7 = 0 then '' when occ_id % 11 = 0 then null else region end as stateProvince,
+       case when occ_id % 3 = 0 then null else concat(source, ' county') end as county,
+       latitude as decimalLatitude, longitude as decimalLongitude,
+       case occ_id % 6 when 0 then 'Giant Reed' when 1 then ' pampas grass ' when 2 then 'MIMOSA'
+                       when 3 then 'reed' else label end as vernacularName,
+       occ_id as row_ord
+from occ
+""", deps=("occ",))
+
 # File listing: the image files present on disk (customers with a
 # non-negative balance have theirs downloaded)
 _view("file_listing", """
