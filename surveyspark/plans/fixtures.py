@@ -162,7 +162,7 @@ from events where event_type in ('error', 'click', 'purchase')
 _view("work_list", """
 select concat('https://img.example.org/u/', cast(user_id as string)) as url,
        max(md5(props)) as expected_md5,
-       cast(min(value) * 100 as bigint) as bytes_on_disk
+       cast(floor(min(value) * 100) as bigint) as bytes_on_disk
 from events group by user_id
 """)
 
