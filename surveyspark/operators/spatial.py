@@ -66,6 +66,7 @@ def group_with_no_coords(df: DataFrame, macro_map: DataFrame, lat="latitude", lo
     and ``group='no_coords:<source>:<region>'``; they still count toward their
     district's size."""
     coords = has_coords(F.col(lat), F.col(lon))
+    df = df.drop("grid_cell", "group")  # recomputed, as the merge overwrites them
     with_cell = df.withColumn(
         "grid_cell", F.when(coords, grid_cell(F.col(lat), F.col(lon), size)).otherwise(F.lit("no_coords")))
     grouped = hierarchical_group(with_cell, macro_map, min_grid=min_grid, min_district=min_district)

@@ -171,11 +171,15 @@ def validate_images(spark: SparkSession, paths: DataFrame, root: str,
     Existence and size come from the ``binaryFile`` listing; decodability from
     the ``image`` source with invalid images kept (height -1).
     """
-    listing = file_listing(spark, root).select(F.col("path").alias("_p"), "length")
+    def local(c):  # the image source writes file:///x, the file listing file:/x
+        return F.regexp_replace(c, r"^file:/+", "/")
+
+    listing = file_listing(spark, root).select(local(F.col("path")).alias("_p"), "length")
     decoded = (spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
-               .load(root).select(F.col("image.origin").alias("_o"), (F.col("image.height") >= 0).alias("decodes")))
-    j = (paths.join(listing, paths["path"] == listing["_p"], "left")
-              .join(decoded, F.col("path") == F.col("_o"), "left"))
+               .load(root).select(local(F.col("image.origin")).alias("_o"),
+                                  (F.col("image.height") >= 0).alias("decodes")))
+    j = (paths.join(listing, local(paths["path"]) == listing["_p"], "left")
+              .join(decoded, local(F.col("path")) == F.col("_o"), "left"))
     reason = (F.when(F.col("_p").isNull(), F.lit("missing"))
                .when(F.col("length") < min_bytes, F.lit("too small"))
                .when(~F.coalesce(F.col("decodes"), F.lit(False)), F.lit("cannot decode")))
