@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import merge, quality, spatial
+from ..session import materialize
 from .fixtures import oracle, view
 from .queries_core import _MERGE_CTES, MIN_DISTRICT, MIN_GRID, ROOT, grouped_sql
 from .registry import query
@@ -18,13 +19,15 @@ _FIX = ["occ_parts", "macro_map"]
 
 def audited(spark, sf):
     norm = merge.normalize_paths(view(spark, sf, "occ_parts"), ROOT)
-    return spatial.group_with_no_coords(norm, view(spark, sf, "macro_map"),
-                                        min_grid=MIN_GRID, min_district=MIN_DISTRICT)
+    return materialize(spatial.group_with_no_coords(norm, view(spark, sf, "macro_map"),
+                                                    min_grid=MIN_GRID, min_district=MIN_DISTRICT), "audited")
 
 
 def merged(spark, sf):
-    return merge.merge_manifests(view(spark, sf, "occ_parts"), view(spark, sf, "macro_map"), ROOT,
-                                 min_grid=MIN_GRID, min_district=MIN_DISTRICT)
+    """The merged manifest, written once as a table: every downstream branch
+    (audit fan-out, histogram, fold join) scans it instead of re-merging."""
+    return materialize(merge.merge_manifests(view(spark, sf, "occ_parts"), view(spark, sf, "macro_map"), ROOT,
+                                             min_grid=MIN_GRID, min_district=MIN_DISTRICT), "merged")
 
 
 @query("value_counts", oracle(_FIX, """

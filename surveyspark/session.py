@@ -61,3 +61,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Used where a pipeline artifact (the merged manifest) feeds several branches
+    of one plan: the branches then scan a column-pruned table instead of each
+    re-deriving the merge, and the lineage is cut at a point that survives lost
+    executors (unlike a local checkpoint).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
