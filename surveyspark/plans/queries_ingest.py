@@ -249,9 +249,11 @@ def q_cap_per_species(spark, sf):
 
 @query("balanced_sample", oracle(["occ_dwc"], f"""
 select gbifID, species, datasetKey, stream_rank, sample_rank from (
-  select *, row_number() over (partition by species order by stream_rank, datasetKey) as sample_rank from (
+  select *, cast(row_number() over (partition by species order by stream_rank, datasetKey) as integer)
+              as sample_rank from (
     select gbifID, species, datasetKey,
-           row_number() over (partition by species, datasetKey order by md5('42:' || gbifID), gbifID) as stream_rank
+           cast(row_number() over (partition by species, datasetKey order by md5('42:' || gbifID), gbifID)
+                as integer) as stream_rank
     from occ_dwc join {_SPECIES_VALUES} on starts_with(scientificName, species))
   where stream_rank <= 40)
 where sample_rank <= 40

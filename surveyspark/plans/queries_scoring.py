@@ -215,7 +215,7 @@ def _case(col, ranks):
 
 
 @query("report_lines", oracle(_DEC, f"""
-select * from (
+select section, row_ord, cast(line_no as integer) as line_no, line from (
   select 0 as section, -1 as row_ord, 0 as line_no, '{_RULE}' as line
   union all select 0, -1, 1, 'INVASIVE SPECIES ASSESSMENT REPORT'
   union all select 0, -1, 2, '{_RULE}'
