@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.stats import chi2_sf1_udf, mcnemar_exact_p_udf
+from . import quantiles
 
 
 def confusion(preds: DataFrame, keys=("model",)) -> DataFrame:
@@ -127,9 +128,11 @@ def calibration(preds: DataFrame, keys=("model",)) -> DataFrame:
     rows; 0.5 when there are none). A model whose confidences are all missing
     gets a warning instead.
 
-    ``percentile`` keeps a value -> count map per group, so its memory grows with
-    the number of distinct confidences, not with rows.
+    The percentile is exact and computed by bin refinement
+    (:func:`quantiles.exact_quantile`), so no task ever holds a model's
+    confidences; the per-model result is a handful of rows joined back.
     """
+    keys = list(keys)
     conf = F.nanvl(F.col("confidence"), F.lit(None).cast("double"))
     ok = F.col("pred") == F.col("label")
     agg = preds.groupBy(*keys).agg(
@@ -137,12 +140,15 @@ def calibration(preds: DataFrame, keys=("model",)) -> DataFrame:
         F.avg(F.when(~ok, conf)).alias("mean_confidence_incorrect"),
         F.count_if(ok).alias("n_correct"), F.count_if(~ok).alias("n_incorrect"),
         (F.count_if(ok) / F.count(F.lit(1))).alias("accuracy"),
-        F.coalesce(F.percentile(F.when(ok, conf), F.lit(0.25)), F.lit(0.5)).alias("recommended_threshold"),
         F.min(conf).alias("min_confidence"), F.max(conf).alias("max_confidence"),
         F.count(conf).alias("_n_conf"))
-    return (agg.withColumn("warning", F.when(F.col("_n_conf") == 0,
+    q25 = quantiles.exact_quantile(preds.where(ok), "confidence", 0.25, keys).select(
+        *keys, F.col("quantile").alias("_q25"))
+    return (agg.join(q25, keys, "left")
+               .withColumn("recommended_threshold", F.coalesce("_q25", F.lit(0.5)))
+               .withColumn("warning", F.when(F.col("_n_conf") == 0,
                                              F.lit("No confidence data in fold 0 predictions")))
-               .drop("_n_conf"))
+               .drop("_n_conf", "_q25"))
 
 
 def confidence_compare(paired: DataFrame, keys=(), margin: float = 0.1) -> DataFrame:

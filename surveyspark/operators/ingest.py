@@ -195,9 +195,14 @@ def feasibility_counts(occ: DataFrame, species: DataFrame, country: str = "PT",
         F.count_if(F.col("mediaType") == "StillImage").alias("with_image"),
         F.count_if(F.col("decimalLatitude").isNotNull() & F.col("decimalLongitude").isNotNull())
          .alias("with_coords"))
-    j = F.broadcast(species).join(per_name, F.startswith(F.col("scientificName"), F.col("species")), "left")
-    return j.groupBy("species").agg(
-        F.coalesce(F.sum("total"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum("with_image"), F.lit(0)).alias("records_with_image"),
-        F.coalesce(F.sum("with_coords"), F.lit(0)).alias("records_with_coordinates")
+    # theta join against the short species list (broadcast, inner), then an
+    # equi-join back to the list so species without records still appear
+    matched = (per_name.join(F.broadcast(species), F.startswith(F.col("scientificName"), F.col("species")))
+                       .groupBy("species").agg(F.sum("total").alias("total"), F.sum("with_image").alias("with_image"),
+                                               F.sum("with_coords").alias("with_coords")))
+    return species.select("species").join(matched, "species", "left").select(
+        "species",
+        F.coalesce(F.col("total"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.col("with_image"), F.lit(0)).alias("records_with_image"),
+        F.coalesce(F.col("with_coords"), F.lit(0)).alias("records_with_coordinates")
     ).withColumn("dataset_key", F.lit(dataset_key or "any"))
