@@ -109,3 +109,52 @@ def fold_roles(assigned: DataFrame, n_folds: int = config.N_FOLDS) -> DataFrame:
     return (assigned.withColumn("cv_round", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
                     .withColumn("role", F.when(F.col("fold") == F.col("cv_round"), F.lit("val"))
                                 .otherwise(F.lit("train"))))
+
+
+GREEDY_MAX_GROUPS = 50_000
+
+
+def _greedy_deal(n_folds: int):
+    import numpy as np
+    import pandas as pd
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        wide = pdf.pivot_table(index="group", columns="label", values="n", aggfunc="sum", fill_value=0)
+        counts = wide.to_numpy(dtype=np.float64)
+        groups = wide.index.to_numpy()
+        totals = counts.sum(axis=0)
+        # most label-skewed groups first; name breaks ties so the deal is deterministic
+        order = sorted(range(len(groups)), key=lambda i: (-float(np.std(counts[i])), str(groups[i])))
+        per_fold = np.zeros((n_folds, counts.shape[1]))
+        out = np.empty(len(groups), dtype=np.int32)
+        for gi in order:
+            trial = per_fold[None, :, :].repeat(n_folds, axis=0)
+            trial[np.arange(n_folds), np.arange(n_folds)] += counts[gi]
+            score = np.std(trial / totals, axis=1).mean(axis=1)  # per candidate fold
+            sizes = per_fold.sum(axis=1)
+            best = min(range(n_folds), key=lambda f: (round(float(score[f]), 12), sizes[f], f))
+            per_fold[best] += counts[gi]
+            out[gi] = best
+        return pd.DataFrame({"group": groups.astype(str), "fold": out})
+    return deal
+
+
+def group_folds_greedy(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group", label_col="label",
+                       max_groups: int = GREEDY_MAX_GROUPS) -> DataFrame:
+    """Greedy stratified deal: each group (most label-skewed first) goes to the fold
+    that keeps every label's share across folds most even; ties -> smaller fold,
+    then lower index.
+
+    The deal is sequential, so the histogram (one row per group and label, never
+    rows) runs in one pandas task; above ``max_groups`` groups the serpentine deal
+    is used instead, which has no such bound.
+    """
+    hist = group_label_hist(df, group_col, label_col).select(
+        F.col(group_col).cast("string").alias("group"), F.col(label_col).cast("string").alias("label"), "n")
+    n_groups = hist.select("group").distinct().count()
+    if n_groups > max_groups:
+        return group_folds(df, n_folds, group_col, label_col)
+    return (hist.withColumn("_all", F.lit(0)).groupBy("_all")
+                .applyInPandas(lambda pdf: _greedy_deal(n_folds)(pdf.drop(columns=["_all"])),
+                               "group string, fold int")
+                .withColumnRenamed("group", group_col))

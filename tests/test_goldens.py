@@ -120,3 +120,22 @@ def test_scoring_shapes_and_errors(spark):
     assert out[2].predicted_class is None and out[2].abstain and out[2].error == "missing logits"
     assert out[3].predicted_class == "a" and out[3].abstain is False  # tie -> first, override 0.2
     assert out[4].abstain and out[4].error.startswith("invalid threshold")
+
+
+def test_mcnemar_chi2_in_spark(spark):
+    t = spark.createDataFrame([(1, 59, 6, 7, 8), (2, 10, 0, 40, 50), (3, 5, 0, 0, 5)],
+                              "k int, both_correct long, only_a_correct long, only_b_correct long, both_wrong long")
+    r = {x.k: x for x in ev.mcnemar_test(t, exact=False).collect()}
+    assert r[1].statistic == 0.0 and r[1].p_value == 1.0
+    assert abs(r[2].statistic - 38.025) < 1e-12 and r[2].p_value < 0.001
+    assert "differ significantly" in r[2].interpretation
+    assert r[3].statistic != r[3].statistic  # no discordant pairs: undefined
+
+
+def test_resolve_and_normalize_paths(spark):
+    from surveyspark.functions.text import normalize_path, resolve_path
+    df = spark.createDataFrame([("C:\\proj\\data_raw\\a.jpg",), ("data_raw/b.jpg",), ("/abs/c.jpg",)], "p string")
+    got = [tuple(r) for r in df.select(normalize_path(F.col("p"), "C:\\proj").alias("n"),
+                                       resolve_path(F.col("p"), "/root/proj").alias("r")).collect()]
+    assert got == [("data_raw/a.jpg", "C:/proj/data_raw/a.jpg"), ("data_raw/b.jpg", "/root/proj/data_raw/b.jpg"),
+                   ("/abs/c.jpg", "/abs/c.jpg")]

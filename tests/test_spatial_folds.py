@@ -82,3 +82,17 @@ def test_keep_first_survivor_and_null_keys(spark):
     # a.jpg: the src 0 copy wins; f.jpg repeats its (s, 11) key later and goes;
     # b.jpg's key (s, 10) is unique once a.jpg's other copy is gone; null keys all stay
     assert out == {("a.jpg", 0), ("b.jpg", 1), ("c.jpg", 1), ("d.jpg", 1), ("e.jpg", 1)}
+
+
+def test_greedy_folds_disjoint_and_stratified(spark):
+    df = spatial_frame(spark)
+    g = spatial.group_with_no_coords(df, spatial.macro_map_df(spark))
+    gf = folds.group_folds_greedy(g, 5)
+    a = g.join(gf, "group")
+    assert a.count() == df.count()
+    assert all(r.n_shared == 0 for r in folds.fold_leakage(a, 5).collect())
+    shares = [r.share for r in folds.fold_sizes(a).collect()]
+    assert len(shares) == 5 and max(shares) < 0.45
+    # above the bound the serpentine deal takes over
+    fb = folds.group_folds_greedy(g, 5, max_groups=1)
+    assert fb.select("group").distinct().count() == g.select("group").distinct().count()
