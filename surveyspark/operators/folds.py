@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
+from .joins import checked_broadcast
 
 
 def group_label_hist(df: DataFrame, group_col="group", label_col="label") -> DataFrame:
@@ -51,8 +52,8 @@ def group_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group",
 
 def assign_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group",
                  label_col="label") -> DataFrame:
-    """Rows with their fold, through their group."""
-    return df.join(group_folds(df, n_folds, group_col, label_col), on=group_col, how="inner")
+    """Rows with their fold, through their group (group table broadcast after a size check)."""
+    return df.join(checked_broadcast(group_folds(df, n_folds, group_col, label_col)), on=group_col, how="inner")
 
 
 def fold_sizes(assigned: DataFrame) -> DataFrame:

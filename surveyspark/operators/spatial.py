@@ -1,13 +1,14 @@
 """Spatial blocking: grid cell -> district -> macro-region groups.
 
-Plan shape: two partial (map-side combined) count aggregations, joined back
-to the rows on their keys. The count tables are bounded by geography (at
-most one row per 0.2-degree cell and one per district), so AQE turns the
-join-backs into broadcast joins at run time; if a count table ever outgrew
-the broadcast limit the join stays sort-merge and AQE's skew-join split takes
-care of hot cells (metro areas, ``no_coords``). A window ``count() over
-(partition by cell)`` is avoided on purpose: it would put every row of a hot
-cell into one task.
+Plan shape: one partial (map-side combined) grouping-sets aggregation over
+the two key columns gives the cell and district sizes; they are joined back
+to the rows on their keys. The count table is bounded by geography (at most
+one row per 0.2-degree cell and one per district); it is broadcast after a
+row-count check (``joins.checked_broadcast``), so the rows are never shuffled
+for the join. Above the bound the join stays a shuffle join and AQE's
+skew-join split takes care of hot cells (metro areas, ``no_coords``). A
+window ``count() over (partition by cell)`` is avoided on purpose: it would
+put every row of a hot cell into one task.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.spatial import grid_cell, has_coords
+from .joins import checked_broadcast
 
 
 def macro_map_df(spark: SparkSession, entries=None) -> DataFrame:
@@ -34,9 +36,10 @@ def _level_counts(df: DataFrame, grid_col: str, district_col: str) -> tuple[Data
     """Grid-cell and district sizes from ONE narrow pass (grouping sets over the two
     key columns only, combined map-side). Null keys are not counted (a null region
     has size 0 and falls through to the macro level)."""
-    both = (df.select(grid_col, district_col)
-              .groupingSets([[grid_col], [district_col]], grid_col, district_col)
-              .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id(grid_col, district_col).alias("_gid")))
+    both = checked_broadcast(
+        df.select(grid_col, district_col)
+          .groupingSets([[grid_col], [district_col]], grid_col, district_col)
+          .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id(grid_col, district_col).alias("_gid")))
     gc = both.where((F.col("_gid") == 1) & F.col(grid_col).isNotNull()) \
              .select(grid_col, F.col("_n").alias("_grid_n"))
     dc = both.where((F.col("_gid") == 2) & F.col(district_col).isNotNull()) \
