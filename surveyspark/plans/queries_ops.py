@@ -131,3 +131,18 @@ def q_top_trials(spark, sf):
 def q_train_folds(spark, sf):
     feats = view(spark, sf, "features").withColumn("group", (F.col("row_id") % 25).cast("string"))
     return tuning.train_folds(feats, n_folds=3, max_iter=20)
+
+
+@query("mcnemar_chi2")
+def q_mcnemar_chi2(spark, sf):
+    """Chi-square McNemar with continuity correction (DuckDB has no erfc: rows-only)."""
+    from .queries_eval import _pairs
+    t = ev.mcnemar_test(ev.mcnemar_table(_pairs(spark, sf)), exact=False)
+    return t.select("n_discordant", "statistic", "p_value", "interpretation")
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    """Grouped-CV grid search scored by macro-F1 (Spark ML CrossValidator with foldCol: rows-only)."""
+    feats = view(spark, sf, "features").withColumn("group", (F.col("row_id") % 25).cast("string"))
+    return tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.1), max_iter=(10,), n_folds=3)

@@ -140,3 +140,48 @@ def test_grid_search_and_train_folds(spark):
     trials = tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.5), max_iter=(5,), n_folds=3)
     assert trials.count() == 2
     assert tuning.top_trials(trials, 1).count() == 1
+
+
+def test_occurrence_readers_mapping_and_fetch(spark, tmpdir_path):
+    tsv = os.path.join(tmpdir_path, "occurrence.txt")
+    header = "\t".join(readers.OCCURRENCE_FIELDS + ["decimalLatitude", "decimalLongitude"])
+    good = "\t".join(["1", "k1", "o1", "Arundo donax L.", "Tracheophyta", "Plantae", "PT", "ds", "StillImage",
+                      "http://x/1.jpg", "Lisboa", "", "38.7", "-9.1"])
+    bad = "\t".join(["2", "k2", "o2", "Arundo donax", "Tracheophyta", "Plantae", "PT", "ds", "", "", "", "",
+                     "not-a-number", "-9.1"])
+    open(tsv, "w").write(header + "\n" + good + "\n" + bad + "\n")
+    occ = readers.read_occurrences(spark, tsv).collect()
+    assert len(occ) == 2 and occ[0]["_corrupt_record"] is None and occ[1]["_corrupt_record"] is not None
+    for name, body in [("m.csv", "species,image_url\nA,u1\n"), ("m.tsv", "species\timage_url\nA\tu1\n"),
+                       ("m.json", '[{"species": "A", "image_url": "u1"}]')]:
+        p = os.path.join(tmpdir_path, name)
+        open(p, "w").write(body)
+        assert [tuple(r) for r in readers.read_mapping(spark, p).select("species", "image_url").collect()] == \
+            [("A", "u1")]
+    js = os.path.join(tmpdir_path, "dump.json")
+    import json
+    recs = [{"gbifID": "1", "scientificName": "Arundo donax", "datasetKey": "ds", "countryCode": "PT",
+             "decimalLatitude": 38.7, "decimalLongitude": -9.1, "media": [{"type": "StillImage", "identifier": "u"}]},
+            {"gbifID": "2", "scientificName": "Arundo donax", "datasetKey": "ds", "countryCode": "PT",
+             "decimalLatitude": 38.7, "decimalLongitude": -9.1, "media": [{"type": "Sound", "identifier": "s"}]},
+            {"gbifID": "3", "scientificName": "Arundo donax", "datasetKey": "ds", "countryCode": "ES",
+             "decimalLatitude": 38.7, "decimalLongitude": -9.1, "media": [{"type": "StillImage", "identifier": "u"}]}]
+    open(js, "w").write("\n".join(json.dumps(r) for r in recs))
+    dump = readers.read_occurrences_json(spark, js)
+    got = [r.gbifID for r in readers.fetch_occurrences(dump, "Arundo donax", "ds").collect()]
+    assert got == ["1"]
+
+
+def test_report_sink_and_required_columns(spark, tmpdir_path):
+    import pytest
+
+    from surveyspark.operators import decisions, quality
+    df = spark.createDataFrame([(1, "Arundo donax", 0.95, False)],
+                               "row_id long, predicted_class string, confidence double, abstain boolean")
+    lines = decisions.report_lines(decisions.decide(df, decisions.species_dim(spark)))
+    out = os.path.join(tmpdir_path, "report")
+    sinks.write_report(lines, out)
+    text = spark.read.text(out).collect()
+    assert text[0].value == "=" * 70 and any("CRITICAL FINDINGS" in r.value for r in text)
+    with pytest.raises(ValueError, match="label"):
+        quality.require_columns(spark.createDataFrame([("x",)], "filepath string"), ["filepath", "label"])
