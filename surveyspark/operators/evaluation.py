@@ -144,7 +144,8 @@ def calibration(preds: DataFrame, keys=("model",)) -> DataFrame:
         F.count(conf).alias("_n_conf"))
     q25 = quantiles.exact_quantile(preds.where(ok), "confidence", 0.25, keys).select(
         *keys, F.col("quantile").alias("_q25"))
-    return (agg.join(q25, keys, "left")
+    # q25 is a local table with one row per model: broadcast by construction
+    return (agg.join(F.broadcast(q25), keys, "left")
                .withColumn("recommended_threshold", F.coalesce("_q25", F.lit(0.5)))
                .withColumn("warning", F.when(F.col("_n_conf") == 0,
                                              F.lit("No confidence data in fold 0 predictions")))

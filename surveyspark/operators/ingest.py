@@ -200,7 +200,8 @@ def feasibility_counts(occ: DataFrame, species: DataFrame, country: str = "PT",
     matched = (per_name.join(F.broadcast(species), F.startswith(F.col("scientificName"), F.col("species")))
                        .groupBy("species").agg(F.sum("total").alias("total"), F.sum("with_image").alias("with_image"),
                                                F.sum("with_coords").alias("with_coords")))
-    return species.select("species").join(matched, "species", "left").select(
+    # matched has at most one row per listed species: bounded by the list
+    return species.select("species").join(F.broadcast(matched), "species", "left").select(
         "species",
         F.coalesce(F.col("total"), F.lit(0)).alias("total_records"),
         F.coalesce(F.col("with_image"), F.lit(0)).alias("records_with_image"),
