@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.spatial import coarse_group
 from ..functions.text import first_media_identifier, raw_url_extension, region_fallback, url_extension
+from .joins import left_join_spread_nulls
 
 
 def map_columns(df: DataFrame, mapping: dict) -> DataFrame:
@@ -109,13 +110,15 @@ def media_join(occ: DataFrame, media: DataFrame, id_col: str = "gbif_id") -> Dat
     """Occurrence -> first still-image URL by media order (null when none).
 
     The media table is reduced to one row per id with a partial ``min_by``
-    before the join, so ids with many media never meet the occurrences whole.
+    before the join, so ids with many media never meet the occurrences whole;
+    occurrences without an id are spread over the shuffle instead of all
+    landing in the null-key partition.
     """
     first = (media.where((F.col("media_type") == "StillImage") & F.col("identifier").isNotNull()
                          & (F.col("identifier") != ""))
                   .groupBy(F.col("gbif_id").alias(id_col))
                   .agg(F.min_by("identifier", "media_ord").alias("image_url")))
-    return occ.join(first, id_col, "left")
+    return left_join_spread_nulls(occ, first, id_col)
 
 
 def species_table(spark: SparkSession, species) -> DataFrame:

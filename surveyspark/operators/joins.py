@@ -21,3 +21,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     return F.broadcast(kept) if n <= max_rows else kept
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, buckets: int = 4096) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``key`` where ``left`` may hold many null keys.
+
+    A shuffle join hashes every null key to the same partition, so a column that
+    is null for a third of the rows makes one task take a third of the data.
+    Null keys are replaced by a text that can never match (it starts with a NUL
+    character) spread over ``buckets`` values; non-null keys join as text.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)).cast("string")
+    lk = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\u0000null:"), salt))
+    l2 = left.withColumn("_jk", lk)
+    r2 = right.withColumn("_jk", F.col(key).cast("string")).drop(key)
+    return l2.join(r2, "_jk", "left").drop("_jk")
