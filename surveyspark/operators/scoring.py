@@ -39,7 +39,8 @@ def score(df: DataFrame, classes, threshold: float = config.PREDICTOR_THRESHOLD,
     A row whose logits are null, empty, non-finite or of the wrong length is
     kept with null class and confidence, ``abstain = true`` and an error text
     (never raises). ``threshold_col`` may hold a per-row override as text or
-    number; one that does not parse as a number in [0, 1] is an error too.
+    number; one that does not parse as a number is an error too (no range
+    check: a threshold above 1 simply makes every row abstain).
     """
     names = _names(classes)
     n = len(classes)
@@ -48,7 +49,7 @@ def score(df: DataFrame, classes, threshold: float = config.PREDICTOR_THRESHOLD,
     if threshold_col:
         t_raw = F.col(threshold_col)
         t_num = t_raw.cast("string").try_cast("double")
-        t_bad = t_raw.isNotNull() & (t_num.isNull() | (t_num < 0) | (t_num > 1))
+        t_bad = t_raw.isNotNull() & t_num.isNull()
         t = F.coalesce(t_num, F.lit(float(threshold)))
     else:
         t_bad = F.lit(False)
@@ -73,4 +74,5 @@ def score(df: DataFrame, classes, threshold: float = config.PREDICTOR_THRESHOLD,
                                 if threshold_col else F.lit(None).cast("string"))
                           .when(F.size(lg) != n, F.format_string(f"expected {n} logits, got %d", F.size(lg)))
                           .otherwise(F.lit("non-finite logits"))))
-    return out.drop("_ok")
+    return (out.withColumn("threshold_used", F.when(~t_bad, t))
+               .withColumn("success", F.col("_ok")).drop("_ok"))

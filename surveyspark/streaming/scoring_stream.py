@@ -24,7 +24,7 @@ def scored_stream(spark: SparkSession, source_dir: str, classes,
     requests = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
                 .parquet(source_dir))
     return scoring.score(requests, classes, threshold, threshold_col="threshold_override").select(
-        "row_id", "predicted_class", "confidence", "abstain", "top_3", "error")
+        "row_id", "success", "predicted_class", "confidence", "abstain", "top_3", "threshold_used", "error")
 
 
 def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, classes,

@@ -112,14 +112,15 @@ def test_percent_in_reasoning_and_report(spark):
 
 def test_scoring_shapes_and_errors(spark):
     df = spark.createDataFrame([(1, [1.0, 3.0, 2.0], None), (2, None, None), (3, [1.0, 1.0, 1.0], "0.2"),
-                                (4, [0.0, 0.0, 9.0], "abc")],
+                                (4, [0.0, 0.0, 9.0], "abc"), (5, [0.0, 0.0, 9.0], "1.5")],
                                "row_id long, logits array<double>, threshold_override string")
     out = {r.row_id: r for r in scoring.score(df, ["a", "b", "c"], 0.5, threshold_col="threshold_override").collect()}
     assert out[1].predicted_class == "b" and [t["class"] for t in out[1].top_3] == ["b", "c", "a"]
     assert abs(sum(out[1].probs) - 1.0) < 1e-12
     assert out[2].predicted_class is None and out[2].abstain and out[2].error == "missing logits"
     assert out[3].predicted_class == "a" and out[3].abstain is False  # tie -> first, override 0.2
-    assert out[4].abstain and out[4].error.startswith("invalid threshold")
+    assert out[4].abstain and out[4].error.startswith("invalid threshold") and not out[4].success
+    assert out[5].abstain and out[5].error is None and out[5].threshold_used == 1.5
 
 
 def test_mcnemar_chi2_in_spark(spark):
