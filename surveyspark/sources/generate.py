@@ -46,7 +46,7 @@ def synthetic_occurrences(spark: SparkSession, per_species: int = 30, seed: int
     dirname = F.replace(label, F.lit(" "), F.lit("_"))
     return df.select(
         F.concat_ws("/", F.lit(root), dirname,
-                    F.concat(dirname, F.lit("_"), F.lpad(F.col("i").cast("string"), 4, "0"), F.lit(".jpg"))
+                    F.concat(dirname, F.lit("_"), F.format_string("%04d", F.col("i")), F.lit(".jpg"))
                     ).alias("filepath"),
         label.alias("label"), F.element_at(name, F.col("d")).alias("region"),
         F.round(F.element_at(lat0, F.col("d")) + (_uniform(seed, 1) * 2 - 1) * j, 5).alias("latitude"),

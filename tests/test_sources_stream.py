@@ -185,3 +185,9 @@ def test_report_sink_and_required_columns(spark, tmpdir_path):
     assert text[0].value == "=" * 70 and any("CRITICAL FINDINGS" in r.value for r in text)
     with pytest.raises(ValueError, match="label"):
         quality.require_columns(spark.createDataFrame([("x",)], "filepath string"), ["filepath", "label"])
+
+
+def test_synthetic_file_names_unique_beyond_four_digits(spark):
+    a = generate.synthetic_occurrences(spark, per_species=12_000, species=["Arundo donax"])
+    assert a.select("filepath").distinct().count() == 12_000
+    assert a.where(F.col("filepath").endswith("Arundo_donax_11999.jpg")).count() == 1
