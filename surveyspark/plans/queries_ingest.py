@@ -303,3 +303,40 @@ select label, count(*) as n_invasive from occ where status = 'invasive' and labe
 """))
 def q_risk_by_species(spark, sf):
     return riskmap.risk_by_species(view(spark, sf, "occ"))
+
+
+# --- end-to-end: occurrence dumps -> manifest rows -> risk map --------------------------
+
+def _dump_manifest(spark, sf):
+    d = ingest.filter_species_ci(ingest.filter_equals(dwc(spark, sf), "phylum", "Tracheophyta"), TARGETS)
+    g = ingest.occurrence_to_manifest(d)
+    i = ingest.occurrence_to_manifest(d.where(F.col("datasetKey") == "ds-invasoras"), source="invasoras",
+                                      scheme="invasoras", id_col="occurrenceID")
+    return ingest.union_occurrences([g, i])
+
+
+_DUMP_CTES = f"""
+dm as (
+  select trim(scientificName) as label, coalesce(stateProvince, 'unknown') as region,
+         case when trim(scientificName) in {_sql_list(INVASIVE)} then 'invasive' else 'native' end as status
+  from occ_dwc
+  where phylum = 'Tracheophyta' and lower(scientificName) in {_sql_list([t.lower() for t in TARGETS])}
+    and trim(scientificName) <> ''
+  union all
+  select trim(scientificName), coalesce(stateProvince, 'unknown'),
+         case when trim(scientificName) in {_sql_list(INVASIVE)} then 'invasive' else 'native' end
+  from occ_dwc
+  where phylum = 'Tracheophyta' and lower(scientificName) in {_sql_list([t.lower() for t in TARGETS])}
+    and trim(scientificName) <> '' and datasetKey = 'ds-invasoras'
+)
+"""
+
+
+@query("riskmap_from_dumps", oracle(["occ_dwc"], """
+select region, count(*) filter (where status = 'invasive') as n_invasive, count(*) as n_records,
+       (count(*) filter (where status = 'invasive')) / count(*) as risk_score
+from dm where region is not null group by region having count(*) filter (where status = 'invasive') > 0
+order by n_invasive desc, region limit 10
+""", _DUMP_CTES))
+def q_riskmap_from_dumps(spark, sf):
+    return riskmap.risk_by_region(_dump_manifest(spark, sf))

@@ -246,3 +246,34 @@ select section, row_ord, cast(line_no as integer) as line_no, line from (
 """, _DECIDE_CTES))
 def q_report_lines(spark, sf):
     return decisions.report_lines(decided(spark, sf))
+
+
+# --- end-to-end: classifier outputs -> predictions -> decisions -> report -----------------
+
+def survey_decisions(spark, sf):
+    """Score the logits, then decide with the class names of labels 0-2 as invasive species."""
+    sc = scored(spark, sf).select("row_id", "predicted_class", "confidence", "abstain")
+    inv = (view(spark, sf, "features").where(F.col("label") < 3)
+           .select(F.concat(F.lit("CLASS_"), F.col("label")).alias("invasive"),
+                   F.lit(None).cast("string").alias("native")).distinct())
+    return decisions.decide(sc, inv, threshold=0.3, critical=0.6)
+
+
+_SURVEY_CTES = _SCORE_CTES + """,
+inv as (select distinct 'CLASS_' || cast(label as varchar) as invasive from embeddings where label < 3),
+sdec as (
+  select row_id, predicted_class as species,
+         case when probs is null or confidence < 0.5e0 then 'MEDIUM'
+              when lower(predicted_class) not in (select lower(invasive) from inv) then 'NATIVE'
+              when confidence >= 0.6e0 then 'CRITICAL'
+              when confidence >= 0.3e0 then 'HIGH' else 'MEDIUM' end as risk_level
+  from pc
+)
+"""
+
+
+@query("survey_risk_summary", oracle(["logits"], """
+select risk_level, count(*) as n from sdec group by risk_level
+""", _SURVEY_CTES))
+def q_survey_risk_summary(spark, sf):
+    return survey_decisions(spark, sf).groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
