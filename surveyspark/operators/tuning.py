@@ -33,14 +33,20 @@ def _prepare(feats: DataFrame, n_folds: int, features_col="embedding") -> DataFr
 
 
 def train_folds(feats: DataFrame, n_folds: int = config.N_FOLDS, max_iter: int = 50, reg: float = 0.0,
-                features_col: str = "embedding") -> DataFrame:
-    """Out-of-fold predictions ``(row_id, fold, label, pred, confidence)``."""
+                features_col: str = "embedding", model_dir: str | None = None) -> DataFrame:
+    """Out-of-fold predictions ``(row_id, fold, label, pred, confidence)``.
+
+    With ``model_dir`` (a shared folder) each fold's model is saved under
+    ``<model_dir>/fold=<k>`` and can be reloaded with ``LogisticRegressionModel.load``.
+    """
     data = _prepare(feats, n_folds, features_col).select("row_id", "fold", "label", "features")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     outs = []
     for k in range(n_folds):
         train = data.where(F.col("fold") != k)
         model = LogisticRegression(maxIter=max_iter, regParam=reg).fit(train)
+        if model_dir:
+            model.write().overwrite().save(f"{model_dir.rstrip('/')}/fold={k}")
         pred = model.transform(data.where(F.col("fold") == k))
         outs.append(pred.select("row_id", "fold", F.col("label").cast("int").alias("label"),
                                 F.col("prediction").cast("int").alias("pred"),

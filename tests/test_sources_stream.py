@@ -14,6 +14,11 @@ from surveyspark.streaming import scoring_stream
 from .conftest import SF_SMALL
 
 
+def tempfile_dir():
+    import tempfile
+    return tempfile.mkdtemp(prefix="surveyspark-m-")
+
+
 def _png(w=40, h=40):
     raw = b"".join(b"\x00" + bytes([(x * 7 + y) % 256 for x in range(w * 3)]) for y in range(h))
 
@@ -135,8 +140,11 @@ def test_stream_equals_batch(spark, tmpdir_path):
 
 def test_grid_search_and_train_folds(spark):
     feats = view(spark, SF_SMALL, "features").withColumn("group", (F.col("row_id") % 12).cast("string"))
-    oof = tuning.train_folds(feats, n_folds=3, max_iter=5)
+    mdir = os.path.join(tempfile_dir(), "models")
+    oof = tuning.train_folds(feats, n_folds=3, max_iter=5, model_dir=mdir)
     assert oof.count() == feats.count()
+    from pyspark.ml.classification import LogisticRegressionModel
+    assert LogisticRegressionModel.load(os.path.join(mdir, "fold=0")).numClasses == 10
     trials = tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.5), max_iter=(5,), n_folds=3)
     assert trials.count() == 2
     assert tuning.top_trials(trials, 1).count() == 1
