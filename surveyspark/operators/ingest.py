@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.spatial import coarse_group
-from ..functions.text import first_media_identifier, raw_url_extension, region_fallback, url_extension
+from ..functions.text import first_media_identifier, raw_url_extension, region_fallback
 from .joins import left_join_spread_nulls
 
 

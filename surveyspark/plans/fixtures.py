@@ -8,7 +8,7 @@ prefixes the same texts as CTEs, so both sides read identical inputs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import text
 from ..functions.spatial import coarse_group
-from ..operators import decisions, ingest, riskmap
+from ..operators import ingest, riskmap
 from .fixtures import oracle, view
 from .registry import query
 
