@@ -9,7 +9,9 @@ splits hot groups when it is not).
 Serpentine deal: groups are ranked inside their dominant label by size
 (descending, then name), shifted by the label's rank, and snaked over the
 folds 0,1,..,F-1,F-1,..,1,0,... A group is in exactly one fold, every label's
-largest groups spread over different folds, and fold sizes even out.
+largest groups spread over different folds, and fold sizes even out. The rank
+is a distributed row number (:func:`distributed_rank`), so a label that
+dominates most groups is still ranked by many tasks.
 """
 
 from __future__ import annotations
@@ -25,6 +27,28 @@ def group_label_hist(df: DataFrame, group_col="group", label_col="label") -> Dat
     return df.groupBy(group_col, label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def distributed_rank(df: DataFrame, part: str, order: list, out: str = "rn") -> DataFrame:
+    """0-based ``row_number()`` within ``part`` by ``order`` without funnelling a
+    partition value into one task.
+
+    Rows are range-partitioned on ``(part, order...)`` so every task holds a
+    contiguous slice of the global order; each task ranks its own slice, and a
+    small offset table (one row per task and ``part`` value) shifts the local
+    ranks. ``order`` must make the order total (end with a unique column).
+    """
+    keys = [F.col(part)] + order
+    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_pid", part).orderBy(*order)) - 1)
+    sizes = local.groupBy("_pid", part).agg(F.count(F.lit(1)).alias("_cnt"))
+    # at most (#tasks x #part values) rows: broadcast by construction
+    offsets = sizes.withColumn("_off", F.sum("_cnt").over(
+        Window.partitionBy(part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))) \
+        .select("_pid", part, F.coalesce("_off", F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), ["_pid", part])
+                 .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
+
+
 def group_positions(hist: DataFrame, group_col="group", label_col="label") -> DataFrame:
     """Per group: size, dominant label, and its position in the deal order."""
     gs = hist.groupBy(group_col).agg(
@@ -33,9 +57,9 @@ def group_positions(hist: DataFrame, group_col="group", label_col="label") -> Da
     # one row per label: bounded by the class count
     dom_rank = (gs.select("dom").distinct()
                   .withColumn("dom_rank", F.dense_rank().over(Window.orderBy("dom")) - 1))
-    w = Window.partitionBy("dom").orderBy(F.col("size").desc(), F.col(group_col).asc())
-    return (gs.join(F.broadcast(dom_rank), "dom")
-              .withColumn("pos", F.row_number().over(w) - 1 + F.col("dom_rank")))
+    ranked = distributed_rank(gs, "dom", [F.col("size").desc(), F.col(group_col).asc()], "_rn")
+    return (ranked.join(F.broadcast(dom_rank), "dom")
+                  .withColumn("pos", F.col("_rn") + F.col("dom_rank")).drop("_rn"))
 
 
 def serpentine(pos, n_folds) -> F.Column:

@@ -58,3 +58,17 @@ def test_grid_cell_partition_independent(spark):
     a = {r.id: r.c for r in df.select("id", grid_cell(F.col("lat"), F.col("lon")).alias("c")).collect()}
     b = {r.id: r.c for r in df.repartition(13).select("id", grid_cell(F.col("lat"), F.col("lon")).alias("c")).collect()}
     assert a == b
+
+
+def test_distributed_rank_matches_window(spark):
+    from pyspark.sql import Window
+
+    from surveyspark.operators.folds import distributed_rank
+    rnd = random.Random(5)
+    rows = [(f"g{i}", rnd.choice(["A"] * 8 + ["B", "C"]), rnd.randint(1, 50)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "grp string, dom string, size long").repartition(9)
+    order = [F.col("size").desc(), F.col("grp").asc()]
+    got = {r.grp: r.rn for r in distributed_rank(df, "dom", order).collect()}
+    want = {r.grp: r.rn for r in df.withColumn(
+        "rn", F.row_number().over(Window.partitionBy("dom").orderBy(*order)) - 1).collect()}
+    assert got == want
