@@ -88,3 +88,23 @@ def grid_search(feats: DataFrame, n_classes: int, reg_params=(0.0, 0.1), elastic
             for i, (pm, m) in enumerate(zip(grid, model.avgMetrics))]
     return feats.sparkSession.createDataFrame(
         rows, "trial int, reg_param double, elastic_net double, max_iter int, macro_f1 double")
+
+
+def random_search(feats: DataFrame, n_classes: int, n_trials: int, space: dict | None = None,
+                  seed: int = config.SEED, n_folds: int = 3, features_col: str = "embedding",
+                  parallelism: int = 2) -> DataFrame:
+    """Seeded random search: ``n_trials`` draws (with replacement) from each parameter
+    list (``sampling.random_params``), each scored by grouped-CV macro-F1 in one
+    ``CrossValidator`` run. The draws are a short table read once on the driver."""
+    from .sampling import random_params
+    space = space or {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [10, 20]}
+    draws = random_params(feats.sparkSession, n_trials, space, seed).orderBy("trial").collect()
+    lr = LogisticRegression()
+    maps = [{getattr(lr, k): (int(d[k]) if k == "maxIter" else float(d[k])) for k in space} for d in draws]
+    data = _prepare(feats, n_folds, features_col).select("fold", "label", "features")
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=MacroF1Evaluator(n_classes),
+                        foldCol="fold", numFolds=n_folds, parallelism=parallelism)
+    model = cv.fit(data)
+    rows = [(int(d["trial"]), *[float(d[k]) for k in space], float(m)) for d, m in zip(draws, model.avgMetrics)]
+    schema = "trial int, " + ", ".join(f"{k} double" for k in space) + ", macro_f1 double"
+    return feats.sparkSession.createDataFrame(rows, schema)

@@ -199,3 +199,10 @@ def test_synthetic_file_names_unique_beyond_four_digits(spark):
     a = generate.synthetic_occurrences(spark, per_species=12_000, species=["Arundo donax"])
     assert a.select("filepath").distinct().count() == 12_000
     assert a.where(F.col("filepath").endswith("Arundo_donax_11999.jpg")).count() == 1
+
+
+def test_random_search(spark):
+    feats = view(spark, SF_SMALL, "features").withColumn("group", (F.col("row_id") % 12).cast("string"))
+    trials = tuning.random_search(feats, n_classes=10, n_trials=2, seed=3)
+    rows = trials.collect()
+    assert len(rows) == 2 and all(0.0 <= r.macro_f1 <= 1.0 for r in rows)
