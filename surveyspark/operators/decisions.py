@@ -2,8 +2,9 @@
 
 A decision is one ordered ``when`` chain per row (narrow). Invasive-species
 membership is a left join on the lower-cased name against the species
-dimension, which is small by nature (a species catalogue); AQE broadcasts it
-at run time. Reports are produced as ordered line rows
+dimension, which is small by nature (a species catalogue) and is broadcast
+after a size check: the key has few distinct values, so a shuffle join would
+send each class to a single task. Reports are produced as ordered line rows
 ``(section, row_ord, line_no, line)`` so a report over millions of decisions
 is still built by the executors; only the text sink sorts and concatenates.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.text import percent_text
+from .joins import checked_broadcast
 
 
 def species_dim(spark: SparkSession, pairs=None) -> DataFrame:
@@ -28,7 +30,9 @@ def species_lookup(df: DataFrame, species: DataFrame, name_col: str = "predicted
     dim = (species.select(F.lower(F.col("invasive")).alias("_key"),
                           F.col("native").alias("native_comparison"))
                   .groupBy("_key").agg(F.first("native_comparison").alias("native_comparison")))
-    j = df.join(dim, F.lower(F.col(name_col)) == F.col("_key"), "left")
+    # the join key (a class name) has few values: a shuffle join would put each
+    # class into one task, so the catalogue is broadcast after a size check
+    j = df.join(checked_broadcast(dim), F.lower(F.col(name_col)) == F.col("_key"), "left")
     return (j.withColumn("is_invasive", F.col("_key").isNotNull())
              .withColumn("priority", F.when(F.col("is_invasive"), F.lit("normal")))
              .withColumn("impacts", F.when(F.col("is_invasive"), F.lit("")))
@@ -127,16 +131,21 @@ def report_lines(decisions: DataFrame, row_ord: str = "row_id", conf_col: str =
     Sections: 0 header, 1 summary, 2 critical findings, 3 high findings,
     4 recommended actions. Empty sections are omitted; an empty input still
     gives a valid report (header, empty summary, actions block).
+
+    The decisions are read twice, whatever their size: one narrow pass emits
+    every per-decision line (``inline`` of a per-row array), and one
+    aggregation to at most (#levels x #actions) rows feeds every summary line.
     """
     R = config.REPORT_RULE
     d = decisions.select(F.col(row_ord).cast("bigint").alias("ord"), "species",
                          F.col(conf_col).alias("conf"), "risk_level", "recommended_action",
                          "reasoning", "follow_up_actions")
     spark = decisions.sparkSession
+    out_cols = ["section", "row_ord", "line_no", "line"]
 
     def line(section, ordc, no, text):
-        return F.struct(F.lit(section).alias("section"), ordc.alias("row_ord"),
-                        F.lit(no).alias("line_no"), text.alias("line"))
+        return F.struct(F.lit(section).cast("int").alias("section"), ordc.cast("bigint").alias("row_ord"),
+                        F.lit(no).cast("int").alias("line_no"), text.alias("line"))
 
     head = spark.createDataFrame(
         [(0, -1, 0, R), (0, -1, 1, config.REPORT_TITLE), (0, -1, 2, R), (1, -1, 0, "\nSUMMARY:"),
@@ -144,42 +153,46 @@ def report_lines(decisions: DataFrame, row_ord: str = "row_id", conf_col: str =
          (4, 1 << 40, 0, "\n" + R)],
         "section int, row_ord bigint, line_no int, line string")
 
-    levels = (d.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit(1).alias("section"), _rank_of(F.col("risk_level"), config.RISK_LEVELS).alias("row_ord"),
-                       F.lit(0).alias("line_no"),
-                       F.format_string("  %s: %d", F.col("risk_level"), F.col("n")).alias("line")))
-
-    urgent = d.where(F.col("risk_level").isin("CRITICAL", "HIGH"))
-    section_heads = (urgent.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
+    # pass 1: per-decision lines
+    o = F.col("ord")
+    title = F.concat(F.lit("\n  "), F.col("species"), F.lit(" ("), percent_text(F.col("conf"), 1), F.lit(")"))
+    action = F.concat(F.lit("  Action: "), F.col("recommended_action"))
+    steps = F.transform("follow_up_actions", lambda a, i: F.struct(
+        F.lit(2).alias("section"), o.alias("row_ord"), (i + 4).cast("int").alias("line_no"),
+        F.concat(F.lit(f"    {config.REPORT_BULLET} "), a).alias("line")))
+    crit = F.concat(
+        F.array(line(2, o, 0, title), line(2, o, 1, action),
+                line(2, o, 2, F.concat(F.lit("  Reasoning: "), F.col("reasoning")))),
+        F.when(F.size("follow_up_actions") > 0, F.array(line(2, o, 3, F.lit("  Next steps:"))))
+         .otherwise(F.array().cast("array<struct<section:int,row_ord:bigint,line_no:int,line:string>>")),
+        steps)
+    high = F.array(line(3, o, 0, title), line(3, o, 1, action))
+    per_row = (d.where(F.col("risk_level").isin("CRITICAL", "HIGH"))
+                .select(F.inline(F.when(F.col("risk_level") == "CRITICAL", crit).otherwise(high))))
+
+    # pass 2: one small aggregation for the summary, section headers and action totals
+    counts = d.groupBy("risk_level", "recommended_action").agg(F.count(F.lit(1)).alias("n"))
+    urgent = F.col("risk_level").isin("CRITICAL", "HIGH")
+    levels = (counts.groupBy("risk_level").agg(F.sum("n").alias("n"))
+              .select(F.lit(1).alias("section"), _rank_of(F.col("risk_level"), config.RISK_LEVELS).alias("row_ord"),
+                      F.lit(0).alias("line_no"),
+                      F.format_string("  %s: %d", F.col("risk_level"), F.col("n")).alias("line")))
+    section_heads = (counts.where(urgent).select("risk_level").distinct()
                      .select(F.when(F.col("risk_level") == "CRITICAL", 2).otherwise(3).alias("section"),
-                             F.lit(-1).cast("bigint").alias("row_ord"), F.lit(0).alias("line_no"),
+                             F.lit(-1).alias("row_ord"), F.lit(0).alias("line_no"),
                              F.when(F.col("risk_level") == "CRITICAL", F.lit("\n" + config.REPORT_CRITICAL_HEADER))
                              .otherwise(F.lit("\n" + config.REPORT_HIGH_HEADER)).alias("line")))
-
-    title = F.concat(F.lit("\n  "), F.col("species"), F.lit(" ("), percent_text(F.col("conf"), 1), F.lit(")"))
-    action = F.concat(F.lit("  Action: "), F.col("recommended_action"))
-    crit = d.where(F.col("risk_level") == "CRITICAL")
-    crit_fixed = crit.select(F.inline(F.array(
-        line(2, F.col("ord"), 0, title), line(2, F.col("ord"), 1, action),
-        line(2, F.col("ord"), 2, F.concat(F.lit("  Reasoning: "), F.col("reasoning"))),
-        line(2, F.col("ord"), 3, F.when(F.size("follow_up_actions") > 0, F.lit("  Next steps:"))))))
-    crit_steps = crit.select(F.lit(2).alias("section"), F.col("ord").alias("row_ord"),
-                             F.posexplode("follow_up_actions").alias("pos", "a")).select(
-        "section", "row_ord", (F.col("pos") + 4).cast("int").alias("line_no"),
-        F.concat(F.lit(f"    {config.REPORT_BULLET} "), F.col("a")).alias("line"))
-    high = d.where(F.col("risk_level") == "HIGH").select(F.inline(F.array(
-        line(3, F.col("ord"), 0, title), line(3, F.col("ord"), 1, action))))
-    actions = (urgent.groupBy("recommended_action").agg(F.count(F.lit(1)).alias("n"))
+    actions = (counts.where(urgent).groupBy("recommended_action").agg(F.sum("n").alias("n"))
                .select(F.lit(4).alias("section"), _rank_of(F.col("recommended_action"), config.ACTIONS).alias("row_ord"),
                        F.lit(3).alias("line_no"),
                        F.format_string(f"  {config.REPORT_BULLET} %s: %d locations",
                                        F.col("recommended_action"), F.col("n")).alias("line")))
-    parts = [head, levels, section_heads, crit_fixed.where(F.col("line").isNotNull()), crit_steps, high, actions]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p.select("section", F.col("row_ord").cast("bigint").alias("row_ord"),
+    out = head
+    for p in [levels, section_heads, per_row, actions]:
+        out = out.unionByName(p.select(F.col("section").cast("int").alias("section"),
+                                       F.col("row_ord").cast("bigint").alias("row_ord"),
                                        F.col("line_no").cast("int").alias("line_no"), "line"))
-    return out
+    return out.select(*out_cols)
 
 
 def report_text(lines: DataFrame) -> str:

@@ -58,7 +58,7 @@ def hierarchical_group(df: DataFrame, macro_map: DataFrame, grid_col="grid_cell"
     cols = df.columns
     j = (df.join(gc, on=grid_col, how="left")
            .join(dc, on=district_col, how="left")
-           .join(mm, F.col(district_col) == F.col("_mm_district"), "left"))
+           .join(checked_broadcast(mm), F.col(district_col) == F.col("_mm_district"), "left"))
     grp = (F.when(F.coalesce(F.col("_grid_n"), F.lit(0)) >= min_grid,
                   F.concat(F.lit("grid:"), F.col(grid_col)))
             .when(F.coalesce(F.col("_district_n"), F.lit(0)) >= min_district,

@@ -135,7 +135,8 @@ def latest_results(spark: SparkSession, path_glob: str, schema=None) -> DataFram
     df = reader.csv(path_glob).withColumn("_file", F.col("_metadata.file_path")) \
         .withColumn("_mtime", F.col("_metadata.file_modification_time"))
     newest = df.agg(F.max_by("_file", "_mtime").alias("_file"))
-    return df.join(newest, "_file", "left_semi").drop("_file", "_mtime")
+    # newest is a global aggregate: exactly one row
+    return df.join(F.broadcast(newest), "_file", "left_semi").drop("_file", "_mtime")
 
 
 def write_predictions(df: DataFrame, path: str, model: str, fold: int) -> None:
