@@ -72,3 +72,16 @@ def test_distributed_rank_matches_window(spark):
     want = {r.grp: r.rn for r in df.withColumn(
         "rn", F.row_number().over(Window.partitionBy("dom").orderBy(*order)) - 1).collect()}
     assert got == want
+
+
+def test_checked_broadcast_falls_back_above_bound(spark):
+    from surveyspark.operators.joins import checked_broadcast, left_join_spread_nulls
+    big = spark.createDataFrame([(i, i % 7 if i % 3 else None) for i in range(3000)], "id long, k long")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(5)], "k long, v string")
+    a = {tuple(r) for r in big.join(checked_broadcast(small, max_rows=100), "k", "left").collect()}
+    b = {tuple(r) for r in big.join(checked_broadcast(small, max_rows=1), "k", "left").collect()}
+    assert a == b
+    plan = big.join(checked_broadcast(small, max_rows=1), "k", "left")._jdf.queryExecution().executedPlan()
+    assert "BroadcastHashJoin" not in plan.toString() or "AdaptiveSparkPlan" in plan.toString()
+    c = {(r.id, r.k, r.v) for r in left_join_spread_nulls(big, small, "k").collect()}
+    assert c == {(r[1], r[0], r[2]) for r in a}
