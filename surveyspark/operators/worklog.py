@@ -42,7 +42,13 @@ def retry_schedule(log: DataFrame, initial: float = config.RETRY_INITIAL, factor
     delay = F.least(F.lit(initial) * F.pow(F.lit(factor), F.col("n_failures") - 1), F.lit(max_delay))
     return (fails.where(F.col("n_failures") < max_attempts)
                  .select("url", "n_failures", delay.alias("delay_s"),
-                         (F.unix_micros(F.col("last_ts").cast("timestamp")) / 1e6 + delay).alias("next_attempt_epoch")))
+                         (_epoch_seconds(F.col("last_ts")) + delay).alias("next_attempt_epoch")))
+
+
+def _epoch_seconds(ts) -> F.Column:
+    """Seconds since 1970-01-01 of a wall-clock (time-zone-free) timestamp, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz")) / 1e6
 
 
 def pending_items(work: DataFrame, log: DataFrame) -> DataFrame:
