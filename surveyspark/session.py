@@ -77,3 +77,32 @@ def materialize(df, name: str):
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 executor_memory_gb: float = 16.0, target_partition_mb: int = 256) -> dict:
+    """Partition sizing for a cluster run (pass to ``get_spark(extra=...)`` or spark-submit).
+
+    * scan splits of ``target_partition_mb`` (``spark.sql.files.maxPartitionBytes``);
+    * initial shuffle partitions = max(3 x total cores, input / target), so no
+      post-shuffle partition starts much above the target even before AQE;
+      AQE then coalesces small ones toward the same advisory size;
+    * skew split: a partition 5x the median and above 4 x target is split;
+    * the broadcast limit AQE uses at run time stays far below a task's memory
+      share (executor memory / cores).
+    """
+    total_cores = max(1, executors * cores_per_executor)
+    target = target_partition_mb * 1024 * 1024
+    shuffle = max(3 * total_cores, -(-int(input_bytes) // target))
+    per_task = executor_memory_gb * 1024 ** 3 / max(1, cores_per_executor)
+    broadcast = int(min(256 * 1024 ** 2, per_task / 8))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
+    }

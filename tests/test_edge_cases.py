@@ -69,3 +69,12 @@ def test_decisions_with_null_class_are_native_or_medium(spark):
                                "row_id long, predicted_class string, confidence double, abstain boolean")
     out = {r.row_id: r.risk_level for r in decisions.decide(df, decisions.species_dim(spark)).collect()}
     assert out == {1: "MEDIUM", 2: "NATIVE"}
+
+
+def test_cluster_conf_sizing():
+    from surveyspark.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)  # 409600
+    assert int(c["spark.sql.adaptive.autoBroadcastJoinThreshold"]) <= 256 * 1024 ** 2
+    small = cluster_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
