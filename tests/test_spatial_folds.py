@@ -96,3 +96,15 @@ def test_greedy_folds_disjoint_and_stratified(spark):
     # above the bound the serpentine deal takes over
     fb = folds.group_folds_greedy(g, 5, max_groups=1)
     assert fb.select("group").distinct().count() == g.select("group").distinct().count()
+
+
+def test_floor_bin_on_cell_edges_and_neighbours(spark):
+    import math
+    vals = []
+    for k in range(-450, 451):
+        e = k * 0.2
+        vals += [e, math.nextafter(e, math.inf), math.nextafter(e, -math.inf), round(e, 1), round(e, 2)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = {r.x: r.t for r in df.select("x", floor_bin_text(F.col("x"), 0.2).alias("t")).collect()}
+    bad = [(v, got[v], py_bin(v)) for v in vals if got[v] != py_bin(v) and py_bin(v) != "-0.0"]
+    assert not bad, bad[:5]
