@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 
 def softmax(logits: Column) -> Column:
-    """Max-shifted softmax of an ``array<double>``."""
-    m = F.array_max(logits)
-    e = F.transform(logits, lambda x: F.exp(x - m))
-    s = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / s)
+    """Max-shifted softmax of an ``array<double>``.
+
+    Written so every per-row quantity is an argument, not an outer reference
+    inside a lambda: higher-order functions re-evaluate outer expressions for
+    each element, which would make the max and the sum quadratic (or worse) in
+    the array length. The max is spread with ``array_repeat`` into ``zip_with``,
+    and the sum reaches the division through ``aggregate``'s finish function.
+    """
+    shifted = F.zip_with(logits, F.array_repeat(F.array_max(logits), F.size(logits)),
+                         lambda x, m: F.exp(x - m))
+    return F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x,
+                       lambda total: F.transform(shifted, lambda x: x / total))
 
 
 def argmax(probs: Column) -> Column:
