@@ -1,9 +1,11 @@
 """Manifest audit: frequencies, duplicates, coverage, balance and issue rules.
 
-The whole report comes from one scan: a single ``GROUPING SETS`` aggregation
-counts rows per label, source, group, file path, (source, gbif_id),
-coordinate presence and file presence at once (partial aggregation on the
-map side), and one more aggregation folds those counts into the report row.
+The report comes from three narrow passes: one ``GROUPING SETS`` aggregation
+counts rows per label, source, group, coordinate presence and file presence
+(reduced map-side to a few rows per task), and two key-only aggregations count
+duplicate file paths and (source, gbif_id) keys; one more aggregation folds all
+of it into the report row. (Putting the near-unique keys into the grouping
+sets would copy every wide row once per set before the shuffle.)
 Only bounded things are collected into arrays: per-class and per-source
 counts and the ten largest groups (picked with a distributed top-k).
 """
@@ -128,6 +130,7 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         (F.col("gbif_id") if "gbif_id" in df.columns else F.lit(None).cast("bigint")).alias("gbif_id"),
         ((F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
          if {"latitude", "longitude"} <= set(df.columns) else F.lit(False)).alias("has_coords"))
+    core = base
     if listing is not None:
         present = listing.select(F.col("path").alias("filepath")).distinct().withColumn("_present", F.lit(True))
         base = base.join(present, "filepath", "left").withColumn("exists", F.coalesce("_present", F.lit(False)))
@@ -137,22 +140,31 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
     else:
         base = base.withColumn("exists", F.lit(True))
 
-    sets = [["label"], ["source"], ["group"], ["filepath"], ["source", "gbif_id"], ["has_coords"], ["exists"]]
-    gcols = ["label", "source", "group", "filepath", "gbif_id", "has_coords", "exists"]
-    stats = (base.groupingSets(sets, *gcols)
+    # low-cardinality keys: one grouping-sets pass, reduced map-side to a few rows per task
+    gcols = ["label", "source", "group", "has_coords", "exists"]
+    sets = [[c] for c in gcols]
+    stats = (base.select(*gcols).groupingSets(sets, *gcols)
              .agg(F.count(F.lit(1)).alias("n"), F.grouping_id(*gcols).alias("gid")))
-
-    def gid_of(members):
-        return sum(1 << (len(gcols) - 1 - i) for i, c in enumerate(gcols) if c not in members)
-
-    G = {k: gid_of(s) for k, s in zip(["label", "source", "group", "filepath", "key", "coords", "exists"], sets)}
+    G = {c: sum(1 << (len(gcols) - 1 - i) for i, o in enumerate(gcols) if o != c) for c in gcols}
+    G.update({"coords": G["has_coords"], "filepath": -2, "key": -3})
     is_ = lambda k: F.col("gid") == G[k]
 
+    # near-unique keys: narrow key-only aggregations (no wide rows copied per grouping set)
+    dup_fp = (core.groupBy("filepath").agg(F.count(F.lit(1)).alias("c"))
+                  .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n"))
+                  .select(F.lit(G["filepath"]).alias("gid"), "n"))
+    dup_key = (core.where(F.col("source").isNotNull() & F.col("gbif_id").isNotNull())
+                   .groupBy("source", "gbif_id").agg(F.count(F.lit(1)).alias("c"))
+                   .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n"))
+                   .select(F.lit(G["key"]).alias("gid"), "n"))
+
     top = (stats.where(is_("group"))
                 .orderBy(F.col("n").desc(), F.col("group").asc_nulls_first()).limit(10)
                 .select(F.lit(-1).alias("gid"), "group", "n"))
-    parts = stats.select("gid", "label", "source", "group", "gbif_id", "has_coords", "exists", "n") \
-        .unionByName(top, allowMissingColumns=True)
+    parts = (stats.select("gid", "label", "source", "group", "has_coords", "exists", "n")
+             .unionByName(top, allowMissingColumns=True)
+             .unionByName(dup_fp, allowMissingColumns=True)
+             .unionByName(dup_key, allowMissingColumns=True))
 
     def kv(k, c):
         return F.when(is_(k), F.struct(F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("key"),
@@ -164,9 +176,8 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         F.count(F.when(is_("source") & F.col("source").isNotNull(), 1)).alias("n_sources"),
         F.count(F.when(is_("group") & F.col("group").isNotNull(), 1)).alias("n_groups"),
         F.coalesce(F.sum(F.when(is_("exists") & ~F.col("exists"), F.col("n"))), F.lit(0)).alias("missing_files"),
-        F.coalesce(F.sum(F.when(is_("filepath"), F.col("n") - 1)), F.lit(0)).alias("duplicate_filepaths"),
-        F.coalesce(F.sum(F.when(is_("key") & F.col("source").isNotNull() & F.col("gbif_id").isNotNull(),
-                                F.col("n") - 1)), F.lit(0)).alias("duplicate_source_gbif"),
+        F.coalesce(F.sum(F.when(is_("filepath"), F.col("n"))), F.lit(0)).alias("duplicate_filepaths"),
+        F.coalesce(F.sum(F.when(is_("key"), F.col("n"))), F.lit(0)).alias("duplicate_source_gbif"),
         F.coalesce(F.sum(F.when(is_("coords") & F.col("has_coords"), F.col("n"))), F.lit(0)).alias("rows_with_coordinates"),
         F.coalesce(F.sum(F.when(is_("coords") & ~F.col("has_coords"), F.col("n"))), F.lit(0)).alias("rows_without_coordinates"),
         F.coalesce(F.max(F.when(is_("group"), F.col("n"))), F.lit(0)).alias("_largest_group"),
