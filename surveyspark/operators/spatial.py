@@ -32,18 +32,24 @@ def assign_grid_cell(df: DataFrame, lat="latitude", lon="longitude",
     return df.withColumn(out, grid_cell(F.col(lat), F.col(lon), size))
 
 
-def _level_counts(df: DataFrame, grid_col: str, district_col: str) -> tuple[DataFrame, DataFrame]:
-    """Grid-cell and district sizes from ONE narrow pass (grouping sets over the two
-    key columns only, combined map-side). Null keys are not counted (a null region
-    has size 0 and falls through to the macro level)."""
-    both = checked_broadcast(
-        df.select(grid_col, district_col)
-          .groupingSets([[grid_col], [district_col]], grid_col, district_col)
-          .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id(grid_col, district_col).alias("_gid")))
-    gc = both.where((F.col("_gid") == 1) & F.col(grid_col).isNotNull()) \
-             .select(grid_col, F.col("_n").alias("_grid_n"))
-    dc = both.where((F.col("_gid") == 2) & F.col(district_col).isNotNull()) \
-             .select(district_col, F.col("_n").alias("_district_n"))
+def _level_counts(df: DataFrame, macro_map: DataFrame, grid_col: str, district_col: str):
+    """Grid-cell sizes and district sizes (with each district's macro-region) from ONE
+    narrow pass: grouping sets over the two key columns only, combined map-side.
+    The macro map is joined to the district counts (small to small), so the rows
+    need a single size-checked broadcast table. Null keys are not counted (a null
+    region has size 0 and falls through to the macro level)."""
+    both = (df.select(grid_col, district_col)
+              .groupingSets([[grid_col], [district_col]], grid_col, district_col)
+              .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id(grid_col, district_col).alias("_gid")))
+    mm = (macro_map.select(F.col("district").alias("_mm_district"), F.col("macro").alias("_mm_macro"))
+          .dropDuplicates(["_mm_district"]))
+    levels = checked_broadcast(
+        both.join(mm, (F.col("_gid") == 2) & (F.col(district_col) == F.col("_mm_district")), "left")
+            .drop("_mm_district"))
+    gc = levels.where((F.col("_gid") == 1) & F.col(grid_col).isNotNull()) \
+               .select(grid_col, F.col("_n").alias("_grid_n"))
+    dc = levels.where((F.col("_gid") == 2) & F.col(district_col).isNotNull()) \
+               .select(district_col, F.col("_n").alias("_district_n"), "_mm_macro")
     return gc, dc
 
 
@@ -52,13 +58,9 @@ def hierarchical_group(df: DataFrame, macro_map: DataFrame, grid_col="grid_cell"
                        min_district: int = config.MIN_DISTRICT_SIZE, out="group") -> DataFrame:
     """Grid cell if it has >= min_grid rows, else district if it has >= min_district
     rows, else the district's macro-region (``Other`` when unmapped)."""
-    gc, dc = _level_counts(df, grid_col, district_col)
-    mm = (macro_map.select(F.col("district").alias("_mm_district"), F.col("macro").alias("_mm_macro"))
-          .dropDuplicates(["_mm_district"]))
+    gc, dc = _level_counts(df, macro_map, grid_col, district_col)
     cols = df.columns
-    j = (df.join(gc, on=grid_col, how="left")
-           .join(dc, on=district_col, how="left")
-           .join(checked_broadcast(mm), F.col(district_col) == F.col("_mm_district"), "left"))
+    j = df.join(gc, on=grid_col, how="left").join(dc, on=district_col, how="left")
     grp = (F.when(F.coalesce(F.col("_grid_n"), F.lit(0)) >= min_grid,
                   F.concat(F.lit("grid:"), F.col(grid_col)))
             .when(F.coalesce(F.col("_district_n"), F.lit(0)) >= min_district,
