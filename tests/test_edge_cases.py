@@ -78,3 +78,13 @@ def test_cluster_conf_sizing():
     assert int(c["spark.sql.adaptive.autoBroadcastJoinThreshold"]) <= 256 * 1024 ** 2
     small = cluster_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_materialize_uses_session_checkpoint_dir(spark):
+    from surveyspark.session import checkpoint_dir, materialize
+    base = checkpoint_dir(spark)
+    assert base == spark.conf.get("spark.checkpoint.dir")
+    out = materialize(view(spark, SF_SMALL, "occ"), "t")
+    files = out.inputFiles()
+    assert files and all(base.rstrip("/") in f for f in files)
+    assert out.count() == view(spark, SF_SMALL, "occ").count()
