@@ -4,8 +4,8 @@ Two documents link when the Jaccard similarity of their sets of word shingles
 is at least ``num / den``. The product runs over the columns (shingles) that a
 linked pair must share:
 
-* Documents with equal sets are one row of the matrix (a class), kept under the
-  least id.
+* Documents with equal sets are one row of the matrix (a class), named by a
+  64-bit key of the set.
 * All rows order their shingles alike: shingles that are frequent in the corpus
   last, by frequency, the others by hash. A linked pair shares a shingle among
   the first ``n - ceil(t n) + 1`` of each row, so only these are incidences.
@@ -33,56 +33,60 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Shared, source
+from .tables import Shared, id_filter, in_filter, source
 from .text import Words, chunks, mix
 
 #: A shingle counts as frequent from this share (one in so many) of the documents.
 FREQUENT_SHARE = 2000
 FREQUENT_LEAST = 20
 
-_KEYS = "id long, n int, key_a long, key_b long"
+_KEYS = "id long, n int, row long, h array<long>, c array<long>"
 
 
-def _keys(k: int):
-    def run(batches):
-        for b in batches:
-            for i, j, data, offs in chunks(b.column(1)):
-                sets = Words(data, offs).sets(k)
-                n = np.array([len(s) for s in sets], np.int32)
-                sums = [np.array([f(s).sum(dtype=np.uint64) for s in sets], np.uint64) for f in (mix, lambda s: mix(s + np.uint64(77)))]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(n), *(pa.array(x.view(np.int64)) for x in sums)], ["id", "n", "key_a", "key_b"])
-    return run
+def _row_key(s: np.ndarray) -> np.uint64:
+    """The key of a set: sums of two hashes of its members, mixed with its size."""
+    both = np.array([mix(s).sum(dtype=np.uint64), mix(s + np.uint64(77)).sum(dtype=np.uint64)], np.uint64)
+    both = mix(both * np.array([3, 5], np.uint64) + np.uint64(len(s)))
+    return mix(both[:1] + both[1:] * np.uint64(7))[0]
 
 
-def _counts(k: int):
-    """Shingles seen at least twice in a run of documents, with their counts there."""
+def _keys(k: int):
+    """Set size and key of each text; the first row of a run also has the shingles seen twice or more in the run."""
     def run(batches):
         for b in batches:
-            for _, _, data, offs in chunks(b.column(1), 8 << 20):
+            for i, j, data, offs in chunks(b.column(1), 4 << 20):
                 sets = Words(data, offs).sets(k)
-                if sets:
-                    h, n = np.unique(np.concatenate(sets), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(h[n > 1].view(np.int64)), pa.array(n[n > 1].astype(np.int64))], ["h", "n"])
+                h, c = np.unique(np.concatenate(sets), return_counts=True)
+                h, c = h[c > 1].view(np.int64), c[c > 1].astype(np.int64)
+                at = np.full(j - i + 1, len(h), np.int32)
+                at[0] = 0
+                keys = np.array([_row_key(s) for s in sets], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.array([len(s) for s in sets], np.int32)), pa.array(keys.view(np.int64)),
+                     *(pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (h, c))], ["id", "n", "row", "h", "c"])
     return run
 
 
-def _prefix(k: int, num: int, den: int, frequent):
-    """The incidences of the first n - ceil(t n) + 1 shingles of each row."""
+def _incidence(k: int, num: int, den: int, frequent):
+    """(h, row, at, hot): the first n - ceil(t n) + 1 shingles of each row; ``at`` holds n and the place."""
     hot_h, hot_n = frequent.value
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
-            for i, j, data, offs in chunks(b.column(1)):
+            for _, _, data, offs in chunks(b.column(1)):
                 sets = Words(data, offs).sets(k)
                 lens = np.array([len(s) for s in sets], np.int64)
                 if not lens.sum():
                     continue
+                keys = np.array([_row_key(s) for s in sets], np.uint64).view(np.int64)
+                _, first = np.unique(keys, return_index=True)  # copies in a run count once
+                once = np.zeros(len(keys), bool)
+                once[first] = True
                 h = np.concatenate(sets)
                 doc = np.repeat(np.arange(len(sets)), lens)
                 rank = np.zeros(len(h), np.int64)
@@ -91,18 +95,19 @@ def _prefix(k: int, num: int, den: int, frequent):
                     rank = np.where(hot_h[at] == h, hot_n[at], 0)
                 order = np.lexsort((h, rank, doc))
                 pos = np.arange(len(h)) - np.repeat(np.cumsum(lens) - lens, lens)
-                take = pos < np.repeat(lens - (lens * num + den - 1) // den + 1, lens)
+                take = (pos < np.repeat(lens - (lens * num + den - 1) // den + 1, lens)) & once[doc]
                 o, pos = order[take], pos[take]
-                n = lens[doc[o]].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[o].view(np.int64)), pa.array(ids[i:j][doc[o]]), pa.array(n), pa.array(pos.astype(np.int32)), pa.array(rank[o] > 0)],
-                    ["h", "id", "n", "pos", "hot"])
+                    [pa.array(h[o].view(np.int64)), pa.array(keys[doc[o]]), pa.array((lens[doc[o]] << 32) | pos), pa.array(rank[o] > 0)], ["h", "row", "at", "hot"])
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, bits):
     def run(batches):
         for b in batches:
+            ids = b.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            keep = in_filter(bits.value, ids)
+            b = b.filter(pa.array(keep))
             for i, j, data, offs in chunks(b.column(1)):
                 sets = Words(data, offs).sets(k)
                 off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -111,19 +116,18 @@ def _sets(k: int):
     return run
 
 
-def _fits(num: int, den: int, a: str = "a", b: str = "b"):
-    """Bounds of a pair from its sizes and places: the smaller set must reach t x the larger, and what
-    follows the shared column in both rows must reach the overlap t / (1 + t) x (|a| + |b|)."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    left = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    before = F.least(F.col(f"{a}.pos"), F.col(f"{b}.pos"))
-    return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & ((left + before) * (num + den) >= (na + nb) * num)
+def _fits(num: int, den: int, a: Column, b: Column) -> Column:
+    """Bounds of a pair from its sizes and places: the smaller set must reach t x the larger, and what can
+    still be shared from the common column on, with all before it, the overlap t / (1 + t) x (|a| + |b|)."""
+    na, nb, pa_, pb = F.shiftright(a, 32), F.shiftright(b, 32), a.bitwiseAND(F.lit(0xFFFFFFFF)), b.bitwiseAND(F.lit(0xFFFFFFFF))
+    most = F.least(na - pa_, nb - pb) + F.least(pa_, pb)
+    return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (most * (num + den) >= (na + nb) * num)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (u, v) whose sets overlap enough, counted exactly."""
-    a = sets.select(F.col("id").alias("u"), F.col("set").alias("su"))
-    b = sets.select(F.col("id").alias("v"), F.col("set").alias("sv"))
+    a = sets.select(F.col("row").alias("u"), F.col("set").alias("su"))
+    b = sets.select(F.col("row").alias("v"), F.col("set").alias("sv"))
     both = pairs.join(b, "v").join(a, "u").withColumn("o", F.size(F.array_intersect("su", "sv")))
     return both.where(F.col("o") * (num + den) >= (F.size("su") + F.size("sv")) * num).select("u", "v")
 
@@ -134,59 +138,54 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     shared = Shared(spark, "ngram-join")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     keyed = shared.put(src.mapInArrow(_keys(k), _KEYS), "keys")
-    if keyed.groupBy("id").count().where("count > 1").limit(1).count():
+    n_docs, repeats = keyed.groupBy("id").agg(F.count("*").alias("c")).agg(F.count("*"), F.count_if(F.col("c") > 1)).first()
+    if repeats:
         src = src.groupBy("id").agg(F.min("text").alias("text"))
         keyed = shared.put(src.mapInArrow(_keys(k), _KEYS), "keys")
-    keys = keyed
-    rows = shared.put(keys.where("n > 0").groupBy("n", "key_a", "key_b").agg(F.min("id").alias("row")), "rows")
-    n_docs = keys.count()
+    rows = shared.put(keyed.where("n > 0").groupBy("row").agg(F.min("id").alias("id")), "rows")
 
     least = max(FREQUENT_LEAST, n_docs // FREQUENT_SHARE)
-    hot = src.mapInArrow(_counts(k), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    hot_h = hot["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot_h)
-    frequent = spark.sparkContext.broadcast((hot_h[order], hot["n"].to_numpy(np.int64)[order]))
-
-    text = src.join(rows.select(F.col("row").alias("id")), "id")
-    text = shared.put(text, "text")
-    shape = "h long, id long, n int, pos int, hot boolean"
-    inc = shared.put(text.mapInArrow(_prefix(k, num, den, frequent), shape), "incidence")
-    return _join(keys, rows, text, inc, shared, k, num, den, id_col)
-
-
-def _join(keys, rows, text, inc, shared, k, num, den, id_col):
-    # columns with more than one row; the frequent ones are few (bounded as above) and are counted map-side
-    head = F.min(F.struct("id", "n", "pos")).alias("b")
-    cold = inc.where("not hot").groupBy("h").agg(head, F.count("*").alias("c")).where("c > 1")
-    warm = inc.where("hot").groupBy("h").agg(head, F.count("*").alias("c")).where("c > 1")
-    heads = shared.put(cold.union(warm), "heads")
-    block = shared.put(inc.alias("a").join(heads, "h").select("h", "id", "n", "pos", "b"), "block")
+    hot = keyed.select(F.explode(F.arrays_zip("h", "c")).alias("x")).groupBy(F.col("x.h").alias("h")).agg(F.sum("x.c").alias("n")).where(F.col("n") >= least)
+    hot = hot.toPandas()
+    order = np.argsort(hot["h"].to_numpy(np.int64).view(np.uint64))
+    frequent = spark.sparkContext.broadcast((hot["h"].to_numpy(np.int64).view(np.uint64)[order], hot["n"].to_numpy(np.int64)[order]))
+    inc = shared.put(src.mapInArrow(_incidence(k, num, den, frequent), "h long, row long, at long, hot boolean"), "incidence")
+
+    # the first row of each column with more than one: frequent columns are few (bounded above) and are counted
+    # before the shuffle; the others are short, so that a column can be in one task
+    col = W.partitionBy("h")
+    entry = F.struct("row", "at")
+    cold = inc.where("not hot").select("h", "row", "at", F.min(entry).over(col).alias("b"), F.max("row").over(col).alias("last")).where("b.row < last").drop("last")
+    heads = inc.where("hot").groupBy("h").agg(F.min(entry).alias("b"), F.max("row").alias("last")).where("b.row < last").drop("last")
+    block = shared.put(cold.union(inc.where("hot").join(F.broadcast(heads), "h").select("h", "row", "at", "b")), "block")
     shared.drop(inc)
-    first = block.alias("a").where(F.col("b.id") < F.col("a.id")).where(_fits(num, den))
-    first = shared.put(first.select(F.col("b.id").alias("u"), F.col("a.id").alias("v")).distinct(), "pairs")
+    first = block.where((F.col("b.row") < F.col("row")) & _fits(num, den, F.col("at"), F.col("b.at")))
+    first = shared.put(first.select(F.col("b.row").alias("u"), F.col("row").alias("v")).distinct(), "pairs")
 
-    ids = block.select("id").distinct()
-    sets = shared.put(text.join(ids, "id").mapInArrow(_sets(k), "id long, set array<long>"), "sets")
+    needed = shared.put(block.select("row").distinct().join(rows, "row"), "needed")
+    bits = spark.sparkContext.broadcast(id_filter(needed))
+    sets = src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set")
+    sets = shared.put(sets, "sets")
     links = shared.put(_linked(first, sets, num, den), "links")
     comp = shared.put(components(links, shared), "components")
 
     # second product: columns that still hold rows of different components
-    named = block.drop("b").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    named = shared.put(named, "named")
+    named = block.select("h", "row", "at").join(comp.withColumnRenamed("id", "row"), "row", "left")
+    named = shared.put(named.select("h", "row", "at", F.coalesce("component", "row").alias("comp")).distinct(), "named")
     per = named.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    mixed = shared.put(per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps")).where("comps > 1"), "mixed")
-    rest = named.join(mixed, "h")
-    small = shared.put(rest.where("comp <> large"), "small").alias("a")
-    all_ = shared.put(rest, "all").alias("b")
-    apart = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.large")) | (F.col("a.id") < F.col("b.id")))
-    pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den))
-    pairs = pairs.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")).distinct()
+    mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
+    rest = shared.put(named.join(mixed, "h"), "rest")
+    small, all_ = rest.where("comp <> large").alias("a"), rest.alias("b")
+    apart = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.large")) | (F.col("a.row") < F.col("b.row")))
+    pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den, F.col("a.at"), F.col("b.at")))
+    pairs = pairs.select(F.least("a.row", "b.row").alias("u"), F.greatest("a.row", "b.row").alias("v")).distinct()
     pairs = shared.put(pairs.join(first, ["u", "v"], "left_anti"), "pairs")
     more = shared.put(_linked(pairs, sets, num, den), "links")
     comp = shared.put(components(links.union(more), shared), "components")
 
-    of_row = rows.join(comp, rows.row == comp.id, "left").select("n", "key_a", "key_b", F.coalesce("component", "row").alias("component_id"))
-    out = keys.join(of_row, ["n", "key_a", "key_b"], "left")
+    named = rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row"))
+    ids = named.groupBy("comp").agg(F.min("id").alias("component_id"))
+    out = keyed.select("id", "n", "row").join(named.join(ids, "comp").select("row", "component_id"), "row", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
