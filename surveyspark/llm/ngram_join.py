@@ -124,6 +124,16 @@ def _fits(num: int, den: int, a: Column, b: Column) -> Column:
     return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (most * (num + den) >= (na + nb) * num)
 
 
+def _may_link(pairs: DataFrame, block: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (u, v) whose overlap, added up over the blocks, with all that follows the first part of a row,
+    can reach the overlap that their sizes ask for."""
+    a = block.select(F.col("row").alias("u"), "h", F.shiftright("at", 32).alias("nu"))
+    b = block.select(F.col("row").alias("v"), "h", F.shiftright("at", 32).alias("nv"))
+    shared = pairs.join(a, "u").join(b, ["v", "h"]).groupBy("u", "v").agg(F.count("*").alias("o"), F.max("nu").alias("nu"), F.max("nv").alias("nv"))
+    after = F.expr(f"cast(ceil(greatest(nu, nv) * {num} / {den}) as long)") - 1
+    return shared.where((F.col("o") + after) * (num + den) >= (F.col("nu") + F.col("nv")) * num).select("u", "v")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (u, v) whose sets overlap enough, counted exactly."""
     a = sets.select(F.col("row").alias("u"), F.col("set").alias("su"))
@@ -151,27 +161,31 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     frequent = spark.sparkContext.broadcast((hot["h"].to_numpy(np.int64).view(np.uint64)[order], hot["n"].to_numpy(np.int64)[order]))
     inc = shared.put(src.mapInArrow(_incidence(k, num, den, frequent), "h long, row long, at long, hot boolean"), "incidence")
 
+    def verified(pairs: DataFrame, block: DataFrame) -> DataFrame:
+        likely = shared.put(_may_link(pairs, block, num, den), "likely")
+        needed = likely.select(F.col("u").alias("row")).union(likely.select(F.col("v").alias("row"))).distinct().join(rows, "row")
+        needed = shared.put(needed, "needed")
+        bits = spark.sparkContext.broadcast(id_filter(needed))
+        sets = src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set")
+        return shared.put(_linked(likely, shared.put(sets, "sets"), num, den), "links")
+
     # the first row of each column with more than one: frequent columns are few (bounded above) and are counted
     # before the shuffle; the others are short, so that a column can be in one task
     col = W.partitionBy("h")
     entry = F.struct("row", "at")
     cold = inc.where("not hot").select("h", "row", "at", F.min(entry).over(col).alias("b"), F.max("row").over(col).alias("last")).where("b.row < last").drop("last")
     heads = inc.where("hot").groupBy("h").agg(F.min(entry).alias("b"), F.max("row").alias("last")).where("b.row < last").drop("last")
-    block = shared.put(cold.union(inc.where("hot").join(F.broadcast(heads), "h").select("h", "row", "at", "b")), "block")
+    block = shared.put(cold.union(inc.where("hot").join(F.broadcast(heads), "h").select("h", "row", "at", "b")).distinct(), "block")
     shared.drop(inc)
     first = block.where((F.col("b.row") < F.col("row")) & _fits(num, den, F.col("at"), F.col("b.at")))
     first = shared.put(first.select(F.col("b.row").alias("u"), F.col("row").alias("v")).distinct(), "pairs")
 
-    needed = shared.put(block.select("row").distinct().join(rows, "row"), "needed")
-    bits = spark.sparkContext.broadcast(id_filter(needed))
-    sets = src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set")
-    sets = shared.put(sets, "sets")
-    links = shared.put(_linked(first, sets, num, den), "links")
+    links = verified(first, block)
     comp = shared.put(components(links, shared), "components")
 
     # second product: columns that still hold rows of different components
     named = block.select("h", "row", "at").join(comp.withColumnRenamed("id", "row"), "row", "left")
-    named = shared.put(named.select("h", "row", "at", F.coalesce("component", "row").alias("comp")).distinct(), "named")
+    named = shared.put(named.select("h", "row", "at", F.coalesce("component", "row").alias("comp")), "named")
     per = named.groupBy("h", "comp").agg(F.count("*").alias("c"))
     mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
     rest = shared.put(named.join(mixed, "h"), "rest")
@@ -180,8 +194,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den, F.col("a.at"), F.col("b.at")))
     pairs = pairs.select(F.least("a.row", "b.row").alias("u"), F.greatest("a.row", "b.row").alias("v")).distinct()
     pairs = shared.put(pairs.join(first, ["u", "v"], "left_anti"), "pairs")
-    more = shared.put(_linked(pairs, sets, num, den), "links")
-    comp = shared.put(components(links.union(more), shared), "components")
+    comp = shared.put(components(links.union(verified(pairs, block)), shared), "components")
 
     named = rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row"))
     ids = named.groupBy("comp").agg(F.min("id").alias("component_id"))
