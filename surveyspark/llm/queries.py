@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .ngram_join import op4_ngram_jaccard_join
+from .pii import op2_pii
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable] = {
+    "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
