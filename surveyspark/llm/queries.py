@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from .byte_bpe import op5_byte_bpe
 from .ngram_join import op4_ngram_jaccard_join
+from .packing import op8_best_fit_packing
 from .pii import op2_pii
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
@@ -13,6 +15,8 @@ QUERIES: dict[str, Callable] = {
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
