@@ -8,6 +8,7 @@ from .byte_bpe import op5_byte_bpe
 from .ngram_join import op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
 from .pii import op2_pii
+from .quality_rules import op10_quality_rules
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
