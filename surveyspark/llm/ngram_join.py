@@ -18,10 +18,10 @@ linked pair must share:
   for the overlap that its sizes ask for; the overlap of the others is counted
   exactly.
 
-Shingles are compared by 64-bit hashes. The order may be any that is the same
-for all rows, so the frequencies need not be exact; they are counted over all
-documents and only those above a fixed share of the corpus are kept, which
-bounds the broadcast table by (mean set size) x ``FREQUENT_SHARE`` rows.
+Shingles are compared by 64-bit hashes. Any order that is the same for all rows
+gives the same links; frequencies only keep the columns short, so it is enough
+to count them over all documents for a part of the hash range, and to list the
+most frequent ones up to a fixed number.
 
 Null, empty and blank texts have no shingles, link with nothing and are their
 own component. Texts shorter than ``k`` words have their whole sequence as one
@@ -41,11 +41,19 @@ from .graph import components
 from .tables import Shared, id_filter, in_filter, source
 from .text import Words, chunks, mix
 
-#: A shingle counts as frequent from this share (one in so many) of the documents.
-FREQUENT_SHARE = 2000
-FREQUENT_LEAST = 20
+#: A shingle counts as frequent in more texts than this, or than the power of two times it that keeps the
+#: list of them, which every task gets, at ``FREQUENT_MOST`` or fewer.
+FREQUENT = 8
+FREQUENT_MOST = 1 << 19
+#: Rows of a column up to which its pairs are listed; the rows of longer columns are multiplied in tiles of
+#: so many shingles.
+SHORT = 64
+TILE = 400_000
+#: Frequencies are counted in this part of the hash range. A row's first part by hash lies in the lowest
+#: quarter; the rest is for rows that have many frequent shingles to pass over.
+COUNTED = np.uint64(2 * 2 ** 64 // 5)
 
-_KEYS = "id long, n int, row long, h array<long>, c array<long>"
+_KEYS = "id long, n int, row long"
 
 
 def _row_key(s: np.ndarray) -> np.uint64:
@@ -56,22 +64,41 @@ def _row_key(s: np.ndarray) -> np.uint64:
 
 
 def _keys(k: int):
-    """Set size and key of each text; the first row of a run also has the shingles seen twice or more in the run."""
     def run(batches):
         for b in batches:
-            for i, j, data, offs in chunks(b.column(1), 4 << 20):
+            for i, j, data, offs in chunks(b.column(1)):
                 sets = Words(data, offs).sets(k)
-                h, c = np.unique(np.concatenate(sets), return_counts=True)
-                h, c = h[c > 1].view(np.int64), c[c > 1].astype(np.int64)
-                at = np.full(j - i + 1, len(h), np.int32)
-                at[0] = 0
                 keys = np.array([_row_key(s) for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.array([len(s) for s in sets], np.int32)), pa.array(keys.view(np.int64)),
-                     *(pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (h, c))], ["id", "n", "row", "h", "c"])
+                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.array([len(s) for s in sets], np.int32)), pa.array(keys.view(np.int64))], ["id", "n", "row"])
+    return run
+
+
+def _counts(k: int):
+    """Shingles of the counted part of the hash range, with the number of texts of a run that hold them."""
+    def run(batches):
+        for b in batches:
+            for _, _, data, offs in chunks(b.column(1), 4 << 20):
+                h = np.concatenate(Words(data, offs).sets(k))
+                h, n = np.unique(h[h < COUNTED], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])
     return run
 
 
+def frequent_shingles(src: DataFrame, k: int, shared: Shared) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the shingles that are in more than a limit of texts: the least limit of
+    ``FREQUENT`` x 2, x 4, ... that at most ``FREQUENT_MOST`` shingles exceed."""
+    df = src.mapInArrow(_counts(k), "h long, n int").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT)
+    df = shared.put(df, "frequent")
+    at, limit = df.groupBy(F.floor(F.log2(F.col("n") / FREQUENT)).alias("step")).count().toPandas(), FREQUENT
+    while at[at["step"] >= np.log2(limit / FREQUENT)]["count"].sum() > FREQUENT_MOST:
+        limit *= 2
+    hot = df.where(F.col("n") >= limit).toPandas()
+    h = hot["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], hot["n"].to_numpy(np.int64)[order]
+
+
 def _incidence(k: int, num: int, den: int, frequent):
     """(h, row, at, hot): the first n - ceil(t n) + 1 shingles of each row; ``at`` holds n and the place."""
     hot_h, hot_n = frequent.value
@@ -142,32 +169,73 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return both.where(F.col("o") * (num + den) >= (F.size("su") + F.size("sv")) * num).select("u", "v")
 
 
+def _product(num: int, den: int):
+    """Overlaps of all rows of two tiles by one sparse product; for each row and component of the other tile,
+    one link where there is one."""
+    def run(table: pa.Table) -> pa.Table:
+        rows, comps = table["row"].to_numpy(), table["comp"].to_numpy()
+        left, right = (table["tile"].to_numpy() == table[c].to_numpy() for c in ("ta", "tb"))
+        h, offs = table["set"].combine_chunks().flatten().to_numpy(), np.concatenate([[0], np.cumsum(table["n"].to_numpy())])
+        _, col = np.unique(h, return_inverse=True)
+        size = np.diff(offs)
+        b = np.flatnonzero(right)
+        b_cols = np.concatenate([col[offs[i]:offs[i + 1]] for i in b])
+        b_offs = np.cumsum(size[b]) - size[b]
+        mark = np.zeros(len(h), np.int32)
+        u, v = [], []
+        for i in np.flatnonzero(left).tolist():
+            mine = col[offs[i]:offs[i + 1]]
+            mark[mine] = 1
+            both = np.add.reduceat(mark[b_cols], b_offs)
+            mark[mine] = 0
+            hit = b[(both * (num + den) >= (size[i] + size[b]) * num) & (comps[b] != comps[i])]
+            _, once = np.unique(comps[hit], return_index=True)
+            u += [rows[i]] * len(once)
+            v += rows[hit[once]].tolist()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return run
+
+
+def _tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> DataFrame:
+    """Links between rows of different components in long columns.
+
+    Rows that meet in long columns are dealt into tiles of about ``TILE`` shingles, those with one first
+    column's least row together; two tiles with a common column are multiplied in one task."""
+    least = rest.groupBy("h").agg(F.min("row").alias("least"))
+    of = rest.join(least, "h").groupBy("row").agg(F.min("least").alias("c"), F.max("comp").alias("comp"), F.max(F.shiftright("at", 32)).alias("n"))
+    tiles = of.groupBy("c").agg(F.ceil(F.sum("n") / TILE).alias("k"))
+    of = shared.put(of.join(tiles, "c").select("row", "comp", "n", F.xxhash64("c", F.pmod(F.xxhash64("row"), "k")).alias("tile")), "tiles")
+    at = rest.join(of.select("row", "tile"), "row").groupBy("h", "tile").agg(F.max((F.col("comp") != F.col("large")).cast("int")).alias("open"))
+    at = shared.put(at, "columns")
+    a, b = at.where("open = 1").select("h", F.col("tile").alias("a")), at.select("h", F.col("tile").alias("b"))
+    both = a.join(b, "h").select(F.least("a", "b").alias("ta"), F.greatest("a", "b").alias("tb")).distinct()
+    sides = both.select("ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("tile"))
+    sets = of.join(sets_of(of.select("row")), "row").withColumn("n", F.size("set"))
+    return sides.join(sets, "tile").groupBy("ta", "tb").applyInArrow(_product(num, den), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """(id_col, n_shingles, component_id) for every id of ``docs``; the threshold is num / den."""
     spark = docs.sparkSession
     shared = Shared(spark, "ngram-join")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     keyed = shared.put(src.mapInArrow(_keys(k), _KEYS), "keys")
-    n_docs, repeats = keyed.groupBy("id").agg(F.count("*").alias("c")).agg(F.count("*"), F.count_if(F.col("c") > 1)).first()
-    if repeats:
+    if keyed.groupBy("id").count().where("count > 1").limit(1).count():
         src = src.groupBy("id").agg(F.min("text").alias("text"))
         keyed = shared.put(src.mapInArrow(_keys(k), _KEYS), "keys")
     rows = shared.put(keyed.where("n > 0").groupBy("row").agg(F.min("id").alias("id")), "rows")
-
-    least = max(FREQUENT_LEAST, n_docs // FREQUENT_SHARE)
-    hot = keyed.select(F.explode(F.arrays_zip("h", "c")).alias("x")).groupBy(F.col("x.h").alias("h")).agg(F.sum("x.c").alias("n")).where(F.col("n") >= least)
-    hot = hot.toPandas()
-    order = np.argsort(hot["h"].to_numpy(np.int64).view(np.uint64))
-    frequent = spark.sparkContext.broadcast((hot["h"].to_numpy(np.int64).view(np.uint64)[order], hot["n"].to_numpy(np.int64)[order]))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(src, k, shared))
     inc = shared.put(src.mapInArrow(_incidence(k, num, den, frequent), "h long, row long, at long, hot boolean"), "incidence")
 
+    def sets_of(asked: DataFrame) -> DataFrame:
+        needed = shared.put(asked.join(rows, "row"), "needed")
+        bits = spark.sparkContext.broadcast(id_filter(needed))
+        return shared.put(src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set"), "sets")
+
     def verified(pairs: DataFrame, block: DataFrame) -> DataFrame:
         likely = shared.put(_may_link(pairs, block, num, den), "likely")
-        needed = likely.select(F.col("u").alias("row")).union(likely.select(F.col("v").alias("row"))).distinct().join(rows, "row")
-        needed = shared.put(needed, "needed")
-        bits = spark.sparkContext.broadcast(id_filter(needed))
-        sets = src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set")
-        return shared.put(_linked(likely, shared.put(sets, "sets"), num, den), "links")
+        sets = sets_of(likely.select(F.col("u").alias("row")).union(likely.select(F.col("v").alias("row"))).distinct())
+        return shared.put(_linked(likely, sets, num, den), "links")
 
     # the first row of each column with more than one: frequent columns are few (bounded above) and are counted
     # before the shuffle; the others are short, so that a column can be in one task
@@ -187,14 +255,16 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     named = block.select("h", "row", "at").join(comp.withColumnRenamed("id", "row"), "row", "left")
     named = shared.put(named.select("h", "row", "at", F.coalesce("component", "row").alias("comp")), "named")
     per = named.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
-    rest = shared.put(named.join(mixed, "h"), "rest")
-    small, all_ = rest.where("comp <> large").alias("a"), rest.alias("b")
+    mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps"), F.sum("c").alias("size"))
+    rest = shared.put(named.join(mixed.where("comps > 1").drop("comps"), "h"), "rest")
+    short = rest.where(F.col("size") <= SHORT)
+    small, all_ = short.where("comp <> large").alias("a"), short.alias("b")
     apart = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.large")) | (F.col("a.row") < F.col("b.row")))
     pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den, F.col("a.at"), F.col("b.at")))
     pairs = pairs.select(F.least("a.row", "b.row").alias("u"), F.greatest("a.row", "b.row").alias("v")).distinct()
     pairs = shared.put(pairs.join(first, ["u", "v"], "left_anti"), "pairs")
-    comp = shared.put(components(links.union(verified(pairs, block)), shared), "components")
+    links = links.union(verified(pairs, block)).union(shared.put(_tiled(rest.where(F.col("size") > SHORT), sets_of, shared, num, den), "links"))
+    comp = shared.put(components(links, shared), "components")
 
     named = rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row"))
     ids = named.groupBy("comp").agg(F.min("id").alias("component_id"))
