@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from .ann_forest import op7_ann_forest
 from .byte_bpe import op5_byte_bpe
 from .ngram_join import op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
+from .preference import OP1_SQL, op1_preference_format
 from .pii import op2_pii
 from .quality_rules import op10_quality_rules
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable] = {
+    "op1_preference_format": op1_preference_format,
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_ann_forest": op7_ann_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_preference_format": OP1_SQL,
+}
