@@ -16,7 +16,8 @@ Each row of ``docs`` gives one row. Null and empty texts have no words and get
 the models' base rate. Of repeated label rows of an id the largest of each
 label counts; labels that are null count as 0 (not toxic, quality 1). Where the
 sample lacks one of a category's two values its probability is the share seen
-(0 without labels), and nothing is rejected for it.
+(0 without labels), and nothing is rejected for it. Columns of ``docs`` with the
+names of the result's are replaced.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .tables import source
 
@@ -220,9 +222,8 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Col
     sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toPandas()
     y = sample[[f"_y{k}" for k in range(len(categories))]].to_numpy()
     model = train_chain([words_of(t) for t in sample["_text"]], sample["_id"].tolist(), y)
-    fields = docs.schema
-    for name in names:
-        fields = fields.add(name, "double")
+    docs = docs.drop(*names, "rejected", "_text")
+    fields = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
     scored = docs.select(*docs.columns, F.col(text_col).cast("string").alias("_text")).mapInArrow(_score(spark.sparkContext.broadcast(model), names), fields)
     cut = model["cut"][list(categories).index(reject)]
     return scored.withColumn("rejected", F.col(f"p_{reject}") >= cut), model
