@@ -38,7 +38,7 @@ MAX_TRAIN = 4000
 MAX_FEATURES = 2000
 FOLDS = 4
 GRAM = 5
-L1 = 5e-4
+L1 = 5e-5
 _CACHE = 400_000
 
 
