@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from .ann_forest import op7_ann_forest
 from .byte_bpe import op5_byte_bpe
+from .html_extract import op6_html_extract
 from .ngram_join import op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
 from .preference import OP1_SQL, op1_preference_format
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable] = {
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_html_extract": op6_html_extract,
     "op7_ann_forest": op7_ann_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
