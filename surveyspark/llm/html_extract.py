@@ -250,7 +250,7 @@ def made_pages() -> list[tuple[Page, list[int]]]:
     for k, m in enumerate(marks):
         word, tag, top = TEXT_WORDS[k % len(TEXT_WORDS)], m.split()[0], f"h{1 + k % 5}"
         open_, close = (f'<div class="{word}">', "</div>") if k % 3 else ("<main>", "</main>")
-        text = f"<{top}>A title</{top}>" + f"<p>{line}</p>" * (1 + k % 4) + (f"<ul><li>{line}</li></ul><blockquote>{line}</blockquote>" if k % 5 == 0 else "")
+        text = f"<{top}>A title</{top}>" + f"<p>{line}</p>" * (1 + k % 4) + f"<h2>Part</h2><p>{line}</p><h3>The next part</h3><p>{line}</p>" * (k % 2) + (f"<ul><li>{line}</li></ul><blockquote>{line}</blockquote>" if k % 5 == 0 else "")
         rest = f"<{m}><{top}>A name</{top}><p>{line}</p><ul><li>One more</li></ul></{tag}>" if k % 4 else f"<{m}>{line}</{tag}>"
         body = [f"{open_}{text}{rest}{close}", f"{rest}{open_}{text}{close}", f"{open_}{text}{close}{rest}"][k // 2 % 3]
         page = Page(f"<html><body>{body}</body></html>")
