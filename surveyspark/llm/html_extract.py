@@ -11,7 +11,7 @@ The potentials are fitted by maximum likelihood, with gradients from the same
 marginals, on labelled pages: at most ``MAX_TRAIN`` pages of the table that
 have an article or main element (all it holds is article text, but for
 elements that say otherwise by tag or class), the same pages with that element
-renamed to div, and short pages made from ``ASIDE_WORDS`` and ``TEXT_WORDS``.
+renamed to div and with a div around all, and short pages made from ``ASIDE_WORDS`` and ``TEXT_WORDS``.
 
 Each row gives one row. Null and empty pages have the empty text. The parser
 takes what pages have: unclosed tags, comments and quotes, stray end tags.
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .tables import source
 
-MAX_TRAIN = 300
+MAX_TRAIN = 160
 MAX_TRAIN_CHARS = 200_000
 STEPS = 80
 #: Elements of HTML by their part in a page.
@@ -267,11 +267,13 @@ def train(pages: list[str], steps: int = STEPS) -> dict:
     weigh as much as the others in all."""
     data = []
     for text in pages:
-        for s in (text, re.sub(r"<(/?)(article|main)\b", r"<\1div", text)):
-            page = Page(s)
-            y = Page(text).labels()
-            if y is not None and len(y) == len(page.tag):
-                data.append((page, y))
+        wrapped = re.sub(r"(?i)(<body[^>]*>)", r"\1<div>", text, count=1)
+        for marked in (text, wrapped):
+            y = Page(marked).labels()
+            for s in dict.fromkeys((marked, re.sub(r"(?i)<(/?)(article|main)\b", r"<\1div", marked))):
+                page = Page(s)
+                if y is not None and len(y) == len(page.tag):
+                    data.append((page, y))
     made = made_pages()
     data += made
     index: dict[str, int] = {}
