@@ -271,7 +271,7 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
         for b in batches:
             texts = [None if x is None else bpe.decode(np.array(x, "<u4").tobytes()).decode("utf-8", "replace") for x in b.column(b.schema.get_field_index(ids_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_col])
-    return tokens.mapInArrow(run, T.StructType(tokens.schema.fields).add(text_col, "string"))
+    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(text_col, T.StringType())]))
 
 
 def _digests(path: str):

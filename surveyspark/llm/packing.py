@@ -163,11 +163,11 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 1
     """(id_col, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row of ``docs``."""
     shared = Shared(docs.sparkSession, "packing")
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    fields = T.StructType([src.schema[0]]).add("piece", "int").add("start", "long").add("length", "long").add("ids_crc32", "long").add("deal", "long")
+    fields = T.StructType([src.schema[0]]).add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long").add("deal", "long")
     pieces = shared.put(src.mapInArrow(_pieces(tokenizer_path, size, end_id), fields), "pieces")
     full = pieces.where(F.col("length") >= size).withColumn("sequence_id", F.col("deal").bitwiseOR(F.lit(1 << 62))).withColumn("offset", F.lit(0).cast("long"))
     out_cols = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    packed_fields = T.StructType(fields.fields).add("bin", "long").add("offset", "long").add("fill", "long").add("gap", "long").add("grp", "long")
+    packed_fields = T.StructType([*fields.fields]).add("bin", "long").add("offset", "long").add("fill", "long").add("gap", "long").add("grp", "long")
     done = [full.select(out_cols)]
     todo, before = pieces.where(F.col("length") < size), None
     numbered = lambda df, r: df.withColumn("sequence_id", F.lit(r << 58).bitwiseOR(F.shiftleft("grp", 24)).bitwiseOR(F.col("bin"))).select(out_cols)
