@@ -16,6 +16,7 @@ so equal ids or texts spread over all groups.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -31,7 +32,7 @@ from .text import mix
 
 GROUP = 16_384
 ROUNDS = 4
-_CACHE = 400_000
+_CACHE = 600_000
 
 
 class WordCache(dict):
@@ -47,26 +48,43 @@ class WordCache(dict):
         self.old: dict[str, bytes] = {}
 
     def learn(self, parts: set[str]) -> None:
+        """Ids of new parts. A letter ends a token of the pattern before a full stop or comma, and these last
+        marks are a token of their own, so such a part is joined from the two."""
         if len(self) + len(parts) > _CACHE:
             self.old = dict(self)
             self.clear()
-        new = []
+        new, joined = set(), []
         for p in parts:
-            if (ids := self.old.get(p)) is None:
-                new.append(p)
-            else:
+            if (ids := self.old.get(p)) is not None:
                 self[p] = ids
+            elif len(p) > 1 and p[-1] in ".," and p[-2].isalpha():
+                joined.append(p)
+                new.update(x for x in (p[:-1], p[-1]) if x not in self)
+            else:
+                new.add(p)
+        for p in [p for p in new if p in self.old]:
+            self[p] = self.old[p]
+            new.remove(p)
+        new = list(new)
         for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[p] = np.array(e.ids, "<u4").tobytes()
+            ids = e.ids
+            self[p] = struct.pack(f"<{len(ids)}I", *ids)
+        for p in joined:
+            self[p] = self[p[:-1]] + self[p[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        unknown = {p for parts in split for p in parts if p not in self}
+        # the vocabulary is of lower case; only a capital sigma is lowered by its place
+        texts = [t if "\u03a3" in t else t.lower() for t in (t or "" for t in texts)]
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        found = [list(map(self.get, parts)) for parts in split]
+        gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else [] for f in found]
+        unknown = {parts[i] for parts, g in zip(split, gaps) for i in g}
         if unknown:
-            if len(self) + len(unknown) > _CACHE:
-                unknown = {p for parts in split for p in parts}
             self.learn(unknown)
-        return [b"".join(map(self.__getitem__, parts)) for parts in split]
+            for parts, f, g in zip(split, found, gaps):
+                for i in g:
+                    f[i] = self[parts[i]]
+        return [b"".join(f) for f in found]
 
 
 _WORDS: dict[str, WordCache] = {}
