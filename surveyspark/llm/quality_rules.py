@@ -136,7 +136,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     char_div = F.when(size >= MIN_CHARS, _sum(F.zip_with("chars", "cq", lambda c, q: _js(c / size, q))))
     inside = F.transform("common", lambda x: F.struct((x["n"] / hits).alias("p"), F.coalesce(F.try_element_at("wq", x["w"]), F.lit(0.0)).alias("q")))
     word_div = F.when(hits >= MIN_COMMON, let(inside, lambda s: _sum(F.transform(s, lambda x: _js(x["p"], x["q"]))) + 1 - _sum(F.transform(s, lambda x: x["q"]))))
-    root = lambda d: F.sqrt(F.greatest(d / 2, F.lit(0.0)))
+    root = lambda d: F.when(d.isNotNull(), F.sqrt(F.greatest(d / 2, F.lit(0.0))))
     out = both.withColumn("char_distance", root(char_div)).withColumn("word_distance", root(word_div))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word)

@@ -38,7 +38,7 @@ MAX_TRAIN = 4000
 MAX_FEATURES = 2000
 FOLDS = 4
 GRAM = 5
-L1 = 5e-5
+L1 = 2e-2  # over the root of the number of rows
 _CACHE = 400_000
 
 
@@ -80,10 +80,11 @@ class Sparse:
         return np.bincount(self.col, self.val * r[self.row], self.shape[1])
 
 
-def fit(x: Sparse, y: np.ndarray, l1: float = L1, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(x: Sparse, y: np.ndarray, l1: float | None = None, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated proximal gradient steps (FISTA) on columns scaled to a mean square
     of one; the weights are for the columns as given."""
     n = len(y)
+    l1 = L1 / n ** 0.5 if l1 is None else l1
     scale = 1 / np.sqrt(np.maximum(np.bincount(x.col, x.val ** 2, x.shape[1]) / n, 1e-12))
     x = x.scaled(scale)
     probe = np.ones(x.shape[1])
@@ -125,7 +126,7 @@ def select(docs: list[set[str]], y: np.ndarray, most: int = MAX_FEATURES) -> dic
 
 def train_chain(texts_words: list[set[str]], ids: Sequence[int], labels: np.ndarray) -> dict:
     """``labels`` has a column for each category in chain order. Returns feature weights, intercepts, the
-    weights of earlier logits and the thresholds with the best out-of-fold F1."""
+    weights of earlier logits and the thresholds by the out-of-fold predictions (``best_cut``)."""
     fold = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in ids])
     weights: dict[str, list[float]] = defaultdict(lambda: [0.0] * labels.shape[1])
     model = {"bias": [], "chain": [], "cut": []}
@@ -170,12 +171,16 @@ def train_chain(texts_words: list[set[str]], ids: Sequence[int], labels: np.ndar
     return model | {"weights": dict(weights)}
 
 
-def best_cut(p: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the gap below the cut with the best F1; among equals the highest."""
+def best_cut(p: np.ndarray, y: np.ndarray, precision: float = 0.8) -> float:
+    """The middle of the gap below the cut with the best F1 among those of at least ``precision``, the highest
+    among equals; one half where no cut is that precise."""
     order = np.argsort(-p, kind="stable")
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
+    hit, n = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    tie = np.append(p[order][1:] == p[order][:-1], False)  # a cut takes all of one value
+    f1 = np.where((hit >= precision * n) & ~tie, 2 * hit / (n + y.sum()), 0)
     k = int(np.argmax(f1))
+    if not f1[k]:
+        return 0.5
     below = p[order[k + 1]] if k + 1 < len(p) else 0.0
     return float((p[order[k]] + below) / 2)
 
