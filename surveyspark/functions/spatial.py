@@ -23,19 +23,25 @@ def floor_bin_text(x: Column, size: float) -> Column:
     return F.bround(k * s, 2).cast("string")
 
 
+def present(x: Column) -> Column:
+    """The coordinate, or null where it is null or NaN."""
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+
+
 def grid_cell(lat: Column, lon: Column, size: float = 0.2) -> Column:
-    """Grid-cell id ``grid_<lat>_<lon>``; null when either coordinate is null."""
+    """Grid-cell id ``grid_<lat>_<lon>``; null when either coordinate is null or NaN."""
+    lat, lon = present(lat), present(lon)
     return F.concat(F.lit("grid_"), floor_bin_text(lat, size), F.lit("_"), floor_bin_text(lon, size))
 
 
 def has_coords(lat: Column, lon: Column) -> Column:
-    return lat.isNotNull() & lon.isNotNull()
+    return present(lat).isNotNull() & present(lon).isNotNull()
 
 
 def coarse_group(region: Column, lat: Column) -> Column:
     """``<region>_<int(lat)>`` with the latitude truncated toward zero."""
     return F.concat(F.coalesce(region, F.lit("unknown")), F.lit("_"),
-                    F.coalesce(lat.cast("int"), F.lit(0)).cast("string"))
+                    F.coalesce(present(lat).cast("int"), F.lit(0)).cast("string"))
 
 
 def duck_floor_bin_text(x: str, size: float = 0.2) -> str:

@@ -51,12 +51,24 @@ def species_dirname(species: Column) -> Column:
     return F.replace(species, F.lit(" "), F.lit("_"))
 
 
+def _without_dots(p: Column) -> Column:
+    """``./`` steps dropped, ``x/../`` steps taken back; leading ``..`` stay."""
+    def step(done, s):
+        back = (s == "..") & (F.size(done) > 0) & ~F.coalesce(F.element_at(done, -1).isin("..", ""), F.lit(False))
+        return F.when(s == ".", done).when(back, F.slice(done, 1, F.size(done) - 1)).otherwise(F.concat(done, F.array(s)))
+
+    return F.array_join(F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step), "/")
+
+
 def normalize_path(path: Column, root: str | None = None) -> Column:
-    """Project-relative POSIX path: backslashes to slashes, known root prefix stripped.
+    """Project-relative POSIX path: backslashes to slashes, ``file:`` scheme, ``.`` and ``..`` steps and a known
+    root prefix gone.
 
     Pure string work; file existence is checked by joining to a file listing.
     """
     p = F.replace(path, F.lit("\\"), F.lit("/"))
+    p = F.when(p.startswith("file:/"), F.regexp_replace(p, "^file:/+", "/")).otherwise(p)
+    p = F.when(p.contains("./"), _without_dots(p)).otherwise(p)
     if root:
         r = root.replace("\\", "/").rstrip("/") + "/"
         p = F.when(p.startswith(r), p.substr(F.lit(len(r) + 1), F.length(p))).otherwise(p)

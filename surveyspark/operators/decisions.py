@@ -2,9 +2,8 @@
 
 A decision is one ordered ``when`` chain per row (narrow). Invasive-species
 membership is a left join on the lower-cased name against the species
-dimension, which is small by nature (a species catalogue) and is broadcast
-after a size check: the key has few distinct values, so a shuffle join would
-send each class to a single task. Reports are produced as ordered line rows
+dimension; adaptive execution broadcasts a dimension of few bytes and splits
+hot names beyond that. Reports are produced as ordered line rows
 ``(section, row_ord, line_no, line)`` so a report over millions of decisions
 is still built by the executors; only the text sink sorts and concatenates.
 """
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.text import percent_text
-from .joins import checked_broadcast
 
 
 def species_dim(spark: SparkSession, pairs=None) -> DataFrame:
@@ -26,17 +24,23 @@ def species_dim(spark: SparkSession, pairs=None) -> DataFrame:
 
 
 def species_lookup(df: DataFrame, species: DataFrame, name_col: str = "predicted_class") -> DataFrame:
-    """Attach ``is_invasive, native_comparison, priority, impacts`` by case-insensitive name."""
-    dim = (species.select(F.lower(F.col("invasive")).alias("_key"),
-                          F.col("native").alias("native_comparison"))
-                  .groupBy("_key").agg(F.first("native_comparison").alias("native_comparison")))
-    # the join key (a class name) has few values: a shuffle join would put each
-    # class into one task, so the catalogue is broadcast after a size check
-    j = df.join(checked_broadcast(dim), F.lower(F.col(name_col)) == F.col("_key"), "left")
+    """Attach ``is_invasive, native_comparison, priority, impacts`` by case-insensitive name.
+
+    ``priority`` and ``impacts`` come from the species table where it has them
+    (``normal`` and empty where it does not). Of a repeated name the last row
+    counts: by ``row_ord`` where the table has it, else by its values.
+    """
+    def of(c, default):
+        return F.coalesce(F.col(c), F.lit(default)) if c in species.columns else F.lit(default)
+
+    row = F.struct(F.col("native").alias("native_comparison"), of("priority", "normal").alias("priority"),
+                   of("impacts", "").alias("impacts"))
+    last = F.col("row_ord") if "row_ord" in species.columns else row
+    dim = (species.where(F.col("invasive").isNotNull()).groupBy(F.lower(F.col("invasive")).alias("_key"))
+                  .agg(F.max_by(row, last).alias("_dim")))
+    j = df.join(dim, F.lower(F.col(name_col)) == F.col("_key"), "left")
     return (j.withColumn("is_invasive", F.col("_key").isNotNull())
-             .withColumn("priority", F.when(F.col("is_invasive"), F.lit("normal")))
-             .withColumn("impacts", F.when(F.col("is_invasive"), F.lit("")))
-             .drop("_key"))
+             .select("*", "_dim.*").drop("_key", "_dim"))
 
 
 def _arr(items) -> Column:
@@ -195,7 +199,10 @@ def report_lines(decisions: DataFrame, row_ord: str = "row_id", conf_col: str =
     return out.select(*out_cols)
 
 
-def report_text(lines: DataFrame) -> str:
-    """Concatenate report lines on the driver (for small reports and tests)."""
-    rows = lines.orderBy("section", "row_ord", "line_no").collect()
+def report_text(lines: DataFrame, most: int = 10_000) -> str:
+    """Report lines as one text on the driver; a report of more than ``most`` lines is an error (``write_report``
+    takes any size)."""
+    rows = lines.orderBy("section", "row_ord", "line_no").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"The report has more than {most} lines; write it with sinks.write_report.")
     return "\n".join(r["line"] for r in rows)

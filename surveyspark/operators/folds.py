@@ -3,8 +3,8 @@
 Folds are dealt on the group x label histogram, never on rows: the histogram
 has one row per (spatial group, label) and is bounded by geography, so the
 deal stays small at any data size. Rows get their fold through an equi-join
-on ``group`` (AQE broadcasts the group -> fold table when it is small, and
-splits hot groups when it is not).
+on ``group``, null groups included (AQE broadcasts the group -> fold table when
+its bytes allow it, and splits hot groups when they do not).
 
 Serpentine deal: groups are ranked inside their dominant label by size
 (descending, then name), shifted by the label's rank, and snaked over the
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from .joins import checked_broadcast
+from ..session import materialize
 
 
 def group_label_hist(df: DataFrame, group_col="group", label_col="label") -> DataFrame:
@@ -28,25 +28,25 @@ def group_label_hist(df: DataFrame, group_col="group", label_col="label") -> Dat
 
 
 def distributed_rank(df: DataFrame, part: str, order: list, out: str = "rn") -> DataFrame:
-    """0-based ``row_number()`` within ``part`` by ``order`` without funnelling a
-    partition value into one task.
+    """0-based ``row_number()`` within ``part`` by ``order`` without one task per ``part`` value.
 
-    Rows are range-partitioned on ``(part, order...)`` so every task holds a
-    contiguous slice of the global order; each task ranks its own slice, and a
-    small offset table (one row per task and ``part`` value) shifts the local
-    ranks. ``order`` must make the order total (end with a unique column).
+    Rows are range-partitioned on ``(part, order...)``, ranked inside their own
+    range and written once with the range's number; the offsets of the ranges
+    and the rows are then both read from that table, so they cannot see
+    different range bounds. ``order`` must make the order total (end with a
+    unique column).
     """
-    keys = [F.col(part)] + order
-    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_pid", part).orderBy(*order)) - 1)
+    ranged = df.repartitionByRange(F.col(part), *order).withColumn("_pid", F.spark_partition_id())
+    local = materialize(ranged.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_pid", part).orderBy(*order)) - 1), "ranked")
     sizes = local.groupBy("_pid", part).agg(F.count(F.lit(1)).alias("_cnt"))
-    # at most (#tasks x #part values) rows: broadcast by construction
-    offsets = sizes.withColumn("_off", F.sum("_cnt").over(
-        Window.partitionBy(part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))) \
-        .select("_pid", part, F.coalesce("_off", F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), ["_pid", part])
-                 .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
+    offsets = sizes.select(
+        F.col("_pid").alias("_p"), F.col(part).alias("_v"),
+        F.coalesce(F.sum("_cnt").over(Window.partitionBy(part).orderBy("_pid").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    same = (F.col("_pid") == F.col("_p")) & F.col(part).eqNullSafe(F.col("_v"))
+    return local.join(offsets, same).withColumn(out, F.col("_off") + F.col("_local")).drop(
+        "_pid", "_local", "_off", "_p", "_v")
 
 
 def group_positions(hist: DataFrame, group_col="group", label_col="label") -> DataFrame:
@@ -54,12 +54,12 @@ def group_positions(hist: DataFrame, group_col="group", label_col="label") -> Da
     gs = hist.groupBy(group_col).agg(
         F.sum("n").alias("size"),
         F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(label_col).alias("lab")))["lab"].alias("dom"))
-    # one row per label: bounded by the class count
-    dom_rank = (gs.select("dom").distinct()
-                  .withColumn("dom_rank", F.dense_rank().over(Window.orderBy("dom")) - 1))
     ranked = distributed_rank(gs, "dom", [F.col("size").desc(), F.col(group_col).asc()], "_rn")
-    return (ranked.join(F.broadcast(dom_rank), "dom")
-                  .withColumn("pos", F.col("_rn") + F.col("dom_rank")).drop("_rn"))
+    # one row per label: bounded by the class count
+    dom_rank = (ranked.select(F.col("dom").alias("_dom")).distinct()
+                  .withColumn("dom_rank", F.dense_rank().over(Window.orderBy("_dom")) - 1))
+    return (ranked.join(dom_rank, F.col("dom").eqNullSafe(F.col("_dom")))
+                  .withColumn("pos", F.col("_rn") + F.col("dom_rank")).drop("_rn", "_dom"))
 
 
 def serpentine(pos, n_folds) -> F.Column:
@@ -76,12 +76,21 @@ def group_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group",
 
 def assign_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group",
                  label_col="label") -> DataFrame:
-    """Rows with their fold, through their group (group table broadcast after a size check)."""
-    return df.join(checked_broadcast(group_folds(df, n_folds, group_col, label_col)), on=group_col, how="inner")
+    """Every row with the fold of its group; rows without a group are a group of their own."""
+    gf = group_folds(df, n_folds, group_col, label_col).withColumnRenamed(group_col, "_group")
+    return df.join(gf, F.col(group_col).eqNullSafe(F.col("_group")), "left").drop("_group")
+
+
+def fold_hist(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group", label_col="label") -> DataFrame:
+    """``(group, fold, n)``: the fold table with group sizes, from the histogram alone."""
+    pos = group_positions(group_label_hist(df, group_col, label_col), group_col, label_col)
+    return pos.select(group_col, serpentine(F.col("pos"), F.lit(n_folds)).alias("fold"), F.col("size").alias("n"))
 
 
 def fold_sizes(assigned: DataFrame) -> DataFrame:
-    sizes = assigned.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    """Rows per fold and their share; ``assigned`` has a row each, or ``n`` rows in one (``fold_hist``)."""
+    rows = F.sum("n") if "n" in assigned.columns else F.count(F.lit(1))
+    sizes = assigned.groupBy("fold").agg(rows.alias("n"))
     # the total is taken over the <= F aggregated rows, not over the data
     return sizes.select("fold", "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
 
@@ -135,51 +144,3 @@ def fold_roles(assigned: DataFrame, n_folds: int = config.N_FOLDS) -> DataFrame:
                     .withColumn("role", F.when(F.col("fold") == F.col("cv_round"), F.lit("val"))
                                 .otherwise(F.lit("train"))))
 
-
-GREEDY_MAX_GROUPS = 50_000
-
-
-def _greedy_deal(n_folds: int):
-    import numpy as np
-    import pandas as pd
-
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="group", columns="label", values="n", aggfunc="sum", fill_value=0)
-        counts = wide.to_numpy(dtype=np.float64)
-        groups = wide.index.to_numpy()
-        totals = counts.sum(axis=0)
-        # most label-skewed groups first; name breaks ties so the deal is deterministic
-        order = sorted(range(len(groups)), key=lambda i: (-float(np.std(counts[i])), str(groups[i])))
-        per_fold = np.zeros((n_folds, counts.shape[1]))
-        out = np.empty(len(groups), dtype=np.int32)
-        for gi in order:
-            trial = per_fold[None, :, :].repeat(n_folds, axis=0)
-            trial[np.arange(n_folds), np.arange(n_folds)] += counts[gi]
-            score = np.std(trial / totals, axis=1).mean(axis=1)  # per candidate fold
-            sizes = per_fold.sum(axis=1)
-            best = min(range(n_folds), key=lambda f: (round(float(score[f]), 12), sizes[f], f))
-            per_fold[best] += counts[gi]
-            out[gi] = best
-        return pd.DataFrame({"group": groups.astype(str), "fold": out})
-    return deal
-
-
-def group_folds_greedy(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group", label_col="label",
-                       max_groups: int = GREEDY_MAX_GROUPS) -> DataFrame:
-    """Greedy stratified deal: each group (most label-skewed first) goes to the fold
-    that keeps every label's share across folds most even; ties -> smaller fold,
-    then lower index.
-
-    The deal is sequential, so the histogram (one row per group and label, never
-    rows) runs in one pandas task; above ``max_groups`` groups the serpentine deal
-    is used instead, which has no such bound.
-    """
-    hist = group_label_hist(df, group_col, label_col).select(
-        F.col(group_col).cast("string").alias("group"), F.col(label_col).cast("string").alias("label"), "n")
-    n_groups = hist.select("group").distinct().count()
-    if n_groups > max_groups:
-        return group_folds(df, n_folds, group_col, label_col)
-    return (hist.withColumn("_all", F.lit(0)).groupBy("_all")
-                .applyInPandas(lambda pdf: _greedy_deal(n_folds)(pdf.drop(columns=["_all"])),
-                               "group string, fold int")
-                .withColumnRenamed("group", group_col))

@@ -16,9 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.spatial import coarse_group
+from ..functions.spatial import coarse_group, has_coords
 from ..functions.text import first_media_identifier, raw_url_extension, region_fallback
-from .joins import left_join_spread_nulls
+from .joins import join_by_prefix, left_join_spread_nulls
+
+
+# Parts that a hot species is split into before its first rows are picked
+SALTS = 64
 
 
 def map_columns(df: DataFrame, mapping: dict) -> DataFrame:
@@ -40,7 +44,8 @@ def filter_species_exact(df: DataFrame, species, col: str = "species") -> DataFr
 
 
 def starts_with_any(col: Column, prefixes) -> Column:
-    return F.exists(F.array(*[F.lit(p) for p in prefixes]), lambda s: F.startswith(col, s))
+    """An OR of prefix tests, which reaches the scan as pushed filters."""
+    return reduce(lambda a, b: a | b, [col.startswith(p) for p in prefixes], F.lit(False))
 
 
 def filter_species_prefix(df: DataFrame, species, col: str = "scientificName") -> DataFrame:
@@ -126,9 +131,8 @@ def species_table(spark: SparkSession, species) -> DataFrame:
 
 
 def prefix_join(df: DataFrame, species: DataFrame, col: str = "scientificName") -> DataFrame:
-    """Each record paired with every species its name starts with (a theta join
-    against the short species list, broadcast)."""
-    return df.join(F.broadcast(species), F.startswith(F.col(col), F.col("species")), "inner")
+    """Each record paired with every species its name starts with."""
+    return join_by_prefix(df, species, col, "species")
 
 
 def aliases_table(spark: SparkSession, aliases=None) -> DataFrame:
@@ -140,7 +144,7 @@ def aliases_table(spark: SparkSession, aliases=None) -> DataFrame:
 def alias_lookup(df: DataFrame, aliases: DataFrame, col: str) -> DataFrame:
     """Common name -> scientific name (case/space-insensitive); unknown names kept as they are."""
     a = aliases.select(F.lower(F.trim("alias")).alias("_alias"), F.col("scientific_name").alias("_sci"))
-    j = df.join(F.broadcast(a), F.lower(F.trim(F.col(col))) == F.col("_alias"), "left")
+    j = df.join(a, F.lower(F.trim(F.col(col))) == F.col("_alias"), "left")
     return j.withColumn("resolved_name", F.coalesce("_sci", F.col(col))).drop("_alias", "_sci")
 
 
@@ -156,19 +160,28 @@ def target_species(pairs_df: DataFrame) -> DataFrame:
 
 
 def cap_per_species(df: DataFrame, n: int, species_col: str = "species", order_col: str = "row_ord") -> DataFrame:
-    """First n rows per species in input order."""
-    w = Window.partitionBy(species_col).orderBy(order_col)
+    """First n rows per species in input order, in two steps: the first n of each (species, salt), then of
+    each species, so that a hot species is cut down by many tasks before its rows meet."""
+    salt = F.pmod(F.xxhash64(order_col), F.lit(SALTS))
+    first = _first_n(df.withColumn("_salt", salt), n, [species_col, "_salt"], [order_col])
+    return _first_n(first.drop("_salt"), n, [species_col], [order_col])
+
+
+def _first_n(df: DataFrame, n: int, keys: list, order: list) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def balanced_sample(df: DataFrame, n: int, seed: int = config.SEED, species_col: str = "species",
                     stream_col: str = "datasetKey", id_col: str = "gbifID") -> DataFrame:
     """About n rows per species, dealt round-robin over its datasets in a seeded
-    hash order. Both windows are capped at n, so each shuffles at most n rows
-    per (species, dataset) and split."""
+    hash order. A dataset's rows are cut to n by salt first, then ranked, so a
+    hot one is reduced by many tasks."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     w1 = Window.partitionBy(species_col, stream_col).orderBy(h, F.col(id_col))
-    first = df.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
+    salted = _first_n(df.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS))), n,
+                      [species_col, stream_col, "_salt"], [h, F.col(id_col)]).drop("_salt")
+    first = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
     w2 = Window.partitionBy(species_col).orderBy("_r1", stream_col)
     return (first.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= n)
                  .withColumnRenamed("_r1", "stream_rank").withColumnRenamed("_r2", "sample_rank"))
@@ -196,15 +209,13 @@ def feasibility_counts(occ: DataFrame, species: DataFrame, country: str = "PT",
     per_name = f.groupBy("scientificName").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("mediaType") == "StillImage").alias("with_image"),
-        F.count_if(F.col("decimalLatitude").isNotNull() & F.col("decimalLongitude").isNotNull())
+        F.count_if(has_coords(F.col("decimalLatitude"), F.col("decimalLongitude")))
          .alias("with_coords"))
-    # theta join against the short species list (broadcast, inner), then an
-    # equi-join back to the list so species without records still appear
-    matched = (per_name.join(F.broadcast(species), F.startswith(F.col("scientificName"), F.col("species")))
+    # then an equi-join back to the list so species without records still appear
+    matched = (join_by_prefix(per_name, species.select("species"), "scientificName", "species")
                        .groupBy("species").agg(F.sum("total").alias("total"), F.sum("with_image").alias("with_image"),
                                                F.sum("with_coords").alias("with_coords")))
-    # matched has at most one row per listed species: bounded by the list
-    return species.select("species").join(F.broadcast(matched), "species", "left").select(
+    return species.select("species").join(matched, "species", "left").select(
         "species",
         F.coalesce(F.col("total"), F.lit(0)).alias("total_records"),
         F.coalesce(F.col("with_image"), F.lit(0)).alias("records_with_image"),

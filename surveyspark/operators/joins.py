@@ -1,27 +1,15 @@
-"""Size-checked broadcast for small tables derived from the data.
+"""Joins that keep working when a key is hot or null.
 
-Aggregated tables such as per-cell counts or group -> fold maps are small in
-practice but their size is only known after they are computed. This helper
-computes them once (kept on the executors, memory then disk), counts them, and
-broadcasts only under a row bound; above it the caller's join stays a shuffle
-join (where AQE's skew split handles hot keys).
+Tables derived from the data (counts per cell, group -> fold, species
+dimensions) are joined without a hint: adaptive execution broadcasts a side
+whose measured bytes are under its limit and splits hot keys otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
-
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, buckets: int = 4096) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``key`` where ``left`` may hold many null keys.
@@ -36,3 +24,20 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, buckets:
     l2 = left.withColumn("_jk", lk)
     r2 = right.withColumn("_jk", F.col(key).cast("string")).drop(key)
     return l2.join(r2, "_jk", "left").drop("_jk")
+
+
+def prefix_lengths(names: DataFrame, col: str) -> list[int]:
+    """The distinct lengths of the names: at most as many as the longest name has characters."""
+    return sorted(r[0] for r in names.where(F.length(col) > 0).select(F.length(col)).distinct().collect())
+
+
+def join_by_prefix(df: DataFrame, names: DataFrame, col: str, name_col: str) -> DataFrame:
+    """Each row of ``df`` with every row of ``names`` whose ``name_col`` starts ``col``.
+
+    An equi-join: a row is repeated once per distinct name length that fits it,
+    with its prefix of that length as the key.
+    """
+    sizes = F.array(*[F.lit(n) for n in prefix_lengths(names, name_col)]).cast("array<int>")
+    at = df.withColumn("_n", F.explode(F.filter(sizes, lambda n: n <= F.length(col))))
+    key = F.substring(F.col(col), F.lit(1), F.col("_n"))
+    return at.withColumn("_key", key).join(names, F.col("_key") == F.col(name_col)).drop("_n", "_key")

@@ -67,14 +67,18 @@ def dedupe_source_key(df: DataFrame, order=ORDER) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, order=ORDER) -> DataFrame:
-    return dedupe_source_key(dedupe_filepath(df, order), order)
+    """First row per file path, then per (source, gbif_id). Both rules are decided on the narrow key columns;
+    the survivors' orders, which are unique, then pick the whole rows."""
+    narrow = df.select(*order, "filepath", "source", "gbif_id")
+    kept = dedupe_source_key(dedupe_filepath(narrow, order), order).select(*order)
+    return df.join(kept, list(order), "left_semi").select(*df.columns)
 
 
 def union_sources(parts: list[DataFrame]) -> DataFrame:
     """Concatenate source manifests in the given order, tagging ``src_ord``.
 
     Columns missing from a part become nulls. Parts must already carry a
-    ``row_ord``; ``sources.manifest.read_manifest`` adds one from the file
+    ``row_ord``; ``sources.readers.read_manifest`` adds one from the file
     offsets.
     """
     if not parts:

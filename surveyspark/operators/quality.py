@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.spatial import has_coords
 from ..functions.text import percent_text
 
 REQUIRED = ("filepath", "label", "region", "source")
@@ -53,7 +54,7 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
 
 
 def coordinate_coverage(df: DataFrame) -> DataFrame:
-    has = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    has = has_coords(F.col("latitude"), F.col("longitude"))
     return (df.agg(F.count_if(has).alias("rows_with_coordinates"),
                    F.count_if(~has).alias("rows_without_coordinates"),
                    F.count(F.lit(1)).alias("_n"))
@@ -113,7 +114,7 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
                    present_col: str | None = None) -> DataFrame:
     """One-row audit report (18 keys). Short form when required columns are missing.
 
-    ``listing`` is a file listing with a ``path`` column (``sources.files``);
+    ``listing`` is a file listing with a ``path`` column (``sources.readers.file_listing``);
     without one every path counts as present unless ``present_col`` names a
     boolean column already on ``df``.
     """
@@ -128,7 +129,7 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         "filepath", "label", "source",
         (F.col("group") if has_group else F.lit(None).cast("string")).alias("group"),
         (F.col("gbif_id") if "gbif_id" in df.columns else F.lit(None).cast("bigint")).alias("gbif_id"),
-        ((F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+        (has_coords(F.col("latitude"), F.col("longitude"))
          if {"latitude", "longitude"} <= set(df.columns) else F.lit(False)).alias("has_coords"))
     core = base
     if listing is not None:
@@ -198,13 +199,21 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         F.coalesce(F.try_divide(F.col("rows_without_coordinates"), n), F.lit(0.0)).alias("rows_without_coordinates_ratio"),
         F.coalesce(F.try_divide(F.col("_largest_group"), n), F.lit(0.0)).alias("largest_group_share"),
         "smallest_class_count",
-        F.map_from_entries("_class").alias("class_counts"),
-        F.map_from_entries("_source").alias("source_counts"),
-        F.map_from_entries(F.transform(F.array_sort("_top"), lambda s: F.struct(s["key"], s["value"]))).alias("top_groups"),
+        _count_map("_class").alias("class_counts"),
+        _count_map("_source").alias("source_counts"),
+        _count_map(F.transform(F.array_sort("_top"), lambda s: F.struct(s["key"], s["value"]))).alias("top_groups"),
     )
     return rep.withColumn("issues", issues_column())
 
 
+def _count_map(entries) -> F.Column:
+    """Entries as a map; a null key and a literal ``nan`` are one key and their counts add up."""
+    e = F.col(entries) if isinstance(entries, str) else entries
+    keys = F.array_distinct(F.transform(e, lambda x: x["key"]))
+    total = lambda k: F.aggregate(F.filter(e, lambda x: x["key"] == k), F.lit(0).cast("bigint"), lambda a, x: a + x["value"])
+    return F.map_from_arrays(keys, F.transform(keys, total))
+
+
 def audit_long(report: DataFrame) -> DataFrame:
     """Report row -> ``(metric, item, value)`` text rows (maps and lists exploded)."""
     scalars = ["n_rows", "n_classes", "n_sources", "n_groups", "missing_files", "duplicate_filepaths",

@@ -7,7 +7,9 @@ bin (a partial aggregation: at most ``bins`` rows per group leave each task),
 pick the bin holding the rank, and repeat inside it. A bin whose minimum equals
 its maximum ends the search, so a value repeated in a third of all rows costs
 nothing extra. Every level shrinks the range by ``bins``; a handful of levels
-separates any two doubles. The driver only sees a few rows per group per level.
+separates any two doubles, and the loop runs until all ranks are found. The
+scanned table is a narrow one, written once. The driver only sees a few rows
+per group per level. Infinities are counted apart from the finite values.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int = 4096,
-                   max_levels: int = 12) -> DataFrame:
+
+def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int = 4096) -> DataFrame:
     """``(keys..., n, quantile)`` with numpy's default (linear) interpolation; NaN and
     null values are ignored; groups without values get a null quantile."""
     user_keys = list(keys)
@@ -29,8 +32,13 @@ def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int =
     keys = user_keys or ["_g"]
     vals = (df.select(*keys, F.col(value_col).cast("double").alias("_v"))
               .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    stats = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                    F.max("_v").alias("hi")).collect()
+    vals = materialize(vals, "quantile")
+    inf = float("inf")
+    finite = F.when(F.abs("_v") < inf, F.col("_v"))
+    stats = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+                                    F.count_if(F.col("_v") == -inf).alias("low"),
+                                    F.count_if(F.col("_v") == inf).alias("high")).collect()
+    vals = vals.where(F.abs("_v") < inf)
     probes = []  # [key tuple, probe index, rank, lo, hi, value]
     for row in stats:
         k = tuple(row[c] for c in keys)
@@ -38,18 +46,19 @@ def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int =
         r0 = int(math.floor(pos))
         r1 = min(r0 + 1, row["n"] - 1)
         for p, r in ((0, r0), (1, r1)):
-            probes.append([k, p, r, row["lo"], row["hi"], row["lo"] if row["lo"] == row["hi"] else None])
+            known = -inf if r < row["low"] else inf if r >= row["n"] - row["high"] else (
+                row["lo"] if row["lo"] == row["hi"] else None)
+            probes.append([k, p, r - row["low"], row["lo"], row["hi"], known])
     key_schema = ", ".join(f"`{c}` {dict(vals.dtypes)[c]}" for c in keys)
     pschema = key_schema + ", _probe int, _rank long, _lo double, _hi double"
-    for _ in range(max_levels):
-        open_ = [p for p in probes if p[5] is None]
-        if not open_:
-            break
+    while open_ := [p for p in probes if p[5] is None]:
         pdf = spark.createDataFrame([(*p[0], p[1], p[2], p[3], p[4]) for p in open_], pschema)
         # a few rows per group: broadcast by construction
         j = vals.join(F.broadcast(pdf), keys, "inner")
         j = j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
+        width, half = F.col("_hi") - F.col("_lo"), F.col("_hi") / 2 - F.col("_lo") / 2  # a width may overflow
+        share = F.when(width < inf, (F.col("_v") - F.col("_lo")) / width).otherwise((F.col("_v") / 2 - F.col("_lo") / 2) / half)
+        b = F.least(F.floor(share * bins),
                     F.lit(bins - 1)).cast("int")
         counts = j.groupBy(*keys, "_probe", "_rank", b.alias("_bin")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
@@ -70,7 +79,7 @@ def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int =
         v1 = next(p[5] for p in probes if p[0] == k and p[1] == 1)
         pos = q * (row["n"] - 1)
         frac = pos - math.floor(pos)
-        out[k] = (row["n"], v0 + frac * (v1 - v0))
+        out[k] = (row["n"], v0 if v0 == v1 or not frac else v0 + frac * (v1 - v0))
     rows = [(*k, n, v) for k, (n, v) in out.items()]
     res = spark.createDataFrame(rows, key_schema + ", n long, quantile double")
     return res if user_keys else res.drop("_g")

@@ -3,10 +3,9 @@
 Plan shape: one partial (map-side combined) grouping-sets aggregation over
 the two key columns gives the cell and district sizes; they are joined back
 to the rows on their keys. The count table is bounded by geography (at most
-one row per 0.2-degree cell and one per district); it is broadcast after a
-row-count check (``joins.checked_broadcast``), so the rows are never shuffled
-for the join. Above the bound the join stays a shuffle join and AQE's
-skew-join split takes care of hot cells (metro areas, ``no_coords``). A
+one row per 0.2-degree cell and one per district): adaptive execution
+broadcasts it when its bytes allow it, and splits hot cells (metro areas,
+``no_coords``) when they do not. A
 window ``count() over (partition by cell)`` is avoided on purpose: it would
 put every row of a hot cell into one task.
 """
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.spatial import grid_cell, has_coords
-from .joins import checked_broadcast
 
 
 def macro_map_df(spark: SparkSession, entries=None) -> DataFrame:
@@ -36,16 +34,15 @@ def _level_counts(df: DataFrame, macro_map: DataFrame, grid_col: str, district_c
     """Grid-cell sizes and district sizes (with each district's macro-region) from ONE
     narrow pass: grouping sets over the two key columns only, combined map-side.
     The macro map is joined to the district counts (small to small), so the rows
-    need a single size-checked broadcast table. Null keys are not counted (a null
+    need a single small table. Null keys are not counted (a null
     region has size 0 and falls through to the macro level)."""
     both = (df.select(grid_col, district_col)
               .groupingSets([[grid_col], [district_col]], grid_col, district_col)
               .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id(grid_col, district_col).alias("_gid")))
     mm = (macro_map.select(F.col("district").alias("_mm_district"), F.col("macro").alias("_mm_macro"))
           .dropDuplicates(["_mm_district"]))
-    levels = checked_broadcast(
-        both.join(mm, (F.col("_gid") == 2) & (F.col(district_col) == F.col("_mm_district")), "left")
-            .drop("_mm_district"))
+    levels = both.join(mm, (F.col("_gid") == 2) & (F.col(district_col) == F.col("_mm_district")), "left") \
+                 .drop("_mm_district")
     gc = levels.where((F.col("_gid") == 1) & F.col(grid_col).isNotNull()) \
                .select(grid_col, F.col("_n").alias("_grid_n"))
     dc = levels.where((F.col("_gid") == 2) & F.col(district_col).isNotNull()) \

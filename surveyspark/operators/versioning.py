@@ -70,17 +70,28 @@ def file_checksums(files: DataFrame) -> DataFrame:
 
 
 def version_record(df: DataFrame, description: str = "", checksums: DataFrame | None = None,
-                   ts: float | None = None) -> DataFrame:
-    """One-row version record: time, description, content hash, size, file checksums."""
+                   ts: float | None = None, label_col="label", source_col="source", group_col="group") -> DataFrame:
+    """One-row version record: time, description, content hash, sizes, the table's profile and, where given,
+    the files' checksums in one digest.
+
+    ``profile`` holds the rows of :func:`table_profile` (one per class and source). The files' digest is a sum
+    over all files, so it changes with any of them; their number is kept beside it.
+    """
     rec = content_hash(df).select(
         F.lit(float(ts if ts is not None else time.time())).alias("timestamp"),
         F.lit(description).alias("description"), "n_rows", "hash_sum",
         F.lit(len(df.columns)).alias("n_columns"))
-    md5 = sha = None
-    if checksums is not None:
-        first = checksums.select("md5", "sha256").first()  # the manifest file's own checksums: one row
-        md5, sha = (first["md5"], first["sha256"]) if first else (None, None)
-    return rec.withColumns({"md5": F.lit(md5).cast("string"), "sha256": F.lit(sha).cast("string")})
+    profile = table_profile(df, label_col, source_col, group_col).agg(
+        F.sort_array(F.collect_list(F.struct("key", "item", "value"))).alias("profile"))
+    out = rec.select("*", F.lit(0).alias("_k")).join(profile.select("*", F.lit(0).alias("_k")), "_k")
+    if checksums is None:
+        return out.drop("_k").withColumns({"n_files": F.lit(None).cast("bigint"), "md5": F.lit(None).cast("string"),
+                                           "sha256": F.lit(None).cast("string")})
+    path = [c for c in checksums.columns if c == "path"]
+    files = content_hash(checksums.select(*path, "md5")).select("n_rows", F.col("hash_sum").alias("md5"))
+    files = files.select(F.col("n_rows").alias("n_files"), "md5", F.lit(0).alias("_k"))
+    sha = content_hash(checksums.select(*path, "sha256")).select(F.col("hash_sum").alias("sha256"), F.lit(0).alias("_k"))
+    return out.join(files, "_k").join(sha, "_k").drop("_k")
 
 
 def save_version(record: DataFrame, path: str) -> None:
@@ -89,23 +100,43 @@ def save_version(record: DataFrame, path: str) -> None:
 
 
 def load_latest(spark: SparkSession, path: str):
-    """Latest version row, or None when no version was saved."""
-    try:
-        v = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent table means no saved version
+    """Latest version row, or None when there is no versions table; a table that cannot be read is an error."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(conf).exists(at):
         return None
+    v = spark.read.parquet(path)
     row = v.agg(F.max_by(F.struct(*v.columns), "timestamp").alias("v")).first()
     return row["v"] if row and row["v"] is not None else None
 
 
+def saved_profile(spark: SparkSession, path: str) -> DataFrame:
+    """``(key, item, value)`` of the latest saved version; no rows when there is none."""
+    latest = load_latest(spark, path)
+    rows = [tuple(r) for r in latest["profile"]] if latest is not None else []
+    return spark.createDataFrame(rows, "key string, item string, value string")
+
+
+def drift_from_saved(df: DataFrame, path: str, **columns) -> DataFrame | None:
+    """Drift of ``df`` against the latest saved version; None when no version was saved."""
+    spark = df.sparkSession
+    if load_latest(spark, path) is None:
+        return None
+    return detect_drift(saved_profile(spark, path), table_profile(df, **columns))
+
+
 def verify(current: DataFrame, spark: SparkSession, path: str):
-    """``(matches, message)`` against the latest saved version; no saved version is a match."""
+    """``(matches, message)`` against the latest saved version; no saved version is a match. The content is
+    always compared, files where both versions have their checksums."""
     latest = load_latest(spark, path)
     if latest is None:
         return True, None
     cur = current.first()
-    if cur["md5"] != latest["md5"]:
-        return False, "MD5 mismatch — manifest file has changed"
-    if cur["sha256"] != latest["sha256"]:
-        return False, "SHA256 mismatch — manifest file has changed"
+    if (cur["n_rows"], cur["hash_sum"]) != (latest["n_rows"], latest["hash_sum"]):
+        return False, f"content mismatch: {latest['n_rows']} rows saved, {cur['n_rows']} now"
+    if cur["n_files"] is not None and latest["n_files"] is not None:
+        if cur["md5"] != latest["md5"]:
+            return False, "MD5 mismatch — manifest file has changed"
+        if cur["sha256"] != latest["sha256"]:
+            return False, "SHA256 mismatch — manifest file has changed"
     return True, None

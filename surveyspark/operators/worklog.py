@@ -32,12 +32,12 @@ def retry_schedule(log: DataFrame, initial: float = config.RETRY_INITIAL, factor
     back-off delay ``min(initial * factor^(failures-1), max_delay)`` and the next
     attempt time; urls out of attempts are dropped."""
     per_url = log.groupBy("url").agg(
-        F.max(F.when(F.col("status") == "success", F.col("ts"))).alias("last_ok"),
+        F.max(F.when(F.col("status") == "success", F.struct("ts", "attempt_id"))).alias("last_ok"),
         F.max_by("status", F.struct("ts", "attempt_id")).alias("last_status"),
         F.max("ts").alias("last_ts"))
     failing = per_url.where(F.col("last_status") == "failed")
     fails = (log.where(F.col("status") == "failed").join(failing, "url")
-                .where(F.col("last_ok").isNull() | (F.col("ts") > F.col("last_ok")))
+                .where(F.col("last_ok").isNull() | (F.struct("ts", "attempt_id") > F.col("last_ok")))
                 .groupBy("url", "last_ts").agg(F.count(F.lit(1)).alias("n_failures")))
     delay = F.least(F.lit(initial) * F.pow(F.lit(factor), F.col("n_failures") - 1), F.lit(max_delay))
     return (fails.where(F.col("n_failures") < max_attempts)
@@ -52,10 +52,10 @@ def _epoch_seconds(ts) -> F.Column:
 
 
 def pending_items(work: DataFrame, log: DataFrame) -> DataFrame:
-    """Work items not yet done: no successful download with the expected
-    checksum, or an empty file on disk."""
+    """Work items not yet done: an empty file on disk, or an expected checksum that no successful download
+    has. An item without an expected checksum is done when its file is there and not empty."""
     done = (log.where((F.col("status") == "success") & F.col("md5").isNotNull())
                .select(F.col("url").alias("_url"), F.col("md5").alias("_md5")).distinct())
-    cond = ((work["url"] == done["_url"]) & (work["expected_md5"] == done["_md5"])
-            & (work["bytes_on_disk"] > 0))
-    return work.join(done, cond, "left_anti")
+    there = F.coalesce(F.col("bytes_on_disk") > 0, F.lit(False))
+    asked = work.where(~there | F.col("expected_md5").isNotNull())
+    return asked.join(done, (asked["url"] == done["_url"]) & (asked["expected_md5"] == done["_md5"]) & there, "left_anti")

@@ -38,7 +38,7 @@ _view("occ", """
 select c_custkey as occ_id,
        concat('img/', c_mktsegment, '/', c_name, '.jpg') as filepath,
        c_mktsegment as label, n_name as region, r_name as source,
-       case when c_custkey % 13 = 0 then null
+       case when c_custkey % 13 = 0 then null when c_custkey % 97 = 1 then cast('NaN' as double)
             when c_custkey % 10 < 6 then 38.5e0 + (c_custkey * 7919 % 700) / 1000e0
             else 37.0e0 + (c_custkey * 7919 % 5000) / 1000e0 end as latitude,
        case when c_custkey % 13 = 0 then null
@@ -87,16 +87,19 @@ _view("classes", """
 select distinct c_mktsegment as class_name from customer
 """)
 
-# Scoring input: 10 logits per row from the embeddings, null array on every 50th
+# Scoring input: 10 logits per row, each the sum of every tenth value of the embedding; null array on every 50th
 _view("logits", """
 select vec_id as row_id, label,
        case when vec_id % 50 = 0 then cast(null as array<double>)
-            else transform(slice(embedding, 1, 10), x -> cast(x as double) * 20e0) end as logits
+            else transform(sequence(0, 9), b -> aggregate(filter(embedding, (x, i) -> i % 10 = b), 0e0,
+                   (a, x) -> a + cast(x as double)) * 8e0) end as logits
 from embeddings
 """, duck="""
 select vec_id as row_id, label,
        case when vec_id % 50 = 0 then null
-            else list_transform(embedding[1:10], lambda x: cast(x as double) * 20e0) end as logits
+            else list_transform(range(0, 10), lambda b: list_sum(list_transform(list_filter(
+                   range(0, len(embedding)), lambda i: i % 10 = b), lambda i: cast(embedding[i + 1] as double))) * 8e0)
+            end as logits
 from embeddings
 """)
 
@@ -155,13 +158,13 @@ select concat('https://img.example.org/u/', cast(user_id as string)) as url,
        concat('data_raw/u/', cast(user_id as string), '.jpg') as filepath,
        case when event_type = 'error' then null else md5(props) end as md5,
        case when event_type = 'error' then concat('HTTP ', cast(500 + event_id % 4 as string)) end as error
-from events where event_type in ('error', 'click', 'purchase')
+from events
 """)
 
 # Work list: every url we want, with the checksum we expect and the size on disk
 _view("work_list", """
 select concat('https://img.example.org/u/', cast(user_id as string)) as url,
-       max(md5(props)) as expected_md5,
+       case when user_id % 11 = 0 then null else max(md5(props)) end as expected_md5,
        cast(floor(min(value) * 100) as bigint) as bytes_on_disk
 from events group by user_id
 """)

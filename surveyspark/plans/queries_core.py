@@ -18,7 +18,7 @@ _GRID = duck_grid_cell("latitude", "longitude")
 
 _GROUPED_SQL = f"""
 cells as (
-  select *, case when latitude is not null and longitude is not null then {_GRID}
+  select *, case when latitude is not null and longitude is not null and not isnan(latitude) and not isnan(longitude) then {_GRID}
                  else 'no_coords' end as grid_cell
   from {{src}}
 ),
@@ -26,7 +26,7 @@ gc as (select grid_cell, count(*) as n from cells where grid_cell is not null gr
 dc as (select region, count(*) as n from cells where region is not null group by region),
 grouped as (
   select cells.*,
-         case when cells.latitude is null or cells.longitude is null
+         case when cells.latitude is null or cells.longitude is null or isnan(cells.latitude) or isnan(cells.longitude)
                 then 'no_coords:' || coalesce(cast(cells.source as varchar), 'nan') || ':'
                      || coalesce(cast(cells.region as varchar), 'nan')
               when coalesce(gc.n, 0) >= {MIN_GRID} then 'grid:' || cells.grid_cell
@@ -54,11 +54,10 @@ def occ_grouped(spark, sf):
 # --- F1 / W5 / W6 / J1 / J7 ------------------------------------------------------
 
 @query("grid_cell", oracle(["occ"], f"""
-select occ_id, {_GRID} as grid_cell from occ where latitude is not null and longitude is not null
+select occ_id, {_GRID} as grid_cell from occ where latitude is not null and longitude is not null and not isnan(latitude) and not isnan(longitude)
 """))
 def q_grid_cell(spark, sf):
-    occ = view(spark, sf, "occ").where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return spatial.assign_grid_cell(occ).select("occ_id", "grid_cell")
+    return spatial.assign_grid_cell(view(spark, sf, "occ")).where("grid_cell is not null").select("occ_id", "grid_cell")
 
 
 @query("group_with_no_coords", oracle(["occ", "macro_map"], """

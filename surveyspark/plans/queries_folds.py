@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ..operators import folds
 from .fixtures import oracle
-from .queries_quality import _FIX, _MERGED_CTES, merged
+from .queries_quality import _FIX, _MERGED_CTES, merged, merged_table
 from .registry import query
 
 F_ = 5
@@ -18,12 +18,12 @@ gp as (select gs.*, row_number() over (partition by gs.dom order by size desc, "
        from gs join dr using (dom)),
 gf as (select "group", cast(case when pos % {2 * F_} < {F_} then pos % {2 * F_}
                                  else {2 * F_ - 1} - pos % {2 * F_} end as integer) as fold from gp),
-assigned as (select grouped.*, gf.fold from grouped join gf using ("group"))
+assigned as (select grouped.*, gf.fold from grouped left join gf on grouped."group" is not distinct from gf."group")
 """
 
 
 def assigned(spark, sf):
-    return folds.assign_folds(merged(spark, sf), F_)
+    return folds.assign_folds(merged_table(spark, sf), F_)
 
 
 @query("group_label_hist", oracle(_FIX, 'select "group", label, n from hist', _FOLD_CTES))
@@ -40,7 +40,7 @@ def q_assign_folds(spark, sf):
 select fold, count(*) as n, count(*) / sum(count(*)) over () as share from assigned group by fold
 """, _FOLD_CTES))
 def q_fold_sizes(spark, sf):
-    return folds.fold_sizes(assigned(spark, sf))
+    return folds.fold_sizes(folds.fold_hist(merged(spark, sf), F_))
 
 
 @query("fold_leakage", oracle(_FIX, f"""
@@ -53,7 +53,7 @@ from (select range::integer as fold from range(0, {F_})) k, assigned a
 group by k.fold
 """, _FOLD_CTES))
 def q_fold_leakage(spark, sf):
-    return folds.fold_leakage(assigned(spark, sf), F_)
+    return folds.fold_leakage(folds.fold_hist(merged(spark, sf), F_), F_)
 
 
 @query("choose_n_folds", oracle(_FIX, """

@@ -35,7 +35,7 @@ def q_map_columns(spark, sf):
 @query("occurrence_to_manifest", oracle(["occ_dwc"], f"""
 select 'gbif://' || coalesce(gbifID, '') as filepath, trim(scientificName) as label, 'gbif' as source,
        coalesce(stateProvince, 'unknown') as region, decimalLatitude as latitude, decimalLongitude as longitude,
-       coalesce(stateProvince, 'unknown') || '_' || cast(coalesce(cast(trunc(decimalLatitude) as integer), 0) as varchar)
+       coalesce(stateProvince, 'unknown') || '_' || cast(coalesce(cast(trunc(case when isnan(decimalLatitude) then null else decimalLatitude end) as integer), 0) as varchar)
          as "group",
        case when trim(scientificName) in {_sql_list(INVASIVE)} then 'invasive' else 'native' end as status
 from occ_dwc where trim(scientificName) <> ''
@@ -82,7 +82,7 @@ def q_filter_conjunction(spark, sf):
 
 @query("filter_complete", oracle(["occ_dwc"], """
 select gbifID from occ_dwc
-where associatedMedia is not null and decimalLatitude is not null and decimalLongitude is not null
+where associatedMedia is not null and decimalLatitude is not null and not isnan(decimalLatitude) and decimalLongitude is not null
 """))
 def q_filter_complete(spark, sf):
     return ingest.filter_complete(dwc(spark, sf), ["associatedMedia", "decimalLatitude",
@@ -122,7 +122,7 @@ def q_region_fallback(spark, sf):
 
 @query("coarse_group", oracle(["occ_dwc"], """
 select gbifID, coalesce(stateProvince, 'unknown') || '_'
-       || cast(coalesce(cast(trunc(decimalLatitude) as integer), 0) as varchar) as "group"
+       || cast(coalesce(cast(trunc(case when isnan(decimalLatitude) then null else decimalLatitude end) as integer), 0) as varchar) as "group"
 from occ_dwc
 """))
 def q_coarse_group(spark, sf):
@@ -280,7 +280,7 @@ select sp.species, coalesce(sum(c.total), 0)::bigint as total_records,
 from {_SPECIES_VALUES}
 left join (select scientificName, count(*) as total,
                   count(*) filter (where mediaType = 'StillImage') as with_image,
-                  count(*) filter (where decimalLatitude is not null and decimalLongitude is not null) as with_coords
+                  count(*) filter (where decimalLatitude is not null and not isnan(decimalLatitude) and decimalLongitude is not null) as with_coords
            from occ_dwc where countryCode = 'PT' group by 1) c on starts_with(c.scientificName, sp.species)
 group by sp.species
 """))

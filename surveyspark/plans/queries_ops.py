@@ -35,12 +35,12 @@ select url, n_failures, least(1e0 * pow(2e0, n_failures - 1), 60e0) as delay_s,
 from fails where n_failures < 5
 """, """
 per_url as (
-  select url, max(ts) filter (where status = 'success') as last_ok,
+  select url, max({'ts': ts, 'a': attempt_id}) filter (where status = 'success') as last_ok,
          arg_max(status, (ts, attempt_id)) as last_status, max(ts) as last_ts
   from status_log group by url),
 fails as (
   select l.url, p.last_ts, count(*) as n_failures from status_log l join per_url p using (url)
-  where p.last_status = 'failed' and l.status = 'failed' and (p.last_ok is null or l.ts > p.last_ok)
+  where p.last_status = 'failed' and l.status = 'failed' and (p.last_ok is null or {'ts': l.ts, 'a': l.attempt_id} > p.last_ok)
   group by l.url, p.last_ts)
 """))
 def q_retry_schedule(spark, sf):
@@ -50,8 +50,8 @@ def q_retry_schedule(spark, sf):
 
 @query("pending_items", oracle(["work_list", "status_log"], """
 select url, expected_md5, bytes_on_disk from work_list w
-where not exists (select 1 from status_log s where s.status = 'success' and s.md5 is not null
-                  and s.url = w.url and s.md5 = w.expected_md5 and w.bytes_on_disk > 0)
+where coalesce(bytes_on_disk, 0) <= 0 or (expected_md5 is not null and not exists (
+  select 1 from status_log s where s.status = 'success' and s.md5 is not null and s.url = w.url and s.md5 = w.expected_md5))
 """))
 def q_pending_items(spark, sf):
     return worklog.pending_items(view(spark, sf, "work_list"), view(spark, sf, "status_log"))

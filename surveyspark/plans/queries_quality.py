@@ -17,31 +17,47 @@ _MERGED_CTES = _MERGE_CTES + "," + grouped_sql("w2")
 _FIX = ["occ_parts", "macro_map"]
 
 
+def normalized(spark, sf):
+    """All rows with canonical paths: enough for duplicate counts."""
+    return merge.normalize_paths(view(spark, sf, "occ_parts"), ROOT)
+
+
+def deduplicated(spark, sf):
+    """The merged rows before spatial grouping: enough wherever the group is not asked for."""
+    return merge.deduplicate(normalized(spark, sf))
+
+
 def audited(spark, sf):
-    norm = merge.normalize_paths(view(spark, sf, "occ_parts"), ROOT)
-    return materialize(spatial.group_with_no_coords(norm, view(spark, sf, "macro_map"),
+    """Written once: the audit reads it in several passes."""
+    return materialize(spatial.group_with_no_coords(normalized(spark, sf), view(spark, sf, "macro_map"),
                                                     min_grid=MIN_GRID, min_district=MIN_DISTRICT), "audited")
 
 
 def merged(spark, sf):
-    """The merged manifest, written once as a table: every downstream branch
-    (audit fan-out, histogram, fold join) scans it instead of re-merging."""
-    return materialize(merge.merge_manifests(view(spark, sf, "occ_parts"), view(spark, sf, "macro_map"), ROOT,
-                                             min_grid=MIN_GRID, min_district=MIN_DISTRICT), "merged")
+    """The merged manifest, lazy."""
+    return merge.merge_manifests(view(spark, sf, "occ_parts"), view(spark, sf, "macro_map"), ROOT,
+                                 min_grid=MIN_GRID, min_district=MIN_DISTRICT)
+
+
+def merged_table(spark, sf):
+    """The merged manifest written once, for the fold join, whose histogram and rows both read it. Rows are
+    deduplicated and written before grouping, so the merge runs once."""
+    rows = materialize(deduplicated(spark, sf), "deduplicated")
+    return spatial.group_with_no_coords(rows, view(spark, sf, "macro_map"), min_grid=MIN_GRID, min_district=MIN_DISTRICT)
 
 
 @query("value_counts", oracle(_FIX, """
 select coalesce(cast(gbif_id as varchar), 'nan') as value, count(*) as n from grouped group by 1
 """, _MERGED_CTES))
 def q_value_counts(spark, sf):
-    return quality.value_counts(merged(spark, sf), "gbif_id", keep_null=True)
+    return quality.value_counts(deduplicated(spark, sf), "gbif_id", keep_null=True)
 
 
 @query("value_counts_nonnull", oracle(_FIX, """
 select cast(gbif_id as varchar) as value, count(*) as n from grouped where gbif_id is not null group by 1
 """, _MERGED_CTES))
 def q_value_counts_nonnull(spark, sf):
-    return quality.value_counts(merged(spark, sf), "gbif_id", keep_null=False)
+    return quality.value_counts(deduplicated(spark, sf), "gbif_id", keep_null=False)
 
 
 @query("distinct_counts", oracle(_FIX, """
@@ -59,18 +75,18 @@ select (select coalesce(sum(n - 1), 0) from (select filepath, count(*) as n from
           where source is not null and gbif_id is not null group by 1, 2))::bigint as duplicate_source_gbif
 """, _AUDIT_CTES))
 def q_duplicate_counts(spark, sf):
-    return quality.duplicate_counts(audited(spark, sf))
+    return quality.duplicate_counts(normalized(spark, sf))
 
 
 @query("coordinate_coverage", oracle(_FIX, """
-select count(*) filter (where latitude is not null and longitude is not null) as rows_with_coordinates,
-       count(*) filter (where latitude is null or longitude is null) as rows_without_coordinates,
-       coalesce((count(*) filter (where latitude is null or longitude is null)) / count(*), 0e0)
+select count(*) filter (where not no_xy) as rows_with_coordinates,
+       count(*) filter (where no_xy) as rows_without_coordinates,
+       coalesce((count(*) filter (where no_xy)) / count(*), 0e0)
          as rows_without_coordinates_ratio
-from grouped
+from (select latitude is null or longitude is null or isnan(latitude) or isnan(longitude) as no_xy from grouped)
 """, _MERGED_CTES))
 def q_coordinate_coverage(spark, sf):
-    return quality.coordinate_coverage(merged(spark, sf))
+    return quality.coordinate_coverage(deduplicated(spark, sf))
 
 
 @query("group_balance", oracle(_FIX, """
@@ -94,13 +110,13 @@ select occ_id, src_ord, filepath from grouped
 where filepath not in (select path from file_listing)
 """, _MERGED_CTES))
 def q_missing_files(spark, sf):
-    return (quality.missing_files(merged(spark, sf), view(spark, sf, "file_listing"))
+    return (quality.missing_files(deduplicated(spark, sf), view(spark, sf, "file_listing"))
             .select("occ_id", "src_ord", "filepath"))
 
 
 _REPORT_CTES = _AUDIT_CTES + """,
 a as (
-  select g.*, (g.latitude is not null and g.longitude is not null) as has_coords,
+  select g.*, (g.latitude is not null and g.longitude is not null and not isnan(g.latitude) and not isnan(g.longitude)) as has_coords,
          l.path is not null as present
   from grouped g left join (select distinct path from file_listing) l on g.filepath = l.path
 ),

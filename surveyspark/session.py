@@ -40,12 +40,15 @@ def get_spark(master: str | None = None, app: str = "surveyspark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) a fresh local folder
-    is created and recorded in the session, so later calls agree.
+    Only when a local session leaves it unset (tests) a fresh local folder is
+    created and recorded in the session, so later calls agree; on a cluster a
+    machine's own folder would not be seen by the others, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         d = tempfile.mkdtemp(prefix="surveyspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     return d
@@ -66,16 +69,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Used where a pipeline artifact (the merged manifest) feeds several branches
-    of one plan: the branches then scan a column-pruned table instead of each
-    re-deriving the merge, and the lineage is cut at a point that survives lost
-    executors (unlike a local checkpoint).
+    Used only where one artifact feeds several branches (the audit, the fold
+    join): the branches then scan a column-pruned table instead of each
+    re-deriving it, and the lineage is cut at a point that survives lost
+    executors (unlike a local checkpoint). The files go with the session's end.
     """
     import uuid
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(conf).deleteOnExit(at)
     return spark.read.parquet(path)
 
 

@@ -9,14 +9,15 @@ million images never loads a byte of image data.
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
-from ..functions.text import normalize_id, species_from_dirname
+from ..functions.spatial import has_coords
+from ..functions.text import normalize_id, normalize_path, resolve_path, species_from_dirname
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("filepath", T.StringType()), T.StructField("label", T.StringType()),
@@ -37,6 +38,8 @@ MEDIA_TYPE = T.ArrayType(T.StructType([T.StructField("type", T.StringType()),
                                        T.StructField("identifier", T.StringType())]))
 OCCURRENCE_JSON_SCHEMA = T.StructType(OCCURRENCE_SCHEMA.fields + [T.StructField("media", MEDIA_TYPE)])
 
+#: Columns of a mapping file in JSON (a list of objects); other keys are not read.
+MAPPING_SCHEMA = "species string, image_url string, url string, filename string, gbif_id string, `set` string, repos string"
 PREDICTION_SCHEMA = "row_id bigint, label int, pred int, confidence double, logits array<double>"
 
 
@@ -50,15 +53,26 @@ def with_row_ord(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("pos")))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark reads exists."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_manifest(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
     """Manifest CSV with header; every optional column present (null when absent);
-    ``gbif_id`` normalised from ``123`` / ``123.0`` to bigint."""
+    ``gbif_id`` normalised from ``123`` / ``123.0`` to bigint. A number that cannot be read is null, and its
+    text is kept in ``_rejected`` (``column=text``)."""
     raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     present = set(raw.columns)
-    cols = [(F.col(f"`{f.name}`").cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
+    cols = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
             .alias(f.name) for f in MANIFEST_SCHEMA.fields if f.name != "gbif_id"]
     gid = normalize_id(F.col("gbif_id")) if "gbif_id" in present else F.lit(None).cast("bigint")
-    df = raw.select(*cols, gid.alias("gbif_id"), F.col("_metadata"))
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+                  F.concat(F.lit(f"{f.name}="), F.col(f"`{f.name}`")))
+           for f in MANIFEST_SCHEMA.fields if f.name in present and f.dataType != T.StringType()]
+    rejected = F.nullif(F.concat_ws("; ", *bad), F.lit("")) if bad else F.lit(None).cast("string")
+    df = raw.select(*cols, gid.alias("gbif_id"), rejected.alias("_rejected"), F.col("_metadata"))
     if with_order:
         df = with_row_ord(df)
     return df.drop("_metadata")
@@ -66,18 +80,28 @@ def read_manifest(spark: SparkSession, path: str, with_order: bool = True) -> Da
 
 def read_manifests(spark: SparkSession, manifest_dir: str, names=config.MANIFEST_SOURCES) -> list[DataFrame]:
     """The source manifests that exist, in merge order (``src_ord`` added by the merge)."""
-    parts = [read_manifest(spark, os.path.join(manifest_dir, n)) for n in names
-             if os.path.exists(os.path.join(manifest_dir, n))]
+    paths = [f"{manifest_dir.rstrip('/')}/{n}" for n in names]
+    parts = [read_manifest(spark, p) for p in paths if path_exists(spark, p)]
     if not parts:
         raise FileNotFoundError(f"No manifest CSVs found in {manifest_dir}.")
     return parts
 
 
 def read_occurrences(spark: SparkSession, path: str) -> DataFrame:
-    """Darwin Core occurrence TSV; malformed lines land in ``_corrupt_record`` instead of failing."""
-    schema = T.StructType(OCCURRENCE_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
-    return (spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
+    """Darwin Core occurrence TSV by its header names, whatever their order and whatever other columns there
+    are; absent columns are null, ``id`` stands in for an absent ``gbifID``. Numbers that cannot be read are null,
+    their text is kept in ``_rejected``."""
+    raw = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    names = set(raw.columns)
+    text = lambda c: F.col(f"`{c}`") if c in names else F.lit(None).cast("string")
+    cols, bad = [text("id").alias("id")], []
+    for f in OCCURRENCE_SCHEMA.fields:
+        value = text("id") if f.name == "gbifID" and "gbifID" not in names else text(f.name)
+        if f.dataType != T.StringType():
+            bad.append(F.when(value.isNotNull() & value.try_cast(f.dataType).isNull(), F.concat(F.lit(f"{f.name}="), value)))
+            value = value.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+    return raw.select(*cols, F.nullif(F.concat_ws("; ", *bad), F.lit("")).alias("_rejected"))
 
 
 def read_occurrences_json(spark: SparkSession, path: str) -> DataFrame:
@@ -89,30 +113,36 @@ def fetch_occurrences(dump: DataFrame, species: str, dataset_key: str, country:
     and a still image (predicates pushed to the scan where the format allows)."""
     has_image = F.exists(F.col("media"), lambda m: m["type"] == "StillImage")
     return dump.where((F.col("scientificName") == species) & (F.col("datasetKey") == dataset_key)
-                      & (F.col("countryCode") == country) & F.col("decimalLatitude").isNotNull()
-                      & F.col("decimalLongitude").isNotNull() & F.coalesce(has_image, F.lit(False)))
+                      & (F.col("countryCode") == country) & has_coords(F.col("decimalLatitude"), F.col("decimalLongitude"))
+                      & F.coalesce(has_image, F.lit(False)))
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Mapping file reader chosen by extension: ``.json``, ``.tsv``, else CSV."""
     if path.endswith(".json"):
-        return spark.read.option("multiLine", True).json(path)
+        return spark.read.json(path, multiLine=True, schema=MAPPING_SCHEMA)
     sep = "\t" if path.endswith(".tsv") else ","
     return spark.read.option("header", True).option("sep", sep).csv(path)
 
 
 def scan_image_tree(spark: SparkSession, root: str, source: str,
-                    exts=config.IMAGE_EXTENSIONS) -> DataFrame:
-    """``<root>/<Species_Name>/<file>`` -> manifest rows: label from the parent
-    folder, image extensions only (case-insensitive), region ``Unknown``."""
+                    exts=config.IMAGE_EXTENSIONS, project: str | None = None) -> DataFrame:
+    """``<root>/<Species_Name>/<file>`` -> manifest rows: exactly one level below ``root``, label from the
+    folder, image extensions only (case-insensitive), region ``Unknown``; paths relative to ``project``
+    (default: the folder that holds ``root``), as the other manifests write them. ``row_ord`` is the path,
+    so rows are in path order."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
              .select("path", "length", "modificationTime"))
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
-    return (files.where(ext.isin([e.lower() for e in exts]))
-                 .select(F.col("path").alias("filepath"),
-                         species_from_dirname(F.element_at(F.split("path", "/"), -2)).alias("label"),
+    plain = lambda p: re.sub(r"^file:/+", "/", p).rstrip("/")
+    top = plain(root)
+    full = F.regexp_replace("path", "^file:/+", "/")
+    below = F.split(F.substring(full, F.instr(full, top) + len(top) + 1, F.length(full)), "/")
+    path = normalize_path(full, plain(project) if project else top.rsplit("/", 1)[0])
+    return (files.where(ext.isin([e.lower() for e in exts]) & (F.size(below) == 2))
+                 .select(path.alias("filepath"), species_from_dirname(F.get(below, 0)).alias("label"),
                          F.lit("Unknown").alias("region"), F.lit(source).alias("source"), "length",
-                         "modificationTime"))
+                         "modificationTime", path.alias("row_ord")))
 
 
 def scan_survey_folder(spark: SparkSession, folder: str, glob: str = config.SURVEY_GLOB) -> DataFrame:
@@ -128,15 +158,19 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_results(spark: SparkSession, path_glob: str, schema=None) -> DataFrame:
-    """Rows of the newest results CSV (by file modification time)."""
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path_glob).withColumn("_file", F.col("_metadata.file_path")) \
-        .withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    newest = df.agg(F.max_by("_file", "_mtime").alias("_file"))
-    # newest is a global aggregate: exactly one row
-    return df.join(F.broadcast(newest), "_file", "left_semi").drop("_file", "_mtime")
+    """Rows of the newest results CSV (by file modification time), found from the listing alone. With a
+    ``schema`` its columns are taken by header name; absent ones are null."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+             .load(path_glob).select("path", "modificationTime"))
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
+    if newest is None:
+        raise FileNotFoundError(f"No results CSV at {path_glob}.")
+    df = spark.read.option("header", True).csv(newest)
+    if schema is None:
+        return df
+    want = spark.createDataFrame([], schema).schema
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+                       .alias(f.name) for f in want.fields])
 
 
 def write_predictions(df: DataFrame, path: str, model: str, fold: int) -> None:
@@ -165,10 +199,10 @@ def read_classes(spark: SparkSession, metrics_json: str) -> list[str]:
 
 
 def validate_images(spark: SparkSession, paths: DataFrame, root: str,
-                    min_bytes: int = config.MIN_IMAGE_BYTES) -> DataFrame:
+                    min_bytes: int = config.MIN_IMAGE_BYTES, project: str | None = None) -> DataFrame:
     """Per manifest path: exists, at least ``min_bytes``, decodes; ``reason`` when not.
 
-    ``paths`` has a ``path`` column (absolute, as the file listing reports it).
+    ``paths`` has a ``path`` column, absolute or relative to ``project`` (default: the folder that holds ``root``).
     Existence and size come from the ``binaryFile`` listing; decodability from
     the ``image`` source with invalid images kept (height -1).
     """
@@ -179,8 +213,10 @@ def validate_images(spark: SparkSession, paths: DataFrame, root: str,
     decoded = (spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
                .load(root).select(local(F.col("image.origin")).alias("_o"),
                                   (F.col("image.height") >= 0).alias("decodes")))
-    j = (paths.join(listing, local(paths["path"]) == listing["_p"], "left")
-              .join(decoded, local(F.col("path")) == F.col("_o"), "left"))
+    base = project or root.rstrip("/").rsplit("/", 1)[0]
+    full = local(F.when(F.col("path").startswith("file:"), F.col("path")).otherwise(resolve_path(F.col("path"), base)))
+    j = (paths.withColumn("_full", full).join(listing, F.col("_full") == F.col("_p"), "left")
+              .join(decoded, F.col("_full") == F.col("_o"), "left"))
     reason = (F.when(F.col("_p").isNull(), F.lit("missing"))
                .when(F.col("length") < min_bytes, F.lit("too small"))
                .when(~F.coalesce(F.col("decodes"), F.lit(False)), F.lit("cannot decode")))

@@ -1,13 +1,12 @@
 """Sinks: directory outputs written by the executors.
 
-Row-level tables are written partitioned and in parallel; only results that
-are already aggregated (reports, audit rows) are coalesced to one file.
+Tables and reports are written in parallel; only one-row summaries are
+coalesced to one file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -26,15 +25,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """Report line rows -> one ordered text file (the report is already small)."""
-    (lines.orderBy("section", "row_ord", "line_no").select("line")
-          .coalesce(1).write.mode("overwrite").text(path))
+    """Report line rows -> text files whose names are in the report's order (a range sort; small reports
+    come out as one file)."""
+    lines.orderBy("section", "row_ord", "line_no").select("line").write.mode("overwrite").text(path)
 
 
 def write_json_row(df: DataFrame, path: str) -> None:
     """A one-row summary (audit report, version record) as one JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def to_json_text(df: DataFrame) -> DataFrame:
-    return df.select(F.to_json(F.struct(*df.columns)).alias("json"))

@@ -3,8 +3,8 @@ Structured Streaming.
 
 New files of ``(row_id, logits, threshold_override)`` are scored with the same
 column functions as batch scoring and written out; a bad threshold or bad
-logits become an error record, the stream keeps going. The checkpoint lives
-in the shared checkpoint folder, so a restarted driver resumes where it left
+logits become an error record, the stream keeps going. Each stream has a
+checkpoint folder of its own in shared storage, so a restarted driver resumes where it left
 off and a lost executor only re-runs its tasks.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
 from ..operators import scoring
-from ..session import scratch_path
 
 REQUEST_SCHEMA = "row_id bigint, logits array<double>, threshold_override string"
 
@@ -28,12 +27,12 @@ def scored_stream(spark: SparkSession, source_dir: str, classes,
 
 
 def run_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, classes,
-                       threshold: float = config.PREDICTOR_THRESHOLD, checkpoint: str | None = None,
-                       available_now: bool = True):
-    """Start the job; with ``available_now`` it processes what is there and stops."""
+                       checkpoint: str, threshold: float = config.PREDICTOR_THRESHOLD, available_now: bool = True):
+    """Start the job; with ``available_now`` it processes what is there and stops. ``checkpoint`` is this
+    stream's own folder in shared storage."""
     out = scored_stream(spark, source_dir, classes, threshold)
     w = (out.writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "scoring_stream_ckpt"))
+         .option("checkpointLocation", checkpoint)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

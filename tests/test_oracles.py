@@ -5,12 +5,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from surveyspark.plans import registry
 from surveyspark.plans.fixtures import BASE_TABLES
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES  # those of the library itself
 
 
 def _norm(v):

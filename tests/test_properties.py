@@ -1,6 +1,8 @@
 """Property checks against plain Python/numpy on random (seeded) inputs, including hot keys."""
 import random
 
+import pytest
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -74,14 +76,45 @@ def test_distributed_rank_matches_window(spark):
     assert got == want
 
 
-def test_checked_broadcast_falls_back_above_bound(spark):
-    from surveyspark.operators.joins import checked_broadcast, left_join_spread_nulls
+def test_left_join_spread_nulls_keeps_rows(spark):
+    from surveyspark.operators.joins import join_by_prefix, left_join_spread_nulls
     big = spark.createDataFrame([(i, i % 7 if i % 3 else None) for i in range(3000)], "id long, k long")
     small = spark.createDataFrame([(k, f"v{k}") for k in range(5)], "k long, v string")
-    a = {tuple(r) for r in big.join(checked_broadcast(small, max_rows=100), "k", "left").collect()}
-    b = {tuple(r) for r in big.join(checked_broadcast(small, max_rows=1), "k", "left").collect()}
-    assert a == b
-    plan = big.join(checked_broadcast(small, max_rows=1), "k", "left")._jdf.queryExecution().executedPlan()
-    assert "BroadcastHashJoin" not in plan.toString() or "AdaptiveSparkPlan" in plan.toString()
+    a = {tuple(r) for r in big.join(small, "k", "left").collect()}
     c = {(r.id, r.k, r.v) for r in left_join_spread_nulls(big, small, "k").collect()}
     assert c == {(r[1], r[0], r[2]) for r in a}
+    names = spark.createDataFrame([("Ab",), ("Abc",), ("X",), ("",), (None,), ("Long name",)], "species string")
+    got = join_by_prefix(spark.createDataFrame([("Abcd",), ("Ab",), ("A",), (None,), ("Xy",)], "n string"), names, "n", "species")
+    assert sorted(tuple(r) for r in got.collect()) == [("Ab", "Ab"), ("Abcd", "Ab"), ("Abcd", "Abc"), ("Xy", "X")]
+
+
+@pytest.mark.parametrize("reuse,aqe", [("true", "true"), ("false", "true"), ("false", "false")])
+def test_folds_of_many_groups_whatever_the_plan(spark, reuse, aqe):
+    from pyspark.sql import Window
+
+    from surveyspark.operators.folds import distributed_rank
+    for k, v in (("spark.sql.exchange.reuse", reuse), ("spark.sql.adaptive.enabled", aqe)):
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(300_000).select(F.concat(F.lit("g"), F.col("id")).alias("grp"),
+                                         F.when(F.col("id") % 10 < 8, "A").when(F.col("id") % 10 < 9, "B").alias("dom"),
+                                         (F.xxhash64("id") % 50).alias("size"))
+        order = [F.col("size").desc(), F.col("grp").asc()]
+        want = df.withColumn("want", F.row_number().over(Window.partitionBy("dom").orderBy(*order)) - 1).select("grp", "want")
+        got = distributed_rank(df, "dom", order).join(want, "grp")
+        assert got.where("rn <> want").count() == 0 and got.count() == 300_000
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_exact_quantile_with_infinities_and_wide_ranges(spark):
+    import math
+
+    inf = float("inf")
+    rows = [("a", v) for v in (-inf, 1.0, 2.0, inf)] + [("b", v) for v in (-1.7e308, -1.0, 0.0, 5e-324, 1.7e308)] + [("c", -inf)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, q): r.quantile for q in (0.0, 0.25, 0.5, 1.0) for r in quantiles.exact_quantile(df, "v", q, ["g"]).collect()}
+    assert got[("a", 0.0)] == -inf and got[("a", 0.5)] == 1.5 and got[("a", 1.0)] == inf and got[("c", 0.5)] == -inf
+    assert got[("b", 0.25)] == -1.0 and got[("b", 0.5)] == 0.0 and got[("b", 1.0)] == 1.7e308
+    assert math.isnan(got[("a", 0.25)])  # as numpy has it: -inf and a finite value

@@ -4,6 +4,7 @@ import struct
 import time
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from surveyspark.operators import merge, sampling, scoring, spatial, tuning, versioning
@@ -105,6 +106,64 @@ def test_version_table_roundtrip(spark, tmpdir_path):
     ck2 = spark.createDataFrame([("m2", "s1")], "md5 string, sha256 string")
     ok, msg = versioning.verify(versioning.version_record(occ, "v2", ck2), spark, path)
     assert not ok and msg.startswith("MD5 mismatch")
+    # changed rows are seen without checksums, a second file's change is seen, a broken table is an error
+    assert not versioning.verify(versioning.version_record(occ.limit(occ.count() - 1)), spark, path)[0]
+    two = [spark.createDataFrame([("a", "m1", "s1"), ("b", m, "s2")], "path string, md5 string, sha256 string") for m in ("m2", "m3")]
+    versioning.save_version(versioning.version_record(occ, "v3", two[0], ts=2.0), path)
+    assert versioning.verify(versioning.version_record(occ, "v4", two[0]), spark, path) == (True, None)
+    assert not versioning.verify(versioning.version_record(occ, "v4", two[1]), spark, path)[0]
+    drift = versioning.drift_from_saved(occ.where("label <> 'BUILDING'").withColumn("group", F.lit("g")), path)
+    assert drift.where("key = 'class_distribution' and item = 'BUILDING' and new is null").count() == 1
+    assert versioning.drift_from_saved(occ, path + "-none") is None
+    broken = os.path.join(tmpdir_path, "broken")
+    os.makedirs(broken)
+    open(os.path.join(broken, "x.parquet"), "w").write("no parquet")
+    with pytest.raises(Exception):
+        versioning.verify(versioning.version_record(occ), spark, broken)
+
+
+def test_manifests_by_uri_bad_numbers_and_tree_merge(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "manifests")
+    root = os.path.join(tmpdir_path, "img")
+    os.makedirs(folder)
+    os.makedirs(os.path.join(root, "Arundo_donax", "thumbs"))
+    for f in ("img/Arundo_donax/a.jpg", "img/Arundo_donax/thumbs/t.jpg", "img/root.jpg", "img/Arundo_donax/b.jpg"):
+        open(os.path.join(tmpdir_path, f), "wb").write(b"x")
+    name = readers.config.MANIFEST_SOURCES[0]
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("filepath,label,region,source,latitude,longitude,gbif_id\n./img/x/../Arundo_donax/a.jpg,Arundo donax,R,s,bad,1.5,7.0\n")
+    (part,) = readers.read_manifests(spark, "file://" + folder)
+    row = part.first()
+    assert (row.latitude, row.longitude, row.gbif_id, row._rejected) == (None, 1.5, 7, "latitude=bad")
+    tree = readers.scan_image_tree(spark, root, "local")
+    assert sorted((r.filepath, r.label) for r in tree.collect()) == [("img/Arundo_donax/a.jpg", "Arundo donax"), ("img/Arundo_donax/b.jpg", "Arundo donax")]
+    path = merge.normalize_paths(part, tmpdir_path).select("filepath").union(merge.normalize_paths(tree, tmpdir_path).select("filepath"))
+    assert path.distinct().count() == 2
+    odd = ["a/./b.jpg", "./a", "x/../a.jpg", "../a", "a/../../b", "/p/q/../r", "file:/p/a.jpg", "file:///p/a.jpg", "a..b/c.jpg", "C:\\d\\e.jpg"]
+    got = merge.normalize_paths(spark.createDataFrame([(i, p) for i, p in enumerate(odd)], "i int, filepath string"), "/p").orderBy("i").collect()
+    assert [r.filepath for r in got] == ["a/b.jpg", "a", "a.jpg", "../a", "../b", "r", "a.jpg", "a.jpg", "a..b/c.jpg", "C:/d/e.jpg"]
+
+
+def test_species_table_columns_and_last_row(spark):
+    from surveyspark.operators import decisions
+
+    dim = spark.createDataFrame([("Arundo donax", "A", "low", "x", 1), ("arundo DONAX", "B", "urgent", None, 2), (None, "C", "c", "c", 3)],
+                                "invasive string, native string, priority string, impacts string, row_ord int")
+    df = spark.createDataFrame([(1, "ARUNDO donax"), (2, "Other"), (3, None)], "row_id long, predicted_class string")
+    got = {r.row_id: r for r in decisions.species_lookup(df, dim).collect()}
+    assert (got[1].native_comparison, got[1].priority, got[1].impacts, got[1].is_invasive) == ("B", "urgent", "", True)
+    assert not got[2].is_invasive and got[3].priority is None and len(got) == 3
+
+
+def test_retry_and_pending_with_ties_and_nulls(spark):
+    from surveyspark.operators import worklog
+
+    log = spark.createDataFrame([("u", "success", "2024-01-01 00:00:00", 1, "m"), ("u", "failed", "2024-01-01 00:00:00", 2, None), ("v", "success", "2024-01-01 00:00:00", 3, "m")],
+                                "url string, status string, ts string, attempt_id long, md5 string").selectExpr(
+        "url", "status", "cast(ts as timestamp_ntz) ts", "attempt_id", "md5", "'' as filepath", "'' as error")
+    assert {r.url for r in worklog.latest_failed(log).collect()} == {r.url for r in worklog.retry_schedule(log).collect()} == {"u"}
+    work = spark.createDataFrame([("u", "m", 5), ("v", None, 5), ("w", None, 0), ("x", "m", 5), ("v", "m", None)], "url string, expected_md5 string, bytes_on_disk long")
+    assert sorted((r.url, r.bytes_on_disk) for r in worklog.pending_items(work, log).collect()) == [("v", None), ("w", 0), ("x", 5)]
 
 
 def test_synthetic_generator_deterministic(spark):
@@ -159,7 +218,13 @@ def test_occurrence_readers_mapping_and_fetch(spark, tmpdir_path):
                      "not-a-number", "-9.1"])
     open(tsv, "w").write(header + "\n" + good + "\n" + bad + "\n")
     occ = readers.read_occurrences(spark, tsv).collect()
-    assert len(occ) == 2 and occ[0]["_corrupt_record"] is None and occ[1]["_corrupt_record"] is not None
+    assert len(occ) == 2 and occ[0]["_rejected"] is None and occ[1]["_rejected"] == "decimalLatitude=not-a-number"
+    mixed = os.path.join(tmpdir_path, "mixed.tsv")
+    with open(mixed, "w") as f:
+        f.write("id\tscientificName\trights\tstateProvince\tdecimalLatitude\n7\tArundo donax L.\tcc\tLisboa\t38.7\n8\tx\t\t\t\n")
+    rows = readers.read_occurrences(spark, mixed).orderBy("id").collect()
+    assert [(r.id, r.gbifID, r.scientificName, r.stateProvince, r.decimalLatitude, r.key) for r in rows] == [
+        ("7", "7", "Arundo donax L.", "Lisboa", 38.7, None), ("8", "8", "x", None, None, None)]
     for name, body in [("m.csv", "species,image_url\nA,u1\n"), ("m.tsv", "species\timage_url\nA\tu1\n"),
                        ("m.json", '[{"species": "A", "image_url": "u1"}]')]:
         p = os.path.join(tmpdir_path, name)

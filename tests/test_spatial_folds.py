@@ -84,18 +84,22 @@ def test_keep_first_survivor_and_null_keys(spark):
     assert out == {("a.jpg", 0), ("b.jpg", 1), ("c.jpg", 1), ("d.jpg", 1), ("e.jpg", 1)}
 
 
-def test_greedy_folds_disjoint_and_stratified(spark):
-    df = spatial_frame(spark)
+def test_no_row_is_lost_without_label_or_group(spark):
+    rows = [(i, f"g{i % 9}" if i % 5 else None, ("x", "y", None)[i % 3]) for i in range(65)] + [(100 + i, "unlabelled", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "row_id long, group string, label string")
+    a = folds.assign_folds(df, 3)
+    assert a.count() == 70 and a.where("fold is null").count() == 0
+    assert all(r.n_shared == 0 for r in folds.fold_leakage(a, 3).collect())
+    h = folds.fold_hist(df, 3)
+    assert sorted(map(tuple, folds.fold_sizes(h).collect())) == sorted(map(tuple, folds.fold_sizes(a).collect()))
+
+
+def test_nan_coordinates_are_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (1.0, nan), (None, 1.0), (1.0, 1.0)], "latitude double, longitude double") \
+        .withColumn("region", F.lit("R")).withColumn("source", F.lit("s"))
     g = spatial.group_with_no_coords(df, spatial.macro_map_df(spark))
-    gf = folds.group_folds_greedy(g, 5)
-    a = g.join(gf, "group")
-    assert a.count() == df.count()
-    assert all(r.n_shared == 0 for r in folds.fold_leakage(a, 5).collect())
-    shares = [r.share for r in folds.fold_sizes(a).collect()]
-    assert len(shares) == 5 and max(shares) < 0.45
-    # above the bound the serpentine deal takes over
-    fb = folds.group_folds_greedy(g, 5, max_groups=1)
-    assert fb.select("group").distinct().count() == g.select("group").distinct().count()
+    assert g.where("grid_cell = 'no_coords' and group = 'no_coords:s:R'").count() == 3
 
 
 def test_floor_bin_on_cell_edges_and_neighbours(spark):
