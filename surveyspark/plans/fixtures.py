@@ -198,6 +198,17 @@ select cast(occ_id as string) as gbifID, cast(occ_id + 1000000 as string) as key
 from occ
 """, deps=("occ",))
 
+# Image mapping file rows: names with and without a file name, other species between
+_view("image_mapping", """
+select event_id as row_ord,
+       case event_id % 5 when 0 then 'Arundo donax' when 1 then 'Acacia dealbata' when 2 then 'Cortaderia selloana'
+                         when 3 then 'Other species' end as species,
+       concat(' https://img.example.org/m/', cast(event_id as string), '.png?x=1 ') as url,
+       case when event_id % 3 = 0 then concat('a/b/', cast(event_id as string), '.jpeg') when event_id % 3 = 1 then ' ' end as filename,
+       case when event_id % 7 = 0 then null else cast(user_id as string) end as gbif_id
+from events
+""")
+
 # File listing: the image files present on disk (customers with a
 # non-negative balance have theirs downloaded)
 _view("file_listing", """

@@ -26,5 +26,5 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import (queries_core, queries_eval, queries_folds, queries_ingest,  # noqa: F401
+    from . import (queries_core, queries_eval, queries_folds, queries_import, queries_ingest,  # noqa: F401
                    queries_ops, queries_quality, queries_scoring)
