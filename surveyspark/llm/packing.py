@@ -16,8 +16,9 @@ so equal ids or texts spread over all groups.
 
 from __future__ import annotations
 
-import struct
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,19 @@ ROUNDS = 4
 _CACHE = 600_000
 
 
-class WordCache(dict):
+#: Lower-case letters of one code point that no normalisation changes: such a part is one token of the pattern.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+
+
+def _byte_letters() -> list[str]:
+    """The letter that the byte-level vocabulary writes for each byte: printable bytes are themselves, the
+    others the code points from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+class WordCache:
     """Packed ids (little-endian unsigned 32-bit) by white-space-free part of a text; the tokenizer never
     joins across white space, so a text's ids are those of its parts. Two generations of at most
     ``_CACHE`` parts bound the memory; parts still in use move to the newer one."""
@@ -45,46 +58,50 @@ class WordCache(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, parts: set[str]) -> None:
-        """Ids of new parts. A letter ends a token of the pattern before a full stop or comma, and these last
-        marks are a token of their own, so such a part is joined from the two."""
-        if len(self) + len(parts) > _CACHE:
-            self.old = dict(self)
-            self.clear()
-        new, joined = set(), []
-        for p in parts:
-            if (ids := self.old.get(p)) is not None:
-                self[p] = ids
-            elif len(p) > 1 and p[-1] in ".," and p[-2].isalpha():
-                joined.append(p)
-                new.update(x for x in (p[:-1], p[-1]) if x not in self)
-            else:
-                new.add(p)
-        for p in [p for p in new if p in self.old]:
-            self[p] = self.old[p]
-            new.remove(p)
-        new = list(new)
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            self[p] = struct.pack(f"<{len(ids)}I", *ids)
-        for p in joined:
-            self[p] = self[p[:-1]] + self[p[-1]]
+    def _ids(self, p: str) -> bytes:
+        """The ids of one part: one token of the pattern by the merges alone, others by the whole tokenizer."""
+        if _PLAIN(p):
+            s = p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode()))
+            return array("I", [t.id for t in self.model.tokenize(s)]).tobytes()
+        return array("I", self.tokenizer.encode(p, add_special_tokens=False).ids).tobytes()
+
+    def _find(self, p: str) -> bytes:
+        ids = self.old.get(p)
+        if ids is None:
+            ids = self._ids(p)
+        self.new[p] = ids
+        return ids
+
+    def learn(self, p: str) -> bytes:
+        """Ids of a new part. A letter ends a token of the pattern before a full stop or comma, and such a mark at
+        the end is a token of its own, so these parts are joined from the two."""
+        new = self.new
+        if (ids := new.get(p)) is not None:
+            return ids
+        if (p[-1:] == "." or p[-1:] == ",") and p[-2:-1].isalpha():
+            word, mark = p[:-1], p[-1]
+            ids = new[p] = (new.get(word) or self._find(word)) + (new.get(mark) or self._find(mark))
+            return ids
+        return self._find(p)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        # the vocabulary is of lower case; only a capital sigma is lowered by its place
-        texts = [t if "\u03a3" in t else t.lower() for t in (t or "" for t in texts)]
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        found = [list(map(self.get, parts)) for parts in split]
-        gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else [] for f in found]
-        unknown = {parts[i] for parts, g in zip(split, gaps) for i in g}
-        if unknown:
-            self.learn(unknown)
-            for parts, f, g in zip(split, found, gaps):
-                for i in g:
-                    f[i] = self[parts[i]]
-        return [b"".join(f) for f in found]
+        if len(self.new) > _CACHE:
+            self.old, self.new = self.new, {}
+        get, learn, out = self.new.get, self.learn, []
+        for t in texts:
+            t = t or ""
+            # the vocabulary is of lower case; only a capital sigma is lowered by its place
+            t = t if "\u03a3" in t else t.lower()
+            parts = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            found = list(map(get, parts))
+            if None in found:
+                found = [learn(p) if ids is None else ids for p, ids in zip(parts, found)]
+            out.append(b"".join(found))
+        return out
 
 
 _WORDS: dict[str, WordCache] = {}
