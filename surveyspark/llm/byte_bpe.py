@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import source
+from .tables import small_batches, source
 
 # classes
 LETTER, NUMBER, OTHER, APO1, APO2, WS_RUN, WS_SPACE, WS_LAST, RESET = range(9)
@@ -39,7 +39,7 @@ FREE, IN_L, IN_N, IN_O, IN_W, LEAD, ONE, TWO = range(8)
 #: The code points with the White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 BLOCK = 64
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _CACHE = 300_000
 
 
@@ -259,6 +259,7 @@ def _encoded(path: str):
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids, offsets): the token ids of each text and the byte at which each token starts."""
+    small_batches(docs.sparkSession)
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     fields = T.StructType([src.schema[0]]).add("ids", T.ArrayType(T.IntegerType())).add("offsets", T.ArrayType(T.IntegerType()))
     return src.mapInArrow(_encoded(path), fields)
@@ -290,6 +291,7 @@ def _digests(path: str):
 
 def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256) of each row, encoded and decoded in one pass."""
+    small_batches(docs.sparkSession)
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     fields = T.StructType([src.schema[0]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     return src.mapInArrow(_digests(path), fields)

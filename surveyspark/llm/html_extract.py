@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import source
+from .tables import small_batches, source
 
 MAX_TRAIN = 160
 MAX_TRAIN_CHARS = 200_000
@@ -324,6 +324,7 @@ def fit_on(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", mo
 def extract(pages: DataFrame, model: dict, html_col: str = "html") -> DataFrame:
     """``pages`` without its html, with ``text`` and ``n_chars``; columns of these names are replaced."""
     spark = pages.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     src = pages.select(*keep, F.col(html_col).cast("string").alias("_html"))

@@ -78,7 +78,7 @@ def _counts(k: int):
     """Shingles of the counted part of the hash range, with the number of texts of a run that hold them."""
     def run(batches):
         for b in batches:
-            for _, _, data, offs in chunks(b.column(1), 4 << 20):
+            for _, _, data, offs in chunks(b.column(1), 1 << 20):
                 h = np.concatenate(Words(data, offs).sets(k))
                 h, n = np.unique(h[h < COUNTED], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])

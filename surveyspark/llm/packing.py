@@ -33,7 +33,7 @@ from .text import mix
 
 GROUP = 16_384
 ROUNDS = 4
-_CACHE = 600_000
+_CACHE = 250_000
 
 
 #: Lower-case letters of one code point that no normalisation changes: such a part is one token of the pattern.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +16,11 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Shared:
-    """Names, writes, rereads and deletes tables under ``spark.checkpoint.dir``."""
+    """Names, writes, rereads and deletes tables under ``spark.checkpoint.dir``; what is left goes when the session ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        small_batches(spark)
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
@@ -28,6 +28,8 @@ class Shared:
         """Write ``df`` as Parquet and read it back; the lineage ends at the files."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
+        if self.n == 1:
+            self._fs(self.base)[1].deleteOnExit(self._fs(self.base)[0])
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -36,10 +38,13 @@ class Shared:
         for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
             self._delete(f)
 
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _delete(self, path: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        p, fs = self._fs(path)
+        fs.delete(p, True)
 
 
 #: Bits of the id filter below: 1 MB, whatever the number of ids.
@@ -62,13 +67,9 @@ def in_filter(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Smaller Arrow batches while a plan with wide rows is being written."""
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches have at most ``rows`` rows from now on: whole texts of 10,000 rows, Spark's default, are
+    too much memory for an executor's share."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at a time; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)

@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import source
+from .tables import small_batches, source
 
 MAX_TRAIN = 4000
 MAX_FEATURES = 2000
 FOLDS = 4
 GRAM = 5
 L1 = 2e-2  # over the root of the number of rows
-_CACHE = 400_000
+_CACHE = 200_000
 
 
 def grams(word: str) -> list[str]:
@@ -185,35 +185,36 @@ def best_cut(p: np.ndarray, y: np.ndarray, precision: float = 0.8) -> float:
     return float((p[order[k]] + below) / 2)
 
 
-def _score(shared_model, names: list[str]):
+def _score(shared_model, names: list[str], at: int):
     model = shared_model.value
     weights, n = model["weights"], len(names)
 
     def run(batches):
         cache: dict[str, tuple | None] = {}
-        for b in batches:
-            logit = np.zeros((n, b.num_rows))
-            for r, text in enumerate(b.column(b.schema.get_field_index("_text")).to_pylist()):
-                total = [0.0] * n
-                for w in words_of(text):
-                    if w in cache:
-                        got = cache[w]
-                    else:
-                        if len(cache) > _CACHE:
-                            cache.clear()
-                        hits = [weights[g] for g in grams(w) if g in weights]
-                        got = cache[w] = tuple(map(sum, zip(*hits))) if hits else None
-                    if got:
-                        for c in range(n):
-                            total[c] += got[c]
-                logit[:, r] = total
-            for c in range(n):
-                logit[c] += model["bias"][c]
-                for k, v in enumerate(model["chain"][c]):
-                    logit[c] += v * np.clip(logit[k], -20, 20)
-            p = 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, *map(pa.array, p)], [*b.schema.names[:-1], *names])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                b = whole.slice(i, 512)
+                logit = np.zeros((n, b.num_rows))
+                for r, text in enumerate(b.column(at).to_pylist()):
+                    total = [0.0] * n
+                    for w in words_of(text):
+                        if w in cache:
+                            got = cache[w]
+                        else:
+                            if len(cache) > _CACHE:
+                                cache.clear()
+                            hits = [weights[g] for g in grams(w) if g in weights]
+                            got = cache[w] = tuple(map(sum, zip(*hits))) if hits else None
+                        if got:
+                            for c in range(n):
+                                total[c] += got[c]
+                    logit[:, r] = total
+                for c in range(n):
+                    logit[c] += model["bias"][c]
+                    for k, v in enumerate(model["chain"][c]):
+                        logit[c] += v * np.clip(logit[k], -20, 20)
+                p = 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
+                yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, p)], [*b.schema.names, *names])
     return run
 
 
@@ -235,9 +236,10 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Col
     sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toPandas()
     y = sample[[f"_y{k}" for k in range(len(categories))]].to_numpy()
     model = train_chain([words_of(t) for t in sample["_text"]], sample["_id"].tolist(), y)
-    docs = docs.drop(*names, "rejected", "_text")
+    small_batches(spark)
+    docs = docs.drop(*names, "rejected")
     fields = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    scored = docs.select(*docs.columns, F.col(text_col).cast("string").alias("_text")).mapInArrow(_score(spark.sparkContext.broadcast(model), names), fields)
+    scored = docs.mapInArrow(_score(spark.sparkContext.broadcast(model), names, docs.columns.index(text_col)), fields)
     cut = model["cut"][list(categories).index(reject)]
     return scored.withColumn("rejected", F.col(f"p_{reject}") >= cut), model
 
