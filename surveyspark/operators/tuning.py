@@ -3,21 +3,22 @@
 The reference trains image networks per fold; here the same protocol runs on
 feature vectors: group-disjoint folds (``operators.folds``), one distributed
 ``LogisticRegression`` fit per fold (a driver loop over at most ``n_folds``
-fits, each one a distributed job), out-of-fold predictions as a table, and a
-grid search through ``CrossValidator(foldCol=...)`` scored by macro-F1.
+fits, each one a distributed job), out-of-fold predictions as a table, and
+grid and random searches whose trials keep their per-fold metrics.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..session import materialize
 from . import evaluation, folds
 
 
@@ -27,9 +28,33 @@ def top_trials(trials: DataFrame, n: int = 5, order: list[Column] | None = None)
 
 
 def _prepare(feats: DataFrame, n_folds: int, features_col="embedding") -> DataFrame:
-    with_folds = folds.assign_folds(feats, n_folds)
-    return (with_folds.withColumn("features", array_to_vector(F.col(features_col).cast("array<double>")))
-                      .withColumn("label", F.col("label").cast("double")))
+    """Feature vectors with folds, written once: every fit and prediction reads this table. Features that carry
+    a ``fold`` already (assigned earlier) keep it."""
+    with_folds = feats if "fold" in feats.columns else folds.assign_folds(feats, n_folds)
+    narrow = with_folds.select("row_id", "fold", F.col("label").cast("int").alias("label"), F.col(features_col).cast("array<double>").alias("_x"))
+    table = materialize(narrow, "features")
+    return table.select("row_id", "fold", F.col("label").cast("double").alias("label"), array_to_vector("_x").alias("features"))
+
+
+def _out_of_fold(data: DataFrame, trials: list[dict], n_folds: int, model_dir: str | None = None, parallelism: int = 1) -> DataFrame:
+    """``(trial, row_id, fold, label, pred, confidence)``: each trial's model of a fold, fitted on the other
+    folds, on that fold's rows. Fits are distributed jobs; at most ``parallelism`` run at a time."""
+    def fit(task):
+        t, k = task
+        return LogisticRegression(**trials[t]).fit(data.where(F.col("fold") != k))
+
+    tasks = [(t, k) for t in range(len(trials)) for k in range(n_folds)]
+    with ThreadPool(parallelism) as pool:
+        models = pool.map(fit, tasks)
+    outs = []
+    for (t, k), model in zip(tasks, models):
+        if model_dir:
+            model.write().overwrite().save(f"{model_dir.rstrip('/')}/fold={k}")
+        pred = model.transform(data.where(F.col("fold") == k))
+        outs.append(pred.select(F.lit(t).alias("trial"), "row_id", "fold", F.col("label").cast("int").alias("label"),
+                                F.col("prediction").cast("int").alias("pred"),
+                                F.array_max(vector_to_array("probability")).alias("confidence")))
+    return reduce(DataFrame.unionByName, outs)
 
 
 def train_folds(feats: DataFrame, n_folds: int = config.N_FOLDS, max_iter: int = 50, reg: float = 0.0,
@@ -39,72 +64,49 @@ def train_folds(feats: DataFrame, n_folds: int = config.N_FOLDS, max_iter: int =
     With ``model_dir`` (a shared folder) each fold's model is saved under
     ``<model_dir>/fold=<k>`` and can be reloaded with ``LogisticRegressionModel.load``.
     """
-    data = _prepare(feats, n_folds, features_col).select("row_id", "fold", "label", "features")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    outs = []
-    for k in range(n_folds):
-        train = data.where(F.col("fold") != k)
-        model = LogisticRegression(maxIter=max_iter, regParam=reg).fit(train)
-        if model_dir:
-            model.write().overwrite().save(f"{model_dir.rstrip('/')}/fold={k}")
-        pred = model.transform(data.where(F.col("fold") == k))
-        outs.append(pred.select("row_id", "fold", F.col("label").cast("int").alias("label"),
-                                F.col("prediction").cast("int").alias("pred"),
-                                F.array_max(vector_to_array("probability")).alias("confidence")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
-
+    data = _prepare(feats, n_folds, features_col)
+    return _out_of_fold(data, [{"maxIter": max_iter, "regParam": reg}], n_folds, model_dir).drop("trial")
 
-class MacroF1Evaluator(Evaluator):
-    """Macro-F1 over labels present in truth or prediction (not Spark's weighted f1)."""
 
-    def __init__(self, n_classes: int, label_col: str = "label", prediction_col: str = "prediction"):
-        super().__init__()
-        self.n_classes, self.label_col, self.prediction_col = n_classes, label_col, prediction_col
+def fold_metrics(preds: DataFrame, n_classes: int, keys=("fold",)) -> DataFrame:
+    """Accuracy and macro-F1 of each fold (and each further key) of out-of-fold predictions."""
+    return evaluation.overall_metrics(preds, n_classes, keys)
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        p = dataset.select(F.lit("m").alias("model"), F.col(self.label_col).cast("int").alias("label"),
-                           F.col(self.prediction_col).cast("int").alias("pred"))
-        row = evaluation.overall_metrics(p, self.n_classes).first()
-        return float(row["macro_f1"]) if row else 0.0
 
-    def isLargerBetter(self) -> bool:
-        return True
+def _search(feats: DataFrame, n_classes: int, trials: list[dict], n_folds: int, features_col: str, parallelism: int) -> tuple[DataFrame, DataFrame]:
+    """Per-fold metrics of all trials ``(trial, fold, accuracy, macro_f1, n)`` and their averages, from one
+    evaluation over the union of all predictions."""
+    preds = _out_of_fold(_prepare(feats, n_folds, features_col), trials, n_folds, parallelism=parallelism)
+    per_fold = materialize(fold_metrics(preds, n_classes, ("trial", "fold")), "trials")
+    mean = evaluation.fold_average(per_fold, ("trial",)).select(
+        "trial", F.col("accuracy_mean").alias("accuracy"), "accuracy_std", F.col("macro_f1_mean").alias("macro_f1"), "macro_f1_std")
+    folds_of = per_fold.groupBy("trial").agg(F.sort_array(F.collect_list(F.struct("fold", "accuracy", "macro_f1", "n"))).alias("folds"))
+    return per_fold, mean.join(folds_of, "trial")
 
 
 def grid_search(feats: DataFrame, n_classes: int, reg_params=(0.0, 0.1), elastic=(0.0,), max_iter=(20,),
                 n_folds: int = 3, features_col: str = "embedding", parallelism: int = 2) -> DataFrame:
-    """Every grid point scored by mean grouped-CV macro-F1: ``(trial, params..., macro_f1)``."""
-    data = _prepare(feats, n_folds, features_col).select("fold", "label", "features")
-    lr = LogisticRegression()
-    grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
-            .addGrid(lr.elasticNetParam, list(elastic)).addGrid(lr.maxIter, list(max_iter)).build())
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=MacroF1Evaluator(n_classes),
-                        foldCol="fold", numFolds=n_folds, parallelism=parallelism)
-    model = cv.fit(data)
-    rows = [(i, float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), int(pm[lr.maxIter]), float(m))
-            for i, (pm, m) in enumerate(zip(grid, model.avgMetrics))]
-    return feats.sparkSession.createDataFrame(
-        rows, "trial int, reg_param double, elastic_net double, max_iter int, macro_f1 double")
+    """Every grid point scored by grouped CV: ``(trial, params..., accuracy, macro_f1, their stds, folds)``;
+    ``folds`` has each fold's metrics."""
+    grid = [(r, e, m) for r in reg_params for e in elastic for m in max_iter]
+    _, scored = _search(feats, n_classes, [{"regParam": r, "elasticNetParam": e, "maxIter": m} for r, e, m in grid],
+                        n_folds, features_col, parallelism)
+    params = feats.sparkSession.createDataFrame([(i, float(r), float(e), int(m)) for i, (r, e, m) in enumerate(grid)],
+                                                "trial int, reg_param double, elastic_net double, max_iter int")
+    return params.join(scored, "trial")
 
 
 def random_search(feats: DataFrame, n_classes: int, n_trials: int, space: dict | None = None,
                   seed: int = config.SEED, n_folds: int = 3, features_col: str = "embedding",
                   parallelism: int = 2) -> DataFrame:
     """Seeded random search: ``n_trials`` draws (with replacement) from each parameter
-    list (``sampling.random_params``), each scored by grouped-CV macro-F1 in one
-    ``CrossValidator`` run. The draws are a short table read once on the driver."""
+    list (``sampling.random_params``), each scored as in :func:`grid_search`. The draws
+    are a short table read once on the driver."""
     from .sampling import random_params
     space = space or {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [10, 20]}
     draws = random_params(feats.sparkSession, n_trials, space, seed).orderBy("trial").collect()
-    lr = LogisticRegression()
-    maps = [{getattr(lr, k): (int(d[k]) if k == "maxIter" else float(d[k])) for k in space} for d in draws]
-    data = _prepare(feats, n_folds, features_col).select("fold", "label", "features")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=MacroF1Evaluator(n_classes),
-                        foldCol="fold", numFolds=n_folds, parallelism=parallelism)
-    model = cv.fit(data)
-    rows = [(int(d["trial"]), *[float(d[k]) for k in space], float(m)) for d, m in zip(draws, model.avgMetrics)]
-    schema = "trial int, " + ", ".join(f"{k} double" for k in space) + ", macro_f1 double"
-    return feats.sparkSession.createDataFrame(rows, schema)
+    trials = [{k: (int(d[k]) if k == "maxIter" else float(d[k])) for k in space} for d in draws]
+    _, scored = _search(feats, n_classes, trials, n_folds, features_col, parallelism)
+    schema = "trial int, " + ", ".join(f"{k} double" for k in space)
+    params = feats.sparkSession.createDataFrame([(i, *[float(t[k]) for k in space]) for i, t in enumerate(trials)], schema)
+    return params.join(scored, "trial")

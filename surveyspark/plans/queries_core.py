@@ -76,6 +76,23 @@ def q_group_invasive_share(spark, sf):
     return spatial.group_invasive_share(occ_grouped(spark, sf))
 
 
+@query("hierarchical_group", oracle(["occ", "macro_map"], f"""
+select occ_id, case when g.n >= {MIN_GRID} then 'grid:' || c.grid_cell when d.n >= {MIN_DISTRICT} then 'district:' || c.region
+                    else 'macro:' || coalesce(m.macro, 'Other') end as "group"
+from c left join g using (grid_cell) left join d using (region) left join macro_map m on c.region = m.district
+""", f"""
+c as (select occ_id, region, case when latitude is not null and longitude is not null and not isnan(latitude)
+             and not isnan(longitude) then {_GRID} end as grid_cell from occ),
+g as (select grid_cell, count(*) as n from c where grid_cell is not null group by 1),
+d as (select region, count(*) as n from c where region is not null group by 1)
+"""))
+def q_hierarchical_group(spark, sf):
+    """Grid cell, else district, else macro-region (W5 with J1 and J7), rows without coordinates included."""
+    g = spatial.hierarchical_group(spatial.assign_grid_cell(view(spark, sf, "occ")), view(spark, sf, "macro_map"),
+                                   min_grid=MIN_GRID, min_district=MIN_DISTRICT)
+    return g.select("occ_id", "group")
+
+
 # --- F13 / W1 / W2 / S6 merge ------------------------------------------------------
 
 ROOT = "C:/data"

@@ -127,6 +127,28 @@ def q_top_trials(spark, sf):
     return tuning.top_trials(trials, 5, order=[F.col("macro_f1").desc(), F.col("model"), F.col("fold")])
 
 
+_ML_FOLD_CTES = """
+f as (select row_id, label, cast(row_id % 25 as varchar) as "group" from features),
+hist as (select "group", label, count(*) as n from f group by 1, 2),
+gs as (select "group", sum(n)::bigint as size, first(label order by n desc, label) as dom from hist group by 1),
+dr as (select dom, dense_rank() over (order by dom) - 1 as r from (select distinct dom from gs)),
+gp as (select gs."group", row_number() over (partition by gs.dom order by size desc, "group") - 1 + dr.r as pos from gs join dr using (dom)),
+gf as (select "group", cast(case when pos % 6 < 3 then pos % 6 else 5 - pos % 6 end as integer) as fold from gp)
+"""
+
+
+@query("train_fold_rows", oracle(["features"], 'select row_id, fold, label from f join gf using ("group")', _ML_FOLD_CTES))
+def q_train_fold_rows(spark, sf):
+    """The rows that out-of-fold training predicts, with their folds and true labels."""
+    return q_train_folds(spark, sf).select("row_id", "fold", "label")
+
+
+@query("train_fold_metrics")
+def q_train_fold_metrics(spark, sf):
+    """Accuracy and macro-F1 of each fold's model (rows-only; a numpy fit is held against it in the tests)."""
+    return tuning.fold_metrics(q_train_folds(spark, sf), 10)
+
+
 @query("train_folds")
 def q_train_folds(spark, sf):
     feats = view(spark, sf, "features").withColumn("group", (F.col("row_id") % 25).cast("string"))
@@ -156,6 +178,7 @@ def q_mcnemar_chi2(spark, sf):
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    """Grouped-CV grid search scored by macro-F1 (Spark ML CrossValidator with foldCol: rows-only)."""
+    """Grouped-CV grid search scored by macro-F1 (rows-only)."""
     feats = view(spark, sf, "features").withColumn("group", (F.col("row_id") % 25).cast("string"))
-    return tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.1), max_iter=(10,), n_folds=3)
+    return tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.1), max_iter=(10,), n_folds=3).withColumn(
+        "folds", F.to_json("folds"))

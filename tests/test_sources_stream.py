@@ -207,6 +207,28 @@ def test_grid_search_and_train_folds(spark):
     trials = tuning.grid_search(feats, n_classes=10, reg_params=(0.0, 0.5), max_iter=(5,), n_folds=3)
     assert trials.count() == 2
     assert tuning.top_trials(trials, 1).count() == 1
+    for r in trials.collect():
+        assert len(r.folds) == 3 and abs(sum(f.accuracy for f in r.folds) / 3 - r.accuracy) < 1e-9
+        assert abs(sum(f.macro_f1 for f in r.folds) / 3 - r.macro_f1) < 1e-9
+    per_fold = {r.fold: r.accuracy for r in tuning.fold_metrics(oof, 10).collect()}
+    rows = oof.collect()
+    assert per_fold == {k: pytest.approx(sum(r.label == r.pred for r in rows if r.fold == k) / sum(r.fold == k for r in rows)) for k in range(3)}
+    # labels that depend on the features: a Newton fit in numpy gives the same predictions
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(300, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rnd.normal(size=300) > 0).astype(int)
+    frame = spark.createDataFrame([(i, x[i].tolist(), int(y[i]), int(i % 3)) for i in range(300)], "row_id long, embedding array<double>, label int, fold int")
+    got = {r.row_id: r.pred for r in tuning.train_folds(frame, n_folds=3, max_iter=100).collect()}
+    for k in range(3):
+        tr, te = np.arange(300) % 3 != k, np.arange(300) % 3 == k
+        a, w = np.column_stack([np.ones(300), x]), np.zeros(4)
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-a[tr] @ w))
+            w += np.linalg.solve((a[tr] * (p * (1 - p))[:, None]).T @ a[tr], a[tr].T @ (y[tr] - p))
+        far = np.abs(a @ w) > 0.05
+        assert all(got[i] == int(a[i] @ w > 0) for i in np.flatnonzero(te & far))
 
 
 def test_occurrence_readers_mapping_and_fetch(spark, tmpdir_path):
