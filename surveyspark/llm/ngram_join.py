@@ -276,3 +276,18 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity of 0.75 or more, over all of ``documents``."""
     return ngram_jaccard_components(source(spark, sf_dir, "documents"))
+
+
+#: The same in DuckDB's SQL: shingles as text, all pairs by shared shingles, reachability.
+OP4_SQL = """
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (select distinct doc_id, g from (select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+  else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w)),
+n as (select w.doc_id, count(g) as n from w left join s using (doc_id) group by 1),
+o as (select a.doc_id as u, b.doc_id as v, count(*) as o from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select u, v from o join n x on u = x.doc_id join n y on v = y.doc_id where 100 * o >= 75 * (x.n + y.n - o)),
+e as (select u, v from l union select v, u from l),
+r as (select doc_id, doc_id as other from n union select r.doc_id, e.v from r join e on r.other = e.u)
+select r.doc_id, any_value(n.n) as n_shingles, min(other) as component_id from r join n using (doc_id) group by 1
+"""

@@ -145,5 +145,47 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts and the verdict of every text of ``documents``."""
-    return quality_rules(source(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    """Base counts and the verdict of every text of ``documents``; distances to nine places."""
+    rules = quality_rules(source(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return rules.withColumns({c: F.round(c, 9) for c in ("char_distance", "word_distance")})
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def op10_sql() -> str:
+    """The same in DuckDB's SQL."""
+    every = ", ".join(_quoted(w) for w in sorted({w for v in COMMON.values() for w in v}))
+    langs = ", ".join(map(_quoted, COMMON))
+    marks = [v.replace("\n", "").replace("\x0b", "").replace("\x0c", "").replace("\r", "").replace("\t", "") for v in CLASSES.values()]
+    space = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    sets = [space if k == " " else _quoted(m) for k, m in zip(CLASSES, marks)]
+    n = len(CLASSES) + 1
+    counts = ", ".join(f"length(t) - length(translate(t, {x}, '')) as c{i}" for i, x in enumerate(sets))
+    js = lambda p, q: f"(case when {p} > 0 then {p} * log2(2 * {p} / ({p} + {q})) else 0 end + case when {q} > 0 then {q} * log2(2 * {q} / ({p} + {q})) else 0 end)"
+    char_div = " + ".join(js(f"(c{i} / size)", f"q{i}") for i in range(n))
+    return f"""
+with t as (select doc_id, coalesce(text, '') as t, case when lower(lang) in ({langs}) then lower(lang) else 'other' end as ref from documents),
+w as (select *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from t),
+wi as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w)),
+dup as (select doc_id, g from wi group by all having count(*) > 1),
+cov as (select doc_id, count(distinct p) as n from (select wi.doc_id, unnest([i, i + 1, i + 2]) as p from wi join dup using (doc_id, g)) group by 1),
+c0_ as (select doc_id, ref, length(t) as size, {counts} from t),
+c as (select *, size - {" - ".join(f"c{i}" for i in range(n - 1))} as c{n - 1} from c0_),
+q as (select ref, {", ".join(f"sum(c{i}) / sum(size) as q{i}" for i in range(n))} from c group by ref having sum(size) > 0),
+cd as (select doc_id, case when size >= {MIN_CHARS} then sqrt(greatest(({char_div}) / 2, 0)) end as char_distance from c left join q using (ref)),
+cw as (select doc_id, ref, x, count(*) as n from (select doc_id, ref, lower(unnest(ws)) as x from w) where x in ({every}) group by all),
+rw as (select ref, x, sum(n) / sum(sum(n)) over (partition by ref) as q from cw group by ref, x),
+hits as (select doc_id, sum(n) as hits from cw group by 1),
+wd as (select doc_id, sqrt(greatest((sum({js("(n / hits)", "q")}) + 1 - sum(q)) / 2, 0)) as word_distance
+  from cw join hits using (doc_id) join rw using (ref, x) where hits >= {MIN_COMMON} group by doc_id),
+b as (select w.doc_id, len(ws) as n_words, length(translate(t, {space}, '')) as word_chars, length(t) - length(translate(t, {_quoted(SYMBOLS)}, '')) as n_symbols,
+  len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(cov.n, 0) as n_repeat_words, char_distance, word_distance
+  from w left join cov using (doc_id) left join cd using (doc_id) left join wd using (doc_id)),
+v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from b)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(char_distance, 9) as char_distance,
+  round(word_distance, 9) as word_distance,
+  not base_failed and coalesce(char_distance, 0) <= {MAX_CHAR_DISTANCE} and coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} as kept from v
+"""

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from .ann_forest import op7_ann_forest
 from .byte_bpe import op5_byte_bpe
 from .html_extract import op6_html_extract
-from .ngram_join import op4_ngram_jaccard_join
+from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
 from .preference import OP1_SQL, op1_preference_format
 from .pii import op2_pii
-from .quality_rules import op10_quality_rules
+from .quality_rules import op10_quality_rules, op10_sql
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
 
@@ -30,4 +30,6 @@ QUERIES: dict[str, Callable] = {
 
 ORACLES: dict[str, str] = {
     "op1_preference_format": OP1_SQL,
+    "op4_ngram_jaccard_join": OP4_SQL,
+    "op10_quality_rules": op10_sql(),
 }
