@@ -15,8 +15,10 @@ def seeded_sample(df: DataFrame, n: int, seed: int = config.SEED, id_col: str =
     return df.orderBy(key, F.col(id_col)).limit(n)
 
 
-def random_params(spark: SparkSession, n_trials: int, grid: dict, seed: int = config.SEED) -> DataFrame:
-    """``n_trials`` rows, each drawing every parameter with replacement from its list."""
+def random_params(spark: SparkSession, n_trials: int, grid: dict | None = None, seed: int = config.SEED) -> DataFrame:
+    """``n_trials`` rows, each drawing every parameter with replacement from its list
+    (default: the network grid of ``config``)."""
+    grid = grid or config.HYPERPARAMETER_GRID
     out = spark.range(n_trials).withColumnRenamed("id", "trial")
     for i, (name, values) in enumerate(grid.items()):
         arr = F.array(*[F.lit(v) for v in values])

@@ -279,10 +279,6 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
     _registered[key] = sf_dir
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view as a lazy DataFrame over ``sf_dir``'s tables."""
     register_tables(spark, sf_dir)
