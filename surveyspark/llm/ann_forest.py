@@ -34,8 +34,8 @@ SAMPLE = 10_000
 TREES = 4
 LEAF = 512
 SHARE = 0.35
-BLOCK_ROWS = 4096
-BUCKET_ROWS = 16_384
+BLOCK_ROWS = 2048
+BUCKET_ROWS = 4096
 QUERY_BLOCK = 8192
 
 
