@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import small_batches, source
+from .text import lean
 
 # classes
 LETTER, NUMBER, OTHER, APO1, APO2, WS_RUN, WS_SPACE, WS_LAST, RESET = range(9)
@@ -262,7 +263,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     small_batches(docs.sparkSession)
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     fields = T.StructType([src.schema[0]]).add("ids", T.ArrayType(T.IntegerType())).add("offsets", T.ArrayType(T.IntegerType()))
-    return src.mapInArrow(_encoded(path), fields)
+    return src.mapInArrow(lean(_encoded(path)), fields)
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -294,7 +295,7 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
     small_batches(docs.sparkSession)
     src = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     fields = T.StructType([src.schema[0]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return src.mapInArrow(_digests(path), fields)
+    return src.mapInArrow(lean(_digests(path)), fields)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

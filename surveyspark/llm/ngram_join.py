@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .tables import Shared, id_filter, in_filter, source
-from .text import Words, chunks, mix
+from .text import Words, chunks, lean, mix
 
 #: A shingle counts as frequent in more texts than this, or than the power of two times it that keeps the
 #: list of them, which every task gets, at ``FREQUENT_MOST`` or fewer.
@@ -71,7 +71,7 @@ def _keys(k: int):
                 keys = np.array([_row_key(s) for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.array([len(s) for s in sets], np.int32)), pa.array(keys.view(np.int64))], ["id", "n", "row"])
-    return run
+    return lean(run)
 
 
 def _counts(k: int):
@@ -82,7 +82,7 @@ def _counts(k: int):
                 h = np.concatenate(Words(data, offs).sets(k))
                 h, n = np.unique(h[h < COUNTED], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])
-    return run
+    return lean(run)
 
 
 def frequent_shingles(src: DataFrame, k: int, shared: Shared) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +126,7 @@ def _incidence(k: int, num: int, den: int, frequent):
                 o, pos = order[take], pos[take]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[o].view(np.int64)), pa.array(keys[doc[o]]), pa.array((lens[doc[o]] << 32) | pos), pa.array(rank[o] > 0)], ["h", "row", "at", "hot"])
-    return run
+    return lean(run)
 
 
 def _sets(k: int, bits):
@@ -140,7 +140,7 @@ def _sets(k: int, bits):
                 off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "set"])
-    return run
+    return lean(run)
 
 
 def _fits(num: int, den: int, a: Column, b: Column) -> Column:

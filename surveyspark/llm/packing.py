@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import Shared, source
-from .text import mix
+from .text import lean, mix
 
 GROUP = 16_384
 ROUNDS = 4
@@ -131,7 +131,8 @@ def _pieces(path: str, size: int, end_id: int):
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0).take(pa.array(row)), *(pa.array(x) for x in (k.astype(np.int32), at, length, crc, deal.astype(np.int64)))],
                     [b.schema.names[0], "piece", "start", "length", "ids_crc32", "deal"])
-    return run
+        words.old = {}  # the worker lives on
+    return lean(run)
 
 
 def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import Shared, id_filter, in_filter, source
+from .text import lean
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -197,7 +198,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(id_col, F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text"))
     fields = T.StructType([rows.schema[0], rows.schema[1], T.StructField("base_sha256", T.StringType()),
                            *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("occ", T.ArrayType(_OCC))])
-    base = shared.put(rows.mapInArrow(_scan, fields), "base")
+    base = shared.put(rows.mapInArrow(lean(_scan), fields), "base")
     occ = base.select("key", F.explode("occ").alias("o")).select("key", "o.*")
     accepted = shared.put(score_instances(occ, shared), "accepted")
     added = occ.where("kind < 0").drop("kind", "patterns").join(accepted, "inst")
@@ -242,7 +243,7 @@ def _redacted(text_col: str, count_col: str | None, bits, inside: bool):
                 elif n not in ("_key", "added"):
                     cols.append(c)
             yield pa.RecordBatch.from_arrays(cols, [n for n in names if n not in ("_key", "added")])
-    return run
+    return lean(run)
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
@@ -258,7 +259,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
         for b in batches:
             yield b.filter(pa.array(in_filter(bits.value, b.column(b.num_columns - 1).to_numpy())))
 
-    few = keyed.mapInArrow(some, keyed.schema).join(added.withColumnRenamed("key", "_key"), "_key", "left")
+    few = keyed.mapInArrow(lean(some), keyed.schema).join(added.withColumnRenamed("key", "_key"), "_key", "left")
     return plain.union(few.select(*docs.columns, "_key", "added").mapInArrow(_redacted(text_col, count, bits, True), docs.schema))
 
 

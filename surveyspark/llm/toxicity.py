@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import small_batches, source
+from .text import lean
 
 MAX_TRAIN = 4000
 MAX_FEATURES = 2000
@@ -215,7 +216,7 @@ def _score(shared_model, names: list[str], at: int):
                         logit[c] += v * np.clip(logit[k], -20, 20)
                 p = 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
                 yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, p)], [*b.schema.names, *names])
-    return run
+    return lean(run)
 
 
 def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], reject: str, id_col: str = "doc_id", text_col: str = "text",
