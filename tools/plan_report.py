@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query (initial plan, before AQE re-planning).
+"""Physical-plan summary of every query of the library (initial plan, before AQE re-planning).
 
 usage: python tools/plan_report.py [sf_dir]
 """
@@ -8,7 +8,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from surveyspark.plans import registry  # noqa: E402
 from surveyspark.session import get_spark  # noqa: E402
 
 OPS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition", "BroadcastExchange",
@@ -17,9 +17,10 @@ OPS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Sing
        "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "Expand", "Generate"]
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-spark = get_spark("local[4]")
+spark = get_spark("local[2]")
 print("| query | " + " | ".join(o.replace("Exchange ", "X:") for o in OPS) + " | scans | pushed |")
-for name, fn in E.queries().items():
+registry.load_all()
+for name, fn in registry.QUERIES.items():
     try:
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
     except Exception as e:  # noqa: BLE001
