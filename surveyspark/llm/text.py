@@ -28,6 +28,14 @@ _BYTE = np.random.default_rng(7).integers(1, 2 ** 63, 256, dtype=np.uint64)
 _POW = [np.ones(1, _U), np.ones(1, _U)]
 
 
+def release_memory() -> None:
+    """Give what the allocators keep back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def lean(run: Callable) -> Callable:
     """``run`` over batches, giving freed memory back when a task ends: Python workers live on from task to task,
     and what their allocators keep adds up beside the executor's heap."""
@@ -35,10 +43,7 @@ def lean(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release_memory()
     return wrapped
 
 

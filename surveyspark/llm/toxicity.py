@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import small_batches, source
-from .text import lean
+from .text import lean, release_memory
 
 MAX_TRAIN = 4000
 MAX_FEATURES = 2000
@@ -56,23 +56,15 @@ def words_of(text: str | None) -> set[str]:
 class Sparse:
     """Rows of (feature, count) with products by whole-array numpy calls."""
 
-    def __init__(self, docs: list[dict[int, float]], width: int):
-        self.shape = (len(docs), width)
-        self.row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        self.col = np.array([c for d in docs for c in d], np.int64)
-        self.val = np.array([v for d in docs for v in d.values()], np.float64)
+    def __init__(self, row: np.ndarray, col: np.ndarray, val: np.ndarray, shape: tuple[int, int]):
+        self.row, self.col, self.val, self.shape = row, col, val, shape
 
     def take(self, keep: np.ndarray) -> Sparse:
-        out = Sparse([], self.shape[1])
         at = keep[self.row]
-        out.row, out.col, out.val = (np.cumsum(keep) - 1)[self.row[at]], self.col[at], self.val[at]
-        out.shape = (int(keep.sum()), self.shape[1])
-        return out
+        return Sparse((np.cumsum(keep) - 1)[self.row[at]], self.col[at], self.val[at], (int(keep.sum()), self.shape[1]))
 
     def scaled(self, by: np.ndarray) -> Sparse:
-        out = Sparse([], self.shape[1])
-        out.row, out.col, out.val, out.shape = self.row, self.col, self.val * by[self.col], self.shape
-        return out
+        return Sparse(self.row, self.col, self.val * by[self.col], self.shape)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], self.shape[0])
@@ -108,30 +100,51 @@ def fit(x: Sparse, y: np.ndarray, l1: float | None = None, steps: int = 400) ->
     return w * scale, b
 
 
-def select(docs: list[set[str]], y: np.ndarray, most: int = MAX_FEATURES) -> dict[str, int]:
+def count_grams(texts: Iterable[str | None]) -> tuple[list[str], Sparse]:
+    """All features and, for each text, the number of its distinct words that have each. Words and features
+    are numbered once, so the whole sample is a few integer arrays."""
+    word_id: dict[str, int] = {}
+    gram_id: dict[str, int] = {}
+    grams_of: list[np.ndarray] = []
+    rows, cols, counts = [], [], []
+    for r, text in enumerate(texts):
+        ids = []
+        for w in words_of(text):
+            i = word_id.get(w)
+            if i is None:
+                i = word_id[w] = len(grams_of)
+                grams_of.append(np.array(sorted({gram_id.setdefault(g, len(gram_id)) for g in grams(w)}), np.int32))
+            ids.append(i)
+        if ids:
+            col, n = np.unique(np.concatenate([grams_of[i] for i in ids]), return_counts=True)
+            rows.append(np.full(len(col), r, np.int32))
+            cols.append(col)
+            counts.append(n.astype(np.float32))
+    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    total = r + 1 if rows else 0
+    return list(gram_id), Sparse(join(rows, np.int32), join(cols, np.int32), join(counts, np.float32), (total, len(gram_id)))
+
+
+def select(names: list[str], x: Sparse, y: np.ndarray, most: int = MAX_FEATURES) -> np.ndarray:
     """The features that speak for ``y``, in five documents or more, with the largest chi-square scores."""
-    seen: dict[str, list[int]] = {}
-    for d, label in zip(docs, y.tolist()):
-        for g in {g for w in d for g in grams(w)}:
-            seen.setdefault(g, [0, 0])[int(label)] += 1
+    df = np.bincount(x.col, minlength=x.shape[1]).astype(np.float64)
+    n1_g = np.bincount(x.col, y[x.row], x.shape[1])
     n1, n = float(y.sum()), float(len(y))
-    best = []
-    for g, (n0_g, n1_g) in seen.items():
-        df = n0_g + n1_g
-        if df >= 5 and n1_g * n > df * n1:
-            diff = n1_g * n - df * n1
-            best.append((diff * diff / (df * (n - df)), g))
-    best.sort(key=lambda x: (-x[0], x[1]))
-    return {g: i for i, (_, g) in enumerate(best[:most])}
+    good = np.flatnonzero((df >= 5) & (n1_g * n > df * n1) & (df < n))
+    diff = n1_g[good] * n - df[good] * n1
+    score = diff * diff / (df[good] * (n - df[good]))
+    order = sorted(range(len(good)), key=lambda i: (-score[i], names[good[i]]))
+    return good[order[:most]]
 
 
-def train_chain(texts_words: list[set[str]], ids: Sequence[int], labels: np.ndarray) -> dict:
+def train_chain(texts: Iterable[str | None], ids: Sequence[int], labels: np.ndarray) -> dict:
     """``labels`` has a column for each category in chain order. Returns feature weights, intercepts, the
     weights of earlier logits and the thresholds by the out-of-fold predictions (``best_cut``)."""
     fold = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in ids])
     weights: dict[str, list[float]] = defaultdict(lambda: [0.0] * labels.shape[1])
     model = {"bias": [], "chain": [], "cut": []}
     earlier = np.zeros((len(ids), 0))
+    names, every = count_grams(texts)
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(np.float64)
         if not len(y) or y.min() == y.max():
@@ -141,18 +154,14 @@ def train_chain(texts_words: list[set[str]], ids: Sequence[int], labels: np.ndar
             model["cut"].append(2.0)
             earlier = np.column_stack([earlier, np.zeros(len(ids))])
             continue
-        index = select(texts_words, y)
-        width = len(index)
-        rows = []
-        for words, before in zip(texts_words, earlier):
-            row: dict[int, float] = {}
-            for w in words:
-                for g in grams(w):
-                    if (k := index.get(g)) is not None:
-                        row[k] = row.get(k, 0.0) + 1.0
-            row.update({width + k: v / 10 for k, v in enumerate(before)})
-            rows.append(row)
-        x = Sparse(rows, width + c)
+        chosen = select(names, every, y)
+        width = len(chosen)
+        place = np.full(every.shape[1], -1, np.int32)
+        place[chosen] = np.arange(width)
+        at = place[every.col] >= 0 if every.shape[1] else np.zeros(0, bool)
+        row = np.concatenate([every.row[at], np.tile(np.arange(len(y), dtype=np.int32), c)])
+        col = np.concatenate([place[every.col[at]], np.repeat(width + np.arange(c, dtype=np.int32), len(y))])
+        x = Sparse(row, col, np.concatenate([every.val[at].astype(np.float64), earlier.T.ravel() / 10]), (len(y), width + c))
         out = np.zeros(len(y))
         for f in range(FOLDS):
             inside = fold != f
@@ -162,10 +171,9 @@ def train_chain(texts_words: list[set[str]], ids: Sequence[int], labels: np.ndar
             w, b = fit(x.take(inside), y[inside])
             out[~inside] = x.take(~inside).dot(w) + b
         w, b = fit(x, y)
-        for g, k in index.items():
-            if w[k]:
-                weights[g][c] = float(w[k])
-        model["bias"].append(b)
+        for k in np.flatnonzero(w[:width]):
+            weights[names[chosen[k]]][c] = float(w[k])
+        model["bias"].append(float(b))
         model["chain"].append([float(v) / 10 for v in w[width:]])
         model["cut"].append(best_cut(1 / (1 + np.exp(-np.clip(out, -35, 35))), y))
         earlier = np.column_stack([earlier, np.clip(out, -20, 20)])
@@ -234,9 +242,11 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Col
     shape = "_id long, " + ", ".join(f"_y{k} int" for k in range(len(categories)))
     few = F.broadcast(spark.createDataFrame([tuple(map(int, r)) for r in marks.itertuples(index=False)], shape))
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(few, "_id")
-    sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toPandas()
-    y = sample[[f"_y{k}" for k in range(len(categories))]].to_numpy()
-    model = train_chain([words_of(t) for t in sample["_text"]], sample["_id"].tolist(), y)
+    sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toArrow()
+    y = np.column_stack([sample[f"_y{k}"].to_numpy() for k in range(len(categories))])
+    model = train_chain((t.as_py() for t in sample["_text"]), sample["_id"].to_pylist(), y)
+    del sample
+    release_memory()
     small_batches(spark)
     docs = docs.drop(*names, "rejected")
     fields = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
