@@ -4,7 +4,7 @@ import pytest
 from surveyspark.llm import ngram_join
 from surveyspark.llm.graph import components
 from surveyspark.llm.ngram_join import ngram_jaccard_components, op4_ngram_jaccard_join
-from surveyspark.llm.substring_dedup import op9_substring_dedup, remove_spans, repeated_spans, tune_bands
+from surveyspark.llm.substring_dedup import MIN_REPEAT, Paragraphs, op9_substring_dedup, remove_spans, repeated_spans, tune_bands
 from surveyspark.llm.tables import Shared, id_filter, in_filter
 from surveyspark.llm.text import Words, chunks
 
@@ -126,6 +126,42 @@ def test_near_equal_paragraph_is_found(spark):
     assert {x.doc_id for x in got} == {2} and sum(x.n_words for x in got) >= 40
 
 
+def _inline(r, words, passage):
+    at = r.randrange(len(words))
+    return " ".join(words[:at] + passage + words[at:])
+
+
+def test_cuts_of_a_passage_are_those_of_its_copies():
+    import random
+
+    import pyarrow as pa
+
+    r = random.Random(21)
+    words = [w for row in table("documents") for w in (row["text"] or "").split()]
+    pick = lambda n: (lambda i: words[i:i + n])(r.randrange(len(words) - n))
+    for trial in range(3000):
+        n = 50 + trial % 11
+        passage = pick(n) if trial % 50 else (pick(trial % 7 + 1) * n)[:n]  # some with few different words
+        sets = []
+        for _, _, data, offs in chunks(pa.array([_inline(r, pick(r.randint(20, 200)), passage) for _ in range(2)])):
+            p = Paragraphs(data, offs)
+            sets += [dict(zip(p.hash[p.doc == d].tolist(), (p.b - p.a)[p.doc == d].tolist())) for d in (0, 1)]
+            again = [h in sets[0] for h in p.hash[p.doc == 1].tolist()]
+            assert np.dot(again, (p.b - p.a)[p.doc == 1]) >= MIN_REPEAT
+
+
+def test_passage_in_exactly_two_documents_is_found(spark):
+    import random
+
+    r = random.Random(22)
+    rows = []
+    for trial in range(300):
+        passage = sentence(r, 51 + trial % 10).split()
+        rows += [(2 * trial + i, _inline(r, sentence(r, r.randint(30, 300)).split(), passage)) for i in range(2)]
+    spans = repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id for x in spans} == set(range(1, 600, 2)) and all(x.kept_doc_id == x.doc_id - 1 for x in spans)
+
+
 def test_substring_odd_tables(spark):
     assert repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
     long = " ".join(f"w{i}" for i in range(80))
