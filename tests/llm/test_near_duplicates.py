@@ -162,6 +162,21 @@ def test_passage_in_exactly_two_documents_is_found(spark):
     assert {x.doc_id for x in spans} == set(range(1, 600, 2)) and all(x.kept_doc_id == x.doc_id - 1 for x in spans)
 
 
+@pytest.mark.parametrize("common", [8, 10, 11])
+def test_near_equal_pairs_beside_a_frequent_phrase_are_found(spark, common):
+    import random
+
+    r = random.Random(common)
+    phrase, rows = sentence(r, common), []
+    for i in range(300):  # pairs that differ in the last word, and others with the same first words
+        line = f"{phrase} {sentence(r, 13 - common)}".rstrip()
+        rows += [(2 * i, f"{line} {sentence(r, 1)}"), (2 * i + 1, f"{line} {sentence(r, 1)}")]
+    rows += [(1000 + i, f"{phrase} {sentence(r, 14 - common)}") for i in range(1000)]
+    spans = repeated_spans(spark.createDataFrame(rows, SCHEMA), min_repeat=10).collect()
+    kept = {x.doc_id: x.class_id for x in spans}
+    assert len({i for i in range(1, 600, 2) if i in kept}) >= 0.95 * 300
+
+
 def test_substring_odd_tables(spark):
     assert repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
     long = " ".join(f"w{i}" for i in range(80))
