@@ -4,7 +4,7 @@ import pytest
 from surveyspark.llm import ngram_join
 from surveyspark.llm.graph import components
 from surveyspark.llm.ngram_join import ngram_jaccard_components, op4_ngram_jaccard_join
-from surveyspark.llm.substring_dedup import MIN_REPEAT, Paragraphs, op9_substring_dedup, remove_spans, repeated_spans, tune_bands
+from surveyspark.llm.substring_dedup import MIN_REPEAT, Paragraphs, _bands, op9_substring_dedup, remove_spans, repeated_spans, tune_bands
 from surveyspark.llm.tables import Shared, id_filter, in_filter
 from surveyspark.llm.text import Words, chunks
 
@@ -177,6 +177,23 @@ def test_near_equal_pairs_beside_a_frequent_phrase_are_found(spark, common):
     assert len({i for i in range(1, 600, 2) if i in kept}) >= 0.95 * 300
 
 
+def test_bands_of_a_frequent_paragraph_come_once_a_task():
+    import random
+
+    import pyarrow as pa
+
+    r = random.Random(5)
+    often, texts = sentence(r, 12), []
+    for i in range(3000):
+        texts += [sentence(r, 12), often] if i % 3 == 0 else [sentence(r, 12)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(texts[i:i + 100])], ["id", "text"]) for i in range(0, len(texts), 100)]
+    got = [x for b in _bands(5, 1, 3)(batches) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    data, offs = next(chunks(pa.array([often])))[2:]
+    (hot,) = Paragraphs(data, offs).hash.view(np.int64).tolist()
+    assert 3 <= sum(p == hot for _, p in got) <= 3 * 20
+    assert len({p for _, p in got}) == 3001 and len(set(got)) == 3 * 3001
+
+
 def test_substring_odd_tables(spark):
     assert repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
     long = " ".join(f"w{i}" for i in range(80))
