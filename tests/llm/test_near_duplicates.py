@@ -205,6 +205,16 @@ def test_substring_odd_tables(spark):
     assert sorted(str(x.doc_id) for x in remove_spans(docs, spans).collect()) == sorted(map(str, [1, 2, 3, 4, 4, None]))
 
 
+def test_other_texts_of_a_repeated_id_stay_whole(spark):
+    import random
+
+    r = random.Random(6)
+    passage, other = "b " + sentence(r, 80), "z " + sentence(r, 120)
+    docs = spark.createDataFrame([(1, passage), (2, passage), (2, other), (2, passage), (2, None), (3, other)], SCHEMA)
+    left = sorted((x.doc_id, x.text or "") for x in remove_spans(docs, repeated_spans(docs)).collect())
+    assert left == [(1, passage), (2, ""), (2, other), (3, other)]
+
+
 def test_op9_on_the_given_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in table("documents")]
     assert set(_repeated(rows)) <= {x.doc_id for x in op9_substring_dedup(spark, SF).collect()}
