@@ -3,16 +3,21 @@
 Seeds are the spans of four base expressions (email, ip, card, phone). Every
 seed, and every other token with a digit or an at sign, is an instance: its
 text in lower case. Each place of an instance gives lexical patterns: its shape
-(digits as 9, letters as a), its coarse shape with the word before it, and with
-the word after it. Patterns and instances are the two sides of a graph that
-Spark scores in rounds:
+(digits as 9, letters as a), and two contexts, the word before it and the word
+after it, each with the instance's loose shape (at sign, letters, three dots,
+few, some or many digits), so that another way of writing has the same ones.
+Patterns and instances are the two sides of a graph that Spark scores in rounds:
 
 * a pattern's confidence for a kind is the sum of its instances' scores over
   their number plus one, so that unknown instances and low support lower it;
-* an instance that is no seed gets the mean confidence of its patterns.
-
-Instances that reach ``ACCEPT`` for a kind, with a pattern that at least
-``SUPPORT`` seeds share, are identifiers of that kind wherever they occur. Base
+* an instance that is no seed gets the mean confidence of its patterns;
+* beside it, the best confidence of its contexts that at least ``CONTEXT`` seeds
+  of the kind share. There only seeds and accepted instances count for a
+  pattern, so that unknown ones don't lift each other.
+
+Instances whose mean reaches ``ACCEPT`` for a kind, with a pattern that at least
+``SUPPORT`` seeds share, or whose best context reaches it, are identifiers of
+that kind wherever they occur. Base
 spans stay as they are; added ones never overlap them.
 
 Null and empty texts have no spans. Each row of ``docs`` gives one row; repeated
@@ -37,6 +42,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 ACCEPT = 0.75
 SUPPORT = 5
+CONTEXT = 10
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -116,8 +122,12 @@ def shape(s: str) -> str:
     return "".join("9" if "0" <= c <= "9" else "a" if c.isalpha() else c for c in s)
 
 
-def coarse(s: str) -> str:
-    return re.sub(r"(.)\1+", r"\1", s)
+def loose(s: str) -> str:
+    """What is left of a shape when separators, signs and exact lengths don't count."""
+    if "@" in s:
+        return "@"
+    n = len(_digits(s))
+    return ("a" if any(c.isalpha() for c in s) else "") + ("..." if s.count(".") == 3 else "") + "9" * (1 + (n > 3) + (n > 6))
 
 
 def _hash(s: str) -> int:
@@ -125,14 +135,14 @@ def _hash(s: str) -> int:
 
 
 def patterns(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the lexical patterns of one place of an instance."""
+    """Hashes of the lexical patterns of one place of an instance; odd for contexts of a word, even for others."""
     before = text[max(0, start - 40):start].split()
     after = text[end:end + 40].split()
     full = shape(text[start:end])
-    part = coarse(full)
+    part = loose(text[start:end])
     left = before[-1].lower().strip(".,;:!?\"'()") if before else ""
     right = after[0].lower().strip(".,;:!?\"'()") if after else ""
-    return [_hash(f"shape {full}"), _hash(f"left {left} {part}"), _hash(f"right {right} {part}")]
+    return [_hash(f"shape {full}") & ~1, *(_hash(f"{side} {word} {part}") & ~1 | bool(word) for side, word in (("left", left), ("right", right)))]
 
 
 _OCC = T.StructType().add("kind", T.IntegerType()).add("start", T.IntegerType()).add("end", T.IntegerType()).add("inst", T.LongType()).add("patterns", T.ArrayType(T.LongType()))
@@ -174,20 +184,25 @@ def score_instances(occ: DataFrame, shared: Shared, rounds: int = ROUNDS, accept
     places = edges.where("kind < 0").groupBy("inst").agg(F.count("*").alias("deg"))
     sums = edges.where("kind >= 0").join(open_.select("pat").distinct(), "pat", "left_semi")
     seed = shared.put(sums.groupBy("pat", "kind").agg(F.count("*").cast("double").alias("seed_sum")), "seeds")
+    sure = ((F.col("score") >= accept) & (F.col("seeds") >= support)) | (F.col("best") >= accept)
     score = None
     for _ in range(rounds):
-        total = seed
+        total = seed.withColumn("of_kind", F.col("seed_sum")).withColumn("sure_sum", F.col("seed_sum"))
         if score is not None:
-            more = open_.join(score, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("more"))
-            total = seed.join(more, ["pat", "kind"], "full").select("pat", "kind", (F.coalesce("seed_sum", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("seed_sum"))
+            given = score.select("inst", "kind", "score", F.when(sure, F.greatest("score", "best")).otherwise(0.0).alias("sure"))
+            more = open_.join(given, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("more"), F.sum("sure").alias("sure"))
+            own = F.coalesce("seed_sum", F.lit(0.0))
+            total = seed.join(more, ["pat", "kind"], "full").select("pat", "kind", own.alias("of_kind"), *(
+                (own + F.coalesce(x, F.lit(0.0))).alias(name) for x, name in (("more", "seed_sum"), ("sure", "sure_sum"))))
+        context = (F.col("pat").bitwiseAND(F.lit(1)) == 1) & (F.col("of_kind") >= CONTEXT)
         hits = open_.join(total, "pat").groupBy("inst", "kind").agg(
-            F.sum(F.col("seed_sum") / (F.col("n") + 1)).alias("conf"), F.max("seeds").alias("seeds"))
+            F.sum(F.col("seed_sum") / (F.col("n") + 1)).alias("conf"), F.max("seeds").alias("seeds"),
+            F.max(F.when(context, F.col("sure_sum") / (F.col("n") + 1)).otherwise(0.0)).alias("best"))
         last = score
-        score = shared.put(hits.join(places, "inst").select("inst", "kind", (F.col("conf") / F.col("deg")).alias("score"), "seeds"), "scores")
+        score = shared.put(hits.join(places, "inst").select("inst", "kind", (F.col("conf") / F.col("deg")).alias("score"), "seeds", "best"), "scores")
         if last is not None:
             shared.drop(last)
-    best = score.where((F.col("score") >= accept) & (F.col("seeds") >= support))
-    return best.groupBy("inst").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+    return score.where(sure).groupBy("inst").agg(F.max_by("kind", F.struct(F.greatest("score", "best"), -F.col("kind"))).alias("kind"))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -80,6 +80,27 @@ def test_context_finds_unseen_identifiers_only(spark):
     assert all("[CARD]" in out[i] for i in range(60))
 
 
+def test_one_sided_and_plus_less_contexts_find_unseen_identifiers(spark):
+    r = random.Random(12)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for i in range(40):  # each beside a word of its own on the other side
+        rows.append(f"{word()} call +1 555 {digits(3)} {digits(4)} {word()}")
+        rows.append(f"{word()} {word()}{i}@{word()}.org wrote {word()}")
+        rows.append(f"{word()} host 10.{r.randint(0, 255)}.{r.randint(0, 255)}.{i} {word()}")
+        rows.append(f"{word()} {word()} {digits(9)} {word()} and the {r.randint(1000, 2000)} of {word()} or {digits(3)}")
+    n = len(rows)
+    rows += ["we call 5551234567 today", "please call 555-123-4568", "name@host wrote this", "see host 10.0.300.1 again", "call 4711 now", "room 303 wrote", "the order 555123456789 came"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    base, added = pii.find_pii(pii.with_key(docs))
+    ids = {x.key: x.doc_id for x in base.collect()}
+    found = {ids[x.key]: [(rows[ids[x.key]][s.start:s.end], s.kind) for s in x.added] for x in added.collect()}
+    assert found == {n: [("5551234567", 3)], n + 1: [("555-123-4568", 3)], n + 2: [("name@host", 0)], n + 3: [("10.0.300.1", 1)]}
+    out = {x.doc_id: x.text for x in pii.redact(docs).collect()}
+    assert out[n] == "we call [PHONE] today" and out[n + 2] == "[EMAIL] wrote this" and out[n + 4] == rows[n + 4]
+
+
 def test_pii_odd_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_pii(pii.with_key(docs))[0].count() == 0 and pii.redact(docs).count() == 0
