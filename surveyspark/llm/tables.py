@@ -38,6 +38,10 @@ class Shared:
         for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
             self._delete(f)
 
+    def sweep(self) -> None:
+        """Let the driver forget the queries that have ended, so that Spark deletes their shuffle files."""
+        self.spark._jvm.System.gc()
+
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
