@@ -12,6 +12,11 @@ leaf with very many rows, as of one repeated vector, is several blocks; so are
 many queries), where cosines are computed in double precision on the original
 vectors.
 
+Equal vectors are one row, the one with the least id, until the exact scores are
+there; then a row stands for the least ids of its copies. A score of a block
+depends in its last bits on the block, so all candidates within ``ERROR`` of the
+last place are kept until the scores are computed again pair by pair.
+
 Vectors that are null, empty, zero or hold null or non-finite components take
 no part; nor do those of another length than most (ties: the shorter). A null
 id takes no part; of repeated ids the least vector counts. Ties go to the
@@ -37,6 +42,7 @@ SHARE = 0.35
 BLOCK_ROWS = 2048
 BUCKET_ROWS = 4096
 QUERY_BLOCK = 8192
+ERROR = 1e-11
 
 
 class Forest:
@@ -158,15 +164,16 @@ def _probes(forest, sizes: np.ndarray, budget: float, kind):
 
 
 def _best(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int):
-    """The k best of each query, each candidate once."""
+    """The k best of each query and all within ``ERROR`` of the last of them, each candidate once."""
     order = np.lexsort((v, -s, q))
     q, v, s = q[order], v[order], s[order]
     _, once = np.unique(np.stack([q, v], 1), axis=0, return_index=True)
     once.sort()
     q, v, s = q[once], v[once], s[once]
     head = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-    rank = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
-    return q[rank < k], v[rank < k], s[rank < k]
+    size = np.diff(np.append(head, len(q)))
+    keep = s >= np.repeat(s[np.minimum(head + k, head + size) - 1], size) - ERROR if len(q) else np.zeros(0, bool)
+    return q[keep], v[keep], s[keep]
 
 
 def _rerank(k: int, kind):
@@ -186,7 +193,7 @@ def _rerank(k: int, kind):
                     s[qs[part][:, None] == ids[m][None]] = -np.inf
                     n = min(k, len(m))
                     kth = -np.partition(-s, n - 1, axis=1)[:, n - 1:n]
-                    a, c = np.nonzero((s >= kth) & (s > -np.inf))
+                    a, c = np.nonzero((s >= kth - ERROR) & (s > -np.inf))
                     found.append(_best(qs[part][a], ids[m][c], s[a, c], k))
         q, v, s = _best(*(np.concatenate(z) for z in zip(*found)), k)
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
@@ -220,15 +227,22 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sizes:
         return empty
-    dim, n = sizes[0]
+    dim = sizes[0][0]
     src = src.where(F.size("v") == dim)
 
     def packed(batches):
         for b in batches:
-            flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dim)
+            flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dim) + kind(0)  # no minus zeros
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in flat], pa.binary())], ["id", "vec"])
 
-    src = shared.put(src.mapInArrow(packed, "id long, vec binary"), "vectors")
+    all_ = shared.put(src.mapInArrow(packed, "id long, vec binary"), "vectors")
+    # (rep, id): the copies of vectors that are there more than once, rep the least id of them
+    keyed = all_.select("id", F.unhex(F.sha1("vec")).alias("key"))
+    many = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
+    copies = shared.put(keyed.join(many, "key").select("rep", "id"), "copies")
+    src = all_.join(copies.where("id <> rep").select("id"), "id", "left_anti")
+    src = shared.put(src, "distinct") if not copies.isEmpty() else all_
+    n = src.count()
     drawn = src.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
     forest = Forest(_unit(_matrix(drawn["vec"], kind)), trees, max(8, LEAF * drawn.num_rows // n))
     on_all = spark.sparkContext.broadcast(forest)
@@ -236,7 +250,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     held = np.zeros(forest.leaves, np.int64)  # at most trees x sample / 4 leaves, whatever the number of rows
     for leaf, c in index.groupBy("leaf").count().collect():
         held[leaf] = c
-    queries = src.where(is_query)
+    asked = all_.where(is_query).select("id").join(copies, "id", "left").select(F.coalesce("rep", "id").alias("rep"), F.col("id").alias("q"))
+    queries = src.join(asked.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "vec")
     probes = queries.mapInArrow(_probes(on_all, held, share * n * trees, kind), "leaf long, q long, qvec binary")
 
     parts = spark.createDataFrame([(i, int(-(-c // BLOCK_ROWS))) for i, c in enumerate(held.tolist()) if c], "leaf long, parts int")
@@ -247,11 +262,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     rows = rows.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).select(key(F.col("part"), F.col("qb")).alias("key"), block(F.col("part")), "id", "vec")
     asks = probes.join(F.broadcast(parts), "leaf").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("parts") - 1).cast("long"))))
     asks = asks.select(key(F.col("part"), F.pmod(F.xxhash64("q"), F.lit(q_blocks)).cast("int")).alias("key"), block(F.col("part")), "q", "qvec")
-    found = rows.groupBy("key").cogroup(asks.groupBy("key")).applyInArrow(_rerank(k + 2, kind), "query_id long, vec_id long, score double")
+    found = rows.groupBy("key").cogroup(asks.groupBy("key")).applyInArrow(_rerank(k, kind), "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 2).drop("r", "score")
+    last = F.nth_value("score", k).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("last", last).where(F.col("last").isNull() | (F.col("score") >= F.col("last") - ERROR))
+    found = found.select("query_id", "vec_id").union(asked.join(copies.select("rep").distinct(), "rep").select("rep", "rep").distinct())
     both = found.join(src.select(F.col("id").alias("query_id"), F.col("vec").alias("a")), "query_id").join(src.select(F.col("id").alias("vec_id"), F.col("vec").alias("b")), "vec_id")
     exact = both.select("query_id", "vec_id", "a", "b").mapInArrow(_exact(k, kind), "query_id long, vec_id long, score double")
+    # rows for their copies: k + 1 of them, as one may be the query itself
+    least = copies.withColumn("r", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("r") <= k + 1).select(F.col("rep").alias("vec_id"), "id")
+    exact = exact.join(asked.select(F.col("rep").alias("query_id"), "q"), "query_id").join(least, "vec_id", "left")
+    exact = exact.select(F.col("q").alias("query_id"), F.coalesce("id", "vec_id").alias("vec_id"), "score").where("query_id <> vec_id")
     return exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -101,6 +101,26 @@ def test_forest_recall_and_scores(spark):
         assert all(a[1] > b[1] or (a[1] == b[1] and a[0] < b[0]) for a, b in zip(found, found[1:]))
 
 
+def test_forest_ties_go_to_the_smaller_ids(spark):
+    r = np.random.default_rng(9)
+    base = r.normal(size=(60, 96))
+    rows = [(i, base[i % 60].tolist()) for i in range(1500)]  # 25 copies of each
+    rows += [(2000 + i, (base[i % 60] * 2.0 ** (i // 60)).tolist()) for i in range(600)]  # multiples with equal cosines
+    r.shuffle(rows)
+    rows = [(int(i), v) for i, v in rows]
+    want = plain_nearest(rows, lambda i: i % 50 == 0, 5)
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for parts in (3, 7):
+        got = {}
+        for x in nearest(docs.repartition(parts), F.col("id") % 50 == 0, share=1.0).orderBy("query_id", "rank").collect():
+            got.setdefault(x.query_id, []).append((x.vec_id, x.score))
+        assert set(got) == set(want)
+        for q, found in got.items():
+            top = {j: s for j, s in plain_nearest(rows, lambda i: i == q, 10 ** 6)[q]}
+            best = max(top.values())
+            assert [j for j, _ in found] == sorted(j for j, s in top.items() if s > best - 1e-9 and j < 1500)[:5]
+
+
 def test_forest_on_few_and_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [2.0, 0.0]), (7, [0.0, 3.0]), (8, []), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0])]
