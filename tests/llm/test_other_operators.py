@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyspark.llm import html_extract as H
-from surveyspark.llm.ann_forest import nearest, op7_ann_forest
+from surveyspark.llm.ann_forest import _best, nearest, op7_ann_forest
 from surveyspark.llm.preference import assemble, op1_preference_format, preference_segments
 
 from .data import SF, table
@@ -121,6 +121,13 @@ def test_forest_ties_go_to_the_smaller_ids(spark):
             assert [j for j, _ in found] == sorted(j for j, s in top.items() if s > best - 1e-9 and j < 1500)[:5]
 
 
+def test_rounding_of_a_block_does_not_choose_between_copies():
+    ids = np.arange(20)
+    score = 0.9 + (ids % 7) * 1.2e-16  # what a matrix product makes of equal vectors
+    q, v, s = _best(np.zeros(21, np.int64), np.append(ids, 99), np.append(score, 0.8), 2)
+    assert sorted(v) == list(range(20)) and len(_best(q[:0], v[:0], s[:0], 2)[0]) == 0
+
+
 def test_forest_on_few_and_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [2.0, 0.0]), (7, [0.0, 3.0]), (8, []), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0])]
