@@ -7,7 +7,7 @@ task. Dual-feasible functions over a group's lengths give a lower bound of its
 sequence count: a group that meets its bound is certified and final. Groups
 with a gap release the pieces of their sequences that are not nearly full;
 these are dealt anew into (fewer) mixed groups and packed again, as long as the
-total shrinks. The first packing is kept where a repacking is no better.
+total shrinks and a group has a gap. The first packing is kept where a repacking is no better.
 
 Each row of ``docs`` is packed, repeated rows included; a null text is empty and
 has only the end id. Group numbers are dealt by place in the input, not by key,
@@ -16,6 +16,7 @@ so equal ids or texts spread over all groups.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from array import array
@@ -32,7 +33,6 @@ from .tables import Shared, source
 from .text import lean, mix
 
 GROUP = 16_384
-ROUNDS = 4
 _CACHE = 250_000
 
 
@@ -206,8 +206,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 1
     packed_fields = T.StructType([*fields.fields]).add("bin", "long").add("offset", "long").add("fill", "long").add("gap", "long").add("grp", "long")
     done = [full.select(out_cols)]
     todo, before = pieces.where(F.col("length") < size), None
-    numbered = lambda df, r: df.withColumn("sequence_id", F.lit(r << 58).bitwiseOR(F.shiftleft("grp", 24)).bitwiseOR(F.col("bin"))).select(out_cols)
-    for r in range(ROUNDS):
+    numbered = lambda df, r: df.withColumn("sequence_id", F.lit(r << 50).bitwiseOR(F.shiftleft("grp", 24)).bitwiseOR(F.col("bin"))).select(out_cols)
+    for r in itertools.count():
         n = todo.count()
         if not n:
             break

@@ -255,6 +255,28 @@ def test_packing_is_tight_over_groups(spark):
     assert packing.pack(docs.limit(0), WORDS).count() == 0
 
 
+def test_packing_goes_on_while_the_total_shrinks(spark, monkeypatch):
+    calls = []
+
+    def slow(size, fields):  # round c joins c pairs of a group, up to six
+        calls.append(size)
+        c = min(len(calls), 6)
+
+        def run(pdf):
+            i = np.arange(len(pdf))
+            second = (i < 2 * c) & (i % 2 == 1)
+            bins = np.cumsum(~second) - 1
+            length = pdf["length"].to_numpy()
+            return pdf.assign(bin=bins, offset=np.where(second, np.roll(length, 1), 0), fill=np.bincount(bins, length).astype(np.int64)[bins], gap=1)[fields]
+        return run
+
+    monkeypatch.setattr(packing, "_pack", slow)
+    texts = [(i, "a a a") for i in range(100)]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), WORDS, size=100, group=50).collect()
+    made, _ = check_packing(rows, texts, 100)
+    assert (made, len(calls)) == (100 - 2 * 6, 7)
+
+
 def test_op8_on_the_given_table(spark):
     texts = [(r["doc_id"], r["text"]) for r in table("documents")]
     made, least = check_packing(packing.op8_best_fit_packing(spark, SF).collect(), texts, 4096)
