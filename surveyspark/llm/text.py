@@ -132,8 +132,10 @@ class Words:
 
 
 def rolled(w: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
+    """For each word hash, the hash of it and the next k - 1, as far as there are so many."""
     x = np.full(len(w), _U(0x51ED270B + salt), _U)
     for j in range(k):
         x *= _U(0xD6E8FEB86659FD93)
-        x[:len(w) - j] += w[j:]
+        if j < len(w):
+            x[:len(w) - j] += w[j:]
     return mix(x)

@@ -62,6 +62,13 @@ def test_join_odd_tables(spark):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == [(1, 2, 1), (2, 2, 1)]
 
 
+@pytest.mark.parametrize("texts", [[" ".join("abcdefg"[:n])] for n in range(8)] + [["a b c", "x y"], ["x " * 300_000, "a b c"], ["a b", "a b", "A b c", ""]])
+def test_join_of_short_runs(spark, texts):
+    rows = list(enumerate(texts))
+    got = ngram_jaccard_components(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == jaccard_components(rows)
+
+
 def test_op4_on_the_given_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in table("documents")]
     got = op4_ngram_jaccard_join(spark, SF).collect()
