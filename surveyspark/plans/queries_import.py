@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import importers, ingest, merge
+from ..session import scratch_path
+from ..sources.csv_records import read_csv
+from ..sources.sinks import write_table
 from .fixtures import oracle, view
 from .queries_ingest import _SPECIES_VALUES, _URL_EXT, TARGETS, dwc
 from .registry import query
@@ -88,3 +93,13 @@ def q_import_merged(spark, sf):
     """All three imports merged: from dumps to the deduplicated manifest that the folds are dealt on."""
     rows = merge.deduplicate(merge.normalize_paths(merge.union_sources(_parts(spark, sf))))
     return rows.select(*_COLS, F.col("src_ord").cast("int").alias("src_ord"))
+
+
+@query("csv_records", """
+select cast(doc_id as varchar) as doc_id, lang, md5(text) as text_md5, length(text) as n_chars from documents
+""")
+def q_csv_records(spark, sf):
+    """Whole texts, with their quotes and line breaks, through CSV files and back."""
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    write_table(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text"), path, fmt="csv")
+    return read_csv(spark, path).select("doc_id", "lang", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"))

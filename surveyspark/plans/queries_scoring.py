@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.text import percent_text
 from ..operators import decisions, scoring
+from ..session import scratch_path
+from ..sources.readers import latest_results
+from ..sources.sinks import write_table
 from .fixtures import oracle, view
 from .registry import query
 
@@ -204,6 +209,19 @@ def q_action_summary_all(spark, sf):
     return decisions.action_summary(decided(spark, sf), urgent_only=False)
 
 
+@query("latest_results_actions", oracle(_DEC, """
+select recommended_action, count(*) as n, min(reasoning) as first_reasoning from dec group by 1
+""", _DECIDE_CTES))
+def q_latest_results_actions(spark, sf):
+    """Decisions exported twice, as an older and a newer result set of several parts: totals of the newest."""
+    base = scratch_path(spark, f"results-{uuid.uuid4().hex}")
+    rows = decided(spark, sf).select("species", "risk_level", "recommended_action", "reasoning")
+    write_table(rows.where("risk_level = 'HIGH'"), f"{base}/first", fmt="csv")
+    write_table(rows, f"{base}/second", fmt="csv")
+    newest = latest_results(spark, f"{base}/*", "recommended_action string, reasoning string")
+    return newest.groupBy("recommended_action").agg(F.count(F.lit(1)).alias("n"), F.min("reasoning").alias("first_reasoning"))
+
+
 _RULE = "=" * 70
 _LEVEL_RANK = {k: i for i, k in enumerate(sorted(["CRITICAL", "HIGH", "MEDIUM", "LOW", "NATIVE"]))}
 _ACTION_RANK = {k: i for i, k in enumerate(sorted(["Immediate removal", "Herbicide treatment", "Mechanical removal",

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from .. import config
 from ..functions.spatial import has_coords
 from ..functions.text import normalize_id, normalize_path, resolve_path, species_from_dirname
+from .csv_records import read_csv
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("filepath", T.StringType()), T.StructField("label", T.StringType()),
@@ -60,10 +61,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_manifest(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
-    """Manifest CSV with header; every optional column present (null when absent);
+    """Manifest CSV with header (quoted line breaks and doubled quotes included, see ``csv_records``); every optional column present (null when absent);
     ``gbif_id`` normalised from ``123`` / ``123.0`` to bigint. A number that cannot be read is null, and its
     text is kept in ``_rejected`` (``column=text``)."""
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    raw = read_csv(spark, path, order=True)
     present = set(raw.columns)
     cols = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
             .alias(f.name) for f in MANIFEST_SCHEMA.fields if f.name != "gbif_id"]
@@ -72,10 +73,7 @@ def read_manifest(spark: SparkSession, path: str, with_order: bool = True) -> Da
                   F.concat(F.lit(f"{f.name}="), F.col(f"`{f.name}`")))
            for f in MANIFEST_SCHEMA.fields if f.name in present and f.dataType != T.StringType()]
     rejected = F.nullif(F.concat_ws("; ", *bad), F.lit("")) if bad else F.lit(None).cast("string")
-    df = raw.select(*cols, gid.alias("gbif_id"), rejected.alias("_rejected"), F.col("_metadata"))
-    if with_order:
-        df = with_row_ord(df)
-    return df.drop("_metadata")
+    return raw.select(*cols, gid.alias("gbif_id"), rejected.alias("_rejected"), *(["row_ord"] if with_order else []))
 
 
 def read_manifests(spark: SparkSession, manifest_dir: str, names=config.MANIFEST_SOURCES) -> list[DataFrame]:
@@ -121,8 +119,7 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Mapping file reader chosen by extension: ``.json``, ``.tsv``, else CSV."""
     if path.endswith(".json"):
         return spark.read.json(path, multiLine=True, schema=MAPPING_SCHEMA)
-    sep = "\t" if path.endswith(".tsv") else ","
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+    return read_csv(spark, path, "\t" if path.endswith(".tsv") else ",")
 
 
 def scan_image_tree(spark: SparkSession, root: str, source: str,
@@ -157,15 +154,24 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
             .select("path", "length"))
 
 
-def latest_results(spark: SparkSession, path_glob: str, schema=None) -> DataFrame:
-    """Rows of the newest results CSV (by file modification time), found from the listing alone. With a
-    ``schema`` its columns are taken by header name; absent ones are null."""
+def result_sets(spark: SparkSession, path_glob: str) -> DataFrame:
+    """``(location, parts, bytes, written)`` of every exported result set: the ``part-`` files of one folder are
+    one set, named by the folder; any other CSV is a set of its own. ``written`` is the time of its last part."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-             .load(path_glob).select("path", "modificationTime"))
-    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
+             .load(path_glob).select("path", "length", "modificationTime"))
+    folder = F.regexp_extract("path", r"^(.*)/part-[^/]*$", 1)
+    return (files.groupBy(F.when(folder != "", folder).otherwise(F.col("path")).alias("location"))
+                 .agg(F.count(F.lit(1)).alias("parts"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("written")))
+
+
+def latest_results(spark: SparkSession, path_glob: str, schema=None) -> DataFrame:
+    """All rows of the newest result set (see :func:`result_sets`; ties: the greater name), whatever the number of
+    its parts; parts without rows decide nothing. With a ``schema`` its columns are taken by header name; absent
+    ones are null, as are values that do not fit. No set at all is an error."""
+    newest = result_sets(spark, path_glob).agg(F.max_by("location", F.struct("written", "location")).alias("at")).first()["at"]
     if newest is None:
         raise FileNotFoundError(f"No results CSV at {path_glob}.")
-    df = spark.read.option("header", True).csv(newest)
+    df = read_csv(spark, newest, pathGlobFilter="*.csv")
     if schema is None:
         return df
     want = spark.createDataFrame([], schema).schema
