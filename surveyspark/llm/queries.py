@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from .ann_forest import op7_ann_forest
 from .byte_bpe import op5_byte_bpe
+from .centroid_clustering import op13_centroid_clusters, op13_sql
 from .html_extract import op6_html_extract
 from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
@@ -14,6 +15,7 @@ from .pii import op2_pii
 from .quality_rules import op10_quality_rules, op10_sql
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op3_toxicity
+from .whitening import op12_whitening
 
 QUERIES: dict[str, Callable] = {
     "op1_preference_format": op1_preference_format,
@@ -26,10 +28,13 @@ QUERIES: dict[str, Callable] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op12_whitening": op12_whitening,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 ORACLES: dict[str, str] = {
     "op1_preference_format": OP1_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op10_quality_rules": op10_sql(),
+    "op13_centroid_clusters": op13_sql(),
 }
