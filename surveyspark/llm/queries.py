@@ -7,6 +7,7 @@ from collections.abc import Callable
 from .ann_forest import op7_ann_forest
 from .byte_bpe import op5_byte_bpe
 from .centroid_clustering import op13_centroid_clusters, op13_sql
+from .flat_graph import OP11_SQL, op11_flat_graph
 from .html_extract import op6_html_extract
 from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op8_best_fit_packing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_flat_graph": op11_flat_graph,
     "op12_whitening": op12_whitening,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
@@ -36,5 +38,6 @@ ORACLES: dict[str, str] = {
     "op1_preference_format": OP1_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op10_quality_rules": op10_sql(),
+    "op11_flat_graph": OP11_SQL,
     "op13_centroid_clusters": op13_sql(),
 }

@@ -5,11 +5,12 @@ import math
 import numpy as np
 import pytest
 
-from surveyspark.llm import whitening
+from surveyspark.llm import flat_graph, whitening
 from surveyspark.llm.centroid_clustering import DIM, centroid_clusters, lower_bounds, nearest_centroid, op13_centroid_clusters, squared
+from surveyspark.llm.flat_graph import near_vectors, op11_flat_graph
 from surveyspark.llm.whitening import leading_eigenpairs, op12_whitening, whiten
 
-from .data import SF, table
+from .data import SF, table, union_find
 
 NAN, INF = float("nan"), float("inf")
 
@@ -124,3 +125,104 @@ def test_filter_certifies_small_gaps(monkeypatch):
         assert np.allclose(got, np.sort(e)[::-1][:8], atol=1e-9) and len(passes) < 400
         assert np.abs(u.T @ u - np.eye(u.shape[1])).max() < 1e-12 and history[-1] < 1e-9
     assert whitening.TOL < whitening.FLOOR
+
+
+# --- the flat graph
+
+def plain_links(rows, t=0.93):
+    ids = sorted({i for i, _, _ in rows if i is not None})
+    least = {}
+    for i, label, v in rows:
+        if i is not None and (i not in least or (label is not None, label, v) < least[i]):
+            least[i] = (label is not None, label, v)
+    good = [(i, la, np.array(v, float)) for i, (ok, la, v) in least.items() if ok and v and all(c is not None and math.isfinite(c) for c in v) and any(v)]
+    n, pairs = dict.fromkeys(ids, 0), []
+    for label in {la for _, la, _ in good}:
+        mine = [(i, v) for i, la, v in good if la == label]
+        x = np.stack([v for _, v in mine])
+        size = np.sqrt((x * x).sum(1))
+        a, b = np.nonzero(np.triu(x @ x.T / np.outer(size, size) >= t, 1))
+        for p, q in zip(a.tolist(), b.tolist()):
+            pairs.append((mine[p][0], mine[q][0]))
+            n[mine[p][0]] += 1
+            n[mine[q][0]] += 1
+    return {i: (n[i], c, c == i) for i, c in union_find(ids, pairs).items()}
+
+
+def vector_groups(seed=1, dim=24):
+    """(id, label, vector): noise, near copies of few centres (tight and loose), copies, multiples and chains."""
+    r = np.random.default_rng(seed)
+    rows = [v for v in r.normal(size=(600, dim))]
+    for spread, size in ((0.02, 150), (0.2, 150), (0.27, 100), (0.35, 60)):
+        centre = r.normal(size=dim)
+        rows += [centre * r.uniform(0.5, 3) + spread * np.linalg.norm(centre) / dim ** 0.5 * r.normal(size=dim) for _ in range(size)]
+    rows += [rows[3]] * 20 + [rows[4] * k for k in range(2, 30)]
+    a, b = r.normal(size=(2, dim))
+    a, b = a / np.linalg.norm(a), b / np.linalg.norm(b)
+    b -= a * (a @ b)
+    b /= np.linalg.norm(b)
+    rows += [a * math.cos(0.3 * i) + b * math.sin(0.3 * i) for i in range(12)]
+    order = r.permutation(len(rows))
+    return [(int(i), int(r.integers(0, 2)) if i % 7 == 0 else 1, [float(c) for c in rows[o]]) for i, o in enumerate(order)]
+
+
+@pytest.mark.parametrize("per_cluster,part,dense", [(500, 2048, 0.02), (40, 64, 0.02), (60, 100, 2.0)])
+def test_graph_links_match_brute_force(spark, monkeypatch, per_cluster, part, dense):
+    for name, value in (("PER_CLUSTER", per_cluster), ("PART", part), ("DENSE", dense)):
+        monkeypatch.setattr(flat_graph, name, value)
+    rows, report = vector_groups(), []
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in near_vectors(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"), report=report).collect()}
+    want = plain_links(rows)
+    assert set(got) == set(want) and all(got[i][0] <= want[i][0] for i in want)
+    assert sum(n for n, _, _ in got.values()) >= 0.95 * sum(n for n, _, _ in want.values())
+    assert sum(got[i][1] == want[i][1] for i in want) >= 0.95 * len(want)
+    assert report[-1][2] >= 0.95 * report[-1][1] > 0
+
+
+def test_cores_are_counted_without_pairs(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    x = r.normal(size=16) + 0.01 * r.normal(size=(3000, 16))
+    tiles = []
+    monkeypatch.setattr(flat_graph, "_searched", lambda *a: lambda t: tiles.append(1) or (_ for _ in ()).throw(AssertionError("searched")))
+    docs = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    assert {(x.n_links, x.component_id) for x in near_vectors(docs).collect()} == {(2999, 0)}
+
+
+def test_robust_pruned_graph_and_range_search():
+    r = np.random.default_rng(4)
+    x = flat_graph.unit(np.vstack([r.normal(size=(700, 16)), r.normal(size=16) + 0.2 * r.normal(size=(80, 16))])).astype(np.float32)
+    near = flat_graph.robust_pruned(x)
+    s = x @ x.T
+    np.fill_diagonal(s, -4)
+    assert (near[:, 0] == s.argmax(1)).all()  # the nearest row is always kept
+    for i in range(0, 780, 60):
+        kept = near[i][near[i] >= 0]
+        d = lambda a, b: math.sqrt(max(0.0, 2 - 2 * float(x[a] @ x[b])))
+        assert all(flat_graph.ALPHA * d(p, q) > d(i, q) - 1e-5 for k, q in enumerate(kept) for p in kept[:k])
+    adj = np.full((780, 780), -1)
+    for u, v in {(a, b) for i, row in enumerate(near) for j in row if j >= 0 for a, b in ((i, int(j)), (int(j), i))}:
+        adj[u, (adj[u] >= 0).sum()] = v
+    u, v = flat_graph.range_search(x, adj, [0], x, np.full(780, -1), 32, 0.85, 0.93)
+    want = {(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.93))}
+    assert set(zip(u.tolist(), v.tolist())) <= want and len(u) >= 0.95 * len(want) and len(set(zip(u, v))) == len(u)
+
+
+def test_graph_of_odd_tables(spark):
+    rows = [(1, 1, [1.0, 0.0]), (2, 1, [2.0, 0.0]), (3, 2, [1.0, 0.0]), (4, None, [1.0, 0.0]), (5, 1, None), (6, 1, [0.0, 0.0]), (7, 1, [NAN, 1.0]), (8, 1, [INF, 1.0]), (9, 1, [1.0, None]),
+            (10, 1, []), (None, 1, [1.0, 0.0]), (11, 1, [1.0, 0.0]), (11, 1, [1.0, 0.0]), (12, 1, [1.0, 0.0]), (13, 1, [0.0, 1.0]), (14, 1, [1e200, 1e190]), (15, 1, [-1.0, -0.0])]
+    docs = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, label int, embedding array<double>, n int, shard string")
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in near_vectors(docs).collect()}
+    linked = {1, 2, 11, 12, 14}
+    assert got == {i: (4, 1, i == 1) if i in linked else (0, i, True) for i in range(1, 16)}
+    assert near_vectors(docs.limit(0)).count() == 0
+    assert [tuple(x) for x in near_vectors(docs.where("vec_id = 5")).collect()] == [(5, 0, 5, True)]
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/check_h"])
+def test_op11_recall_on_given_tables(spark, sf):
+    rows = [(r["vec_id"], r["label"], r["embedding"]) for r in table("embeddings", sf)]
+    want, got = plain_links(rows), {x.vec_id: (x.n_links, x.component_id, x.kept) for x in op11_flat_graph(spark, sf).collect()}
+    assert set(got) == set(want) and all(got[i][0] <= want[i][0] for i in want)
+    total, found = (sum(n for n, _, _ in z.values()) for z in (want, got))
+    print("links", total, "found", found)
+    assert found >= 0.95 * total
