@@ -52,10 +52,10 @@ SAMPLE, DENSE_SAMPLE = 20_000, 2_000
 #: The part of the dense sample that makes a leader; medoids at most.
 DENSE, MOST_MEDOIDS = 0.02, 4096
 #: Rows of a label to a cluster; rows of a part of a shard.
-PER_CLUSTER, PART = 500, 2048
-OVERLAP, BEAM = 4, 32
-#: Nearest rows that are pruned, neighbours kept, and the factor of the pruning.
-CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
+PER_CLUSTER, PART = 250, 2048
+OVERLAP, BEAM = 2, 24
+#: Nearest rows that are pruned, neighbours kept (and as many edges back, the nearest), and the factor of the pruning.
+CANDIDATES, DEGREE, ALPHA = 32, 16, 1.2
 #: The range of the search as a factor of the threshold's angle.
 ROOM = 1.2
 AUDIT, RECALL = 1000, 0.95
@@ -157,10 +157,14 @@ def _built(kind):
     """Adjacency lists of a part, edges in both directions."""
     def run(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
-        near = robust_pruned(unit(matrix(table["vec"], kind).astype(np.float64)).astype(np.float32))
+        x = unit(matrix(table["vec"], kind).astype(np.float64)).astype(np.float32)
+        near = robust_pruned(x)
         u, j = np.nonzero(near >= 0)
         v = near[u, j]
-        both = np.unique(np.stack([np.concatenate([u, v]), np.concatenate([v, u])], 1), axis=0)
+        order = np.lexsort((-np.einsum("ij,ij->i", x[u], x[v]), v))
+        place = np.arange(len(v)) - np.searchsorted(v[order], v[order])
+        back = order[place < DEGREE]
+        both = np.unique(np.stack([np.concatenate([u, v[back]]), np.concatenate([v, u[back]])], 1), axis=0)
         offs = np.searchsorted(both[:, 0], np.arange(len(ids) + 1)).astype(np.int32)
         return pa.table({"id": pa.array(ids), "near": pa.ListArray.from_arrays(pa.array(offs), pa.array(ids[both[:, 1]]))})
     return run

@@ -166,7 +166,7 @@ def vector_groups(seed=1, dim=24):
     return [(int(i), int(r.integers(0, 2)) if i % 7 == 0 else 1, [float(c) for c in rows[o]]) for i, o in enumerate(order)]
 
 
-@pytest.mark.parametrize("per_cluster,part,dense", [(500, 2048, 0.02), (40, 64, 0.02), (60, 100, 2.0)])
+@pytest.mark.parametrize("per_cluster,part,dense", [(250, 2048, 0.02), (40, 64, 0.02), (60, 100, 2.0)])
 def test_graph_links_match_brute_force(spark, monkeypatch, per_cluster, part, dense):
     for name, value in (("PER_CLUSTER", per_cluster), ("PART", part), ("DENSE", dense)):
         monkeypatch.setattr(flat_graph, name, value)
