@@ -1,35 +1,64 @@
 """Table versioning: profiles, an order-independent content hash, file
 checksums, a versions table and drift between two profiles.
 
-The content hash is computed without a global sort: every row gets a SHA-256
-of its canonical text, and the table hash is the row count plus the exact
-(decimal) sum of each row hash's first 52 bits. Sums are associative and
-commutative, so the hash is the same under any partitioning or row order,
-and unlike XOR it still changes when a duplicate row is added.
+The content hash needs no global sort. A row's code is, for each column, a mark
+for null or the length of the value's text and the text, so no two rows of other
+values have one code; its SHA-256 is cut into lanes, each lane is added up
+exactly over all rows (sums do not depend on order or partitioning and, unlike
+XOR, change with a repeated row), and the table's hash is the SHA-256 of the row
+count, the lanes' sums and the columns' names and types.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SEP = "\u001f"
-NULL = "\u0000"
+#: Hex digits of a lane, so that a lane is a long, and the lanes of a SHA-256 (the last is shorter).
+LANE = 13
+LANES = range(1, 64, LANE)
 
 
-def row_hash(df: DataFrame) -> F.Column:
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL)) for c in df.columns]
-    return F.sha2(F.concat_ws(SEP, *parts), 256)
+def value_text(name: str, of: T.DataType) -> Column:
+    """A text for every value of a column, another one for every other value of its type."""
+    c = F.col(f"`{name}`")
+    if isinstance(of, T.BinaryType):
+        return F.hex(c)
+    if isinstance(of, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # not the session's time zone
+    if isinstance(of, T.MapType):
+        c = F.array_sort(F.map_entries(c))
+    if isinstance(of, (T.MapType, T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
+    return c.cast("string")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """SHA-256 of a row's code; the code is the values' alone, not the columns' names."""
+    parts = []
+    for f in df.schema.fields:
+        text = value_text(f.name, f.dataType)
+        some = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.when(F.col(f"`{f.name}`").isNull(), F.lit("-")).otherwise(some))
+    return F.sha2(F.concat(F.lit(""), *parts), 256)
+
+
+def header_text(df: DataFrame) -> str:
+    """Names and types of the columns, in order."""
+    return "".join(f"{len(f.name)}:{f.name}{f.dataType.simpleString()};" for f in df.schema.fields)
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """``(n_rows, hash_sum)``: row count and the sum of 52-bit row-hash prefixes (as text)."""
-    h = row_hash(df)
-    prefix = F.conv(F.substring(h, 1, 13), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.coalesce(F.sum(prefix), F.lit(0).cast("decimal(38,0)")).cast("string").alias("hash_sum"))
+    """``(n_rows, hash_sum)``: the row count and the table's hash in hex digits. An empty table's hash is that of
+    its columns."""
+    lanes = [F.conv(F.substring("h", at, LANE), 16, 10).cast("decimal(38,0)") for at in LANES]
+    sums = df.select(row_hash(df).alias("h")).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(x), F.lit(0).cast("decimal(38,0)")).cast("string").alias(f"s{i}") for i, x in enumerate(lanes)])
+    text = F.concat_ws("|", F.col("n_rows").cast("string"), *[F.col(f"s{i}") for i in range(len(lanes))], F.lit(header_text(df)))
+    return sums.select("n_rows", F.sha2(text, 256).alias("hash_sum"))
 
 
 def table_profile(df: DataFrame, label_col="label", source_col="source", group_col="group") -> DataFrame:
@@ -132,8 +161,12 @@ def verify(current: DataFrame, spark: SparkSession, path: str):
     if latest is None:
         return True, None
     cur = current.first()
-    if (cur["n_rows"], cur["hash_sum"]) != (latest["n_rows"], latest["hash_sum"]):
+    if cur["n_rows"] != latest["n_rows"]:
         return False, f"content mismatch: {latest['n_rows']} rows saved, {cur['n_rows']} now"
+    if cur["hash_sum"] != latest["hash_sum"]:
+        names = [next((p["value"] for p in v["profile"] if p["key"] == "columns"), None) for v in (latest, cur)]
+        what = f"columns {names[0]} saved, {names[1]} now" if names[0] != names[1] else "other values or types in as many rows"
+        return False, f"content mismatch: {what}"
     if cur["n_files"] is not None and latest["n_files"] is not None:
         if cur["md5"] != latest["md5"]:
             return False, "MD5 mismatch — manifest file has changed"

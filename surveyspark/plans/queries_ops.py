@@ -100,11 +100,15 @@ def q_detect_drift(spark, sf):
 _HASH_COLS = ["occ_id", "filepath", "label", "source", "group"]
 
 
-@query("content_hash", oracle(_FIX, """
-select count(*) as n_rows, cast(coalesce(sum(('0x' || substr(sha256(concat_ws(chr(31),
-         coalesce(cast(occ_id as varchar), chr(0)), coalesce(filepath, chr(0)), coalesce(label, chr(0)),
-         coalesce(source, chr(0)), coalesce("group", chr(0)))), 1, 13))::bigint), 0) as varchar) as hash_sum
-from grouped
+_CODE = " || ".join(f"""case when {c} is null then '-' else length(cast({c} as varchar)) || ':' || cast({c} as varchar) end"""
+                    for c in (f'"{n}"' for n in _HASH_COLS))
+_SUMS = ", ".join(f"cast(coalesce(sum(('0x' || substr(h, {at}, {versioning.LANE}))::bigint), 0) as varchar) as s{i}" for i, at in enumerate(versioning.LANES))
+_HEADER = "".join(f"{len(n)}:{n}{'bigint' if n == 'occ_id' else 'string'};" for n in _HASH_COLS)
+
+
+@query("content_hash", oracle(_FIX, f"""
+select n_rows, sha256(concat_ws('|', n_rows, {", ".join(f"s{i}" for i in range(len(versioning.LANES)))}, '{_HEADER}')) as hash_sum
+from (select count(*) as n_rows, {_SUMS} from (select sha256({_CODE}) as h from grouped))
 """, _MERGED_CTES))
 def q_content_hash(spark, sf):
     return versioning.content_hash(merged(spark, sf).select(*_HASH_COLS))

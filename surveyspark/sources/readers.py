@@ -180,17 +180,28 @@ def latest_results(spark: SparkSession, path_glob: str, schema=None) -> DataFram
 
 
 def write_predictions(df: DataFrame, path: str, model: str, fold: int) -> None:
-    """Persist a fold's prediction bundle, partitioned by model and fold."""
-    (df.withColumn("model", F.lit(model)).withColumn("fold", F.lit(int(fold)))
-       .write.mode("append").partitionBy("model", "fold").parquet(path))
+    """Store a fold's prediction bundle, partitioned by model and fold, in place of one that is there; other folds
+    stay. All models have the columns of ``PREDICTION_SCHEMA``: an absent confidence is NaN, other absent ones are
+    null, and further columns are an error. The parts of a fold are swapped when all are written."""
+    spark = df.sparkSession
+    want = spark.createDataFrame([], PREDICTION_SCHEMA).schema
+    more = [c for c in df.columns if c not in want.names]
+    if more:
+        raise ValueError(f"Columns that predictions do not have: {more}")
+    absent = {"confidence": F.lit(float("nan"))}
+    rows = df.select(*[(F.col(f.name) if f.name in df.columns else absent.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in want.fields],
+                     F.lit(model).alias("model"), F.lit(int(fold)).alias("fold"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "fold").parquet(path)
+    if df.isEmpty():  # a dynamic overwrite leaves partitions without rows as they are
+        name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(model)
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/model={name}/fold={int(fold)}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def load_predictions(spark: SparkSession, path: str, model: str, fold: int = 0) -> DataFrame:
-    """A fold's bundle (partition-pruned); a missing confidence column reads as NaN."""
-    df = spark.read.parquet(path).where((F.col("model") == model) & (F.col("fold") == fold))
-    if "confidence" not in df.columns:
-        df = df.withColumn("confidence", F.lit(float("nan")))
-    return df
+    """A fold's bundle (partition-pruned); a missing confidence reads as NaN, a fold that is not there as no rows."""
+    df = spark.read.schema(f"{PREDICTION_SCHEMA}, model string, fold int").parquet(path).where((F.col("model") == model) & (F.col("fold") == fold))
+    return df.withColumn("confidence", F.coalesce("confidence", F.lit(float("nan"))))
 
 
 def read_classes(spark: SparkSession, metrics_json: str) -> list[str]:
