@@ -128,9 +128,9 @@ def calibration(preds: DataFrame, keys=("model",)) -> DataFrame:
     rows; 0.5 when there are none). A model whose confidences are all missing
     gets a warning instead.
 
-    The percentile is exact and computed by bin refinement
+    The percentile is exact and takes a fixed number of passes
     (:func:`quantiles.exact_quantile`), so no task ever holds a model's
-    confidences; the per-model result is a handful of rows joined back.
+    confidences; the per-model result is joined back.
     """
     keys = list(keys)
     conf = F.nanvl(F.col("confidence"), F.lit(None).cast("double"))
@@ -144,8 +144,7 @@ def calibration(preds: DataFrame, keys=("model",)) -> DataFrame:
         F.count(conf).alias("_n_conf"))
     q25 = quantiles.exact_quantile(preds.where(ok), "confidence", 0.25, keys).select(
         *keys, F.col("quantile").alias("_q25"))
-    # q25 is a local table with one row per model: broadcast by construction
-    return (agg.join(F.broadcast(q25), keys, "left")
+    return (agg.join(q25, keys, "left")
                .withColumn("recommended_threshold", F.coalesce("_q25", F.lit(0.5)))
                .withColumn("warning", F.when(F.col("_n_conf") == 0,
                                              F.lit("No confidence data in fold 0 predictions")))

@@ -12,10 +12,14 @@ folds 0,1,..,F-1,F-1,..,1,0,... A group is in exactly one fold, every label's
 largest groups spread over different folds, and fold sizes even out. The rank
 is a distributed row number (:func:`distributed_rank`), so a label that
 dominates most groups is still ranked by many tasks.
+
+Greedy deal (:func:`greedy_folds`): folds are chosen by the rows they have of a
+group's dominant label, in rounds over size classes.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +71,42 @@ def serpentine(pos, n_folds) -> F.Column:
     return F.when(m < n_folds, m).otherwise(F.lit(2) * n_folds - 1 - m).cast("int")
 
 
+def greedy_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group", label_col="label") -> DataFrame:
+    """``(group, fold)`` by a greedy stratified deal, an alternative to :func:`group_folds` for skewed sizes.
+
+    Groups of one dominant label are taken by size class (powers of two, the largest first). In a class they are
+    snaked over ``n_folds`` hands, by size; then the hands, the one with most rows of the label first, go to the
+    folds that have fewest of it so far. The totals of a label are all that passes from class to class: a row per
+    label, class and hand, whatever the number of groups. So a label's folds differ by no more than its largest
+    group and the unevenness of one class.
+    """
+    hist = group_label_hist(df, group_col, label_col)
+    gs = hist.groupBy(group_col).agg(F.sum("n").alias("size"), F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(label_col).alias("lab"))).alias("d"))
+    gs = gs.select(group_col, "size", F.col("d.lab").alias("dom"), (-F.col("d.neg_n")).alias("mine"), F.floor(F.log2("size")).cast("int").alias("step"))
+    cell = F.struct("dom", "step")
+    ranked = distributed_rank(gs.withColumn("cell", cell), "cell", [F.col("size").desc(), F.col(group_col).asc()], "_rn")
+    ranked = ranked.withColumn("hand", serpentine(F.col("_rn"), F.lit(n_folds)))
+    hands = ranked.groupBy("dom", "step", "hand").agg(F.sum("mine").alias("mine"))
+    rank = hands.select("dom").distinct().withColumn("shift", F.dense_rank().over(Window.orderBy("dom")) - 1)  # one row a label
+    hands = hands.join(rank.withColumnRenamed("dom", "_dom"), F.col("dom").eqNullSafe(F.col("_dom"))).drop("_dom")
+
+    def deal(key, rows):
+        total, out = [0] * n_folds, []
+        shift = int(rows["shift"].iloc[0]) % n_folds
+        for step, of in sorted(rows.groupby("step"), reverse=True):
+            have = dict(zip(of["hand"], of["mine"]))
+            order = sorted(range(n_folds), key=lambda f: (total[f], (f - shift) % n_folds))
+            for fold, hand in zip(order, sorted(range(n_folds), key=lambda h: (-have.get(h, 0), h))):
+                total[fold] += int(have.get(hand, 0))
+                out.append((key[0], step, hand, fold))
+        return pd.DataFrame(out, columns=["_dom", "_step", "_hand", "fold"])
+
+    of = dict(gs.dtypes)["dom"]
+    dealt = hands.groupBy("dom").applyInPandas(deal, f"_dom {of}, _step int, _hand int, fold int")
+    same = F.col("dom").eqNullSafe(F.col("_dom")) & (F.col("step") == F.col("_step")) & (F.col("hand") == F.col("_hand"))
+    return ranked.join(dealt, same).select(group_col, "fold")
+
+
 def group_folds(df: DataFrame, n_folds: int = config.N_FOLDS, group_col="group",
                 label_col="label") -> DataFrame:
     """``(group, fold)`` for every group."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.spatial import has_coords
 from ..functions.text import percent_text
+from .resolve import resolved_paths
 
 REQUIRED = ("filepath", "label", "region", "source")
 
@@ -80,8 +81,12 @@ def top_groups(df: DataFrame, n: int = 10, group_col="group") -> DataFrame:
               .orderBy(F.col("n").desc(), F.col(group_col).asc()).limit(n))
 
 
-def missing_files(df: DataFrame, listing: DataFrame, path_col="filepath") -> DataFrame:
-    """Manifest rows whose path is absent from a file listing (``path`` column)."""
+def missing_files(df: DataFrame, listing: DataFrame, path_col="filepath", root: str | None = None, beside: str | None = None) -> DataFrame:
+    """Manifest rows whose path is absent from a file listing (``path`` column). With a ``root`` (and the folder of
+    the manifest as ``beside``) the listing holds absolute paths and a path may be at either place."""
+    if root is not None:
+        gone = resolved_paths(df, listing, root, beside, path_col).where("not exists").select(F.col(path_col).alias("_gone"))
+        return df.join(gone, F.col(path_col).eqNullSafe(F.col("_gone")), "left_semi")
     present = listing.select(F.col("path").alias(path_col)).distinct()
     return df.join(present, on=path_col, how="left_anti")
 
@@ -111,12 +116,13 @@ def issues_column(r=F.col):
 
 
 def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str = "manifest",
-                   present_col: str | None = None) -> DataFrame:
+                   present_col: str | None = None, root: str | None = None, beside: str | None = None) -> DataFrame:
     """One-row audit report (18 keys). Short form when required columns are missing.
 
     ``listing`` is a file listing with a ``path`` column (``sources.readers.file_listing``);
     without one every path counts as present unless ``present_col`` names a
-    boolean column already on ``df``.
+    boolean column already on ``df``. With a ``root`` the listing's paths are absolute and
+    a path is looked for beside the manifest (in the folder ``beside``), then under the root.
     """
     missing_cols = sorted(set(REQUIRED) - set(df.columns))
     if missing_cols:
@@ -132,7 +138,10 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         (has_coords(F.col("latitude"), F.col("longitude"))
          if {"latitude", "longitude"} <= set(df.columns) else F.lit(False)).alias("has_coords"))
     core = base
-    if listing is not None:
+    if listing is not None and root is not None:
+        at = resolved_paths(base, listing, root, beside).select(F.col("filepath").alias("_path"), "exists")
+        base = base.join(at, F.col("filepath").eqNullSafe(F.col("_path"))).drop("_path")
+    elif listing is not None:
         present = listing.select(F.col("path").alias("filepath")).distinct().withColumn("_present", F.lit(True))
         base = base.join(present, "filepath", "left").withColumn("exists", F.coalesce("_present", F.lit(False)))
         base = base.drop("_present")

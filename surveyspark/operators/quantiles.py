@@ -1,85 +1,76 @@
-"""Exact quantiles without holding a group's values in one place.
+"""Exact quantiles in a fixed number of passes.
 
-Linear-interpolated quantile ``q`` of each group needs the values at ranks
-``floor(q*(n-1))`` and the next one. Each rank is found by bin refinement:
-split the group's current value range into ``bins`` equal bins, count rows per
-bin (a partial aggregation: at most ``bins`` rows per group leave each task),
-pick the bin holding the rank, and repeat inside it. A bin whose minimum equals
-its maximum ends the search, so a value repeated in a third of all rows costs
-nothing extra. Every level shrinks the range by ``bins``; a handful of levels
-separates any two doubles, and the loop runs until all ranks are found. The
-scanned table is a narrow one, written once. The driver only sees a few rows
-per group per level. Infinities are counted apart from the finite values.
+The linearly interpolated quantile ``q`` of a group needs the values at ranks
+``floor(q (n - 1))`` and the next one. A mergeable sketch (Spark's approximate
+percentiles, of rank error n / ``ACCURACY``) brackets both ranks; a second
+sketch, of the values inside the bracket alone, narrows it; the last pass counts
+what lies below and adds up the distinct values inside, where running counts
+give the two values. So a group of n rows leaves about n / 50,000 distinct values
+for one task to order, a value repeated in a third of all rows is one of them,
+and groups up to ``SMALL`` rows skip the sketches' brackets and are ordered as
+they are. The passes are one lazy plan, without a loop and without the driver.
+
+A sketch only guides: the ranks are counted, and a bracket that missed one would
+be an error, never a wrong value.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+ACCURACY = 10_000
+SMALL = 100_000
+#: Points of the second sketch over its bracket.
+POINTS = 200
+
+
+def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), small: int = SMALL) -> DataFrame:
+    """``(keys..., n, quantile)`` with numpy's default (linear) interpolation; NaN and null values are ignored and
+    groups without other values are left out; infinities are values. Null keys are a group."""
+    keys = list(keys)
+    names = [f"_k{i}" for i in range(len(keys))]
+    vals = (df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], F.col(value_col).cast("double").alias("v"))
+              .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    vals = vals.withColumn("v", F.col("v") + F.lit(0.0))  # one zero
+    names, vals = (names, vals) if names else (["_k0"], vals.withColumn("_k0", F.lit(0)))
+
+    def beside(rows: DataFrame, of: DataFrame) -> DataFrame:
+        """``rows`` with their group's columns of ``of`` (one row a group)."""
+        of = of.select(*[F.col(n).alias(f"{n}_") for n in names], *[c for c in of.columns if c not in names])
+        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names])
+        return rows.join(of, same).drop(*[f"{n}_" for n in names])
+
+    room = 3.0 / ACCURACY
+    ends = F.percentile_approx("v", [max(0.0, q - room), min(1.0, q + room)], ACCURACY)
+    n = F.count(F.lit(1))
+    first = vals.groupBy(*names).agg(n.alias("n"), F.when(n > small, ends[0]).otherwise(F.min("v")).alias("lo"), F.when(n > small, ends[1]).otherwise(F.max("v")).alias("hi"))
+    first = first.withColumn("r0", F.floor(F.lit(q) * (F.col("n") - 1)))
+
+    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+    points = F.percentile_approx(F.when(inside, F.col("v")), [i / POINTS for i in range(POINTS + 1)], ACCURACY)
+    held = F.count_if(inside)
+    second = beside(vals, first).groupBy(*names).agg(
+        F.first("n").alias("n"), F.first("r0").alias("r0"), F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+        F.count_if(F.col("v") < F.col("lo")).alias("below"), held.alias("held"), points.alias("points"))
+    share = (F.col("r0") - F.col("below")) / F.col("held") * POINTS
+    at = lambda i: F.get("points", F.greatest(F.lit(0), F.least(F.lit(POINTS), i.cast("int"))))
+    narrow = F.col("held") > small
+    second = second.select(*names, "n", "r0", F.when(narrow, at(F.floor(share) - 2)).otherwise(F.col("lo")).alias("lo"),
+                           F.when(narrow, at(F.ceil(share) + 2)).otherwise(F.col("hi")).alias("hi"))
+
+    rows = beside(vals, second).where(F.col("v") <= F.col("hi"))
+    rows = rows.groupBy(*names, F.when(inside, F.col("v")).alias("v")).agg(n.alias("c"), F.first("n").alias("n"), F.first("r0").alias("r0"))
+    upto = F.sum("c").over(Window.partitionBy(*names).orderBy(F.col("v").asc_nulls_first()))  # those below come first
+    rows = rows.withColumn("upto", upto).where("v is not null")
 
+    def value(rank):
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank), F.col("v")))
 
-def exact_quantile(df: DataFrame, value_col: str, q: float, keys=(), bins: int = 4096) -> DataFrame:
-    """``(keys..., n, quantile)`` with numpy's default (linear) interpolation; NaN and
-    null values are ignored; groups without values get a null quantile."""
-    user_keys = list(keys)
-    spark = df.sparkSession
-    if not user_keys:  # one implicit group: join on a constant key rather than cross join
-        df = df.withColumn("_g", F.lit(0))
-    keys = user_keys or ["_g"]
-    vals = (df.select(*keys, F.col(value_col).cast("double").alias("_v"))
-              .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    vals = materialize(vals, "quantile")
-    inf = float("inf")
-    finite = F.when(F.abs("_v") < inf, F.col("_v"))
-    stats = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
-                                    F.count_if(F.col("_v") == -inf).alias("low"),
-                                    F.count_if(F.col("_v") == inf).alias("high")).collect()
-    vals = vals.where(F.abs("_v") < inf)
-    probes = []  # [key tuple, probe index, rank, lo, hi, value]
-    for row in stats:
-        k = tuple(row[c] for c in keys)
-        pos = q * (row["n"] - 1)
-        r0 = int(math.floor(pos))
-        r1 = min(r0 + 1, row["n"] - 1)
-        for p, r in ((0, r0), (1, r1)):
-            known = -inf if r < row["low"] else inf if r >= row["n"] - row["high"] else (
-                row["lo"] if row["lo"] == row["hi"] else None)
-            probes.append([k, p, r - row["low"], row["lo"], row["hi"], known])
-    key_schema = ", ".join(f"`{c}` {dict(vals.dtypes)[c]}" for c in keys)
-    pschema = key_schema + ", _probe int, _rank long, _lo double, _hi double"
-    while open_ := [p for p in probes if p[5] is None]:
-        pdf = spark.createDataFrame([(*p[0], p[1], p[2], p[3], p[4]) for p in open_], pschema)
-        # a few rows per group: broadcast by construction
-        j = vals.join(F.broadcast(pdf), keys, "inner")
-        j = j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-        width, half = F.col("_hi") - F.col("_lo"), F.col("_hi") / 2 - F.col("_lo") / 2  # a width may overflow
-        share = F.when(width < inf, (F.col("_v") - F.col("_lo")) / width).otherwise((F.col("_v") / 2 - F.col("_lo") / 2) / half)
-        b = F.least(F.floor(share * bins),
-                    F.lit(bins - 1)).cast("int")
-        counts = j.groupBy(*keys, "_probe", "_rank", b.alias("_bin")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
-        w = Window.partitionBy(*keys, "_probe").orderBy("_bin")
-        counts = counts.withColumn("_before", F.sum("_c").over(w) - F.col("_c"))
-        hit = counts.where((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_c")))
-        found = {(tuple(r[c] for c in keys), r["_probe"]): r for r in hit.collect()}
-        for p in open_:
-            r = found[(p[0], p[1])]
-            p[2] -= r["_before"]
-            p[3], p[4] = r["_bmin"], r["_bmax"]
-            if r["_bmin"] == r["_bmax"]:
-                p[5] = r["_bmin"]
-    out = {}
-    for row in stats:
-        k = tuple(row[c] for c in keys)
-        v0 = next(p[5] for p in probes if p[0] == k and p[1] == 0)
-        v1 = next(p[5] for p in probes if p[0] == k and p[1] == 1)
-        pos = q * (row["n"] - 1)
-        frac = pos - math.floor(pos)
-        out[k] = (row["n"], v0 if v0 == v1 or not frac else v0 + frac * (v1 - v0))
-    rows = [(*k, n, v) for k, (n, v) in out.items()]
-    res = spark.createDataFrame(rows, key_schema + ", n long, quantile double")
-    return res if user_keys else res.drop("_g")
+    out = rows.groupBy(*names).agg(F.first("n").alias("n"), value(F.col("r0")).alias("v0"), value(F.least(F.col("r0") + 1, F.col("n") - 1)).alias("v1"),
+                                   (F.lit(q) * (F.first("n") - 1) - F.first("r0")).alias("part"))
+    sure = F.when(F.col("v0").isNull() | F.col("v1").isNull(), F.raise_error(F.lit("A quantile's rank lies outside its bracket."))).otherwise(F.col("v0"))
+    exact = F.when((F.col("v0") == F.col("v1")) | (F.col("part") == 0), sure).otherwise(sure + F.col("part") * (F.col("v1") - F.col("v0")))
+    return out.select(*[F.col(nm).alias(k) for nm, k in zip(names, keys)], "n", exact.alias("quantile"))

@@ -78,3 +78,33 @@ from assigned, range(0, {F_}) r
 """, _FOLD_CTES))
 def q_fold_roles(spark, sf):
     return folds.fold_roles(assigned(spark, sf), F_).select("occ_id", "fold", "cv_round", "role")
+
+
+_GREEDY_CTES = _MERGED_CTES + """,
+hist as (select "group", label, count(*) as n from grouped group by 1, 2),
+gs as (select "group", sum(n)::bigint as size, first(label order by n desc, label) as dom, max(n) as mine from hist group by 1),
+gr as (select *, cast(floor(log2(size)) as integer) as step,
+              row_number() over (partition by dom, cast(floor(log2(size)) as integer) order by size desc, "group") - 1 as pos from gs),
+gh as (select *, cast(case when pos % {t} < {f} then pos % {t} else {t} - 1 - pos % {t} end as integer) as hand from gr),
+fold_cells as (select dom, step, row_number() over (partition by dom order by step desc) as k, list({{'neg': -m, 'hand': hand}} order by -m, hand) as hands
+          from (select c.dom, c.step, h.hand, coalesce(sum(g.mine), 0)::bigint as m
+                from (select distinct dom, step from gh) c cross join (select range::integer as hand from range(0, {f})) h
+                left join gh g on g.dom is not distinct from c.dom and g.step = c.step and g.hand = h.hand group by all) group by 1, 2),
+dealt as (
+  select dom, 0::bigint as k, 0 as step, list_transform(range(0, {f}), lambda i: {{'t': 0::bigint, 's': ((i - s) % {f} + {f}) % {f}, 'f': i}}) as folds,
+         list_transform(range(0, {f}), lambda i: 0) as hand_of
+  from (select dom, dense_rank() over (order by dom nulls first) - 1 as s from (select distinct dom from fold_cells))
+  union all
+  select d.dom, c.k, c.step,
+         list_transform(range(1, {f} + 1), lambda i: {{'t': list_sort(d.folds)[i].t - c.hands[i].neg, 's': list_sort(d.folds)[i].s, 'f': list_sort(d.folds)[i].f}}),
+         list_transform(range(1, {f} + 1), lambda i: c.hands[i].hand)
+  from dealt d join fold_cells c on c.dom is not distinct from d.dom and c.k = d.k + 1),
+hand_fold as (select dom, step, unnest(hand_of) as hand, cast(unnest(list_transform(folds, lambda x: x.f)) as integer) as fold from dealt where k > 0)
+""".format(f=F_, t=2 * F_)
+
+
+@query("greedy_folds", oracle(_FIX, """
+select g."group", h.fold from gh g join hand_fold h on h.dom is not distinct from g.dom and h.step = g.step and h.hand = g.hand
+""", _GREEDY_CTES).replace("with ", "with recursive ", 1))
+def q_greedy_folds(spark, sf):
+    return folds.greedy_folds(merged(spark, sf), F_)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import merge, quality, spatial
+from ..operators import merge, quality, resolve, spatial
 from ..session import materialize
 from .fixtures import oracle, view
 from .queries_core import _MERGE_CTES, MIN_DISTRICT, MIN_GRID, ROOT, grouped_sql
@@ -114,6 +114,22 @@ def q_missing_files(spark, sf):
             .select("occ_id", "src_ord", "filepath"))
 
 
+#: Half of the files lie beside the manifest, the others under the root.
+_PLACES = "(select case when length % 2 = 0 then '/srv/manifests/' else '/srv/project/' end || path as path from file_listing)"
+
+
+@query("resolved_paths", oracle(_FIX + ["file_listing"], f"""
+select f.filepath, coalesce(a.path, b.path, '/srv/project/' || f.filepath) as resolved, coalesce(a.path, b.path) is not null as exists
+from (select distinct filepath from grouped where filepath is not null) f
+left join (select distinct path from {_PLACES}) a on a.path = '/srv/manifests/' || f.filepath
+left join (select distinct path from {_PLACES}) b on b.path = '/srv/project/' || f.filepath
+""", _MERGED_CTES))
+def q_resolved_paths(spark, sf):
+    there = view(spark, sf, "file_listing").select(
+        F.concat(F.when(F.col("length") % 2 == 0, F.lit("/srv/manifests/")).otherwise(F.lit("/srv/project/")), "path").alias("path"))
+    return resolve.resolved_paths(deduplicated(spark, sf), there, "/srv/project", "/srv/manifests").where("filepath is not null")
+
+
 _REPORT_CTES = _AUDIT_CTES + """,
 a as (
   select g.*, (g.latitude is not null and g.longitude is not null and not isnan(g.latitude) and not isnan(g.longitude)) as has_coords,

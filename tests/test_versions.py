@@ -72,3 +72,40 @@ def test_a_fold_is_replaced_and_models_share_a_schema(spark, tmpdir_path):
     assert {r.confidence for r in readers.load_predictions(spark, path, "resnet", 0).collect()} == {0.9}
     readers.write_predictions(df.limit(0), path, "resnet", 1)  # an empty fold replaces too
     assert (count("resnet", 0), count("resnet", 1)) == (5, 0)
+
+
+def test_paths_beside_the_manifest_come_first(spark):
+    from surveyspark.operators import quality
+    from surveyspark.operators.resolve import resolved_paths
+
+    listing = spark.createDataFrame([("file:/m/a.jpg",), ("/r/a.jpg",), ("/r/b.jpg",), ("/m/x/c.jpg",), ("/abs/d.jpg",), ("/r/q/e.jpg",)], "path string")
+    rows = [("a.jpg",), ("b.jpg",), ("x\\c.jpg",), ("/abs/d.jpg",), ("/abs/no.jpg",), ("no.jpg",), ("./b.jpg",), ("x/../q/e.jpg",), (None,), ("a.jpg",)]
+    df = spark.createDataFrame(rows, "filepath string").selectExpr("filepath", "'A' as label", "'r' as region", "'s' as source")
+    got = {r.filepath: (r.resolved, r.exists) for r in resolved_paths(df, listing, "/r/", "/m").collect()}
+    assert got == {"a.jpg": ("/m/a.jpg", True), "b.jpg": ("/r/b.jpg", True), "x\\c.jpg": ("/m/x/c.jpg", True), "/abs/d.jpg": ("/abs/d.jpg", True), "/abs/no.jpg": ("/abs/no.jpg", False),
+                   "no.jpg": ("/r/no.jpg", False), "./b.jpg": ("/r/b.jpg", True), "x/../q/e.jpg": ("/r/q/e.jpg", True), None: (None, False)}
+    assert {r.filepath: r.resolved for r in resolved_paths(df, listing, "/r").collect()}["a.jpg"] == "/r/a.jpg"
+    assert sorted(str(r.filepath) for r in quality.missing_files(df, listing, root="/r", beside="/m").collect()) == ["/abs/no.jpg", "None", "no.jpg"]
+    assert quality.audit_manifest(df, listing, root="/r", beside="/m").first().missing_files == 3
+    assert quality.audit_manifest(df, listing, root="/r").first().missing_files == 4
+
+
+def test_greedy_folds_balance_skewed_labels(spark):
+    from surveyspark.operators import folds
+
+    # 300,000 groups; one label holds most of them, sizes from 1 to 4096, a few large groups
+    df = spark.range(300_000).selectExpr("id as g", "case when id % 10 < 8 then 'a' when id % 100 = 9 then 'c' else 'b' end as label",
+                                         "cast(case when id % 5000 = 9 then 4096 when id % 200 = 8 then 100 + id % 37 else 1 + id % 3 end as int) as size")
+    hist = df.selectExpr("g as group", "label", "size as n")
+    import pytest as _pytest
+    patch = _pytest.MonkeyPatch()
+    patch.setattr(folds, "group_label_hist", lambda *a: hist)
+    try:
+        dealt = folds.greedy_folds(df, 5).persist()
+    finally:
+        patch.undo()
+    assert dealt.count() == dealt.select("group").distinct().count() == 300_000
+    per = df.join(dealt, F.col("g") == F.col("group")).groupBy("label", "fold").agg(F.sum("size").alias("n"), F.max("size").alias("largest")).collect()
+    for label in "abc":
+        mine = [r for r in per if r.label == label]
+        assert len(mine) == 5 and max(r.n for r in mine) - min(r.n for r in mine) <= max(r.largest for r in mine)
