@@ -12,12 +12,14 @@ counts and the ten largest groups (picked with a distributed top-k).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.spatial import has_coords
 from ..functions.text import percent_text
+from ..sources.csv_records import read_csv
+from ..sources.readers import MANIFEST_SCHEMA, file_listing, read_manifest
 from .resolve import resolved_paths
 
 REQUIRED = ("filepath", "label", "region", "source")
@@ -91,6 +93,15 @@ def missing_files(df: DataFrame, listing: DataFrame, path_col="filepath", root:
     return df.join(present, on=path_col, how="left_anti")
 
 
+def audit_file(spark: SparkSession, manifest: str, root: str) -> DataFrame:
+    """The audit report of a manifest CSV; its paths may lie beside it or under ``root``."""
+    present = read_csv(spark, manifest).columns
+    beside = manifest.rsplit("/", 1)[0]
+    df = read_manifest(spark, manifest, with_order=False).select([c for c in [f.name for f in MANIFEST_SCHEMA.fields] if c in present])
+    listing = file_listing(spark, root).union(file_listing(spark, beside)).select("path")
+    return audit_manifest(df, listing, manifest.rsplit("/", 1)[1], root=root, beside=beside)
+
+
 def _issue_rules(r) -> list:
     """Issue texts in fixed order from a column namespace ``r``."""
     return [
@@ -171,14 +182,20 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
     top = (stats.where(is_("group"))
                 .orderBy(F.col("n").desc(), F.col("group").asc_nulls_first()).limit(10)
                 .select(F.lit(-1).alias("gid"), "group", "n"))
+    # the maps' keys, a null one and a literal ``nan`` as one
+    named = (stats.where(is_("label") | is_("source"))
+                  .groupBy(F.when(is_("label"), F.lit(-4)).otherwise(F.lit(-5)).alias("gid"),
+                           F.coalesce(F.when(is_("label"), F.col("label").cast("string")).otherwise(F.col("source").cast("string")), F.lit("nan")).alias("key"))
+                  .agg(F.sum("n").alias("n")))
     parts = (stats.select("gid", "label", "source", "group", "has_coords", "exists", "n")
+             .unionByName(named, allowMissingColumns=True)
              .unionByName(top, allowMissingColumns=True)
              .unionByName(dup_fp, allowMissingColumns=True)
              .unionByName(dup_key, allowMissingColumns=True))
 
-    def kv(k, c):
-        return F.when(is_(k), F.struct(F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("key"),
-                                       F.col("n").alias("value")))
+    def counts(gid):
+        entries = F.collect_list(F.when(F.col("gid") == gid, F.struct("key", F.col("n").alias("value"))))
+        return F.map_from_entries(F.array_sort(entries))
 
     agg = parts.agg(
         F.sum(F.when(is_("label"), F.col("n"))).alias("n_rows"),
@@ -192,8 +209,7 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         F.coalesce(F.sum(F.when(is_("coords") & ~F.col("has_coords"), F.col("n"))), F.lit(0)).alias("rows_without_coordinates"),
         F.coalesce(F.max(F.when(is_("group"), F.col("n"))), F.lit(0)).alias("_largest_group"),
         F.coalesce(F.min(F.when(is_("label"), F.col("n"))), F.lit(0)).alias("smallest_class_count"),
-        F.array_sort(F.collect_list(kv("label", "label"))).alias("_class"),
-        F.array_sort(F.collect_list(kv("source", "source"))).alias("_source"),
+        counts(-4).alias("class_counts"), counts(-5).alias("source_counts"),
         F.collect_list(F.when(F.col("gid") == -1, F.struct(
             (-F.col("n")).alias("o"), F.coalesce(F.col("group"), F.lit("nan")).alias("key"),
             F.col("n").alias("value")))).alias("_top"),
@@ -208,16 +224,14 @@ def audit_manifest(df: DataFrame, listing: DataFrame | None = None, name: str =
         F.coalesce(F.try_divide(F.col("rows_without_coordinates"), n), F.lit(0.0)).alias("rows_without_coordinates_ratio"),
         F.coalesce(F.try_divide(F.col("_largest_group"), n), F.lit(0.0)).alias("largest_group_share"),
         "smallest_class_count",
-        _count_map("_class").alias("class_counts"),
-        _count_map("_source").alias("source_counts"),
+        "class_counts", "source_counts",
         _count_map(F.transform(F.array_sort("_top"), lambda s: F.struct(s["key"], s["value"]))).alias("top_groups"),
     )
     return rep.withColumn("issues", issues_column())
 
 
-def _count_map(entries) -> F.Column:
-    """Entries as a map; a null key and a literal ``nan`` are one key and their counts add up."""
-    e = F.col(entries) if isinstance(entries, str) else entries
+def _count_map(e: F.Column) -> F.Column:
+    """A few entries as a map; a null key and a literal ``nan`` are one key and their counts add up."""
     keys = F.array_distinct(F.transform(e, lambda x: x["key"]))
     total = lambda k: F.aggregate(F.filter(e, lambda x: x["key"] == k), F.lit(0).cast("bigint"), lambda a, x: a + x["value"])
     return F.map_from_arrays(keys, F.transform(keys, total))

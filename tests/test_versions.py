@@ -109,3 +109,18 @@ def test_greedy_folds_balance_skewed_labels(spark):
     for label in "abc":
         mine = [r for r in per if r.label == label]
         assert len(mine) == 5 and max(r.n for r in mine) - min(r.n for r in mine) <= max(r.largest for r in mine)
+
+
+def test_audit_of_a_manifest_file(spark, tmpdir_path):
+    from surveyspark.operators import quality
+
+    root, beside = (os.path.join(tmpdir_path, n) for n in ("root", "lists"))
+    for folder, name in ((root, "img/a.jpg"), (root, "img/b.jpg"), (beside, "img/c.jpg")):
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        open(os.path.join(folder, name), "w").write("x")
+    path = os.path.join(beside, "m.csv")
+    open(path, "w").write('filepath,label,region,source\nimg/a.jpg,A,r,s\nimg/b.jpg,"nan",r,s\nimg/c.jpg,,r,\nimg/d.jpg,A,r,s\n')
+    r = quality.audit_file(spark, path, root).first()
+    assert (r.n_rows, r.missing_files, r.n_classes, r.class_counts, r.source_counts) == (4, 1, 1, {"A": 2, "nan": 2}, {"s": 3, "nan": 1})
+    open(path, "w").write("filepath,label\nimg/a.jpg,A\n")
+    assert quality.audit_file(spark, path, root).first().missing_required_columns == ["region", "source"]
