@@ -18,10 +18,13 @@ linked pair must share:
   for the overlap that its sizes ask for; the overlap of the others is counted
   exactly.
 
-Shingles are compared by 64-bit hashes. Any order that is the same for all rows
-gives the same links; frequencies only keep the columns short, so it is enough
-to count them over all documents for a part of the hash range, and to list the
-most frequent ones up to a fixed number.
+Shingles and sets are compared by 64-bit hashes. Any order that is the same for
+all rows gives the same links; frequencies only keep the columns short, so it is
+enough to count them over all documents for a part of the hash range, and to
+list the most frequent ones up to a fixed number. A column may be long all the
+same (a large group of near copies shares rare shingles): its first row comes
+from a sum made before the shuffle, and goes back to the rows of long columns by
+broadcast (``spread_join``), so no task gets a long column.
 
 Null, empty and blank texts have no shingles, link with nothing and are their
 own component. Texts shorter than ``k`` words have their whole sequence as one
@@ -34,11 +37,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Shared, id_filter, in_filter, source
+from .tables import Shared, id_filter, in_filter, source, spread_join
 from .text import Words, chunks, lean, mix
 
 #: A shingle counts as frequent in more texts than this, or than the power of two times it that keeps the
@@ -100,7 +102,7 @@ def frequent_shingles(src: DataFrame, k: int, shared: Shared) -> tuple[np.ndarra
 
 
 def _incidence(k: int, num: int, den: int, frequent):
-    """(h, row, at, hot): the first n - ceil(t n) + 1 shingles of each row; ``at`` holds n and the place."""
+    """(h, row, at): the first n - ceil(t n) + 1 shingles of each row; ``at`` holds n and the place."""
     hot_h, hot_n = frequent.value
 
     def run(batches):
@@ -125,7 +127,7 @@ def _incidence(k: int, num: int, den: int, frequent):
                 take = (pos < np.repeat(lens - (lens * num + den - 1) // den + 1, lens)) & once[doc]
                 o, pos = order[take], pos[take]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[o].view(np.int64)), pa.array(keys[doc[o]]), pa.array((lens[doc[o]] << 32) | pos), pa.array(rank[o] > 0)], ["h", "row", "at", "hot"])
+                    [pa.array(h[o].view(np.int64)), pa.array(keys[doc[o]]), pa.array((lens[doc[o]] << 32) | pos)], ["h", "row", "at"])
     return lean(run)
 
 
@@ -201,8 +203,7 @@ def _tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> Data
 
     Rows that meet in long columns are dealt into tiles of about ``TILE`` shingles, those with one first
     column's least row together; two tiles with a common column are multiplied in one task."""
-    least = rest.groupBy("h").agg(F.min("row").alias("least"))
-    of = rest.join(least, "h").groupBy("row").agg(F.min("least").alias("c"), F.max("comp").alias("comp"), F.max(F.shiftright("at", 32)).alias("n"))
+    of = rest.groupBy("row").agg(F.min("least").alias("c"), F.max("comp").alias("comp"), F.max(F.shiftright("at", 32)).alias("n"))
     tiles = of.groupBy("c").agg(F.ceil(F.sum("n") / TILE).alias("k"))
     of = shared.put(of.join(tiles, "c").select("row", "comp", "n", F.xxhash64("c", F.pmod(F.xxhash64("row"), "k")).alias("tile")), "tiles")
     at = rest.join(of.select("row", "tile"), "row").groupBy("h", "tile").agg(F.max((F.col("comp") != F.col("large")).cast("int")).alias("open"))
@@ -223,12 +224,12 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     if keyed.groupBy("id").count().where("count > 1").limit(1).count():
         src = src.groupBy("id").agg(F.min("text").alias("text"))
         keyed = shared.put(src.mapInArrow(_keys(k), _KEYS), "keys")
-    rows = shared.put(keyed.where("n > 0").groupBy("row").agg(F.min("id").alias("id")), "rows")
+    rows = shared.put(keyed.where("n > 0").groupBy("row").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "rows")
     frequent = spark.sparkContext.broadcast(frequent_shingles(src, k, shared))
-    inc = shared.put(src.mapInArrow(_incidence(k, num, den, frequent), "h long, row long, at long, hot boolean"), "incidence")
+    inc = shared.put(src.mapInArrow(_incidence(k, num, den, frequent), "h long, row long, at long"), "incidence")
 
     def sets_of(asked: DataFrame) -> DataFrame:
-        needed = shared.put(asked.join(rows, "row"), "needed")
+        needed = shared.put(asked.join(rows.select("row", "id"), "row"), "needed")
         bits = spark.sparkContext.broadcast(id_filter(needed))
         return shared.put(src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set"), "sets")
 
@@ -237,13 +238,11 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
         sets = sets_of(likely.select(F.col("u").alias("row")).union(likely.select(F.col("v").alias("row"))).distinct())
         return shared.put(_linked(likely, sets, num, den), "links")
 
-    # the first row of each column with more than one: frequent columns are few (bounded above) and are counted
-    # before the shuffle; the others are short, so that a column can be in one task
-    col = W.partitionBy("h")
+    # the first row of each column with more than one
     entry = F.struct("row", "at")
-    cold = inc.where("not hot").select("h", "row", "at", F.min(entry).over(col).alias("b"), F.max("row").over(col).alias("last")).where("b.row < last").drop("last")
-    heads = inc.where("hot").groupBy("h").agg(F.min(entry).alias("b"), F.max("row").alias("last")).where("b.row < last").drop("last")
-    block = shared.put(cold.union(inc.where("hot").join(F.broadcast(heads), "h").select("h", "row", "at", "b")).distinct(), "block")
+    heads = inc.groupBy("h").agg(F.min(entry).alias("b"), F.max("row").alias("last"), F.count("*").alias("c")).where("b.row < last").drop("last")
+    heads = shared.put(heads, "heads")
+    block = shared.put(spread_join(inc, heads, "h", "c", inc.count()).select("h", "row", "at", "b").distinct(), "block")
     shared.drop(inc)
     first = block.where((F.col("b.row") < F.col("row")) & _fits(num, den, F.col("at"), F.col("b.at")))
     first = shared.put(first.select(F.col("b.row").alias("u"), F.col("row").alias("v")).distinct(), "pairs")
@@ -254,9 +253,10 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     # second product: columns that still hold rows of different components
     named = block.select("h", "row", "at").join(comp.withColumnRenamed("id", "row"), "row", "left")
     named = shared.put(named.select("h", "row", "at", F.coalesce("component", "row").alias("comp")), "named")
-    per = named.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps"), F.sum("c").alias("size"))
-    rest = shared.put(named.join(mixed.where("comps > 1").drop("comps"), "h"), "rest")
+    per = named.groupBy("h", "comp").agg(F.count("*").alias("c"), F.min("row").alias("least"))
+    mixed = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.min("least").alias("least"), F.count("*").alias("comps"), F.sum("c").alias("size"))
+    mixed = shared.put(mixed.where("comps > 1").drop("comps").withColumn("c", F.col("size")), "mixed")
+    rest = shared.put(spread_join(named, mixed, "h", "c", named.count()), "rest")
     short = rest.where(F.col("size") <= SHORT)
     small, all_ = short.where("comp <> large").alias("a"), short.alias("b")
     apart = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.large")) | (F.col("a.row") < F.col("b.row")))
@@ -266,11 +266,12 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     links = links.union(verified(pairs, block)).union(shared.put(_tiled(rest.where(F.col("size") > SHORT), sets_of, shared, num, den), "links"))
     comp = shared.put(components(links, shared), "components")
 
-    named = rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row"))
-    ids = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    out = keyed.select("id", "n", "row").join(named.join(ids, "comp").select("row", "component_id"), "row", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    named = shared.put(rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row")).drop("component"), "classes")
+    ids = shared.put(named.groupBy("comp").agg(F.min("id").alias("component_id"), F.count("*").alias("c")), "names")
+    named = shared.put(spread_join(named.select("comp", "row", "copies"), ids, "comp", "c", named.count()).select("row", "component_id", "copies"), "named")
+    some = spread_join(keyed.where("n > 0"), named, "row", "copies", keyed.count()).select("id", "n", "component_id")
+    out = some.union(keyed.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
+    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

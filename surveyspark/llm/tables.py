@@ -22,7 +22,7 @@ class Shared:
         self.spark = spark
         small_batches(spark)
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-        self.n = 0
+        self.n, self.paths = 0, {}
 
     def put(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write ``df`` as Parquet and read it back; the lineage ends at the files."""
@@ -31,12 +31,13 @@ class Shared:
         if self.n == 1:
             self._fs(self.base)[1].deleteOnExit(self._fs(self.base)[0])
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
 
     def drop(self, df: DataFrame) -> None:
         """Delete the files of a table of ``put`` that nothing reads any more."""
-        for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-            self._delete(f)
+        self._delete(self.paths.pop(id(df))[1])
 
     def sweep(self) -> None:
         """Let the driver forget the queries that have ended, so that Spark deletes their shuffle files."""
@@ -51,26 +52,43 @@ class Shared:
         fs.delete(p, True)
 
 
-#: Bits of the id filter below: 1 MB, whatever the number of ids.
-FILTER_BITS = 1 << 23
+#: Bits of the id filter below: ``SPARE`` to an id, and 32 MB at most. Beyond some 10**8 ids more and more rows pass
+#: it for nothing; it never keeps one back.
+SPARE, MOST_BITS = 16, 1 << 28
 
 
 def id_filter(ids: DataFrame, col: str = "id") -> np.ndarray:
-    """A bitmap of fixed size of the low bits of the ids: a scan can leave out rows that are not in it before
-    an exact join takes out the rest. With very many ids it lets more rows pass, never fewer."""
-    at = F.col(col).bitwiseAND(F.lit(FILTER_BITS - 1))
+    """A bitmap of the low bits of the ids: a scan can leave out rows that are not in it before an exact join takes
+    out the rest."""
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(10, (SPARE * ids.count()).bit_length()))
+    at = F.col(col).bitwiseAND(F.lit(bits - 1))
     words = ids.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast({col} & 63L as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    out = np.zeros(bits >> 6, np.int64)
     for batch in words.toArrow().to_batches():
         out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return out.view(np.uint64)
 
 
 def in_filter(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    at = ids & (FILTER_BITS - 1)
+    at = ids & (64 * len(bits) - 1)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
+#: Keys that a join spreads by broadcasting them.
+HEAVY = 1 << 16
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """``left`` joined with ``right``, which has one row per key and, as ``weight``, the number of left rows of it.
+
+    Keys that hold more than one in ``HEAVY`` of the ``total`` left rows, so fewer than ``HEAVY`` keys, come to the
+    left rows by broadcast; only the others are shuffled, so no task gets more than that part for one key."""
+    heavy = F.col(weight) * HEAVY > total
+    some, others = right.where(heavy).drop(weight), right.where(~heavy).drop(weight)
+    rest = left.join(F.broadcast(some.select(key)), key, "left_anti")
+    return left.join(F.broadcast(some), key).unionByName(rest.join(others, key))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Let Arrow batches have at most ``rows`` rows from now on: whole texts of 10,000 rows, Spark's default, are
     too much memory for an executor's share."""

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from surveyspark.llm import ngram_join
+from pyspark.sql import functions as F
+
+from surveyspark.llm import ngram_join, tables
 from surveyspark.llm.graph import components
 from surveyspark.llm.ngram_join import ngram_jaccard_components, op4_ngram_jaccard_join
 from surveyspark.llm.substring_dedup import MIN_REPEAT, Paragraphs, _bands, op9_substring_dedup, remove_spans, repeated_spans, tune_bands
@@ -62,13 +64,46 @@ def test_join_odd_tables(spark):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == [(1, 2, 1), (2, 2, 1)]
 
 
-@pytest.mark.parametrize("texts", [[" ".join("abcdefg"[:n])] for n in range(8)] + [["a b c", "x y"], ["x " * 300_000, "a b c"], ["a b", "a b", "A b c", ""]])
+def test_shingles_of_short_runs():
+    import pyarrow as pa
+
+    for n in range(8):
+        sets = Words(*next(chunks(pa.array([" ".join("abcdefg"[:n])] * 2)))[2:]).sets(5)
+        assert [len(s) for s in sets] == [max(n - 4, min(n, 1))] * 2 and (sets[0] == sets[1]).all()
+
+
+@pytest.mark.parametrize("texts", [["a b c"], ["x " * 300_000, "a b c"], ["a b", "a b", "A b c", ""]])
 def test_join_of_short_runs(spark, texts):
     rows = list(enumerate(texts))
     got = ngram_jaccard_components(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == jaccard_components(rows)
 
 
+def test_no_column_of_near_copies_is_in_one_task(spark):
+    """3,000 near copies: whole columns are only summed (before the shuffle) or met by broadcast."""
+    import random
+
+    r = random.Random(5)
+    base, rows = sentence(r, 200).split(), []
+    for i in range(3000):
+        w = base[:]
+        w[r.randrange(200)] = sentence(r, 1)
+        rows.append((i, " ".join(w)))
+    rows += [(5000 + i, sentence(r, 30)) for i in range(50)]
+    got = {x.doc_id: x.component_id for x in ngram_jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {got[i] for i in range(3000)} == {0} and all(got[i] == i for i in range(5000, 5050))
+
+
+def test_spread_join_broadcasts_heavy_keys_only(spark, monkeypatch):
+    monkeypatch.setattr(tables, "HEAVY", 8)
+    left = spark.createDataFrame([(0, i) for i in range(600)] + [(1 + i % 200, i) for i in range(600)], "k long, x long")
+    right = left.groupBy("k").agg(F.count("*").alias("c"), F.sum("x").alias("s")).where("k <> 7")
+    got = tables.spread_join(left, right, "k", "c", left.count())
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right.drop("c"), "k").collect()))
+    keys = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in keys and "LeftAnti" in keys
+
+
 def test_op4_on_the_given_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in table("documents")]
     got = op4_ngram_jaccard_join(spark, SF).collect()
