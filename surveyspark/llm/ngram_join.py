@@ -198,7 +198,7 @@ def _product(num: int, den: int):
     return run
 
 
-def _tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> DataFrame:
+def tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> DataFrame:
     """Links between rows of different components in long columns.
 
     Rows that meet in long columns are dealt into tiles of about ``TILE`` shingles, those with one first
@@ -263,7 +263,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den, F.col("a.at"), F.col("b.at")))
     pairs = pairs.select(F.least("a.row", "b.row").alias("u"), F.greatest("a.row", "b.row").alias("v")).distinct()
     pairs = shared.put(pairs.join(first, ["u", "v"], "left_anti"), "pairs")
-    links = links.union(verified(pairs, block)).union(shared.put(_tiled(rest.where(F.col("size") > SHORT), sets_of, shared, num, den), "links"))
+    links = links.union(verified(pairs, block)).union(shared.put(tiled(rest.where(F.col("size") > SHORT), sets_of, shared, num, den), "links"))
     comp = shared.put(components(links, shared), "components")
 
     named = shared.put(rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row")).drop("component"), "classes")

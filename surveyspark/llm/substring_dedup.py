@@ -21,12 +21,14 @@ that a short one is not taken for an unrelated one.
    their texts; pairs at ``num / den`` or more are linked. Where the others of
    a band are in several components by then, they are joined once more by the
    shingles that a linked pair must share, in an order with the frequent ones
-   last, and those of different components are compared. Components of all
-   links and equal paragraphs are the classes.
-4. In each class the occurrences in the document with the least id stay. The
-   others go where adjoining ones (with at most one other paragraph or ``BRIDGE``
-   words between) have ``min_repeat`` words or more in all, so that chance
-   repeats of a short line stay.
+   last, and those of different components are compared, in short columns pair
+   by pair and in long ones by tiles. Components of all links and equal
+   paragraphs are the classes.
+4. In each class the first occurrence stays, that of the least id and there the
+   first place. The others, in other documents or later in the same one, go where
+   adjoining ones (with at most one other paragraph or ``BRIDGE`` words between)
+   have ``min_repeat`` words or more in all, so that chance repeats of a short
+   line stay.
 
 Null and empty texts have no paragraphs. Repeated rows of one id count as one
 document with its least text. A null id takes no part. Extra columns are not
@@ -44,7 +46,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import Shared, source
+from .ngram_join import SHORT, tiled
+from .tables import Shared, id_filter, in_filter, source, spread_join, unused
 from .text import Words, chunks, lean, mix
 
 MIN_WORDS = 8
@@ -180,6 +183,14 @@ def rolled_columns(cols: list[np.ndarray], salt: int) -> np.ndarray:
     return x
 
 
+def _held(bits):
+    """The rows whose ids may be asked for."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(in_filter(bits.value, b.column(0).to_numpy(zero_copy_only=False))))
+    return run
+
+
 def _sets(k: int):
     """Shingle sets of the paragraphs named by (par, pos) lists, from their documents' texts."""
     def run(batches):
@@ -222,16 +233,20 @@ def _apart(near: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int
     first = first.withColumn("all", F.expr(f"slice(all, 1, n - cast(ceil(n * {num} / {den}) as int) + 1)"))
     first = first.select("par", "comp", "n", F.explode("all").alias("x")).where("x.c > 1")
     first = shared.put(first.select(F.col("x.h").alias("h"), "par", "comp", "n"), "columns")
-    per = first.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    large = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
-    first = first.join(large, "h")
-    a, b = first.where("comp <> large").alias("a"), first.alias("b")
+    per = first.groupBy("h", "comp").agg(F.count("*").alias("c"), F.min("par").alias("least"))
+    large = per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("large"), F.min("least").alias("least"), F.count("*").alias("comps"), F.sum("c").alias("size"))
+    large = shared.put(large.where("comps > 1").drop("comps").withColumn("c", F.col("size")), "mixed")
+    first = shared.put(spread_join(first, large, "h", "c", first.count()), "mixed-columns")
+    short = first.where(F.col("size") <= SHORT)
+    a, b = short.where("comp <> large").alias("a"), short.alias("b")
     apart = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.large")) | (F.col("a.par") < F.col("b.par")))
     fits = F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num
     pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & apart & fits)
     pairs = shared.put(pairs.select(F.least("a.par", "b.par").alias("u"), F.greatest("a.par", "b.par").alias("v")).distinct(), "pairs")
-    links = shared.put(_similar(pairs, rest, num, den), "links")
-    for done in (both, rest, pairs):
+    long = first.where(F.col("size") > SHORT).select("h", F.col("par").alias("row"), F.shiftleft(F.col("n").cast("long"), 32).alias("at"), "comp", "large", "least")
+    sets_of = lambda asked: rest.select(F.col("par").alias("row"), "set").join(asked, "row", "left_semi")
+    links = shared.put(_similar(pairs, rest, num, den).union(tiled(long, sets_of, shared, num, den)), "links")
+    for done in (both, rest, pairs, first):
         shared.drop(done)
     return links
 
@@ -258,19 +273,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         occ = shared.put(src.mapInArrow(lean(_occurrences), shape), "occurrences")
 
     rows, bands = tune_bands(num / den, recall)
-    band = src.mapInArrow(_bands(k, rows, bands), "band long, par long")
-    near = band.withColumn("hub", F.min("par").over(W.partitionBy("band"))).where("par <> hub")
+    # the least paragraph of a band, by a sum before the shuffle, goes to the others; bands of very many by broadcast
+    band = shared.put(src.mapInArrow(_bands(k, rows, bands), "band long, par long"), "bands")
+    hubs = band.groupBy("band").agg(F.min("par").alias("hub"), F.max("par").alias("last"), F.count("*").alias("c")).where("hub < last").drop("last")
+    hubs = shared.put(hubs, "hubs")
+    near = spread_join(band, hubs, "band", "c", band.count()).where("par <> hub")
     near = shared.put(near.select(F.col("hub").alias("u"), F.col("par").alias("v")).distinct(), "candidates")
+    shared.drop(band)
+    shared.drop(hubs)
     asked = near.select(F.col("u").alias("par")).union(near.select(F.col("v").alias("par"))).distinct()
-    # one row per paragraph, summed up before the shuffle: its first place and the last document that has it;
-    # those of one document that are no candidates can't be in a class with others
-    each = occ.groupBy("par").agg(F.min(F.struct("id", "pos")).alias("at"), F.max("id").alias("high"))
-    each = each.join(asked.withColumn("asked", F.lit(True)), "par", "left").where("asked or at.id < high")
+    # one row per paragraph, summed up before the shuffle: its first and its last place; those with one place that
+    # are no candidates can't be in a class with others
+    place = F.struct("id", "pos")
+    each = occ.groupBy("par").agg(F.min(place).alias("at"), F.max(place).alias("high"))
+    each = each.join(asked.withColumn("asked", F.lit(True)), "par", "left").where("asked or at < high")
     shared.sweep()
     each = shared.put(each, "paragraphs")
     shared.sweep()
-    place = each.where("asked").groupBy(F.col("at.id").alias("id")).agg(F.collect_list("at.pos").alias("wanted"))
-    sets = shared.put(src.join(place, "id").select("id", "text", "wanted").mapInArrow(_sets(k), "par long, set array<long>"), "sets")
+    wanted = shared.put(each.where("asked").groupBy(F.col("at.id").alias("id")).agg(F.collect_list("at.pos").alias("wanted")), "wanted")
+    bits = spark.sparkContext.broadcast(id_filter(wanted))  # texts without such a paragraph are not shuffled
+    some = src.mapInArrow(_held(bits), src.schema).join(wanted, "id").select("id", "text", "wanted")
+    sets = shared.put(some.mapInArrow(_sets(k), "par long, set array<long>"), "sets")
     shared.sweep()
     links = shared.put(_similar(near, sets, num, den), "links")
     comp = components(links, shared)
@@ -281,11 +304,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared.drop(sets)
     shared.sweep()
 
-    equal = each.join(comp.withColumnRenamed("id", "par"), "par", "left").where("component is not null or at.id < high")
-    equal = shared.put(equal.select("par", F.coalesce("component", "par").alias("class_id"), F.col("at.id").alias("low"), "high"), "classes")
+    equal = each.join(comp.withColumnRenamed("id", "par"), "par", "left").where("component is not null or at < high")
+    equal = shared.put(equal.select("par", F.coalesce("component", "par").alias("class_id"), F.col("at").alias("low"), "high"), "classes")
     kept = equal.groupBy("class_id").agg(F.min("low").alias("kept"), F.max("high").alias("high")).where("kept < high").drop("high")
     classes = equal.join(kept, "class_id").select("par", "class_id", "kept")
-    again = occ.join(classes, "par").where("id <> kept")
+    again = occ.join(classes, "par").where(place != F.col("kept"))
 
     by = W.partitionBy("id").orderBy("pos")
     gap = F.col("pos") - F.lag("pos").over(by)
@@ -294,7 +317,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     again = again.withColumn("run", F.sum(((F.col("gap") > 2) & (F.col("between") > BRIDGE)).cast("int")).over(by))
     again = again.withColumn("piece", F.sum((F.col("gap") > 1).cast("int")).over(by))
     piece = again.groupBy("id", "run", "piece").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("class_id").alias("class_id"), F.min("kept").alias("kept_doc_id"))
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("class_id").alias("class_id"), F.min("kept.id").alias("kept_doc_id"))
     piece = piece.withColumn("all", F.sum("n_words").over(W.partitionBy("id", "run"))).where(F.col("all") >= min_repeat)
     return piece.select(F.col("id").alias(id_col), "start", "end", "n_words", "class_id", "kept_doc_id")
 
@@ -303,21 +326,22 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     """``docs`` without the ``spans`` of their texts; ``count_col``, where there is one, follows. Documents
     with nothing but white space left go; those without spans are as they were. Of a repeated id, the rows with
     the least text have its spans; its other rows stay whole."""
-    cut = spans.groupBy(F.col(id_col).alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    both = docs.join(cut, docs[id_col] == F.col("_id"), "left").drop("_id")
-    many = docs.groupBy(F.col(id_col).alias("_id")).count().where("count > 1 and _id is not null").select("_id")
+    ref, cuts, text_of = (unused(n, docs.columns) for n in ("_id", "_cut", "_least"))
+    cut = spans.groupBy(F.col(id_col).alias(ref)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts))
+    both = docs.join(cut, docs[id_col] == F.col(ref), "left").drop(ref)
+    many = docs.groupBy(F.col(id_col).alias(ref)).agg(F.count("*").alias("count")).where(f"count > 1 and {ref} is not null").select(ref)
     if many.limit(1).count():
-        least = docs.select(F.col(id_col).alias("_id"), text_col).join(many, "_id", "left_semi").groupBy("_id").agg(F.min(text_col).alias("_least"))
-        both = both.join(least, both[id_col] == F.col("_id"), "left").drop("_id")
-        other = F.col("_least").isNotNull() & ~F.col("_least").eqNullSafe(F.col(text_col))
-        both = both.withColumn("_cut", F.when(~other, F.col("_cut"))).drop("_least")
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cut"), i - 1)["end"])
-    stop = lambda i: F.when(i == F.size("_cut"), F.length(text_col)).otherwise(F.get(F.col("_cut"), i)["start"])
-    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_cut")), lambda i: F.substring(F.col(text_col), begin(i) + 1, stop(i) - begin(i))), "")
-    out = both.withColumn(text_col, F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(left))
+        least = docs.select(F.col(id_col).alias(ref), text_col).join(many, ref, "left_semi").groupBy(ref).agg(F.min(text_col).alias(text_of))
+        both = both.join(least, both[id_col] == F.col(ref), "left").drop(ref)
+        other = F.col(text_of).isNotNull() & ~F.col(text_of).eqNullSafe(F.col(text_col))
+        both = both.withColumn(cuts, F.when(~other, F.col(cuts))).drop(text_of)
+    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col(cuts), i - 1)["end"])
+    stop = lambda i: F.when(i == F.size(cuts), F.length(text_col)).otherwise(F.get(F.col(cuts), i)["start"])
+    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: F.substring(F.col(text_col), begin(i) + 1, stop(i) - begin(i))), "")
+    out = both.withColumn(text_col, F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(left))
     if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("_cut").isNull(), F.col(count_col)).otherwise(F.length(text_col).cast(docs.schema[count_col].dataType)))
-    return out.where(F.col("_cut").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+        out = out.withColumn(count_col, F.when(F.col(cuts).isNull(), F.col(count_col)).otherwise(F.length(text_col).cast(docs.schema[count_col].dataType)))
+    return out.where(F.col(cuts).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

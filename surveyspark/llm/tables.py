@@ -15,6 +15,14 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Shared:
     """Names, writes, rereads and deletes tables under ``spark.checkpoint.dir``; what is left goes when the session ends."""
 

@@ -147,7 +147,7 @@ def test_repeated_passages_go_and_clean_texts_stay(spark):
     text = dict(rows)
     for x in spans.collect():
         part = text[x.doc_id][x.start:x.end]
-        assert part == part.strip() and len(part.split()) == x.n_words and x.kept_doc_id < x.doc_id
+        assert part == part.strip() and len(part.split()) == x.n_words and x.kept_doc_id <= x.doc_id
     assert not got & set(range(40))  # random texts before their copies
     left = {x.doc_id: x for x in remove_spans(docs, spans).collect()}
     assert not _repeated([(i, x.text) for i, x in left.items()])
@@ -247,6 +247,55 @@ def test_substring_odd_tables(spark):
     assert sorted(str(x.doc_id) for x in remove_spans(docs, spans).collect()) == sorted(map(str, [1, 2, 3, 4, 4, None]))
 
 
+def _in_document_repeats(text, n=50):
+    """Whether ``n`` words in a row stand twice, apart from each other, in a text."""
+    w = (text or "").translate(LOWER).split()
+    first = {}
+    for i in range(len(w) - n + 1):
+        at = first.setdefault(tuple(w[i:i + n]), i)
+        if i - at >= n:
+            return True
+    return False
+
+
+def test_repeats_inside_a_document_go_but_for_the_first(spark):
+    import random
+
+    r = random.Random(12)
+    passages = [sentence(r, 80) + "." for _ in range(30)]
+    rows = [(i, f"{sentence(r, r.randint(0, 40))} {p} {sentence(r, r.randint(10, 60))} {p} {sentence(r, r.randint(0, 30))} {p if i % 3 == 0 else ''}") for i, p in enumerate(passages)]
+    rows += [(100 + i, sentence(r, 300)) for i in range(30)] + [(200, f"{sentence(r, 20)} {passages[5]} {sentence(r, 20)}")]
+    docs = spark.createDataFrame([(*x, "a", "b") for x in rows], "doc_id long, text string, _id string, _cut string")
+    assert all(_in_document_repeats(t) for i, t in rows if i < 30)
+    spans = repeated_spans(docs)
+    found = spans.collect()
+    assert {x.doc_id for x in found} == {*range(30), 200} and {x.kept_doc_id for x in found if x.doc_id == 200} == {5}
+    left = {x.doc_id: x.text for x in remove_spans(docs, spans).collect()}
+    text = dict(rows)
+    for i, p in enumerate(passages):
+        assert not _in_document_repeats(left[i]) and p in left[i]  # the first one is whole
+        assert left[i].startswith(text[i][:text[i].index(p) + len(p)])
+    assert all(left[i] == text[i] for i in range(100, 130)) and not _repeated([(i, t) for i, t in left.items()])
+
+
+@pytest.mark.parametrize("short", [2, 10 ** 6])
+def test_near_equal_paragraphs_by_tiles_and_by_pairs(spark, monkeypatch, short):
+    import random
+
+    from surveyspark.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "SHORT", short)
+    r = random.Random(3)
+    phrase, rows = sentence(r, 10), []
+    for i in range(40):  # pairs that share more with each other than the phrase that all have
+        w = f"{phrase} {sentence(r, 30)}".split()
+        v = w[:]
+        v[25] = sentence(r, 1)
+        rows += [(2 * i, f"{sentence(r, 30)}\n{' '.join(w)}."), (2 * i + 1, f"{sentence(r, 30)}\n{' '.join(v)}.")]
+    got = {x.doc_id for x in repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got <= set(range(1, 80, 2)) and len(got) >= 36
+
+
 def test_other_texts_of_a_repeated_id_stay_whole(spark):
     import random
 
