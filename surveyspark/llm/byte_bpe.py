@@ -13,7 +13,10 @@ Each distinct slice is merged once (by a list for short slices, by a heap for
 long ones, always the lowest rank, leftmost first) and cached. Slices keep
 their byte offsets; decoding joins the bytes of the ids.
 
-A null text is empty and has no ids. Each row gives one row.
+A null text is empty and has no ids. Each row gives one row, repeated rows
+included, and an empty table none; a text of any length is one row. Columns
+other than the id and the text are not read; ``decode`` keeps all columns and
+puts its text in place of one that has that name.
 """
 
 from __future__ import annotations
@@ -21,10 +24,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,13 @@ LETTER, NUMBER, OTHER, APO1, APO2, WS_RUN, WS_SPACE, WS_LAST, RESET = range(9)
 FREE, IN_L, IN_N, IN_O, IN_W, LEAD, ONE, TWO = range(8)
 #: The code points with the White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+#: Ranges of letters and numbers later than Unicode 16, which the tiktoken library's tables have.
+LATER = [(0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4),
+         (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+         (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6),
+         (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+         (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4),
+         (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F)]
 BLOCK = 64
 CHUNK = 1 << 19
 _CACHE = 300_000
@@ -68,8 +78,14 @@ _CLASS: list[np.ndarray] = []
 
 def class_table() -> np.ndarray:
     if not _CLASS:
-        kind = {"L": LETTER, "N": NUMBER}
-        table = np.fromiter((kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+        # the regex package's letters and numbers, as Python's own table is older than the library's
+        table = np.full(0x110000, OTHER, np.uint8)
+        all_ = "".join(map(chr, range(0x110000)))
+        for kind, name in ((LETTER, "L"), (NUMBER, "N")):
+            for m in regex.finditer(rf"\p{{{name}}}+", all_):
+                table[m.start():m.end()] = kind
+        for low, high in LATER:
+            table[low:high + 1] = OTHER
         table[WHITE_SPACE] = WS_RUN
         _CLASS.append(table)
     return _CLASS[0]
@@ -268,6 +284,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``tokens`` with the text of its ids; bytes that are no UTF-8 become the replacement character."""
+    tokens = tokens.drop(text_col)
+
     def run(batches):
         bpe = coder(path)
         for b in batches:

@@ -11,7 +11,9 @@ total shrinks and a group has a gap. The first packing is kept where a repacking
 
 Each row of ``docs`` is packed, repeated rows included; a null text is empty and
 has only the end id. Group numbers are dealt by place in the input, not by key,
-so equal ids or texts spread over all groups.
+so equal ids or texts spread over all groups. An empty table gives an empty
+result. Columns other than the id and the text are not read; an id column named
+like a column of the result is an error.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from .text import lean, mix
 
 GROUP = 16_384
 _CACHE = 250_000
+#: Parts of more characters are encoded each time, so the cache is bounded in bytes too.
+_LONG = 500
 
 
 #: Lower-case letters of one code point that no normalisation changes: such a part is one token of the pattern.
@@ -57,7 +61,6 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -77,12 +80,15 @@ class WordCache:
         return ids
 
     def learn(self, p: str) -> bytes:
-        """Ids of a new part. A letter ends a token of the pattern before a full stop or comma, and such a mark at
-        the end is a token of its own, so these parts are joined from the two."""
+        """Ids of a new part. A letter (that lower case leaves one) ends a token of the pattern before a full stop or
+        comma, and such a mark at the end is a token of its own, so these parts are joined from the two. Very long
+        parts are not kept."""
         new = self.new
         if (ids := new.get(p)) is not None:
             return ids
-        if (p[-1:] == "." or p[-1:] == ",") and p[-2:-1].isalpha():
+        if len(p) > _LONG:
+            return self._ids(p)
+        if (p[-1:] == "." or p[-1:] == ",") and p[-2:-1].isalpha() and p[:-1].lower()[-1].isalpha():
             word, mark = p[:-1], p[-1]
             ids = new[p] = (new.get(word) or self._find(word)) + (new.get(mark) or self._find(mark))
             return ids
@@ -94,8 +100,9 @@ class WordCache:
         get, learn, out = self.new.get, self.learn, []
         for t in texts:
             t = t or ""
-            # the vocabulary is of lower case; only a capital sigma is lowered by its place
-            t = t if "\u03a3" in t else t.lower()
+            # the vocabulary is of lower case; only a capital sigma is lowered by its place, and special tokens
+            # are those of the text as it is
+            t = t if "\u03a3" in t or "<|" in t else t.lower()
             parts = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             found = list(map(get, parts))
             if None in found:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import Shared, id_filter, in_filter, source
+from .tables import Shared, id_filter, in_filter, source, unused
 from .text import lean
 
 KINDS = ("email", "ip", "card", "phone")
@@ -134,14 +134,22 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def word_beside(text: str, at: int, step: int) -> str:
+    """The whole word before (``step`` -1) or from (1) a place on, of any length, in lower case and without marks."""
+    i = at if step > 0 else at - 1
+    while 0 <= i < len(text) and text[i].isspace():
+        i += step
+    j = i
+    while 0 <= j < len(text) and not text[j].isspace():
+        j += step
+    return (text[i:j] if step > 0 else text[j + 1:i + 1]).lower().strip(".,;:!?\"'()")
+
+
 def patterns(text: str, start: int, end: int) -> list[int]:
     """Hashes of the lexical patterns of one place of an instance; odd for contexts of a word, even for others."""
-    before = text[max(0, start - 40):start].split()
-    after = text[end:end + 40].split()
     full = shape(text[start:end])
     part = loose(text[start:end])
-    left = before[-1].lower().strip(".,;:!?\"'()") if before else ""
-    right = after[0].lower().strip(".,;:!?\"'()") if after else ""
+    left, right = word_beside(text, start, -1), word_beside(text, end, 1)
     return [_hash(f"shape {full}") & ~1, *(_hash(f"{side} {word} {part}") & ~1 | bool(word) for side, word in (("left", left), ("right", right)))]
 
 
@@ -153,10 +161,10 @@ def spans_text(spans) -> str:
 
 
 def _scan(batches):
-    """(id, key, hash of the base spans, their counts, places of instances) of each row."""
+    """(id, two keys, hash of the base spans, their counts, places of instances) of each row."""
     for b in batches:
         counts, occ, sha = [[] for _ in KINDS], [], []
-        for text in b.column(2).to_pylist():
+        for text in b.column(3).to_pylist():
             text = text or ""
             found = base_spans(text)
             sha.append(hashlib.sha256(spans_text(found).encode()).hexdigest())
@@ -166,8 +174,8 @@ def _scan(batches):
             occ.append([{"kind": k, "start": s, "end": e, "inst": _hash(text[s:e].lower()), "patterns": patterns(text, s, e)} for k, s, e in places])
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("inst", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(sha, pa.string()), *(pa.array(c, pa.int64()) for c in counts), pa.array(occ, kind)],
-            [b.schema.names[0], "key", "base_sha256", *(f"n_{k}" for k in KINDS), "occ"])
+            [*b.columns[:3], pa.array(sha, pa.string()), *(pa.array(c, pa.int64()) for c in counts), pa.array(occ, kind)],
+            [b.schema.names[0], "key", "key2", "base_sha256", *(f"n_{k}" for k in KINDS), "occ"])
 
 
 def score_instances(occ: DataFrame, shared: Shared, rounds: int = ROUNDS, accept: float = ACCEPT, support: int = SUPPORT) -> DataFrame:
@@ -206,23 +214,28 @@ def score_instances(occ: DataFrame, shared: Shared, rounds: int = ROUNDS, accept
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(id_col, key, base_sha256, a count for each kind, occ) of every row of ``docs``, a frame of ``with_key``,
-    and (key, added: array of start, kind, end) of the rows with added spans. ``occ`` has the base spans
+    """(id_col, key, key2, base_sha256, a count for each kind, occ) of every row of ``docs``, a frame of ``with_key``,
+    and (key, key2, added: array of start, kind, end) of the rows with added spans. ``occ`` has the base spans
     (kind 0 to 3) and the other instances (kind -1)."""
     shared = Shared(docs.sparkSession, "pii")
-    rows = docs.select(id_col, F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text"))
-    fields = T.StructType([rows.schema[0], rows.schema[1], T.StructField("base_sha256", T.StringType()),
+    key, key2 = docs.columns[-2:]
+    rows = docs.select(id_col, F.col(key).alias("key"), F.col(key2).alias("key2"), F.col(text_col).cast("string").alias("text"))
+    fields = T.StructType([*rows.schema[:3], T.StructField("base_sha256", T.StringType()),
                            *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("occ", T.ArrayType(_OCC))])
     base = shared.put(rows.mapInArrow(lean(_scan), fields), "base")
-    occ = base.select("key", F.explode("occ").alias("o")).select("key", "o.*")
+    occ = base.select("key", "key2", F.explode("occ").alias("o")).select("key", "key2", "o.*")
     accepted = shared.put(score_instances(occ, shared), "accepted")
     added = occ.where("kind < 0").drop("kind", "patterns").join(accepted, "inst")
-    added = added.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
+    added = added.groupBy("key", "key2").agg(F.sort_array(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
     return base, shared.put(added, "added")
 
 
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col)))
+    """``docs`` with two 64-bit keys of id and text as its last columns, under names that it does not have."""
+    first = unused("_key", docs.columns)
+    second = unused("_key2", [*docs.columns, first])
+    what = F.col(id_col), F.col(text_col)
+    return docs.select("*", F.xxhash64(*what).alias(first), F.xxhash64(F.lit("key2"), *what, F.length(text_col)).alias(second))
 
 
 def _redact(text: str, spans) -> str:
@@ -236,28 +249,29 @@ def _redact(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
-def _redacted(text_col: str, count_col: str | None, bits, inside: bool):
-    """Rows with their spans replaced; those in the filter (``inside``) come with an ``added`` column."""
+def _redacted(text_col: str, count_col: str | None, bits, inside: bool, width: int):
+    """Rows of ``width`` columns, and two keys, with their spans replaced; those in the filter (``inside``) come
+    with added spans as the last column."""
     def run(batches):
         for b in batches:
-            names = b.schema.names
+            names = b.schema.names[:width]
             if not inside:
-                b = b.filter(pa.array(~in_filter(bits.value, b.column(names.index("_key")).to_numpy())))
+                b = b.filter(pa.array(~in_filter(bits.value, b.column(width).to_numpy())))
             texts = b.column(names.index(text_col)).to_pylist()
-            added = b.column(names.index("added")).to_pylist() if inside else [None] * len(texts)
+            added = b.column(b.num_columns - 1).to_pylist() if inside else [None] * len(texts)
             new = []
             for t, a in zip(texts, added):
                 spans = base_spans(t or "") + [(x["start"], x["kind"], x["end"]) for x in a or []]
                 new.append(_redact(t, spans) if spans else t)
             cols = []
-            for n, c in zip(names, b.columns):
+            for n, c in zip(names, b.columns[:width]):
                 if n == text_col:
                     cols.append(pa.array(new, c.type))
                 elif n == count_col:
                     cols.append(pa.array([x if t == u else len(u) for x, t, u in zip(c.to_pylist(), texts, new)], c.type))
-                elif n not in ("_key", "added"):
+                else:
                     cols.append(c)
-            yield pa.RecordBatch.from_arrays(cols, [n for n in names if n not in ("_key", "added")])
+            yield pa.RecordBatch.from_arrays(cols, names)
     return lean(run)
 
 
@@ -265,17 +279,20 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
     """``docs`` with every base and added span replaced by its kind, as in [EMAIL]; ``count_col``, where there
     is one, follows the text. Only rows that may have added spans are shuffled."""
     keyed = with_key(docs, id_col, text_col)
+    width, (key, key2) = len(docs.columns), keyed.columns[-2:]
     _, added = find_pii(keyed, id_col, text_col)
     bits = docs.sparkSession.sparkContext.broadcast(id_filter(added, "key"))
     count = count_col if count_col in docs.columns else None
-    plain = keyed.mapInArrow(_redacted(text_col, count, bits, False), docs.schema)
+    plain = keyed.mapInArrow(_redacted(text_col, count, bits, False, width), docs.schema)
 
     def some(batches):
         for b in batches:
-            yield b.filter(pa.array(in_filter(bits.value, b.column(b.num_columns - 1).to_numpy())))
+            yield b.filter(pa.array(in_filter(bits.value, b.column(width).to_numpy())))
 
-    few = keyed.mapInArrow(lean(some), keyed.schema).join(added.withColumnRenamed("key", "_key"), "_key", "left")
-    return plain.union(few.select(*docs.columns, "_key", "added").mapInArrow(_redacted(text_col, count, bits, True), docs.schema))
+    spans = unused("added", keyed.columns)
+    added = added.select(F.col("key").alias(key), F.col("key2").alias(key2), F.col("added").alias(spans))
+    few = keyed.mapInArrow(lean(some), keyed.schema).join(added, [key, key2], "left")
+    return plain.union(few.select(*docs.columns, key, key2, spans).mapInArrow(_redacted(text_col, count, bits, True, width), docs.schema))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +302,6 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = lambda k: F.get(F.array(*map(F.lit, KINDS)), k)
     text = lambda o: F.concat_ws(":", name(o["kind"]), o["start"].cast("string"), o["end"].cast("string"))
     all_ = F.sort_array(F.when(F.col("added").isNull(), own).otherwise(F.concat(own, "added")))
-    return base.join(added, "key", "left").select(
+    return base.join(added, ["key", "key2"], "left").select(
         "doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", F.array_join(F.transform(all_, text), ",").alias("spans"),
         F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_added"))

@@ -287,14 +287,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.struct("id", "pos")
     each = occ.groupBy("par").agg(F.min(place).alias("at"), F.max(place).alias("high"))
     each = each.join(asked.withColumn("asked", F.lit(True)), "par", "left").where("asked or at < high")
-    shared.sweep()
     each = shared.put(each, "paragraphs")
-    shared.sweep()
     wanted = shared.put(each.where("asked").groupBy(F.col("at.id").alias("id")).agg(F.collect_list("at.pos").alias("wanted")), "wanted")
     bits = spark.sparkContext.broadcast(id_filter(wanted))  # texts without such a paragraph are not shuffled
     some = src.mapInArrow(_held(bits), src.schema).join(wanted, "id").select("id", "text", "wanted")
     sets = shared.put(some.mapInArrow(_sets(k), "par long, set array<long>"), "sets")
-    shared.sweep()
     links = shared.put(_similar(near, sets, num, den), "links")
     comp = components(links, shared)
     more = _apart(near, sets, comp, num, den, shared)
@@ -302,7 +299,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         comp = components(links.union(more), shared)
     shared.drop(near)
     shared.drop(sets)
-    shared.sweep()
 
     equal = each.join(comp.withColumnRenamed("id", "par"), "par", "left").where("component is not null or at < high")
     equal = shared.put(equal.select("par", F.coalesce("component", "par").alias("class_id"), F.col("at").alias("low"), "high"), "classes")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,26 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_MADE: list[list] = []
+
+
+@contextmanager
+def temporary():
+    """Tables that operators put within this block go at its end, when what was made of them is written."""
+    made: list[Shared] = []
+    _MADE.append(made)
+    try:
+        yield
+    finally:
+        _MADE.pop()
+        for shared in made:
+            shared.close()
+
+
+#: Spark's setting that deletes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, with underscores added until no column has it (names differ by more than case)."""
     taken = {c.lower() for c in columns}
@@ -31,14 +52,21 @@ class Shared:
         small_batches(spark)
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
         self.n, self.paths = 0, {}
+        if _MADE:
+            _MADE[-1].append(self)
 
     def put(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Write ``df`` as Parquet and read it back; the lineage ends at the files."""
+        """Write ``df`` as Parquet and read it back; the lineage ends at the files, and the shuffle files behind them go."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
         if self.n == 1:
             self._fs(self.base)[1].deleteOnExit(self._fs(self.base)[0])
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")  # for this write alone
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out
@@ -47,9 +75,9 @@ class Shared:
         """Delete the files of a table of ``put`` that nothing reads any more."""
         self._delete(self.paths.pop(id(df))[1])
 
-    def sweep(self) -> None:
-        """Let the driver forget the queries that have ended, so that Spark deletes their shuffle files."""
-        self.spark._jvm.System.gc()
+    def close(self) -> None:
+        """Delete all tables."""
+        self._delete(self.base)
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from surveyspark.llm import byte_bpe, packing, pii, toxicity
 from surveyspark.llm.quality_rules import op10_quality_rules, quality_rules
@@ -194,13 +195,60 @@ def test_op5_on_the_given_table(spark):
         assert x.decoded_sha256 == hashlib.sha256((r["text"] or "").encode()).hexdigest()
 
 
+def test_whole_words_are_contexts():
+    text = "x" * 50 + "shared 12-34 " + "next" * 30 + " end"
+    at = text.index("12-34")
+    assert pii.word_beside(text, at, -1) == "x" * 50 + "shared" and pii.word_beside(text, at + 5, 1) == "next" * 30
+    other = "y" * 50 + text[50:]
+    assert pii.patterns(text, at, at + 5)[1] != pii.patterns(other, at, at + 5)[1]
+    assert pii.word_beside("", 0, 1) == pii.word_beside("a", 0, -1) == pii.word_beside("  a", 2, -1) == ""
+
+
+def test_redact_with_columns_of_the_same_names(spark):
+    rows = [(1, "mail to a.b@example.org now", 5, "k", [1]), (1, "mail to a.b@example.org now", 5, "k", [1]), (2, None, 6, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, added string, key array<int>")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns
+    want = [(1, "mail to [EMAIL] now", 5, "k", [1])] * 2 + [(2, None, 6, None, None)]
+    assert sorted(str(tuple(x)) for x in got.collect()) == sorted(map(str, want))
+
+
+def test_decode_replaces_a_text_column(spark):
+    docs = spark.createDataFrame([(1, "héllo wörld"), (2, None), (1, "héllo wörld")], "doc_id long, text string")
+    tokens = byte_bpe.encode(docs, BYTE).withColumn("text", F.lit("old"))
+    assert sorted((x.doc_id, x.text) for x in byte_bpe.decode(tokens, BYTE).collect()) == [(1, "héllo wörld"), (1, "héllo wörld"), (2, "")]
+
+
+def test_classes_of_all_code_points_are_the_librarys():
+    import tiktoken
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    table = byte_bpe.class_table()
+    for name, kind in (("L", byte_bpe.LETTER), ("N", byte_bpe.NUMBER)):
+        one = tiktoken.Encoding(name, pat_str=rf"\p{{{name}}}", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        theirs = [c for c, ids in zip(points, one.encode_ordinary_batch([chr(c) for c in points])) if ids]
+        assert theirs == [c for c in points if table[c] == kind]
+
+
 # --- packing
 
+def plain_tokenizer():
+    """As loaded, not touched by the code."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(WORDS)
+
+
 def test_word_cache_matches_the_tokenizer():
-    words, r = packing.WordCache(WORDS), random.Random(5)
+    words, r, tokenizer = packing.WordCache(WORDS), random.Random(5), plain_tokenizer()
     texts = ODD + ["".join(r.choice("aB'sΣς \t\n\r\x0b\x1c  é́İß1٣²!<|>endoftext　ﬁ한") for _ in range(r.randint(0, 25))) for _ in range(2000)]
     for t, ids in zip(texts, words.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    marks = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "İ.", "Σ.", "ΑΣ.", "ŉ,", "ẞ.", " ", "\n", "a", "B", "é,", "q" * 600]
+    texts += ["".join(r.choice(marks) for _ in range(r.randint(0, 8))) for _ in range(5000)]
+    for t, ids in zip(texts, words.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert all(len(p) <= packing._LONG for p in words.new)
     small = packing.WordCache(WORDS)
     packing._CACHE, before = 20, packing._CACHE
     try:
@@ -227,7 +275,7 @@ def test_best_fit_and_bound():
 
 def check_packing(rows, texts, size):
     by = Counter()
-    tokenizer = packing.WordCache(WORDS).tokenizer
+    tokenizer = plain_tokenizer()
     for i, t in texts:
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
         for k in range(0, len(ids), size):
