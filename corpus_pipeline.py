@@ -15,7 +15,7 @@ from surveyspark.llm.ngram_join import ngram_jaccard_components
 from surveyspark.llm.packing import pack
 from surveyspark.llm.pii import redact
 from surveyspark.llm.substring_dedup import remove_spans, repeated_spans
-from surveyspark.llm.tables import Shared, source
+from surveyspark.llm.tables import Shared, source, temporary
 from surveyspark.llm.toxicity import label_categories, toxicity_chain
 
 
@@ -67,7 +67,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = Shared(spark, "pipeline")
-    docs = source(spark, sf_dir, "documents")
+    docs, last = source(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = shared.put(stage(spark, docs, sf_dir), name)
+        with temporary():  # a stage's own tables and its input go when its result is written
+            docs = shared.put(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            shared.drop(last)
+        last = docs
     return docs
