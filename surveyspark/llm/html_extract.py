@@ -11,9 +11,11 @@ The potentials are fitted by maximum likelihood, with gradients from the same
 marginals, on labelled pages: at most ``MAX_TRAIN`` pages of the table that
 have an article or main element (all it holds is article text, but for
 elements that say otherwise by tag or class), the same pages with that element
-renamed to div and with a div around all, and short pages made from ``ASIDE_WORDS`` and ``TEXT_WORDS``.
+renamed to div and with a div around all, and short pages made from ``ASIDE_WORDS``, ``TEXT_WORDS`` and
+``ARTICLE_BLOCKS``. Pages of over ``MAX_TRAIN_CHARS`` characters are extracted, but never train.
 
-Each row gives one row. Null and empty pages have the empty text. The parser
+Each row gives one row, also repeated ones; an empty table gives none. Pages are
+read whole, however long. Null and empty pages have the empty text. The parser
 takes what pages have: unclosed tags, comments and quotes, stray end tags.
 Scripts, styles, titles and other elements that show no text are skipped.
 """
@@ -34,7 +36,8 @@ from .tables import small_batches, source
 
 MAX_TRAIN = 160
 MAX_TRAIN_CHARS = 200_000
-STEPS = 80
+STEPS = 800
+FRAME = "frame"  # the only feature of the root and the body, which hold all text
 #: Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template title textarea select svg math iframe object canvas audio video button datalist".split())
@@ -50,6 +53,18 @@ ASIDE_WORDS = (
     "subscribe signup login search share sharing social related recommended breadcrumb breadcrumbs pagination pager footer header masthead toolbar comment comments "
     "reply replies respond disqus discussion widget skip toc copyright disclaimer").split()
 TEXT_WORDS = "article content post entry story main text body".split()
+_LINE = "This is a line of text that says something. It goes on for a while, and then it ends."
+#: Elements that an article may hold besides paragraphs, with short and with long text; between them they have
+#: every element of ``BLOCKS`` that is no part of the page's frame.
+ARTICLE_BLOCKS = (
+    "<table><caption>{0}</caption><thead><tr><th>{0}</th><th>Year</th></tr></thead><tbody><tr><td>12</td><td>{0}</td></tr></tbody><tfoot><tr><td>{0}</td></tr></tfoot></table>",
+    "<table><tr><td>{0}</td><td>12.5</td></tr><tr><td>{1}</td><td>{0}</td></tr></table>", "<table><tbody><tr><td><p>{1}</p></td></tr></tbody></table>",
+    "<figure><figcaption>{0}</figcaption></figure>", "<figure><figcaption><p>{1}</p></figcaption></figure>", "<pre>x = 1</pre>", "<pre>{1}</pre>", "<ul><li>{0}</li><li>One</li></ul>",
+    "<ul><li><p>{1}</p></li></ul>", "<ol><li>{0}</li><li>{1}</li></ol>", "<ul><li>{0}<ul><li>{0}</li></ul></li></ul>", "<dl><dt>{0}</dt><dd>{0}</dd><dt>Two</dt><dd>{1}</dd></dl>",
+    "<details><summary>{0}</summary><p>{1}</p></details>", "<details><summary>{0}</summary>{0}</details>", "<blockquote>{0}</blockquote>", "<blockquote><p>{1}</p></blockquote>",
+    "<section><h2>{0}</h2><p>{1}</p></section>", "<section>{0}</section>", "<div>{0}</div>", "<div>{1}</div>", "<div><div><p>{1}</p><p>{0}</p></div></div>", "<center>{0}</center>",
+    "<address>{0}</address>", "<dir><li>{0}</li></dir>", "<hgroup><h1>{0}</h1><p>{0}</p></hgroup>", "<fieldset><legend>{0}</legend><p>{1}</p></fieldset>", "<p>{0}</p>", "<p>So.</p>",
+    "<h2>{0}</h2>", "<h4>{0}</h4><p>{1}</p>", "<p>{1} <a href=x>{0}</a></p>", "<p><a href=x>{0}</a></p>", "<ul><li><a href=x>{0}</a> {1}</li></ul>", "{0}", "{1}")
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _STOP = re.compile(r">|=\s*[\"']")
@@ -186,6 +201,9 @@ class Page:
             ends[p] += ends[i]
         out = []
         for i in range(n):
+            if i == 0 or self.tag[i] == "body":
+                out.append([FRAME])
+                continue
             share = linked[i] / chars[i] if chars[i] else 0
             out.append(["bias", f"tag {'heading' if _HEADING.match(self.tag[i]) else self.tag[i]}", *{f"word {w}" for w in self.words[i]},
                         f"links {0 if share < .05 else 1 if share < .3 else 2 if share < .6 else 3}",
@@ -243,18 +261,23 @@ def marginals(parent: list[int], unary: list[float], couple: list[list[float]])
 
 
 def made_pages() -> list[tuple[Page, list[int]]]:
-    """Short labelled pages: one element that is no article text, by word or tag, beside one that is."""
-    line = "This is a line of text that says something. It goes on for a while, and then it ends."
+    """Short labelled pages: one element that is no article text, by word or tag, before, behind or within one
+    that is. Both hold each of ``ARTICLE_BLOCKS``, the article is named by an element, by a word or not at all."""
+    wraps = [("<article>", "</article>"), ("<main>", "</main>"), ("<div class={0}>", "</div>"), ("<div><div>", "</div></div>"), ("<div>", "</div>"), ("", "")]
+    links = "<ul>" + "<li><a href=x>One more</a></li>" * 3 + "</ul>"
+    marks = [f"div class={w}" for w in ASIDE_WORDS] + [f"section id={w}" for w in ASIDE_WORDS] + [*ASIDE_TAGS] * 8
     out = []
-    marks = [f'div class="{w}"' for w in ASIDE_WORDS] + [f'section id="{w}"' for w in ASIDE_WORDS] + [*ASIDE_TAGS] * 8
-    for k, m in enumerate(marks):
-        word, tag, top = TEXT_WORDS[k % len(TEXT_WORDS)], m.split()[0], f"h{1 + k % 5}"
-        open_, close = (f'<div class="{word}">', "</div>") if k % 3 else ("<main>", "</main>")
-        text = f"<{top}>A title</{top}>" + f"<p>{line}</p>" * (1 + k % 4) + f"<h2>Part</h2><p>{line}</p><h3>The next part</h3><p>{line}</p>" * (k % 2) + (f"<ul><li>{line}</li></ul><blockquote>{line}</blockquote>" if k % 5 == 0 else "")
-        rest = f"<{m}><{top}>A name</{top}><p>{line}</p><ul><li>One more</li></ul></{tag}>" if k % 4 else f"<{m}>{line}</{tag}>"
-        body = [f"{open_}{text}{rest}{close}", f"{rest}{open_}{text}{close}", f"{open_}{text}{close}{rest}"][k // 2 % 3]
-        page = Page(f"<html><body>{body}</body></html>")
-        words = re.findall(r'"(.*)"', m)
+    for n in range(len(marks) * len(wraps)):
+        k, j = divmod(n, len(wraps))
+        tag, _, word = marks[k].partition(" ")
+        block, other = (ARTICLE_BLOCKS[i % len(ARTICLE_BLOCKS)].format("A few words", _LINE) for i in (n, 11 * n + 3))
+        title, lines = f"<h{1 + k % 6}>A title</h{1 + k % 6}>", f"<p>{_LINE}</p>" * (1 + n * 5 % 9)
+        text = (title + lines + block + lines, title + block, block + lines, f"{title}{lines}<h2>Part</h2>{lines}{block}")[(k + n // 7) % 4]
+        rest = (other, f"<h3>A name</h3>{other}{lines}", _LINE, links, lines + other, other + links, f"<h2>A name</h2><p>{_LINE}</p>{other}")[n % 7]
+        rest = f"<{marks[k]}>{rest}</{tag}>"
+        open_, close = wraps[j][0].format(TEXT_WORDS[k % len(TEXT_WORDS)]), wraps[j][1]
+        body = (open_ + text + close + rest, rest + open_ + text + close, open_ + text + rest + close)[(k + j) % 3]
+        page, words = Page(f"<html><body>{body}</body></html>"), [word.partition("=")[2]] * bool(word)
         y = [1] * len(page.tag)
         for i in range(1, len(y)):
             y[i] = int(y[page.parent[i]] and not (page.tag[i] == tag and page.words[i] == words))
@@ -276,33 +299,63 @@ def train(pages: list[str], steps: int = STEPS) -> dict:
                     data.append((page, y))
     made = made_pages()
     data += made
-    index: dict[str, int] = {}
-    for page, _ in data:
-        for fs in page.features():
-            for f in fs:
-                index.setdefault(f, len(index))
+    index: dict[str, int] = {FRAME: 0}
     groups: dict[tuple, int] = {}
     own = len(data) - len(made)
     for k, (page, y) in enumerate(data):
-        key = (tuple(tuple(index[f] for f in fs) for fs in page.features()), tuple(page.parent), tuple(y))
+        feats = tuple(tuple(index.setdefault(f, len(index)) for f in fs) for fs in page.features())
+        key = (feats, tuple(page.parent), tuple(y))
         groups[key] = groups.get(key, 0) + (1 if k < own else max(1, own // len(made)))
-    w, couple = np.zeros(len(index)), np.zeros(4)
-    hw, hc = np.full(len(index), 1e-6), np.full(4, 1e-6)
-    total = sum(len(k[1]) * c for k, c in groups.items())
+    trees = _Trees(groups)
+    w, couple = np.zeros(len(index)), np.zeros((2, 2))
+    hw, hc = np.full(len(index), 1e-6), np.full((2, 2), 1e-6)
+    w[0] = 30.0  # the frame holds the article
+    total = float(trees.weight.sum())
     for _ in range(steps):
-        gw, gc = -1e-3 * w * total / 100, -1e-3 * couple * total / 100
-        for (feats, parent, y), c in groups.items():
-            p, joint = marginals(list(parent), [float(w[list(fs)].sum()) for fs in feats], couple.reshape(2, 2).tolist())
-            for i, fs in enumerate(feats):
-                gw[list(fs)] += c * (y[i] - p[i])
-                if i:
-                    gc -= c * np.array(joint[i])
-                    gc[2 * y[parent[i]] + y[i]] += c
+        p, joint = trees.marginals(np.bincount(trees.node, w[trees.feature], len(trees.y)), couple)
+        gw = np.bincount(trees.feature, (trees.weight * (trees.y - p))[trees.node], len(index)) - 1e-6 * w * total
+        gw[0] = 0
+        gc = trees.seen - joint - 1e-6 * couple * total
         hw += gw ** 2
         hc += gc ** 2
         w += 0.7 * gw / np.sqrt(hw)
         couple += 0.7 * gc / np.sqrt(hc)
-    return {"weights": {f: float(w[i]) for f, i in index.items()}, "couple": couple.reshape(2, 2).tolist()}
+    return {"weights": {f: float(w[i]) for f, i in index.items()}, "couple": couple.tolist()}
+
+
+class _Trees:
+    """The nodes of all training pages in a row, for sweeps over all trees at once, a level at a time."""
+
+    def __init__(self, groups: dict[tuple, int]):
+        starts = np.cumsum([0, *(len(y) for _, _, y in groups)])
+        self.y = np.array([v for _, _, y in groups for v in y])
+        self.parent = np.array([p + s if p >= 0 else -1 for (_, parent, _), s in zip(groups, starts) for p in parent])
+        self.weight = np.repeat(np.array(list(groups.values()), float), np.diff(starts))
+        every = [fs for feats, _, _ in groups for fs in feats]
+        self.node = np.repeat(np.arange(len(every)), [len(fs) for fs in every])
+        self.feature = np.array([f for fs in every for f in fs])
+        depth = [0] * len(every)
+        for i, q in enumerate(self.parent.tolist()):
+            depth[i] = depth[q] + 1 if q >= 0 else 0
+        self.levels = [np.flatnonzero(np.array(depth) == d) for d in range(1, max(depth) + 1)]
+        child = np.flatnonzero(self.parent >= 0)
+        self.seen = np.bincount(2 * self.y[self.parent[child]] + self.y[child], self.weight[child], 4).reshape(2, 2)
+
+    def marginals(self, unary: np.ndarray, couple: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``marginals``, in log odds: P(node = 1), and the weighted sum of the joint tables of parent and child."""
+        up, sent = np.clip(unary, -30, 30), np.zeros(len(unary))
+        for at in reversed(self.levels):
+            sent[at] = np.logaddexp(couple[1, 0], couple[1, 1] + up[at]) - np.logaddexp(couple[0, 0], couple[0, 1] + up[at])
+            up += np.bincount(self.parent[at], sent[at], len(up))
+        belief, joint = up.copy(), np.zeros((2, 2))
+        for at in self.levels:
+            rest = belief[self.parent[at]] - sent[at]
+            j = np.array([[np.full(len(at), couple[0, 0]), couple[0, 1] + up[at]], [couple[1, 0] + rest, couple[1, 1] + rest + up[at]]])
+            j = np.exp(j - j.max(axis=(0, 1)))
+            j /= j.sum(axis=(0, 1))
+            belief[at] = np.log(np.maximum(j[:, 1].sum(0), 1e-300)) - np.log(np.maximum(j[:, 0].sum(0), 1e-300))
+            joint += (j * self.weight[at]).sum(2)
+        return 1 / (1 + np.exp(-np.clip(belief, -700, 700))), joint
 
 
 def main_text(source_text: str | None, model: dict) -> str:

@@ -187,6 +187,57 @@ def test_made_layouts(model, page, want):
     assert H.main_text(page, model) == want
 
 
+INSIDE = [
+    "<table><tr><th>Name</th><th>Sum</th></tr><tr><td>Alpha</td><td>17</td></tr></table>", "<table><caption>Some caption</caption><tr><td>cell</td></tr></table>",
+    "<figure><img src=x><figcaption>A caption</figcaption></figure>", "<pre>code here</pre>", "<ul><li>One</li><li>Two words</li></ul>", "<ol><li>One</li></ol>",
+    "<dl><dt>T</dt><dd>Def</dd></dl>", "<details><summary>More</summary>Here</details>", "<blockquote>Quote</blockquote>", "<section><h3>Sub</h3><p>Short</p></section>",
+    "<address>Street 1</address>", "<center>Mid</center>", "<dir><li>x</li></dir>", "<hgroup><h2>H</h2><p>sub</p></hgroup>", "<fieldset><legend>Leg</legend>text</fieldset>",
+    "<div>Plain</div>", "<p>Hm.</p>", "<h6>Six</h6>", "<p><a href=x>Link only</a></p>", "<table><thead><tr><th>a</th></tr></thead><tbody><tr><td>b</td></tr></tbody><tfoot><tr><td>c</td></tr></tfoot></table>"]
+WRAPS = [("<article>", "</article>"), ("<main>", "</main>"), ("<div><div>", "</div></div>"), ("<div>", "</div>"), ('<div class="post-content">', "</div>"),
+         ('<div class="xyzzy">', "</div>"), ("<section>", "</section>"), ("", "")]
+
+
+@pytest.mark.parametrize("block", INSIDE)
+def test_every_block_of_an_article_is_kept(model, block):
+    """In an article named in any way or none, alone and beside elements that hold the same block."""
+    import re
+
+    around = [("", ""), ("<nav><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></nav>", "<footer>&copy; x</footer>"),
+              ('<div class="header"><a href=a>Home</a></div>', f'<div class="sidebar"><h3>Also</h3><p>{LINE}</p>{block}</div>'),
+              ("", f'<div class="widget-area"><h3>Also</h3><p>{LINE}</p></div>'), ("", f'<div class="comments"><div class="comment"><p>{LINE}</p>{block}</div></div>'),
+              (f'<div class="ad-banner">{LINE}</div>', '<div id="cookie-consent"><p>We use cookies.</p></div>')]
+    for open_, close in WRAPS:
+        for text in (f"<h1>Title</h1><p>{LINE}</p>{block}<p>{LINE}</p>", f"<h1>Title</h1><p>{LINE}</p>{block}"):
+            want = " ".join(re.sub(r"<[^>]*>", " ", text).split())
+            for before, behind in around:
+                page = f"<html><head><title>x</title></head><body>{before}{open_}{text}{close}{behind}</body></html>"
+                assert H.main_text(page, model) == want, page
+
+
+def test_made_pages_have_every_block():
+    tags = {t for page, y in H.made_pages() for t, v in zip(page.tag, y) if v}
+    frame = {"head", "body", "html", *H.ASIDE_TAGS}
+    assert H.BLOCKS - frame <= tags
+    assert set(H.ASIDE_TAGS) <= {t for page, y in H.made_pages() for t, v in zip(page.tag, y) if not v}
+
+
+def test_sweeps_over_all_trees_match_single_ones():
+    r = random.Random(9)
+    groups, unary = {}, []
+    for k in range(30):
+        n = r.randint(1, 40)
+        parent = (-1, *(r.randrange(max(0, i - 3), i) for i in range(1, n)))
+        groups[(tuple((k,) for _ in range(n)), parent, tuple(r.randint(0, 1) for _ in range(n)))] = r.randint(1, 5)
+        unary.append([r.gauss(0, 3) for _ in range(n)])
+    couple = [[r.gauss(0, 2) for _ in range(2)] for _ in range(2)]
+    trees = H._Trees(groups)
+    got, joint = trees.marginals(np.concatenate(unary), np.array(couple))
+    single = [H.marginals(list(parent), u, couple) for (_, parent, _), u in zip(groups, unary)]
+    assert got == pytest.approx([x for p, _ in single for x in p])
+    want = sum(c * np.array(j[1:]).reshape(-1, 4).sum(0) for (_, j), c in zip(single, groups.values()))
+    assert joint.ravel() == pytest.approx(want)
+
+
 def test_marginals_match_enumeration():
     import itertools
     import math
