@@ -13,9 +13,10 @@ many queries), where cosines are computed in double precision on the original
 vectors.
 
 Equal vectors are one row, the one with the least id, until the exact scores are
-there; then a row stands for the least ids of its copies. A score of a block
-depends in its last bits on the block, so all candidates within ``ERROR`` of the
-last place are kept until the scores are computed again pair by pair.
+there; then a row stands for the least ids of its copies. A block's matrix product
+depends in its last bits on the block, so its candidates within ``ERROR`` of the
+last place are scored again, pair by pair, inside the block: it gives at most
+``k`` pairs of a query, also where all its rows are multiples of one vector.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
 no part; nor do those of another length than most (ties: the shorter). A null
@@ -43,6 +44,7 @@ BLOCK_ROWS = 2048
 BUCKET_ROWS = 4096
 QUERY_BLOCK = 8192
 ERROR = 1e-11
+PAIRS = 8192  # scored at once
 
 
 class Forest:
@@ -164,18 +166,24 @@ def _probes(forest, sizes: np.ndarray, budget: float, kind):
 
 
 def _best(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int):
-    """The k best of each query and all within ``ERROR`` of the last of them, each candidate once."""
+    """The k best of each query, ties to the smaller id, each candidate once."""
     order = np.lexsort((v, -s, q))
     q, v, s = q[order], v[order], s[order]
+    if not len(q):
+        return q, v, s
     _, once = np.unique(np.stack([q, v], 1), axis=0, return_index=True)
     once.sort()
     q, v, s = q[once], v[once], s[once]
     head = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-    size = np.diff(np.append(head, len(q)))
-    keep = s >= np.repeat(s[np.minimum(head + k, head + size) - 1], size) - ERROR if len(q) else np.zeros(0, bool)
+    keep = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q)))) < k
     return q[keep], v[keep], s[keep]
 
 
+def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines row by row; a score does not depend on the rows beside it."""
+    return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) if len(x) else np.zeros(0)
+
+
 def _rerank(k: int, kind):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
@@ -194,19 +202,19 @@ def _rerank(k: int, kind):
                     n = min(k, len(m))
                     kth = -np.partition(-s, n - 1, axis=1)[:, n - 1:n]
                     a, c = np.nonzero((s >= kth - ERROR) & (s > -np.inf))
-                    found.append(_best(qs[part][a], ids[m][c], s[a, c], k))
+                    near = [_cosines(x[m[c[z:z + PAIRS]]], y[part[a[z:z + PAIRS]]]) for z in range(0, len(a), PAIRS)]
+                    found.append(_best(qs[part][a], ids[m][c], np.concatenate([np.zeros(0), *near]), k))
         q, v, s = _best(*(np.concatenate(z) for z in zip(*found)), k)
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
     return run
 
 
-def _exact(k: int, kind):
-    """Scores again, pair by pair, so that a score does not depend on the block it was found in."""
+def _own(kind):
+    """(query_id, vec_id, score) of rows with themselves, for the copies of a query."""
     def run(batches):
         for b in batches:
-            x, y = (_matrix(b.column(i), kind) for i in (2, 3))
-            s = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s)], ["query_id", "vec_id", "score"])
+            x = _matrix(b.column(1), kind)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(0), pa.array(_cosines(x, x))], ["query_id", "vec_id", "score"])
     return run
 
 
@@ -264,11 +272,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     asks = asks.select(key(F.col("part"), F.pmod(F.xxhash64("q"), F.lit(q_blocks)).cast("int")).alias("key"), block(F.col("part")), "q", "qvec")
     found = rows.groupBy("key").cogroup(asks.groupBy("key")).applyInArrow(_rerank(k, kind), "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    last = F.nth_value("score", k).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("last", last).where(F.col("last").isNull() | (F.col("score") >= F.col("last") - ERROR))
-    found = found.select("query_id", "vec_id").union(asked.join(copies.select("rep").distinct(), "rep").select("rep", "rep").distinct())
-    both = found.join(src.select(F.col("id").alias("query_id"), F.col("vec").alias("a")), "query_id").join(src.select(F.col("id").alias("vec_id"), F.col("vec").alias("b")), "vec_id")
-    exact = both.select("query_id", "vec_id", "a", "b").mapInArrow(_exact(k, kind), "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
+    copied = src.join(asked.join(copies.select("rep").distinct(), "rep").select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "vec")
+    exact = found.union(copied.mapInArrow(_own(kind), "query_id long, vec_id long, score double"))
     # rows for their copies: k + 1 of them, as one may be the query itself
     least = copies.withColumn("r", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("r") <= k + 1).select(F.col("rep").alias("vec_id"), "id")
     exact = exact.join(asked.select(F.col("rep").alias("query_id"), "q"), "query_id").join(least, "vec_id", "left")

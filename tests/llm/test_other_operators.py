@@ -1,11 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from surveyspark.llm import html_extract as H
-from surveyspark.llm.ann_forest import _best, nearest, op7_ann_forest
+from surveyspark.llm.ann_forest import _best, _cosines, _rerank, nearest, op7_ann_forest
 from surveyspark.llm.preference import assemble, op1_preference_format, preference_segments
 
 from .data import SF, table
@@ -121,11 +122,34 @@ def test_forest_ties_go_to_the_smaller_ids(spark):
             assert [j for j, _ in found] == sorted(j for j, s in top.items() if s > best - 1e-9 and j < 1500)[:5]
 
 
-def test_rounding_of_a_block_does_not_choose_between_copies():
-    ids = np.arange(20)
-    score = 0.9 + (ids % 7) * 1.2e-16  # what a matrix product makes of equal vectors
-    q, v, s = _best(np.zeros(21, np.int64), np.append(ids, 99), np.append(score, 0.8), 2)
-    assert sorted(v) == list(range(20)) and len(_best(q[:0], v[:0], s[:0], 2)[0]) == 0
+def test_best_takes_ties_by_id_and_each_candidate_once():
+    q, v, s = np.array([3, 1, 1, 1, 1, 3]), np.array([9, 8, 2, 5, 2, 4]), np.array([.1, .7, .7, .7, .7, .2])
+    assert [list(x) for x in _best(q, v, s, 2)] == [[1, 1, 3, 3], [2, 5, 4, 9], [.7, .7, .2, .1]]
+    assert len(_best(q[:0], v[:0], s[:0], 2)[0]) == 0
+
+
+def test_scores_do_not_depend_on_the_block():
+    x, y = np.random.default_rng(3).normal(size=(2, 300, 96))
+    every = _cosines(x, y)
+    assert all(_cosines(x[i:j], y[i:j]).tolist() == every[i:j].tolist() for i, j in ((0, 1), (5, 12), (17, 300)))
+
+
+def test_blocks_of_multiples_give_k_pairs_a_query():
+    """4,000 multiples of one vector: no block keeps more than k pairs of a query, and the ids are the right ones."""
+    v = np.random.default_rng(4).normal(size=24)
+    rows = [((i + 1) * v).tobytes() for i in range(4000)]
+    left = pa.table({"block": np.arange(4000) // 2000, "id": np.arange(4000), "vec": pa.array(rows, pa.binary())})
+    asked = np.arange(0, 4000, 50)
+    right = pa.table({"block": np.repeat([0, 1], len(asked)), "q": np.tile(asked, 2), "qvec": pa.array([rows[i] for i in asked] * 2, pa.binary())})
+    out = _rerank(5, np.float64)(left, right)
+    assert out.num_rows == 5 * len(asked)
+    x = np.array([np.frombuffer(r) for r in rows])
+    got = {}
+    for r in out.to_pylist():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    for q in asked[::9]:
+        s = _cosines(x, np.tile(x[q], (4000, 1)))
+        assert sorted(got[q]) == sorted((-s[j], j) for j in range(4000) if j != q)[:5]
 
 
 def test_forest_on_few_and_odd_vectors(spark):
