@@ -9,8 +9,9 @@ fitted on the whole sample.
 
 The models are fitted on at most ``MAX_TRAIN`` labelled documents, those with
 the smallest hashes of their ids, and at most ``MAX_FEATURES`` features a
-category, so a model is small whatever the corpus. Scoring covers every row in
-one pass without a shuffle.
+category, so a model is small whatever the corpus. Texts of over
+``MAX_TRAIN_CHARS`` characters do not train, so that the sample is bounded in
+bytes as well. Scoring covers every row, whole, in one pass without a shuffle.
 
 Each row of ``docs`` gives one row. Null and empty texts have no words and get
 the models' base rate. Of repeated label rows of an id the largest of each
@@ -36,6 +37,7 @@ from .tables import small_batches, source
 from .text import lean, release_memory
 
 MAX_TRAIN = 4000
+MAX_TRAIN_CHARS = 50_000
 MAX_FEATURES = 2000
 FOLDS = 4
 GRAM = 5
@@ -75,7 +77,7 @@ class Sparse:
 
 def fit(x: Sparse, y: np.ndarray, l1: float | None = None, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated proximal gradient steps (FISTA) on columns scaled to a mean square
-    of one; the weights are for the columns as given."""
+    of one; the weights are for the columns as given. ``steps`` ends them before the optimum on small samples."""
     n = len(y)
     l1 = L1 / n ** 0.5 if l1 is None else l1
     scale = 1 / np.sqrt(np.maximum(np.bincount(x.col, x.val ** 2, x.shape[1]) / n, 1e-12))
@@ -242,6 +244,7 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Col
     shape = "_id long, " + ", ".join(f"_y{k} int" for k in range(len(categories)))
     few = F.broadcast(spark.createDataFrame([tuple(map(int, r)) for r in marks.itertuples(index=False)], shape))
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(few, "_id")
+    sample = sample.where(F.coalesce(F.length("_text"), F.lit(0)) <= MAX_TRAIN_CHARS)
     sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toArrow()
     y = np.column_stack([sample[f"_y{k}"].to_numpy() for k in range(len(categories))])
     model = train_chain((t.as_py() for t in sample["_text"]), sample["_id"].to_pylist(), y)

@@ -3,7 +3,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from surveyspark.llm import byte_bpe, packing, pii, toxicity
 from surveyspark.llm.quality_rules import op10_quality_rules, quality_rules
-from surveyspark.llm.tables import source
+from surveyspark.llm.tables import Shared, source
 
 from .data import SF, WORD, table
 
@@ -102,6 +102,65 @@ def test_one_sided_and_plus_less_contexts_find_unseen_identifiers(spark):
     assert out[n] == "we call [PHONE] today" and out[n + 2] == "[EMAIL] wrote this" and out[n + 4] == rows[n + 4]
 
 
+def plain_scores(occ, rounds, accept, support, context):
+    """{instance: kind} that the pattern-instance graph accepts, in plain Python."""
+    kind = {}
+    for k, inst, pats in occ:
+        for p in pats:
+            kind[p, inst] = max(kind.get((p, inst), -1), k)
+    insts = defaultdict(dict)
+    for (p, i), k in kind.items():
+        insts[p][i] = k
+    count = {p: Counter(k for k in by.values() if k >= 0) for p, by in insts.items()}
+    deg = Counter(i for (_, i), k in kind.items() if k < 0)
+    score = {}
+    for _ in range(rounds):
+        conf, best, seeds = defaultdict(float), defaultdict(float), defaultdict(int)
+        for p, by in insts.items():
+            unknown = [i for i, k in by.items() if k < 0]
+            if not unknown or not count[p]:
+                continue
+            for k in range(4):
+                rows = [score[i, k] for i in unknown if (i, k) in score]
+                if not count[p][k] and not rows:
+                    continue
+                given = count[p][k] + sum(s for s, _, _ in rows)
+                sure = count[p][k] + sum(max(s, b) for s, b, ok in rows if ok)
+                for i in unknown:
+                    conf[i, k] += given / (len(by) + 1)
+                    seeds[i, k] = max(seeds[i, k], sum(count[p].values()))
+                    if p % 2 and count[p][k] >= context:
+                        best[i, k] = max(best[i, k], sure / (len(by) + 1))
+        score = {}
+        for (i, k), c in conf.items():
+            mean, one = c / deg[i], best[i, k]
+            score[i, k] = mean, one, mean >= accept and seeds[i, k] >= support or one >= accept
+    out = {}
+    for (i, k), (mean, one, ok) in score.items():
+        if ok:
+            out[i] = max(out.get(i, (0.0, -9)), (max(mean, one), -k))
+    return {i: -k for i, (_, k) in out.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_graph_scores_match_plain_python(spark, monkeypatch, seed):
+    monkeypatch.setattr(pii, "CONTEXT", 4)
+    r = random.Random(seed)
+    mostly = [r.choice((0, 1, 2, 3, -1)) for _ in range(30)]  # what kind of instance a pattern stands beside
+    occ = []
+    for inst in range(400):
+        at = r.randrange(30)
+        k = mostly[at] if r.random() < 0.6 else -1 if r.random() < 0.7 else r.randrange(4)
+        for _ in range(r.randint(1, 2)):
+            occ.append((k if r.random() < 0.95 else -1, inst, [at, *(r.choice((at, r.randrange(30))) for _ in range(2))]))
+    docs = spark.createDataFrame(occ, "kind int, inst long, patterns array<long>")
+    for accept in (0.3, 0.45, 0.6):
+        want = plain_scores(occ, 3, accept, 3, 4)
+        got = {x.inst: x.kind for x in pii.score_instances(docs, Shared(spark, "pii-test"), 3, accept, 3).collect()}
+        assert got == want
+        assert want or accept > 0.5
+
+
 def test_pii_odd_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_pii(pii.with_key(docs))[0].count() == 0 and pii.redact(docs).count() == 0
@@ -140,6 +199,77 @@ def test_chain_is_accurate_on_held_out_rows(spark):
     assert len(model["chain"][1]) == 1 and not got[9000].rejected and got[9000].p_toxic == got[9001].p_toxic
 
 
+def _dense_fit(x, y):
+    """L1 logistic regression on a dense matrix, run until the conditions of an optimum hold."""
+    n = len(y)
+    scale = 1 / np.sqrt(np.maximum((x ** 2).mean(0), 1e-12))
+    z = np.column_stack([x * scale, np.ones(n)])
+    rate, l1 = 4 * n / np.linalg.norm(z, 2) ** 2, np.append(np.full(x.shape[1], toxicity.L1 / n ** 0.5), 0.0)
+    w = v = np.zeros(len(l1))
+    t = 1.0
+    for step in range(20_000):
+        g = z.T @ (1 / (1 + np.exp(-z @ v)) - y) / n
+        new = v - rate * g
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
+        t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        w, v = new, new + (last - 1) / t * (new - w)
+        if step % 500 == 499:
+            g = z.T @ (1 / (1 + np.exp(-z @ w)) - y) / n
+            if np.abs(np.where(w != 0, g + l1 * np.sign(w), np.maximum(np.abs(g) - l1, 0))).max() < 1e-6:
+                break
+    return w[:-1] * scale, w[-1]
+
+
+def test_chain_matches_a_plain_version(monkeypatch):
+    """Counts, chi-square choice, folds, out-of-fold logits and scores, by loops and dense matrices; both fits
+    run to their optimum here, the operator's own steps stop earlier."""
+    stop_early = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda x, y: stop_early(x, y, steps=8000))
+    rows = _toxic_rows(160, seed=8)
+    texts, ids = [t for _, t, _, _ in rows], [i for i, _, _, _ in rows]
+    y = np.array([[1 - q, t] for _, _, q, t in rows], float)
+    model = toxicity.train_chain(iter(texts), ids, y.astype(int))
+    grams = [Counter(g for w in set(t.lower().split()) for g in set(toxicity.grams(w))) for t in texts]
+    fold = np.array([zlib.crc32(str(i).encode()) % toxicity.FOLDS for i in ids])
+    earlier, logits = [], []
+    for c in range(2):
+        found = []
+        for g in sorted({g for x in grams for g in x}):
+            has = np.array([g in x for x in grams])
+            n, df, a, n1 = len(y), has.sum(), y[has, c].sum(), y[:, c].sum()
+            if df >= 5 and df < n and a * n > df * n1:
+                table = np.array([[a, df - a], [n1 - a, n - n1 - df + a]])
+                expect = np.outer(table.sum(1), table.sum(0)) / n
+                found.append((-round(((table - expect) ** 2 / expect).sum(), 9), g))
+        chosen = [g for _, g in sorted(found)[:toxicity.MAX_FEATURES]]
+        x = np.array([[g_[g] for g in chosen] for g_ in grams], float)
+        x = np.column_stack([x, *(e / 10 for e in earlier)])
+        assert {g for g, w in model["weights"].items() if w[c]} <= set(chosen)
+        out = np.zeros(len(y))
+        for f in range(toxicity.FOLDS):
+            w, b = _dense_fit(x[fold != f], y[fold != f, c])
+            out[fold == f] = x[fold == f] @ w + b
+        w, b = _dense_fit(x, y[:, c])
+        own = [sum(g_[g] * model["weights"][g][c] for g in g_ if g in model["weights"]) + model["bias"][c] for g_ in grams]
+        own = np.array(own) + sum(v * np.clip(e, -20, 20) for v, e in zip(model["chain"][c], earlier))
+        assert np.abs(own - (x @ w + b)).max() < 0.1
+        cut = toxicity.best_cut(1 / (1 + np.exp(-out)), y[:, c])
+        assert abs(model["cut"][c] - cut) < 0.02
+        earlier.append(np.clip(out, -20, 20))
+
+
+def test_long_texts_are_scored_but_do_not_train(spark, monkeypatch):
+    rows = _toxic_rows(400)
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows] + [(9000, "zorkan " * 2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, t) for i, _, q, t in rows] + [(9000, 1, 0)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_TRAIN_CHARS", 10_000)
+    seen = []
+    plain = toxicity.train_chain
+    monkeypatch.setattr(toxicity, "train_chain", lambda texts, ids, y: seen.extend(ids) or plain(texts, ids, y))
+    scored, _ = toxicity.toxicity_chain(docs, labels, toxicity.label_categories(), "toxic")
+    assert len(seen) == 400 and 9000 not in seen and scored.where("doc_id = 9000 and rejected").count() == 1
+
+
 def test_chain_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
