@@ -8,7 +8,10 @@ documents of the language, and the measure is the Jensen-Shannon distance (the
 root of the divergence, base 2). A text shorter than a guard skips the
 histogram that it is too short for.
 
-Each row gives one row. Null texts count as empty. Languages other than those
+Each row gives one row, repeated rows and rows without an id too; an empty
+table gives an empty one. Other columns, whatever their names, are not read. A
+text at a threshold passes: exactly 50 words, exactly half of the words in
+repeated windows, a distance equal to its limit. Null texts count as empty. Languages other than those
 of ``COMMON`` (and null) share one reference, so there are at most five.
 Repeated windows are found by sorting a text's window hashes, so a very long
 text costs n log n.
@@ -53,41 +56,59 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+
+
+def repeated_lines(text: Column) -> Column:
+    """The number of lines that hold a word and equal an earlier line."""
+    inked = lambda lines: F.filter(lines, lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    return let(F.split(text, "\n"), lambda x: let(F.array_distinct(x), lambda d: F.when(F.size(d) == F.size(x), F.lit(0)).otherwise(
+        F.size(inked(x)) - F.size(inked(d)))))
 
 
 def repeated_window_words(words: Column) -> Column:
     """The number of words inside three-word windows that the array holds twice or more."""
     def marked(s: Column) -> Column:
-        same = lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"])
-        return F.array_sort(F.transform(F.filter(s, lambda x, j: F.coalesce(same(x, j), (F.get(s, j - 1)["h"] == x["h"]), (F.get(s, j + 1)["h"] == x["h"]), F.lit(False))), lambda x: x["i"]))
+        same = lambda x, j: x["h"].eqNullSafe(F.get(s, j - 1)["h"]) | x["h"].eqNullSafe(F.get(s, j + 1)["h"])
+        return F.sort_array(F.transform(F.filter(s, same), lambda x: x["i"]))
 
     def covered(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - i, F.lit(3)))), F.lit(0), lambda a, b: a + b)
 
     def of(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
-        return let(windows, lambda v: F.when(F.size(F.array_distinct(F.transform(v, lambda x: x["h"]))) == F.size(v), F.lit(0)).otherwise(
-            let(F.array_sort(v), lambda s: let(marked(s), covered))))
+        hashes = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), F.lit(1), F.size(w) - 2)
+        placed = lambda h: F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
+            let(placed(h), lambda s: let(marked(s), covered))))
 
     return let(words, lambda w: F.when(F.size(w) < 3, F.lit(0)).otherwise(of(w)))
 
 
-def char_counts(text: Column) -> Column:
-    """Counts by class of CLASSES and of all other characters."""
-    plain = F.translate(text, "".join(CLASSES.values()), "".join(c * len(v) for c, v in CLASSES.items()))
+#: The characters that stand for the classes of CLASSES, and for SYMBOLS apart from their class.
+SIGNS = [*CLASSES, "@"]
+
+
+def by_class(text: Column) -> Column:
+    """The text with one sign for all characters of a class; "#" is left for SYMBOLS, the rest of their class is "@"."""
+    signs = {x: c for c, v in CLASSES.items() for x in v}
+    signs |= {x: "#" if x in SYMBOLS else "@" for x in CLASSES["#"]}
+    return F.translate(text, "".join(signs), "".join(signs.values()))
+
 
-    def counts(t: Column) -> Column:
-        n = [F.length(t) - F.length(F.replace(t, F.lit(c), F.lit(""))) for c in CLASSES]
-        return F.array(*n)
+def sign_counts(signs: Column) -> Column:
+    """Counts of SIGNS, and of all other characters."""
+    def counts(t: Column, left: list[str], got: list[Column]) -> Column:
+        if not left:
+            return F.array(*got, F.length(t))
+        return let(F.replace(t, F.lit(left[0]), F.lit("")), lambda rest: counts(rest, left[1:], [*got, F.length(t) - F.length(rest)]))
 
-    return let(plain, lambda t: let(counts(t), lambda n: F.concat(n, F.array(F.length(t) - F.aggregate(n, F.lit(0), lambda a, b: a + b)))))
+    return let(signs, lambda t: counts(t, SIGNS, []))
 
 
 def common_counts(words: Column) -> Column:
     """(w, n) of the common words of any language in the array, by word."""
     every = sorted({w for v in COMMON.values() for w in v})
-    kept = F.array_sort(F.filter(F.transform(words, F.lower), lambda w: w.isin(every)))
+    kept = F.sort_array(F.transform(F.filter(words, lambda w: F.lower(w).isin(every)), F.lower))
     each = lambda s: let(F.array_distinct(s), lambda d: let(F.transform(d, lambda x: F.array_position(s, x)), lambda p: F.transform(
         d, lambda x, k: F.struct(x.alias("w"), (F.coalesce(F.get(p, k + 1), F.size(s) + 1) - F.get(p, k)).cast("int").alias("n")))))
     return let(kept, each)
@@ -111,15 +132,18 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lang = F.lower(F.col(lang_col).cast("string"))
     src = docs.select(F.col(id_col), text.alias("t"), F.when(lang.isin(list(COMMON)), lang).otherwise("other").alias("ref"))
-    inked = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     long = lambda c: c.cast("long")
-    stats = src.withColumn("w", words_of(F.col("t"))).select(
+    at = lambda sign: F.get("signs", F.lit(SIGNS.index(sign)))
+    counted = src.select("*", F.length("t").alias("size"), words_of(F.col("t")).alias("w"), sign_counts(by_class(F.col("t"))).alias("signs"))
+    stats = counted.select(
         id_col, "ref", long(F.size("w")).alias("n_words"),
-        long(F.length(F.translate("t", SPACES, ""))).alias("word_chars"),
-        long(F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).alias("n_symbols"),
-        long(let(inked, lambda x: F.size(x) - F.size(F.array_distinct(x)))).alias("n_dup_lines"),
+        long(F.col("size") - at(" ")).alias("word_chars"),
+        long(at("#")).alias("n_symbols"),
+        long(repeated_lines(F.col("t"))).alias("n_dup_lines"),
         long(repeated_window_words(F.col("w"))).alias("n_repeat_words"),
-        char_counts(F.col("t")).alias("chars"), common_counts(F.col("w")).alias("common"))
+        F.array(*(at(c) + at("@") if c == "#" else at(c) for c in CLASSES), F.get("signs", F.lit(len(SIGNS)))).alias("chars"),
+        "size", common_counts(F.col("w")).alias("common"))
+    stats = stats.withColumn("hits", F.aggregate("common", F.lit(0), lambda a, x: a + x["n"]))
     stats = shared.put(stats, "stats")
 
     n = len(CLASSES) + 1
@@ -131,12 +155,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     refs = chars.join(common, "ref", "left").select("ref", "cq", F.transform_values("m", lambda _, v: v / F.col("s")).alias("wq"))
     both = stats.join(F.broadcast(refs), "ref", "left")  # one row a language of COMMON, and one for all others
 
-    size = F.aggregate("chars", F.lit(0), lambda a, b: a + b)
-    hits = F.aggregate("common", F.lit(0), lambda a, x: a + x["n"])
+    size, hits = F.col("size"), F.col("hits")
     char_div = F.when(size >= MIN_CHARS, _sum(F.zip_with("chars", "cq", lambda c, q: _js(c / size, q))))
     inside = F.transform("common", lambda x: F.struct((x["n"] / hits).alias("p"), F.coalesce(F.try_element_at("wq", x["w"]), F.lit(0.0)).alias("q")))
     word_div = F.when(hits >= MIN_COMMON, let(inside, lambda s: _sum(F.transform(s, lambda x: _js(x["p"], x["q"]))) + 1 - _sum(F.transform(s, lambda x: x["q"]))))
-    root = lambda d: F.when(d.isNotNull(), F.sqrt(F.greatest(d / 2, F.lit(0.0))))
+    root = lambda d: let(d, lambda x: F.when(x.isNotNull(), F.sqrt(F.greatest(x / 2, F.lit(0.0)))))
     out = both.withColumn("char_distance", root(char_div)).withColumn("word_distance", root(word_div))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word)
