@@ -11,7 +11,9 @@ The models are fitted on at most ``MAX_TRAIN`` labelled documents, those with
 the smallest hashes of their ids, and at most ``MAX_FEATURES`` features a
 category, so a model is small whatever the corpus. Texts of over
 ``MAX_TRAIN_CHARS`` characters do not train, so that the sample is bounded in
-bytes as well. Scoring covers every row, whole, in one pass without a shuffle.
+bytes as well. The sample's words and n-grams are counted and chosen by Spark
+jobs; only the counts of the chosen ones come to the driver, which fits the
+models. Scoring covers every row, whole, in one pass without a shuffle.
 
 Each row of ``docs`` gives one row. Null and empty texts have no words and get
 the models' base rate. Of repeated label rows of an id the largest of each
@@ -24,24 +26,27 @@ names of the result's are replaced.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import small_batches, source
+from .tables import Shared, small_batches, source
 from .text import lean, release_memory
 
 MAX_TRAIN = 4000
 MAX_TRAIN_CHARS = 50_000
 MAX_FEATURES = 2000
+MIN_TEXTS = 5  # that have a feature
 FOLDS = 4
 GRAM = 5
 L1 = 2e-2  # over the root of the number of rows
+TASKS = 24  # that the training texts are dealt to
 _CACHE = 200_000
 
 
@@ -127,26 +132,98 @@ def count_grams(texts: Iterable[str | None]) -> tuple[list[str], Sparse]:
     return list(gram_id), Sparse(join(rows, np.int32), join(cols, np.int32), join(counts, np.float32), (total, len(gram_id)))
 
 
+def _gram_totals(n: int):
+    """For each feature of a task's texts, the number of texts that have it: all, and those of each of ``n``
+    categories. A feature may come in several rows."""
+    def run(batches):
+        kinds = pa.schema([("gram", pa.string()), ("df", pa.int64()), *((f"n{c}", pa.int64()) for c in range(n))])
+        counts = [Counter() for _ in range(n + 1)]
+
+        def rows():
+            found = list(counts[0])
+            for i in range(0, len(found), 10_000):
+                part = found[i:i + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([of[g] for g in part], pa.int64()) for of in counts)], schema=kinds)
+            for of in counts:
+                of.clear()
+
+        for b in batches:
+            for text, *y in zip(*(col.to_pylist() for col in b.columns)):
+                has = {g for w in words_of(text) for g in grams(w)}
+                for of, hit in zip(counts, (1, *y)):
+                    if hit:
+                        of.update(has)
+                if len(counts[0]) > _CACHE:
+                    yield from rows()
+        yield from rows()
+    return lean(run)
+
+
+def _chosen_counts(shared_place, n: int):
+    """For each text, its id and labels, the numbers of the chosen features that it has and the number of its
+    distinct words that have each."""
+    place = shared_place.value
+
+    def run(batches):
+        for b in batches:
+            col, count = [], []
+            for text in b.column(n + 1).to_pylist():
+                got = Counter(place[g] for w in words_of(text) for g in {*grams(w)} if g in place)
+                col.append(sorted(got))
+                count.append([got[i] for i in col[-1]])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n + 1], pa.array(col, pa.list_(pa.int32())), pa.array(count, pa.list_(pa.int32()))],
+                                             [*b.schema.names[:n + 1], "col", "n"])
+    return lean(run)
+
+
+def count_chosen(sample: DataFrame, n: int) -> tuple[tuple[list[str], Sparse], list[int], np.ndarray]:
+    """What ``train_chain`` takes, from ``sample`` with ``_id``, ``_y0`` ... and ``_text``: the features that ``select``
+    chooses for one of the ``n`` categories with their counts, the ids in order, and the labels.
+
+    ``select`` chooses among these as among all, since it scores each feature by itself."""
+    spark, marks = sample.sparkSession, [f"_y{c}" for c in range(n)]
+    total = sample.agg(F.count("*"), *(F.sum(m) for m in marks)).first()
+    fields = ", ".join(["gram string, df long", *(f"n{c} long" for c in range(n))])
+    shared = Shared(spark, "toxicity")
+    found = sample.select("_text", *marks).mapInArrow(_gram_totals(n), fields).groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("df", *(f"n{c}" for c in range(n)))))
+    found = shared.put(found.where((F.col("df") >= MIN_TEXTS) & (F.col("df") < total[0])), "grams")
+    names: dict[str, int] = {}
+    for c in range(n):
+        df, here = F.col("df").cast("double"), F.lit(float(total[c + 1] or 0))
+        diff = F.col(f"n{c}") * F.lit(float(total[0])) - df * here
+        best = found.where(diff > 0).orderBy(F.desc(diff * diff / (df * (float(total[0]) - df))), "gram").limit(MAX_FEATURES)
+        for g in best.select("gram").toArrow()["gram"].to_pylist():
+            names.setdefault(g, len(names))
+    shared.close()
+    kept = ", ".join(["_id long", *(f"{m} int" for m in marks), "col array<int>, n array<int>"])
+    rows = sample.select("_id", *marks, "_text").mapInArrow(_chosen_counts(spark.sparkContext.broadcast(names), n), kept).orderBy("_id").toArrow()
+    flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *(c.flatten().to_numpy().astype(kind) for c in rows[name].chunks)])
+    sizes = pc.list_value_length(rows["col"]).to_numpy()
+    x = Sparse(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), flat("col", np.int32), flat("n", np.float32), (len(sizes), len(names)))
+    return (list(names), x), rows["_id"].to_pylist(), np.column_stack([rows[m].to_numpy() for m in marks])
+
+
 def select(names: list[str], x: Sparse, y: np.ndarray, most: int = MAX_FEATURES) -> np.ndarray:
-    """The features that speak for ``y``, in five documents or more, with the largest chi-square scores."""
+    """The features that speak for ``y``, in ``MIN_TEXTS`` documents or more, with the largest chi-square scores."""
     df = np.bincount(x.col, minlength=x.shape[1]).astype(np.float64)
     n1_g = np.bincount(x.col, y[x.row], x.shape[1])
     n1, n = float(y.sum()), float(len(y))
-    good = np.flatnonzero((df >= 5) & (n1_g * n > df * n1) & (df < n))
+    good = np.flatnonzero((df >= MIN_TEXTS) & (n1_g * n > df * n1) & (df < n))
     diff = n1_g[good] * n - df[good] * n1
     score = diff * diff / (df[good] * (n - df[good]))
     order = sorted(range(len(good)), key=lambda i: (-score[i], names[good[i]]))
     return good[order[:most]]
 
 
-def train_chain(texts: Iterable[str | None], ids: Sequence[int], labels: np.ndarray) -> dict:
-    """``labels`` has a column for each category in chain order. Returns feature weights, intercepts, the
-    weights of earlier logits and the thresholds by the out-of-fold predictions (``best_cut``)."""
+def train_chain(texts: Iterable[str | None] | tuple[list[str], Sparse], ids: Sequence[int], labels: np.ndarray) -> dict:
+    """``texts`` or, as a tuple, what ``count_grams`` or ``count_chosen`` made of them; ``labels`` has a column for
+    each category in chain order. Returns feature weights, intercepts, the weights of earlier logits and the
+    thresholds by the out-of-fold predictions (``best_cut``)."""
     fold = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in ids])
     weights: dict[str, list[float]] = defaultdict(lambda: [0.0] * labels.shape[1])
     model = {"bias": [], "chain": [], "cut": []}
     earlier = np.zeros((len(ids), 0))
-    names, every = count_grams(texts)
+    names, every = texts if isinstance(texts, tuple) else count_grams(texts)
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(np.float64)
         if not len(y) or y.min() == y.max():
@@ -156,7 +233,7 @@ def train_chain(texts: Iterable[str | None], ids: Sequence[int], labels: np.ndar
             model["cut"].append(2.0)
             earlier = np.column_stack([earlier, np.zeros(len(ids))])
             continue
-        chosen = select(names, every, y)
+        chosen = select(names, every, y, MAX_FEATURES)
         width = len(chosen)
         place = np.full(every.shape[1], -1, np.int32)
         place[chosen] = np.arange(width)
@@ -245,10 +322,12 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Col
     few = F.broadcast(spark.createDataFrame([tuple(map(int, r)) for r in marks.itertuples(index=False)], shape))
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(few, "_id")
     sample = sample.where(F.coalesce(F.length("_text"), F.lit(0)) <= MAX_TRAIN_CHARS)
-    sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text")).orderBy("_id").toArrow()
-    y = np.column_stack([sample[f"_y{k}"].to_numpy() for k in range(len(categories))])
-    model = train_chain((t.as_py() for t in sample["_text"]), sample["_id"].to_pylist(), y)
-    del sample
+    sample = sample.groupBy(*few.columns).agg(F.min("_text").alias("_text"))
+    shared = Shared(spark, "toxicity")
+    counted, ids, y = count_chosen(shared.put(sample.repartition(TASKS, "_id"), "sample"), len(categories))
+    shared.close()
+    model = train_chain(counted, ids, y)
+    del counted
     release_memory()
     small_batches(spark)
     docs = docs.drop(*names, "rejected")

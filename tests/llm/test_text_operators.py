@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -258,6 +259,30 @@ def test_chain_matches_a_plain_version(monkeypatch):
         earlier.append(np.clip(out, -20, 20))
 
 
+def test_the_driver_gets_the_counts_of_chosen_features_only(spark, monkeypatch):
+    """The model is the one of the whole texts; the memory of the driver's Python does not grow with their words."""
+    r = random.Random(5)
+    rows = [(i, f"{t} {' '.join(f'{r.getrandbits(40):x}' for _ in range(300))}", q, y) for i, t, q, y in _toxic_rows(500)]
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, t) for i, _, q, t in rows], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 40)
+    monkeypatch.setattr(toxicity, "_CACHE", 1000)
+    seen, plain = [], toxicity.train_chain
+    monkeypatch.setattr(toxicity, "train_chain", lambda texts, ids, y: seen.append((texts, ids, y)) or plain(texts, ids, y))
+    tracemalloc.start()
+    _, model = toxicity.toxicity_chain(docs, labels, toxicity.label_categories(), "toxic")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    (names, x), ids, y = seen[0]
+    assert ids == [i for i, _, _, _ in rows] and y.tolist() == [[1 - q, t] for _, _, q, t in rows]
+    assert 40 <= len(names) <= 80 and x.shape == (500, len(names))
+    want = plain((t for _, t, _, _ in rows), ids, y)
+    assert model["weights"].keys() == want["weights"].keys()
+    assert all(np.allclose(model["weights"][g], w, atol=1e-6) for g, w in want["weights"].items())
+    assert np.allclose(model["bias"], want["bias"]) and np.allclose(model["cut"], want["cut"]) and np.allclose(model["chain"][1], want["chain"][1])
+
+
 def test_long_texts_are_scored_but_do_not_train(spark, monkeypatch):
     rows = _toxic_rows(400)
     docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows] + [(9000, "zorkan " * 2000)], "doc_id long, text string")
