@@ -21,23 +21,30 @@ def _small_star(e: DataFrame) -> DataFrame:
     return near.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether every larger end ``u`` has one edge and is the lesser end ``v`` of none."""
+    ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
+def merged(comp: DataFrame, more: DataFrame) -> DataFrame:
+    """Edges with the components of those that ``comp``, a result of ``components``, was made of and of ``more``."""
+    return comp.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v")).union(more)
+
+
 def components(edges: DataFrame, shared: Shared) -> DataFrame:
     """(id, component) of every endpoint of ``edges`` (u, v); a component is named by its least id.
 
     Both steps are joins and partial aggregates of the edge table, whose rows
     never grow; a node with very many edges is split by the skew join. The loop
-    ends when a step changes nothing, which takes a logarithmic number of
-    rounds. An empty edge table gives an empty result.
+    ends when the edges are stars, which no step changes any more; that takes a
+    logarithmic number of rounds. An empty edge table gives an empty result.
     """
     now = shared.put(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+    while not _stars(now):
         then = shared.put(_small_star(_large_star(now)), "edges")
-        mark = tuple(then.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         shared.drop(now)
         now = then
-        if mark == seen:
-            break
-        seen = mark
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

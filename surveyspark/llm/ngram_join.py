@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, merged
 from .tables import Shared, id_filter, in_filter, source, spread_join
 from .text import Words, chunks, lean, mix
 
@@ -58,21 +58,26 @@ COUNTED = np.uint64(2 * 2 ** 64 // 5)
 _KEYS = "id long, n int, row long"
 
 
-def _row_key(s: np.ndarray) -> np.uint64:
-    """The key of a set: sums of two hashes of its members, mixed with its size."""
-    both = np.array([mix(s).sum(dtype=np.uint64), mix(s + np.uint64(77)).sum(dtype=np.uint64)], np.uint64)
-    both = mix(both * np.array([3, 5], np.uint64) + np.uint64(len(s)))
-    return mix(both[:1] + both[1:] * np.uint64(7))[0]
+def _row_keys(h: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The keys of sets that follow one another in ``h``: sums of two hashes of a set's members, mixed with its size."""
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    sums = [np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(x)), dtype=np.uint64)])[ends]) for x in (0, 77)]
+    a, b = (mix(s * np.uint64(x) + lens.astype(np.uint64)) for s, x in zip(sums, (3, 5)))
+    return mix(a + b * np.uint64(7)).view(np.int64)
+
+
+def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The members of all sets, one set after the other, and the sets' sizes."""
+    return np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
 
 
 def _keys(k: int):
     def run(batches):
         for b in batches:
             for i, j, data, offs in chunks(b.column(1)):
-                sets = Words(data, offs).sets(k)
-                keys = np.array([_row_key(s) for s in sets], np.uint64)
+                h, lens = _joined(Words(data, offs).sets(k))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.array([len(s) for s in sets], np.int32)), pa.array(keys.view(np.int64))], ["id", "n", "row"])
+                    [b.column(0).slice(i, j - i).cast(pa.int64()), pa.array(lens.astype(np.int32)), pa.array(_row_keys(h, lens))], ["id", "n", "row"])
     return lean(run)
 
 
@@ -108,21 +113,19 @@ def _incidence(k: int, num: int, den: int, frequent):
     def run(batches):
         for b in batches:
             for _, _, data, offs in chunks(b.column(1)):
-                sets = Words(data, offs).sets(k)
-                lens = np.array([len(s) for s in sets], np.int64)
-                if not lens.sum():
+                h, lens = _joined(Words(data, offs).sets(k))
+                if not len(h):
                     continue
-                keys = np.array([_row_key(s) for s in sets], np.uint64).view(np.int64)
+                keys = _row_keys(h, lens)
                 _, first = np.unique(keys, return_index=True)  # copies in a run count once
                 once = np.zeros(len(keys), bool)
                 once[first] = True
-                h = np.concatenate(sets)
-                doc = np.repeat(np.arange(len(sets)), lens)
+                doc = np.repeat(np.arange(len(lens)), lens)
                 rank = np.zeros(len(h), np.int64)
                 if len(hot_h):
                     at = np.minimum(np.searchsorted(hot_h, h), len(hot_h) - 1)
                     rank = np.where(hot_h[at] == h, hot_n[at], 0)
-                order = np.lexsort((h, rank, doc))
+                order = np.argsort(doc << 40 | rank, kind="stable")  # a set's hashes ascend
                 pos = np.arange(len(h)) - np.repeat(np.cumsum(lens) - lens, lens)
                 take = (pos < np.repeat(lens - (lens * num + den - 1) // den + 1, lens)) & once[doc]
                 o, pos = order[take], pos[take]
@@ -198,8 +201,8 @@ def _product(num: int, den: int):
     return run
 
 
-def tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> DataFrame:
-    """Links between rows of different components in long columns.
+def tiled(rest: DataFrame, sets: DataFrame, shared: Shared, num: int, den: int) -> DataFrame:
+    """Links between rows of different components in long columns; ``sets`` has the set of each such row.
 
     Rows that meet in long columns are dealt into tiles of about ``TILE`` shingles, those with one first
     column's least row together; two tiles with a common column are multiplied in one task."""
@@ -211,7 +214,7 @@ def tiled(rest: DataFrame, sets_of, shared: Shared, num: int, den: int) -> DataF
     a, b = at.where("open = 1").select("h", F.col("tile").alias("a")), at.select("h", F.col("tile").alias("b"))
     both = a.join(b, "h").select(F.least("a", "b").alias("ta"), F.greatest("a", "b").alias("tb")).distinct()
     sides = both.select("ta", "tb", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("tile"))
-    sets = of.join(sets_of(of.select("row")), "row").withColumn("n", F.size("set"))
+    sets = of.join(sets, "row").withColumn("n", F.size("set"))
     return sides.join(sets, "tile").groupBy("ta", "tb").applyInArrow(_product(num, den), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -233,21 +236,19 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
         bits = spark.sparkContext.broadcast(id_filter(needed))
         return shared.put(src.mapInArrow(_sets(k, bits), "id long, set array<long>").join(needed, "id").select("row", "set"), "sets")
 
-    def verified(pairs: DataFrame, block: DataFrame) -> DataFrame:
-        likely = shared.put(_may_link(pairs, block, num, den), "likely")
-        sets = sets_of(likely.select(F.col("u").alias("row")).union(likely.select(F.col("v").alias("row"))).distinct())
-        return shared.put(_linked(likely, sets, num, den), "links")
+    ends = lambda pairs: pairs.select(F.col("u").alias("row")).union(pairs.select(F.col("v").alias("row")))
 
-    # the first row of each column with more than one
-    entry = F.struct("row", "at")
-    heads = inc.groupBy("h").agg(F.min(entry).alias("b"), F.max("row").alias("last"), F.count("*").alias("c")).where("b.row < last").drop("last")
+    # the first row of each column with more than one; a row has the same place wherever it stands
+    heads = inc.groupBy("h").agg(F.min("row").alias("least"), F.min_by("at", "row").alias("at"), F.max("row").alias("last"), F.count("*").alias("c"))
+    heads = heads.where("least < last").select("h", F.struct(F.col("least").alias("row"), "at").alias("b"), "c")
     heads = shared.put(heads, "heads")
     block = shared.put(spread_join(inc, heads, "h", "c", inc.count()).select("h", "row", "at", "b").distinct(), "block")
     shared.drop(inc)
     first = block.where((F.col("b.row") < F.col("row")) & _fits(num, den, F.col("at"), F.col("b.at")))
     first = shared.put(first.select(F.col("b.row").alias("u"), F.col("row").alias("v")).distinct(), "pairs")
 
-    links = verified(first, block)
+    likely = shared.put(_may_link(first, block, num, den), "likely")
+    links = shared.put(_linked(likely, sets_of(ends(likely).distinct()), num, den), "links")
     comp = shared.put(components(links, shared), "components")
 
     # second product: columns that still hold rows of different components
@@ -263,8 +264,14 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     pairs = small.join(all_, (F.col("a.h") == F.col("b.h")) & apart & _fits(num, den, F.col("a.at"), F.col("b.at")))
     pairs = pairs.select(F.least("a.row", "b.row").alias("u"), F.greatest("a.row", "b.row").alias("v")).distinct()
     pairs = shared.put(pairs.join(first, ["u", "v"], "left_anti"), "pairs")
-    links = links.union(verified(pairs, block)).union(shared.put(tiled(rest.where(F.col("size") > SHORT), sets_of, shared, num, den), "links"))
-    comp = shared.put(components(links, shared), "components")
+    likely, long = shared.put(_may_link(pairs, block, num, den), "likely"), rest.where(F.col("size") > SHORT)
+    sets = sets_of(ends(likely).union(long.select("row")).distinct())  # one scan of the texts for both
+    more = _linked(likely, sets, num, den)
+    if not long.isEmpty():
+        more = more.union(tiled(long, sets, shared, num, den))
+    more = shared.put(more, "links")
+    if not more.isEmpty():
+        comp = shared.put(components(merged(comp, more), shared), "components")
 
     named = shared.put(rows.join(comp.withColumnRenamed("id", "row"), "row", "left").withColumn("comp", F.coalesce("component", "row")).drop("component"), "classes")
     ids = shared.put(named.groupBy("comp").agg(F.min("id").alias("component_id"), F.count("*").alias("c")), "names")

@@ -45,10 +45,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, merged
 from .ngram_join import SHORT, tiled
 from .tables import Shared, id_filter, in_filter, source, spread_join, unused
-from .text import Words, chunks, lean, mix
+from .text import Words, chunks, distinct, lean, mix
 
 MIN_WORDS = 8
 MIN_REPEAT = 20
@@ -94,11 +94,11 @@ class Paragraphs:
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         w = self.words = Words(data, offs)
         n = len(w.start)
-        line = np.concatenate([[0], np.cumsum(data == 10)])
+        breaks = np.flatnonzero(data == 10)
         last = np.zeros(n, bool)
         last[w.first[1:][w.first[1:] > w.first[:-1]] - 1] = True
         hard = last.copy()
-        hard[:-1] |= line[w.start[1:]] > line[w.end[:-1]]
+        hard[:-1] |= np.searchsorted(breaks, w.start[1:]) > np.searchsorted(breaks, w.end[:-1])
         hard = np.flatnonzero(hard)
         line_of = np.searchsorted(hard, np.arange(n))
         begin = np.concatenate([[0], hard[:-1] + 1])[line_of] if n else hard
@@ -124,9 +124,10 @@ class Paragraphs:
     def code_points(self) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each paragraph in code points of its text."""
         w = self.words
-        chars = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
-        zero = chars[w.offs[self.doc]]
-        return chars[w.start[self.a]] - zero, chars[w.end[self.b - 1]] - zero
+        inner = np.flatnonzero((w.data & 0xC0) == 0x80)  # bytes that go on with a code point
+        chars = lambda at: at - np.searchsorted(inner, at)
+        zero = chars(w.offs[self.doc])
+        return chars(w.start[self.a]) - zero, chars(w.end[self.b - 1]) - zero
 
 
 def _occurrences(batches):
@@ -135,9 +136,14 @@ def _occurrences(batches):
             p = Paragraphs(data, offs)
             ids = b.column(0).slice(i, j - i).to_numpy(zero_copy_only=False)
             s, e = p.code_points()
+            order = np.lexsort((p.hash, p.doc))  # stable, so the places of a paragraph in a text ascend
+            new = np.ones(len(order) + 1, bool)
+            new[1:-1] = (np.diff(p.doc[order]) != 0) | (np.diff(p.hash[order]) != 0)
+            edge = np.zeros(len(order), np.int32)
+            edge[order] = new[:-1] + 2 * new[1:]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p.hash.view(np.int64)), pa.array(ids[p.doc]), *(pa.array(x.astype(np.int32)) for x in (p.pos, p.word, s, e, p.b - p.a))],
-                ["par", "id", "pos", "word", "start", "end", "words"])
+                [pa.array(p.hash.view(np.int64)), pa.array(ids[p.doc]), *(pa.array(x.astype(np.int32)) for x in (p.pos, p.word, s, e, p.b - p.a, edge))],
+                ["par", "id", "pos", "word", "start", "end", "words", "edge"])
 
 
 def _bands(k: int, rows: int, bands: int):
@@ -203,7 +209,7 @@ def _sets(k: int):
                 for d, wanted in enumerate(b.column(2).slice(i, j - i).to_pylist()):
                     for pos in wanted:
                         q = at[d] + pos
-                        s = np.unique(sh[p.a[q]:p.e[q] - k + 1])
+                        s = distinct(sh[p.a[q]:p.e[q] - k + 1])
                         par.append(p.hash[q])
                         out.append(s)
                         off.append(off[-1] + len(s))
@@ -244,8 +250,10 @@ def _apart(near: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int
     pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & apart & fits)
     pairs = shared.put(pairs.select(F.least("a.par", "b.par").alias("u"), F.greatest("a.par", "b.par").alias("v")).distinct(), "pairs")
     long = first.where(F.col("size") > SHORT).select("h", F.col("par").alias("row"), F.shiftleft(F.col("n").cast("long"), 32).alias("at"), "comp", "large", "least")
-    sets_of = lambda asked: rest.select(F.col("par").alias("row"), "set").join(asked, "row", "left_semi")
-    links = shared.put(_similar(pairs, rest, num, den).union(tiled(long, sets_of, shared, num, den)), "links")
+    links = _similar(pairs, rest, num, den)
+    if not long.isEmpty():
+        links = links.union(tiled(long, rest.select(F.col("par").alias("row"), "set"), shared, num, den))
+    links = shared.put(links, "links")
     for done in (both, rest, pairs, first):
         shared.drop(done)
     return links
@@ -266,7 +274,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     shared = Shared(spark, "substring-dedup")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    shape = "par long, id long, pos int, word int, start int, end int, words int"
+    # edge: 1 for the first place of a paragraph in its text, 2 for the last, 3 for the only one, 0 between them
+    shape = "par long, id long, pos int, word int, start int, end int, words int, edge int"
     occ = shared.put(src.mapInArrow(lean(_occurrences), shape), "occurrences")
     if occ.where("pos = 0").groupBy("id").count().where("count > 1").limit(1).count():
         src = src.groupBy("id").agg(F.min("text").alias("text"))
@@ -285,7 +294,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one row per paragraph, summed up before the shuffle: its first and its last place; those with one place that
     # are no candidates can't be in a class with others
     place = F.struct("id", "pos")
-    each = occ.groupBy("par").agg(F.min(place).alias("at"), F.max(place).alias("high"))
+    each = occ.groupBy("par").agg(
+        F.min("id").alias("id"), F.min_by("pos", F.when(F.expr("edge & 1") > 0, F.col("id"))).alias("pos"),
+        F.max("id").alias("id2"), F.max_by("pos", F.when(F.expr("edge & 2") > 0, F.col("id"))).alias("pos2"))
+    each = each.select("par", place.alias("at"), F.struct(F.col("id2").alias("id"), F.col("pos2").alias("pos")).alias("high"))
     each = each.join(asked.withColumn("asked", F.lit(True)), "par", "left").where("asked or at < high")
     each = shared.put(each, "paragraphs")
     wanted = shared.put(each.where("asked").groupBy(F.col("at.id").alias("id")).agg(F.collect_list("at.pos").alias("wanted")), "wanted")
@@ -296,7 +308,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comp = components(links, shared)
     more = _apart(near, sets, comp, num, den, shared)
     if not more.isEmpty():
-        comp = components(links.union(more), shared)
+        comp = components(merged(comp, more), shared)
     shared.drop(near)
     shared.drop(sets)
 
@@ -318,6 +330,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return piece.select(F.col("id").alias(id_col), "start", "end", "n_words", "class_id", "kept_doc_id")
 
 
+def _remaining(text_at: int, count_at: int | None):
+    """The rows without their last column, the spans to cut out of their texts, where there are any; those with
+    nothing but white space left go."""
+    def run(batches):
+        for b in batches:
+            cuts, cols = b.column(b.num_columns - 1), b.columns[:-1]
+            at, cut = cuts.offsets.to_numpy(), cuts.is_valid().to_numpy(zero_copy_only=False)
+            start, end = (cuts.values.field(n).to_numpy().tolist() for n in ("start", "end"))
+            keep, texts = np.ones(len(cut), bool), cols[text_at].to_pylist()
+            for r in np.flatnonzero(cut).tolist():
+                t, i, j = texts[r] or "", at[r], at[r + 1]
+                t = texts[r] = "".join([t[x:y] for x, y in zip([0, *end[i:j]], [*start[i:j], len(t)])])
+                keep[r] = bool(t.strip(" \t\n\v\f\r"))
+            cols[text_at] = pa.array(texts, cols[text_at].type)
+            if count_at is not None:
+                counts = cols[count_at].to_pylist()
+                cols[count_at] = pa.array([len(t) if c else n for n, t, c in zip(counts, texts, cut.tolist())], cols[count_at].type)
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1]).filter(pa.array(keep))
+    return run
+
+
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
     """``docs`` without the ``spans`` of their texts; ``count_col``, where there is one, follows. Documents
     with nothing but white space left go; those without spans are as they were. Of a repeated id, the rows with
@@ -331,13 +364,8 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
         both = both.join(least, both[id_col] == F.col(ref), "left").drop(ref)
         other = F.col(text_of).isNotNull() & ~F.col(text_of).eqNullSafe(F.col(text_col))
         both = both.withColumn(cuts, F.when(~other, F.col(cuts))).drop(text_of)
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col(cuts), i - 1)["end"])
-    stop = lambda i: F.when(i == F.size(cuts), F.length(text_col)).otherwise(F.get(F.col(cuts), i)["start"])
-    left = F.array_join(F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: F.substring(F.col(text_col), begin(i) + 1, stop(i) - begin(i))), "")
-    out = both.withColumn(text_col, F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(left))
-    if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col(cuts).isNull(), F.col(count_col)).otherwise(F.length(text_col).cast(docs.schema[count_col].dataType)))
-    return out.where(F.col(cuts).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+    places = docs.columns.index(text_col), docs.columns.index(count_col) if count_col in docs.columns else None
+    return both.select(*docs.columns, cuts).mapInArrow(lean(_remaining(*places)), docs.schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,8 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, weight: str, total:
     Keys that hold more than one in ``HEAVY`` of the ``total`` left rows, so fewer than ``HEAVY`` keys, come to the
     left rows by broadcast; only the others are shuffled, so no task gets more than that part for one key."""
     heavy = F.col(weight) * HEAVY > total
+    if right.where(heavy).isEmpty():
+        return left.join(right.drop(weight), key)
     some, others = right.where(heavy).drop(weight), right.where(~heavy).drop(weight)
     rest = left.join(F.broadcast(some.select(key)), key, "left_anti")
     return left.join(F.broadcast(some), key).unionByName(rest.join(others, key))

@@ -25,6 +25,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _BYTE = np.random.default_rng(7).integers(1, 2 ** 63, 256, dtype=np.uint64)
+_LOWERED = _BYTE[LOWER]
 _POW = [np.ones(1, _U), np.ones(1, _U)]
 
 
@@ -110,7 +111,9 @@ class Words:
         self.first = np.searchsorted(start, offs)
         up, down = _powers(n)
         run = np.zeros(n + 1, _U)
-        np.cumsum(_BYTE[LOWER[data]] * up[:n], dtype=_U, out=run[1:])
+        np.take(_LOWERED, data, out=run[1:])
+        run[1:] *= up[:n]
+        np.cumsum(run[1:], out=run[1:])
         self.hash = mix((run[end] - run[start]) * down[start])
 
     def shingles(self, k: int = 5) -> np.ndarray:
@@ -123,7 +126,7 @@ class Words:
         all_, out = self.shingles(k), []
         for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist()):
             if b - a >= k:
-                out.append(np.unique(all_[a:b - k + 1]))
+                out.append(distinct(all_[a:b - k + 1]))
             elif b > a:
                 out.append(rolled(self.hash[a:b], b - a, b - a)[:1])
             else:
@@ -131,6 +134,14 @@ class Words:
         return out
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The values of ``x`` once each, in ascending order."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def rolled(w: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """For each word hash, the hash of it and the next k - 1, as far as there are so many."""
     x = np.full(len(w), _U(0x51ED270B + salt), _U)

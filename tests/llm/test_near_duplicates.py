@@ -24,6 +24,14 @@ def test_components_match_union_find(spark):
     assert components(spark.createDataFrame([], "u long, v long"), Shared(spark, "t")).count() == 0
 
 
+def test_stars_are_components_without_a_round(spark):
+    for edges, tables_put in (([(9, 1), (1, 8), (7, 1), (5, 4)], 1), ([(3, 2), (2, 1)], 2), ([(3, 1), (3, 2)], 2)):
+        shared = tables.Shared(spark, "t")
+        got = {(r.id, r.component) for r in components(spark.createDataFrame(edges, "u long, v long"), shared).collect()}
+        assert got == set(union_find({x for e in edges for x in e}, edges).items())
+        assert shared.n == tables_put
+
+
 def test_words_are_those_of_the_pattern():
     import pyarrow as pa
 
